@@ -8,7 +8,8 @@ visible, and the next one takes the same number and overwrites what is there.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,22 +27,21 @@ from rowfold.operators.dedup import (
     with_progress,
 )
 from rowfold.operators.distinct import distinct_by
-from rowfold.operators.filters import from_cursor
 from rowfold.operators.joins import already_seen
-from rowfold.operators.positions import ROW_GROUP_SPAN, chunk_of, row_group_of
+from rowfold.operators.positions import ROW_GROUP_SPAN
 from rowfold.plans.state import (
     DONE,
     PENDING,
     RUNNING,
     STATE_DEFAULTS,
+    LoadState,
     LoadStore,
     read_state,
     save_state,
-    task_state,
-    visible_loads,
 )
-from rowfold.sources.files import FILE_PATH, empty_table, read_or_empty, row_groups, with_file_position
 from rowfold.session import new_work_dir, remove_work_dir
+from rowfold.sinks.tables import write_table
+from rowfold.sources.files import FILE_PATH, empty_table, read_or_empty, row_groups, with_file_position
 
 CHUNK_ROWS = 250_000
 TASK = "process_all_row_groups"
@@ -74,6 +74,8 @@ class DedupPlan:
 
     accepted: DataFrame
     report: DataFrame
+    unique: int
+    duplicates: int
     all_new: bool
     stopped_at: tuple[int, int] | None
 
@@ -103,28 +105,33 @@ def plan_dedup(
     work_dir = work_dir or new_work_dir(spark, "plan")
     nothing = empty_table(spark, T.StructType([*SEEN_SCHEMA.fields, T.StructField("position", T.LongType())]))
     if (remaining is not None and remaining <= 0) or max_chunks == 0:
-        return DedupPlan(nothing, empty_table(spark, REPORT_SCHEMA), False, None)
+        return DedupPlan(nothing, empty_table(spark, REPORT_SCHEMA), 0, 0, False, None)
 
+    columns = REPORT_SCHEMA.fieldNames()
     groups = stage(chunk_groups(runs, chunk_size), work_dir, "groups")
     new = stage(new_records(groups, seen), work_dir, "new")
     progress = stage(with_progress(chunk_report(groups, new, chunk_size)), work_dir, "progress")
 
-    limits = []
+    reached = F.lit(False)
     if remaining is not None:
-        limits.append(F.col("total_new") >= remaining)
+        reached = reached | (F.col("total_new") >= remaining)
     if max_chunks is not None:
-        limits.append(F.col("total_steps") >= max_chunks)
-    boundary = None
-    if limits:
-        reached = limits[0] if len(limits) == 1 else limits[0] | limits[1]
-        boundary = progress.filter(reached).orderBy("row_group", "chunk").limit(1).first()
+        reached = reached | (F.col("total_steps") >= max_chunks)
+    fields = ["row_group", "chunk", "new", "total_new", "total_duplicates"]
+    totals = progress.agg(
+        F.sum("rows").alias("rows"),
+        F.sum("new").alias("new"),
+        F.sum("duplicates").alias("duplicates"),
+        F.min(F.when(reached, F.struct(*fields))).alias("boundary"),
+    ).first()
+    boundary = totals["boundary"]
 
     report = progress.withColumn("capped", F.lit(0).cast("bigint"))
     if boundary is None:
-        report = report.select(*REPORT_SCHEMA.fieldNames())
-        totals = progress.agg(F.sum("rows"), F.sum("new")).first()
-        accepted = new if totals[1] else nothing
-        return DedupPlan(accepted, report, totals[0] == totals[1], None)
+        unique, duplicates = totals["new"] or 0, totals["duplicates"] or 0
+        accepted = new if unique else nothing
+        all_new = totals["rows"] == totals["new"]
+        return DedupPlan(accepted, report.select(*columns), unique, duplicates, all_new, None)
 
     at = (boundary["row_group"], boundary["chunk"])
     report = report.filter(at_or_before(*at))
@@ -144,7 +151,8 @@ def plan_dedup(
     else:
         last = at[0] * ROW_GROUP_SPAN + (at[1] + 1) * chunk_size - 1
     accepted = new.filter(F.col("position") <= last)
-    return DedupPlan(accepted, report.select(*REPORT_SCHEMA.fieldNames()), False, at)
+    unique = boundary["total_new"] - capped
+    return DedupPlan(accepted, report.select(*columns), unique, boundary["total_duplicates"], False, at)
 
 
 def accepted_rows(
@@ -171,55 +179,47 @@ def _commit(
     store: LoadStore,
     plan: DedupPlan,
     rows: DataFrame,
-    state: dict,
-    finish: Callable[[dict], None],
+    state: LoadState,
+    row: dict,
     partition_by: Sequence[str],
 ) -> dict:
     """Write rows, hashes and report of one load, then the state that makes them visible."""
-    _, last = visible_loads(spark, store)
-    number = last + 1
+    number = state.visible[1] + 1
     if partition_by:
         rows = rows.hint("rebalance", *partition_by)
-    writer = rows.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(f"{store.target}/load={number}")
-    plan.accepted.select(RECORD_HASH).write.mode("overwrite").parquet(f"{store.seen}/load={number}")
-    plan.report.write.mode("overwrite").parquet(f"{store.report}/load={number}")
-
-    sums = (
-        spark.read.schema(REPORT_SCHEMA)
-        .parquet(f"{store.report}/load={number}")
-        .agg(F.sum("new"), F.sum(F.col("in_chunk") + F.col("hash_dedup") + F.col("already")))
-        .first()
-    )
-    state = dict(state)
-    state["total_unique_records"] += sums[0] or 0
-    state["total_duplicate_records"] += sums[1] or 0
-    state["last_load"] = number
-    finish(state)
-    save_state(spark, store, [state])
-    return state
+    writes = [
+        (rows, store.target, partition_by),
+        (plan.accepted.select(RECORD_HASH), store.seen, ()),
+        (plan.report, store.report, ()),
+    ]
+    with ThreadPoolExecutor(len(writes)) as pool:
+        # three independent Spark jobs; list() raises what any of them raised
+        list(pool.map(lambda w: write_table(w[0], f"{w[1]}/load={number}", "overwrite", partition_by=w[2]), writes))
+    row["total_unique_records"] += plan.unique
+    row["total_duplicate_records"] += plan.duplicates
+    row["last_load"] = number
+    save_state(spark, store, state, row)
+    return row
 
 
-def _begin(spark: SparkSession, store: LoadStore, task: str, batch_id: str, fresh: bool) -> dict | None:
-    """State to start from: the cursor of an unfinished batch, or the start of a new one.
+def _begin(spark: SparkSession, store: LoadStore, task: str, batch_id: str, fresh: bool) -> tuple[LoadState, dict, bool]:
+    """State, row to start from, and whether there is anything to do.
 
-    ``None`` when this very batch was the last to be loaded whole, so a redelivered one is skipped.
+    The row holds the cursor of an unfinished batch or the start of a new one. A batch that was the
+    last to be loaded whole is done, so a redelivered one is skipped.
     """
     if fresh:
         reset_load(spark, store)
-    state = task_state(spark, store, task).asDict()
-    if state["batch_id"] == batch_id:
-        return None if state["status"] == DONE else state
-    state["batch_id"] = batch_id
-    state["last_processed_row_group"] = 0
-    state["last_processed_chunk"] = 0
-    return state
+    state = read_state(spark, store)
+    row = state.of(task)
+    if row["batch_id"] == batch_id:
+        return state, row, row["status"] != DONE
+    row |= {"batch_id": batch_id, "last_processed_row_group": 0, "last_processed_chunk": 0, "status": RUNNING}
+    return state, row, True
 
 
-def _remaining(cap: int | None, state: dict) -> int | None:
-    return None if cap is None else cap - state["total_unique_records"]
+def _remaining(cap: int | None, row: dict) -> int | None:
+    return None if cap is None else cap - row["total_unique_records"]
 
 
 def load_table(
@@ -243,27 +243,18 @@ def load_table(
     """
     spark = batch.sparkSession
     columns = list(columns or batch.columns)
-    state = _begin(spark, store, task, batch_id, fresh)
-    if state is None:
-        return task_state(spark, store, task).asDict()
+    state, row, pending = _begin(spark, store, task, batch_id, fresh)
+    if not pending:
+        return row
     work_dir = new_work_dir(spark, "load")
-    runs = ordered_runs(batch, order, chunk_size, columns, algorithm)
-    plan = plan_dedup(
-        after_cursor(runs, chunk_size, state),
-        seen_hashes(spark, store),
-        chunk_size,
-        _remaining(cap, state),
-        max_chunks,
-        work_dir,
-    )
-
-    def finish(s: dict) -> None:
-        _move_cursor(s, plan, cap, row_group_count=1, more=False)
-
-    rows = accepted_rows(batch, plan, columns, algorithm, whole_batch=state["last_processed_chunk"] == 0)
-    state = _commit(spark, store, plan, rows.drop(RECORD_HASH), state, finish, partition_by)
+    runs = after_cursor(ordered_runs(batch, order, chunk_size, columns, algorithm), chunk_size, row)
+    seen = seen_hashes(spark, store, state)
+    plan = plan_dedup(runs, seen, chunk_size, _remaining(cap, row), max_chunks, work_dir)
+    rows = accepted_rows(batch, plan, columns, algorithm, whole_batch=row["last_processed_chunk"] == 0)
+    _move_cursor(row, plan, cap, end=1, whole=True)
+    row = _commit(spark, store, plan, rows.drop(RECORD_HASH), state, row, partition_by)
     remove_work_dir(spark, work_dir)
-    return state
+    return row
 
 
 def load_files(
@@ -285,23 +276,29 @@ def load_files(
     Nothing is sorted. Files before the cursor are not read again, and with ``max_chunks`` only the
     files that many chunks can reach are.
     """
-    batch_id = batch_id or path
-    state = _begin(spark, store, task, batch_id, fresh)
-    if state is None:
-        return task_state(spark, store, task).asDict()
+    state, row, pending = _begin(spark, store, task, batch_id or path, fresh)
+    if not pending:
+        return row
+    work_dir = new_work_dir(spark, "load")
     files = spark.read.parquet(path)
     columns = list(columns or files.columns)
-    work_dir = new_work_dir(spark, "load")
     groups = stage(row_groups(files), work_dir, "files")
-    count = groups.count()
 
-    start = state["last_processed_row_group"]
-    stop = count if max_chunks is None else min(count, start + max_chunks)
-    ends = groups.filter((F.col("row_group") >= start) & (F.col("row_group") < stop)).agg(
-        F.min("file_path"), F.max("file_path")
+    start = row["last_processed_row_group"]
+    inside = F.col("row_group") >= start
+    if max_chunks is not None:
+        inside &= F.col("row_group") < start + max_chunks
+    found = groups.agg(
+        F.count("*").alias("count"),
+        F.min(F.when(inside, F.col("file_path"))).alias("first"),
+        F.max(F.when(inside, F.col("file_path"))).alias("last"),
     ).first()
-    if ends[0] is not None:
-        files = files.filter(F.col(FILE_PATH).between(ends[0], ends[1]))
+    count = found["count"]
+    stop = count if max_chunks is None else min(count, start + max_chunks)
+    if found["first"] is None:
+        files = files.limit(0)
+    else:
+        files = files.filter(F.col(FILE_PATH).between(found["first"], found["last"]))
 
     placed = with_file_position(files, groups, count)
     runs = placed.select(
@@ -309,59 +306,46 @@ def load_files(
         "position",
         F.lit(1).cast("bigint").alias("copies"),
     )
-    plan = plan_dedup(
-        after_cursor(runs, chunk_size, state),
-        seen_hashes(spark, store),
-        chunk_size,
-        _remaining(cap, state),
-        max_chunks,
-        work_dir,
-    )
-
-    def finish(s: dict) -> None:
-        _move_cursor(s, plan, cap, row_group_count=stop, more=stop < count)
-
-    rows = accepted_rows(files, plan, columns, algorithm, whole_batch=state["last_processed_chunk"] == 0)
-    state = _commit(spark, store, plan, rows.drop(RECORD_HASH), state, finish, partition_by)
+    runs = after_cursor(runs, chunk_size, row)
+    seen = seen_hashes(spark, store, state)
+    plan = plan_dedup(runs, seen, chunk_size, _remaining(cap, row), max_chunks, work_dir)
+    rows = accepted_rows(files, plan, columns, algorithm, whole_batch=row["last_processed_chunk"] == 0)
+    _move_cursor(row, plan, cap, end=stop, whole=stop == count)
+    row = _commit(spark, store, plan, rows.drop(RECORD_HASH), state, row, partition_by)
     remove_work_dir(spark, work_dir)
-    return state
+    return row
 
 
-def _move_cursor(state: dict, plan: DedupPlan, cap: int | None, row_group_count: int, more: bool) -> None:
-    capped = cap is not None and state["total_unique_records"] >= cap
-    if capped:
-        state["status"] = DONE
-    elif plan.stopped_at is not None:
-        state["status"] = RUNNING
-    else:
-        state["status"] = DONE
+def _move_cursor(row: dict, plan: DedupPlan, cap: int | None, end: int, whole: bool) -> None:
+    """Point the state at the next unit: after the chunk the plan stopped at, else at group ``end``."""
+    full = cap is not None and row["total_unique_records"] + plan.unique >= cap
     if plan.stopped_at is not None:
-        state["last_processed_row_group"] = plan.stopped_at[0]
-        state["last_processed_chunk"] = plan.stopped_at[1] + 1
-    elif not capped:
-        state["last_processed_row_group"] = row_group_count
-        state["last_processed_chunk"] = 0
-        if more:
-            state["status"] = RUNNING
+        row["last_processed_row_group"], row["last_processed_chunk"] = plan.stopped_at[0], plan.stopped_at[1] + 1
+    elif not full:
+        row["last_processed_row_group"], row["last_processed_chunk"] = end, 0
+    finished = plan.stopped_at is None and whole
+    row["status"] = DONE if full or finished else RUNNING
 
 
-def after_cursor(runs: DataFrame, chunk_size: int, state: dict) -> DataFrame:
+def after_cursor(runs: DataFrame, chunk_size: int, row: dict) -> DataFrame:
     """Rows at or after the saved cursor."""
-    group, chunk = state["last_processed_row_group"], state["last_processed_chunk"]
+    group, chunk = row["last_processed_row_group"], row["last_processed_chunk"]
     if (group, chunk) == (0, 0):
         return runs
     return runs.filter(F.col("position") >= group * ROW_GROUP_SPAN + chunk * chunk_size)
 
 
-def _visible(spark: SparkSession, store: LoadStore, path: str, schema: T.StructType) -> DataFrame:
-    base, last = visible_loads(spark, store)
+def _visible(
+    spark: SparkSession, store: LoadStore, path: str, schema: T.StructType, state: LoadState | None = None
+) -> DataFrame:
+    base, last = (state or read_state(spark, store)).visible
     table = read_or_empty(spark, path, T.StructType([*schema.fields, _LOAD]))
     return table.filter((F.col("load") > base) & (F.col("load") <= last))
 
 
-def seen_hashes(spark: SparkSession, store: LoadStore) -> DataFrame:
+def seen_hashes(spark: SparkSession, store: LoadStore, state: LoadState | None = None) -> DataFrame:
     """Hashes of all committed records, each once."""
-    return _visible(spark, store, store.seen, SEEN_SCHEMA).select(RECORD_HASH)
+    return _visible(spark, store, store.seen, SEEN_SCHEMA, state).select(RECORD_HASH)
 
 
 def loaded_rows(spark: SparkSession, store: LoadStore, schema: T.StructType) -> DataFrame:
@@ -374,10 +358,9 @@ def load_reports(spark: SparkSession, store: LoadStore) -> DataFrame:
     return _visible(spark, store, store.report, REPORT_SCHEMA)
 
 
-def load_totals(spark: SparkSession, store: LoadStore) -> DataFrame:
-    """Totals over all committed reports."""
+def report_totals(report: DataFrame) -> DataFrame:
     duplicates = F.col("in_chunk") + F.col("hash_dedup") + F.col("already")
-    return load_reports(spark, store).agg(
+    return report.agg(
         F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
         F.coalesce(F.sum("new"), F.lit(0)).alias("total_unique_records"),
         F.coalesce(F.sum(duplicates), F.lit(0)).alias("total_duplicate_records"),
@@ -386,26 +369,24 @@ def load_totals(spark: SparkSession, store: LoadStore) -> DataFrame:
 
 
 def finalize_load(spark: SparkSession, store: LoadStore, task: str = FINAL_TASK) -> dict:
-    """Save the totals of the reports as a state row of their own."""
-    totals = load_totals(spark, store).first()
-    base, last = visible_loads(spark, store)
-    row = {"task": task, **STATE_DEFAULTS, "status": DONE, "base_load": base, "last_load": last}
+    """Save the totals of all committed reports as a state row of their own."""
+    totals = report_totals(load_reports(spark, store)).first()
+    state = read_state(spark, store)
+    row = state.of(task) | {"status": DONE}
     row["total_unique_records"] = totals["total_unique_records"]
     row["total_duplicate_records"] = totals["total_duplicate_records"]
-    save_state(spark, store, [row])
+    save_state(spark, store, state, row)
     return row
 
 
 def reset_load(spark: SparkSession, store: LoadStore) -> None:
     """Empty the store: one state save hides all loads, then their files are overwritten with nothing."""
-    _, last = visible_loads(spark, store)
+    state = read_state(spark, store)
+    _, last = state.visible
     if last == 0:
         return
-    tasks = [r["task"] for r in read_state(spark, store).select("task").collect()]
     empty = {**STATE_DEFAULTS, "status": PENDING, "base_load": last, "last_load": last}
-    save_state(spark, store, [{"task": t, **empty} for t in tasks])
-    for path, schema in ((store.seen, SEEN_SCHEMA), (store.report, REPORT_SCHEMA)):
-        hollow = empty_table(spark, T.StructType([*schema.fields, _LOAD]))
-        hollow.write.mode("overwrite").partitionBy("load").parquet(path)
-    hollow = empty_table(spark, T.StructType([T.StructField("value", T.StringType()), _LOAD]))
-    hollow.write.mode("overwrite").partitionBy("load").parquet(store.target)
+    save_state(spark, store, state, *[{"task": task, **empty} for task in state.rows])
+    hollow = empty_table(spark, T.StructType([*SEEN_SCHEMA.fields, _LOAD]))
+    for path in (store.target, store.seen, store.report):
+        write_table(hollow, path, "overwrite", partition_by=["load"])

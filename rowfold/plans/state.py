@@ -8,11 +8,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Row, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from rowfold.operators.joins import lookup_row, upsert
 from rowfold.sources.files import read_or_empty
 
 PENDING, RUNNING, DONE = "PENDING", "RUNNING", "DONE"
@@ -70,33 +68,43 @@ class LoadStore:
         return f"{self.root}/state"
 
 
-def _version(spark: SparkSession, store: LoadStore) -> int:
-    log = read_or_empty(spark, store.state, _LOG_SCHEMA)
-    return log.agg(F.max("version")).first()[0] or 0
+@dataclass
+class LoadState:
+    """The current state version: one dict per task, as few rows as there are tasks."""
 
+    version: int
+    rows: dict[str, dict]
 
-def read_state(spark: SparkSession, store: LoadStore) -> DataFrame:
-    """Current state rows; empty when nothing was saved yet."""
-    version = _version(spark, store)
-    log = read_or_empty(spark, store.state, _LOG_SCHEMA)
-    current = log.filter((F.col("slot") == version % 2) & (F.col("version") == version))
-    return current.select(*STATE_SCHEMA.fieldNames())
-
-
-def task_state(spark: SparkSession, store: LoadStore, task: str) -> Row:
-    """State of one task, with defaults when it has none."""
-    return lookup_row(read_state(spark, store), "task", task, STATE_DEFAULTS).first()
-
-
-def visible_loads(spark: SparkSession, store: LoadStore) -> tuple[int, int]:
-    """Numbers (base, last): committed data is in loads ``base < n <= last``."""
-    row = read_state(spark, store).agg(F.max("base_load"), F.max("last_load")).first()
-    return row[0] or 0, row[1] or 0
-
-
-def save_state(spark: SparkSession, store: LoadStore, rows: list[dict]) -> None:
-    """Upsert state rows by task and make the result the current version."""
-    version = _version(spark, store) + 1
-    new = spark.createDataFrame([Row(**{n: r.get(n) for n in STATE_SCHEMA.fieldNames()}) for r in rows], STATE_SCHEMA)
-    merged = upsert(read_state(spark, store), new, "task").withColumn("version", F.lit(version).cast("bigint"))
-    merged.coalesce(1).write.mode("overwrite").parquet(f"{store.state}/slot={version % 2}")
+    @property
+    def visible(self) -> tuple[int, int]:
+        """Numbers (base, last): committed data is in loads ``base < n <= last``."""
+        base = max((r["base_load"] for r in self.rows.values()), default=0)
+        return base, max((r["last_load"] for r in self.rows.values()), default=0)
+
+    def of(self, task: str) -> dict:
+        """A copy of one task's row, with defaults when it has none."""
+        base, last = self.visible
+        return dict(self.rows.get(task) or {"task": task, **STATE_DEFAULTS, "base_load": base, "last_load": last})
+
+
+def read_state(spark: SparkSession, store: LoadStore) -> LoadState:
+    log = [r.asDict() for r in read_or_empty(spark, store.state, _LOG_SCHEMA).collect()]
+    version = max((r["version"] for r in log), default=0)
+    names = STATE_SCHEMA.fieldNames()
+    current = [{n: r[n] for n in names} for r in log if r["version"] == version]
+    return LoadState(version, {r["task"]: r for r in current})
+
+
+def save_state(spark: SparkSession, store: LoadStore, state: LoadState, *changed: dict) -> LoadState:
+    """Upsert rows by task and make the result the current version."""
+    saved = LoadState(state.version + 1, {**state.rows, **{r["task"]: dict(r) for r in changed}})
+    rows = [(*[r[n] for n in STATE_SCHEMA.fieldNames()], saved.version) for r in saved.rows.values()]
+    table = spark.createDataFrame(rows, T.StructType(_LOG_SCHEMA.fields[:-1]))
+    table.coalesce(1).write.mode("overwrite").parquet(f"{store.state}/slot={saved.version % 2}")
+    return saved
+
+
+def state_table(spark: SparkSession, store: LoadStore) -> DataFrame:
+    """The current state as a table."""
+    rows = read_state(spark, store).rows.values()
+    return spark.createDataFrame([tuple(r[n] for n in STATE_SCHEMA.fieldNames()) for r in rows], STATE_SCHEMA)
