@@ -1,0 +1,126 @@
+"""Seeded wide records, one per order key."""
+
+from __future__ import annotations
+
+from rowfold.plans.players import (
+    BATTING_STYLES,
+    BOWLING_STYLES,
+    COUNTRIES,
+    NAMES,
+    STRENGTHS,
+    player_records,
+)
+from rowfold.registry import query, table
+from rowfold.registry.columns import rounded_sql
+from rowfold.registry.rows import mix_sql
+
+
+def texts(values: list[str]) -> str:
+    return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
+
+
+def whole(number: int, low: str, high: str) -> str:
+    """A whole number drawn from the closed range."""
+    return f"({low} + {mix_sql('id', number)} % ({high} - {low} + 1))"
+
+
+def one_of(number: int, values: list[str]) -> str:
+    return f"{texts(values)}[{mix_sql('id', number)} % {len(values)} + 1]"
+
+
+def milestone(number: int, low: str, high: str, most: str) -> str:
+    share = (
+        f"CAST(trunc(innings * ({low}::DOUBLE + ({high}::DOUBLE - {low}::DOUBLE)"
+        f" * {mix_sql('id', number)} / 2147483647)) AS BIGINT)"
+    )
+    return f"CASE WHEN bats AND runs > 0 THEN least({share}, {most}) ELSE 0 END"
+
+
+STRENGTH_CASES = " ".join(f"WHEN '{role}' THEN {one_of(38, words)}" for role, words in STRENGTHS.items())
+
+PLAYER_SQL = f"""
+WITH ids AS (SELECT CAST(o_orderkey AS BIGINT) AS id FROM orders),
+a AS (SELECT id, {texts(NAMES)}[id % {len(NAMES)} + 1] AS player_name, {one_of(1, COUNTRIES)} AS country,
+    DATE '1970-01-01' + CAST({mix_sql('id', 2)} % (DATE '2005-12-31' - DATE '1970-01-01' + 1) AS INTEGER) AS born,
+    CASE WHEN {mix_sql('id', 3)} % 100 < 40 THEN 'Batsman' WHEN {mix_sql('id', 3)} % 100 < 70 THEN 'Bowler'
+      WHEN {mix_sql('id', 3)} % 100 < 90 THEN 'All-rounder' ELSE 'Wicketkeeper' END AS role,
+    {one_of(4, BATTING_STYLES)} AS batting_style, {one_of(5, BOWLING_STYLES)} AS bowling_style,
+    {whole(6, '50', '1000')} AS matches FROM ids),
+b AS (SELECT *, role <> 'Bowler' AS bats, role IN ('Bowler', 'All-rounder') AS bowls,
+    strftime(born, '%Y-%m-%d') AS player_date_of_birth, (DATE '2025-03-01' - born) // 365 AS age,
+    {whole(7, 'matches', '(matches * 3 // 2)')} AS innings,
+    CASE WHEN role <> 'Bowler' THEN {whole(8, '50', '500')} ELSE {whole(8, '10', '50')} END AS fours_hit,
+    CASE WHEN role <> 'Bowler' THEN {whole(9, '10', '200')} ELSE {whole(9, '0', '30')} END AS sixes_hit,
+    CASE WHEN role IN ('Bowler', 'All-rounder') THEN {whole(10, '1000', '25000')} ELSE 0 END AS overs_bowled FROM a),
+c AS (SELECT *, CASE WHEN age > 18 THEN {whole(11, '1', 'greatest(1, age - 18)')} ELSE {whole(11, '1', '5')} END
+      AS years_active,
+    greatest(0, least(innings - 1, innings * {whole(12, '2', '30')} // 100)) AS not_outs,
+    innings // {whole(13, '10', '20')} AS ducks, {whole(14, '2', '7')} * (fours_hit * 4 + sixes_hit * 6) AS runs,
+    overs_bowled * 6 AS total_balls_bowled,
+    CASE WHEN NOT bowls THEN 0 WHEN overs_bowled > 10000 THEN {whole(15, '20', '850')}
+      ELSE {whole(15, '1', '249')} END AS bowling_wickets,
+    overs_bowled * {whole(16, '1', '3')} AS total_runs_conceded FROM b),
+d AS (SELECT *, greatest(runs, {whole(17, '(runs * 3 // 4)', '(runs * 2)')}) AS balls_faced,
+    {rounded_sql('runs::DOUBLE / greatest(1, innings - not_outs)')} AS batting_average,
+    {rounded_sql('least((fours_hit * 4 + sixes_hit * 6)::DOUBLE / runs * 100, 100)')} AS boundary_percentage,
+    {milestone(18, '0.3', '0.5', 'runs // 1000 * 8')} AS fifties,
+    {milestone(19, '0.2', '0.3', 'runs // 1000 * 3')} AS hundreds,
+    {milestone(20, '0.0', '0.05', 'runs // 3000 * 2')} AS double_hundreds,
+    CASE WHEN bowling_wickets > 100 THEN {whole(21, '1', '14')} ELSE 0 END AS five_wicket_hauls,
+    CASE WHEN bowling_wickets > 250 THEN {whole(22, '0', '4')} ELSE 0 END AS ten_wicket_hauls,
+    CASE WHEN bowls THEN {rounded_sql('total_runs_conceded::DOUBLE / greatest(1, bowling_wickets)')}
+      ELSE 0 END AS bowling_average,
+    CASE WHEN bowls THEN {rounded_sql('total_runs_conceded::DOUBLE / greatest(1, overs_bowled)')}
+      ELSE 0 END AS bowling_economy_rate,
+    CASE WHEN bowls THEN {rounded_sql('total_balls_bowled::DOUBLE / greatest(1, bowling_wickets)')}
+      ELSE 0 END AS bowling_strike_rate FROM c),
+e AS (SELECT *, {rounded_sql('runs::DOUBLE / greatest(1, balls_faced) * 100')} AS batting_strike_rate,
+    CASE WHEN double_hundreds > 0 THEN {whole(23, '200', 'greatest(200, least(456, runs // 2))')}
+      WHEN hundreds > 0 THEN {whole(23, '100', '199')} WHEN fifties > 0 THEN {whole(23, '50', '99')}
+      WHEN fours_hit > 0 AND sixes_hit > 0 THEN {whole(23, '10', '49')} ELSE {whole(23, '3', '10')} END AS high_score,
+    {whole(24, '0', '100')} AS batting_impact,
+    balls_faced // greatest(1, innings - not_outs) AS balls_per_dismissal,
+    least(bowling_wickets, CASE WHEN ten_wicket_hauls > 0 THEN 7 WHEN five_wicket_hauls > 0 THEN 5
+      ELSE {whole(25, '0', '4')} END) AS best_bowling_wickets,
+    CASE WHEN bowls THEN {whole(26, '0', '120')} ELSE 0 END AS best_bowling_runs,
+    CASE WHEN bowls THEN {whole(27, 'overs_bowled', '(overs_bowled * 3)')} ELSE 0 END AS yorkers_bowled,
+    CASE WHEN bowls THEN {whole(28, '(overs_bowled * 10 // 13)', '(overs_bowled * 10 // 11)')} ELSE 0 END AS maidens,
+    overs_bowled * {whole(29, '1', '3')} AS dot_balls, {whole(30, '0', '500')} AS catches_taken,
+    {whole(31, '0', '150')} AS run_outs, {whole(32, '0', '300')} AS boundary_stops,
+    CASE WHEN role = 'Wicketkeeper' THEN {whole(33, '0', '800')} ELSE 0 END AS wicketkeeping_dismissals,
+    {whole(34, '0', 'least(100, matches)')} AS man_of_the_match_awards,
+    {whole(35, '10', 'least(90, matches)')} AS matches_won_contribution,
+    CASE WHEN {mix_sql('id', 36)} % 100 < 20 THEN {whole(37, '10', '100')} ELSE 0 END AS win_percentage_as_captain,
+    CASE role {STRENGTH_CASES} ELSE 'Unknown' END AS key_strength, {whole(39, '0', '100')} AS impact_category FROM d),
+f AS (SELECT *, catches_taken + run_outs AS fielding_dismissals,
+    CASE WHEN bats THEN CASE WHEN batting_strike_rate BETWEEN 30 AND 60 THEN 'Test'
+        WHEN batting_strike_rate BETWEEN 61 AND 90 THEN 'ODI' WHEN batting_strike_rate >= 90 THEN 'T20'
+        ELSE 'Unknown' END
+      ELSE CASE WHEN bowling_strike_rate BETWEEN 5 AND 15 THEN 'T20' WHEN bowling_strike_rate BETWEEN 16 AND 30
+        THEN 'ODI' WHEN bowling_strike_rate >= 30 THEN 'Test' ELSE 'Unknown' END END AS best_format FROM e)
+SELECT player_name, country, years_active::INTEGER AS years_active, role, player_date_of_birth, age::INTEGER AS age,
+  best_format, batting_style, bowling_style, matches::INTEGER AS matches, innings::INTEGER AS innings,
+  not_outs::INTEGER AS not_outs, runs::INTEGER AS runs, high_score::INTEGER AS high_score, batting_average,
+  batting_strike_rate, ducks::INTEGER AS ducks, fifties::INTEGER AS fifties, hundreds::INTEGER AS hundreds,
+  double_hundreds::INTEGER AS double_hundreds, balls_faced::INTEGER AS balls_faced, sixes_hit::INTEGER AS sixes_hit,
+  fours_hit::INTEGER AS fours_hit, boundary_percentage, batting_impact::INTEGER AS batting_impact,
+  balls_per_dismissal::INTEGER AS balls_per_dismissal, bowling_wickets::INTEGER AS bowling_wickets,
+  maidens::INTEGER AS maidens, bowling_average, bowling_economy_rate, bowling_strike_rate,
+  overs_bowled::INTEGER AS overs_bowled, total_balls_bowled::INTEGER AS total_balls_bowled,
+  five_wicket_hauls::INTEGER AS five_wicket_hauls, ten_wicket_hauls::INTEGER AS ten_wicket_hauls,
+  best_bowling_wickets::INTEGER AS best_bowling_wickets, best_bowling_runs::INTEGER AS best_bowling_runs,
+  yorkers_bowled::INTEGER AS yorkers_bowled, dot_balls::INTEGER AS dot_balls,
+  total_runs_conceded::INTEGER AS total_runs_conceded, catches_taken::INTEGER AS catches_taken,
+  run_outs::INTEGER AS run_outs, wicketkeeping_dismissals::INTEGER AS wicketkeeping_dismissals,
+  fielding_dismissals::INTEGER AS fielding_dismissals, boundary_stops::INTEGER AS boundary_stops,
+  man_of_the_match_awards::INTEGER AS man_of_the_match_awards,
+  matches_won_contribution::INTEGER AS matches_won_contribution,
+  win_percentage_as_captain::INTEGER AS win_percentage_as_captain, key_strength,
+  impact_category::INTEGER AS impact_category
+FROM f
+"""
+
+
+@query("synthetic_table", PLAYER_SQL)
+def order_players(spark, sf_dir):
+    return player_records(table(spark, sf_dir, "orders"), "o_orderkey", as_of="2025-03-01")
