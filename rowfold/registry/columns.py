@@ -131,7 +131,7 @@ def rename_conform(spark, sf_dir):
 
 def rounded_sql(value: str, digits: int = 2) -> str:
     """Half-up rounding of the printed decimal, as Spark rounds doubles."""
-    return f"CAST(round(CAST({value} AS DECIMAL(34, 14)), {digits}) AS DOUBLE)"
+    return f"CAST(round(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38, 18)), {digits}) AS DOUBLE)"
 
 
 @query(
