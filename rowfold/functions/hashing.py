@@ -66,7 +66,10 @@ def record_hash(
     algorithm: str = "sha256",
     as_hex: bool = True,
 ) -> Column:
-    return hash_text(row_text(df, columns), algorithm, as_hex)
+    # A row always has a hash. Declared as such, joins on it need no null filter, which would have to
+    # compute the hash a second time.
+    never = F.lit("") if as_hex else F.lit(bytearray())
+    return F.coalesce(hash_text(row_text(df, columns), algorithm, as_hex), never)
 
 
 def with_record_hash(

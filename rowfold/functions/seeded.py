@@ -25,12 +25,22 @@ def mix(row_id: Column, salt: int) -> Column:
     return ((x * x) % F.lit(MODULUS) + x * F.lit(MIX_STEP)) % F.lit(MODULUS)
 
 
+def draw(start: Column, step: Column, number: int) -> Column:
+    """The ``number``-th draw of a row from two mixed numbers of it: any two draws are independent.
+
+    Much cheaper than mixing once per draw when a row needs dozens.
+    """
+    return (start + step * F.lit(number)) % F.lit(MODULUS)
+
+
 def _bound(value) -> Column:
     return (value if isinstance(value, Column) else F.lit(value)).cast("bigint")
 
 
 def pick_int(draw: Column, low, high) -> Column:
     """Whole number in the closed range; bounds may be columns."""
+    if isinstance(low, int) and isinstance(high, int):
+        return draw % F.lit(high - low + 1) + F.lit(low)
     lo = _bound(low)
     return lo + draw % (_bound(high) - lo + F.lit(1))
 

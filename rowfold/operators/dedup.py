@@ -15,8 +15,6 @@ from rowfold.functions.hashing import RECORD_HASH, record_hash
 from rowfold.operators.joins import not_seen
 from rowfold.operators.positions import chunk_of, index_of, prefix_sum, row_group_of, running_totals
 
-REPORT_COUNTS = ["rows", "in_chunk", "hash_dedup", "already", "new"]
-
 
 def ordered_runs(
     df: DataFrame,
@@ -72,22 +70,29 @@ def chunk_report(groups: DataFrame, new: DataFrame, chunk_size: int) -> DataFram
     ``hash_dedup`` counts different rows with the same hash; rows are only told apart by their hash
     here, so it stays zero.
     """
-    chunks = groups.groupBy("row_group", "chunk").agg(
-        F.sum("copies").alias("rows"), F.count("*").alias("_records")
-    )
-    fresh = new.groupBy(
+    zero = F.lit(0).cast("bigint")
+    counted = groups.select("row_group", "chunk", "copies", F.lit(1).alias("_record"), zero.alias("_new"))
+    fresh = new.select(
         row_group_of(F.col("position")).alias("row_group"),
         chunk_of(F.col("position"), chunk_size).alias("chunk"),
-    ).agg(F.count("*").alias("_new"))
-    found = F.coalesce(F.col("_new"), F.lit(0))
-    return chunks.join(fresh, ["row_group", "chunk"], "left").select(
+        zero.alias("copies"),
+        zero.alias("_record"),
+        F.lit(1).alias("_new"),
+    )
+    # both are counted per chunk in their map tasks and meet in one shuffle of those counts
+    chunks = (
+        counted.unionByName(fresh)
+        .groupBy("row_group", "chunk")
+        .agg(F.sum("copies").alias("rows"), F.sum("_record").alias("_records"), F.sum("_new").alias("new"))
+    )
+    return chunks.select(
         "row_group",
         "chunk",
         "rows",
         (F.col("rows") - F.col("_records")).alias("in_chunk"),
-        F.lit(0).cast("bigint").alias("hash_dedup"),
-        (F.col("_records") - found).alias("already"),
-        found.alias("new"),
+        zero.alias("hash_dedup"),
+        (F.col("_records") - F.col("new")).alias("already"),
+        "new",
     )
 
 

@@ -174,6 +174,17 @@ def accepted_rows(
     return already_seen(distinct_by(hashed, [RECORD_HASH]), plan.accepted.select(RECORD_HASH), RECORD_HASH)
 
 
+def accepted_at(placed: DataFrame, plan: DedupPlan, columns: Sequence[str], whole_batch: bool = True) -> DataFrame:
+    """Accepted rows of a batch whose rows carry their position: no hash is computed again.
+
+    Positions are unique, so the semi-join is even however often a record is repeated.
+    """
+    if plan.all_new and whole_batch:
+        return placed.select(*columns)
+    kept = already_seen(placed.select(*columns, "position"), plan.accepted.select("position"), "position")
+    return kept.drop("position")
+
+
 def _commit(
     spark: SparkSession,
     store: LoadStore,
@@ -296,7 +307,7 @@ def load_files(
     count = found["count"]
     stop = count if max_chunks is None else min(count, start + max_chunks)
     if found["first"] is None:
-        files = files.limit(0)
+        files = files.filter(F.lit(False))
     else:
         files = files.filter(F.col(FILE_PATH).between(found["first"], found["last"]))
 
@@ -309,9 +320,9 @@ def load_files(
     runs = after_cursor(runs, chunk_size, row)
     seen = seen_hashes(spark, store, state)
     plan = plan_dedup(runs, seen, chunk_size, _remaining(cap, row), max_chunks, work_dir)
-    rows = accepted_rows(files, plan, columns, algorithm, whole_batch=row["last_processed_chunk"] == 0)
+    rows = accepted_at(placed, plan, columns, whole_batch=row["last_processed_chunk"] == 0)
     _move_cursor(row, plan, cap, end=stop, whole=stop == count)
-    row = _commit(spark, store, plan, rows.drop(RECORD_HASH), state, row, partition_by)
+    row = _commit(spark, store, plan, rows, state, row, partition_by)
     remove_work_dir(spark, work_dir)
     return row
 

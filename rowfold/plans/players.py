@@ -21,6 +21,7 @@ from rowfold.functions.arithmetic import (
 )
 from rowfold.functions.dates import age_in_years, format_date
 from rowfold.functions.lookup import cyclic_pick, literal_array, lookup
+from rowfold.functions import seeded
 from rowfold.functions.seeded import (
     happens,
     mix,
@@ -182,7 +183,7 @@ def player_records(ids: DataFrame, id_column: str, as_of: str, seed: int = 0, di
     c, lit = F.col, F.lit
 
     def draw(number: int) -> Column:
-        return mix(c("_id"), seed * 1000 + number)
+        return seeded.draw(c("_start"), c("_step"), number)
 
     bats, bowls = c("role").isin(BATTING_ROLES), c("role").isin(BOWLING_ROLES)
     boundary_runs = weighted_sum([(c("fours_hit"), 4), (c("sixes_hit"), 6)])
@@ -291,7 +292,10 @@ def player_records(ids: DataFrame, id_column: str, as_of: str, seed: int = 0, di
             "best_format": best_format(c("role"), c("batting_strike_rate"), c("bowling_strike_rate")),
         },
     ]
-    rows = ids.select(c(id_column).cast("bigint").alias("_id"))
+    row_id = c(id_column).cast("bigint")
+    rows = ids.select(
+        row_id.alias("_id"), mix(row_id, 2 * seed).alias("_start"), mix(row_id, 2 * seed + 1).alias("_step")
+    )
     for layer in layers:
         rows = rows.select("*", *[value.alias(name) for name, value in layer.items()])
     schema = player_schema()

@@ -19,19 +19,23 @@ def texts(values: list[str]) -> str:
     return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
 
 
+def drawn(number: int) -> str:
+    return f"((start + step * {number}) % 2147483647)"
+
+
 def whole(number: int, low: str, high: str) -> str:
     """A whole number drawn from the closed range."""
-    return f"({low} + {mix_sql('id', number)} % ({high} - {low} + 1))"
+    return f"({low} + {drawn(number)} % ({high} - {low} + 1))"
 
 
 def one_of(number: int, values: list[str]) -> str:
-    return f"{texts(values)}[{mix_sql('id', number)} % {len(values)} + 1]"
+    return f"{texts(values)}[{drawn(number)} % {len(values)} + 1]"
 
 
 def milestone(number: int, low: str, high: str, most: str) -> str:
     share = (
         f"CAST(trunc(innings * ({low}::DOUBLE + ({high}::DOUBLE - {low}::DOUBLE)"
-        f" * {mix_sql('id', number)} / 2147483647)) AS BIGINT)"
+        f" * {drawn(number)} / 2147483647)) AS BIGINT)"
     )
     return f"CASE WHEN bats AND runs > 0 THEN least({share}, {most}) ELSE 0 END"
 
@@ -39,11 +43,12 @@ def milestone(number: int, low: str, high: str, most: str) -> str:
 STRENGTH_CASES = " ".join(f"WHEN '{role}' THEN {one_of(38, words)}" for role, words in STRENGTHS.items())
 
 PLAYER_SQL = f"""
-WITH ids AS (SELECT CAST(o_orderkey AS BIGINT) AS id FROM orders),
-a AS (SELECT id, {texts(NAMES)}[id % {len(NAMES)} + 1] AS player_name, {one_of(1, COUNTRIES)} AS country,
-    DATE '1970-01-01' + CAST({mix_sql('id', 2)} % (DATE '2005-12-31' - DATE '1970-01-01' + 1) AS INTEGER) AS born,
-    CASE WHEN {mix_sql('id', 3)} % 100 < 40 THEN 'Batsman' WHEN {mix_sql('id', 3)} % 100 < 70 THEN 'Bowler'
-      WHEN {mix_sql('id', 3)} % 100 < 90 THEN 'All-rounder' ELSE 'Wicketkeeper' END AS role,
+WITH ids AS (SELECT CAST(o_orderkey AS BIGINT) AS id, {mix_sql('o_orderkey', 0)} AS start,
+    {mix_sql('o_orderkey', 1)} AS step FROM orders),
+a AS (SELECT id, start, step, {texts(NAMES)}[id % {len(NAMES)} + 1] AS player_name, {one_of(1, COUNTRIES)} AS country,
+    DATE '1970-01-01' + CAST({drawn(2)} % (DATE '2005-12-31' - DATE '1970-01-01' + 1) AS INTEGER) AS born,
+    CASE WHEN {drawn(3)} % 100 < 40 THEN 'Batsman' WHEN {drawn(3)} % 100 < 70 THEN 'Bowler'
+      WHEN {drawn(3)} % 100 < 90 THEN 'All-rounder' ELSE 'Wicketkeeper' END AS role,
     {one_of(4, BATTING_STYLES)} AS batting_style, {one_of(5, BOWLING_STYLES)} AS bowling_style,
     {whole(6, '50', '1000')} AS matches FROM ids),
 b AS (SELECT *, role <> 'Bowler' AS bats, role IN ('Bowler', 'All-rounder') AS bowls,
@@ -90,7 +95,7 @@ e AS (SELECT *, {rounded_sql('runs::DOUBLE / greatest(1, balls_faced) * 100')} A
     CASE WHEN role = 'Wicketkeeper' THEN {whole(33, '0', '800')} ELSE 0 END AS wicketkeeping_dismissals,
     {whole(34, '0', 'least(100, matches)')} AS man_of_the_match_awards,
     {whole(35, '10', 'least(90, matches)')} AS matches_won_contribution,
-    CASE WHEN {mix_sql('id', 36)} % 100 < 20 THEN {whole(37, '10', '100')} ELSE 0 END AS win_percentage_as_captain,
+    CASE WHEN {drawn(36)} % 100 < 20 THEN {whole(37, '10', '100')} ELSE 0 END AS win_percentage_as_captain,
     CASE role {STRENGTH_CASES} ELSE 'Unknown' END AS key_strength, {whole(39, '0', '100')} AS impact_category FROM d),
 f AS (SELECT *, catches_taken + run_outs AS fielding_dismissals,
     CASE WHEN bats THEN CASE WHEN batting_strike_rate BETWEEN 30 AND 60 THEN 'Test'

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowfold.operators.positions import ROW_GROUP_SPAN
+from rowfold.session import path_exists
 
 FILE_PATH = "_metadata.file_path"
 ROW_INDEX = "_metadata.row_index"
@@ -25,12 +25,9 @@ def read_parquet(spark: SparkSession, *paths: str, schema: T.StructType | None =
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The table at ``path``, or an empty one when nothing was written there yet."""
-    try:
+    if path_exists(spark, path):
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return empty_table(spark, schema)
+    return empty_table(spark, schema)
 
 
 def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
