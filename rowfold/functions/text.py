@@ -21,9 +21,17 @@ def default_if_null(column: Column, default) -> Column:
     return F.coalesce(column, F.lit(default))
 
 
+# Times keep their microseconds.
+JSON_OPTIONS = {
+    "ignoreNullFields": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def json_text(*columns: Column | str) -> Column:
     """A JSON object of the given columns (all when none is named); nulls are written out."""
-    return F.to_json(F.struct(*(columns or ("*",))), {"ignoreNullFields": "false"})
+    return F.to_json(F.struct(*(columns or ("*",))), JSON_OPTIONS)
 
 
 def csv_text(*columns: Column | str, **options: str) -> Column:
