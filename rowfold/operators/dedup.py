@@ -12,9 +12,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowfold.functions.hashing import RECORD_HASH, record_hash
-from rowfold.operators.joins import not_seen
+from rowfold.operators.joins import already_seen, not_seen
 from rowfold.operators.positions import chunk_of, index_of, prefix_sum, row_group_of, running_totals
 
+# Hashes of a batch are broadcast up to this many (some 50 bytes each).
+BROADCAST_HASHES = 500_000
+
 
 def ordered_runs(
     df: DataFrame,
@@ -55,13 +58,23 @@ def chunk_groups(runs: DataFrame, chunk_size: int) -> DataFrame:
     )
 
 
-def new_records(groups: DataFrame, seen: DataFrame) -> DataFrame:
+def new_records(groups: DataFrame, seen: DataFrame, group_count: int | None = None) -> DataFrame:
     """``record_hash, position`` of the first copy of each record that is not stored yet.
 
-    Both sides of the anti-join hold a hash once, so the join cannot be skewed.
+    A batch known to be small (``group_count``) is broadcast against the store, which is then only
+    scanned. Otherwise batch and store meet in one aggregation by hash: one shuffle, no sort, and both
+    sides reach it with each hash once per map task, so no hash can be hot.
     """
-    firsts = groups.groupBy(RECORD_HASH).agg(F.min("position").alias("position"))
-    return not_seen(firsts, seen.select(RECORD_HASH), RECORD_HASH)
+    if group_count is not None and group_count <= BROADCAST_HASHES:
+        firsts = groups.groupBy(RECORD_HASH).agg(F.min("position").alias("position"))
+        # neither side has more rows than the batch has groups
+        known = already_seen(seen.select(RECORD_HASH), F.broadcast(groups.select(RECORD_HASH)), RECORD_HASH)
+        return not_seen(firsts, F.broadcast(known), RECORD_HASH)
+    batch = groups.select(RECORD_HASH, "position", F.lit(False).alias("_stored"))
+    stored = seen.select(RECORD_HASH, F.lit(None).cast("bigint").alias("position"), F.lit(True).alias("_stored"))
+    met = batch.unionByName(stored).groupBy(RECORD_HASH)
+    records = met.agg(F.min("position").alias("position"), F.max("_stored").alias("_stored"))
+    return records.filter(~F.col("_stored") & F.col("position").isNotNull()).drop("_stored")
 
 
 def chunk_report(groups: DataFrame, new: DataFrame, chunk_size: int) -> DataFrame:

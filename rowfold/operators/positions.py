@@ -93,7 +93,8 @@ def running_totals(
     )
     within = Window.partitionBy(group, "_block").orderBy(step).rowsBetween(Window.unboundedPreceding, 0)
     running = blocked.select("*", *[F.sum(c).over(within).alias(f"_run_{c}") for c in columns])
-    return running.join(offsets, [group, "_block"]).select(
+    # a left join adds no null filter, so both sides share the shuffle of the report
+    return running.join(offsets, [group, "_block"], "left").select(
         *report.columns,
         *[(F.col(f"_before_{c}") + F.col(f"_run_{c}")).alias(f"{prefix}{c}") for c in columns],
     )

@@ -12,10 +12,20 @@ from rowfold.functions.seeded import mix
 from rowfold.operators.positions import prefix_sum
 from rowfold.session import cut_lineage
 
+TOP_IN_ONE_TASK = 1_000_000
+
 
 def limit(df: DataFrame, n: int, order: Sequence[str | Column] | None = None) -> DataFrame:
-    """First ``n`` rows; give an order for a result that repeats (planned as a distributed top-n)."""
-    return (df.orderBy(*order) if order else df).limit(n)
+    """First ``n`` rows; give a total order for a result that repeats.
+
+    Up to ``TOP_IN_ONE_TASK`` rows every task sends its own first ``n``; beyond that the rows are
+    numbered in parallel, so that no task has to hold them all.
+    """
+    if order is None:
+        return df.limit(n)
+    if n <= TOP_IN_ONE_TASK:
+        return df.orderBy(*order).limit(n)
+    return prefix_sum(df, order, name="_position").filter(F.col("_position") < n).drop("_position")
 
 
 def slice_rows(df: DataFrame, chunk: int, column: str = "chunk") -> DataFrame:

@@ -109,7 +109,7 @@ def plan_dedup(
 
     columns = REPORT_SCHEMA.fieldNames()
     groups = stage(chunk_groups(runs, chunk_size), work_dir, "groups")
-    new = stage(new_records(groups, seen), work_dir, "new")
+    new = stage(new_records(groups, seen, groups.count()), work_dir, "new")
     progress = stage(with_progress(chunk_report(groups, new, chunk_size)), work_dir, "progress")
 
     reached = F.lit(False)

@@ -75,10 +75,10 @@ def stream_count_and_sample(spark, sf_dir):
     out = new_work_dir(spark, "stream-both")
     schema, messages = _event_messages(spark, sf_dir, ["user_id", "event_type"])
     rows = matching(messages, schema, "event_type", "view")
-    finish(count_and_sample(rows, ["user_id"], ["user_id", "event_type"], out, f"{out}/checkpoint"))
-    users = sampled_rows(spark, out, schema).select("user_id")
-    # one row against the sample
-    return users.withColumn("total_records", F.lit(counted_total(spark, out).first()[0]).cast("bigint"))
+    finish(count_and_sample(rows, ["user_id"], ["user_id", "event_type"], f"{out}/rows", f"{out}/checkpoint"))
+    users = sampled_rows(spark, f"{out}/rows", schema, ["user_id"]).select("user_id")
+    total = counted_total(spark, f"{out}/rows").first()[0]
+    return users.withColumn("total_records", F.lit(total).cast("bigint"))
 
 
 @query("stream_replay", "SELECT * FROM orders")

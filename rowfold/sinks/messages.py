@@ -27,6 +27,7 @@ def kafka_write_options(servers: str, topic: str) -> dict[str, str]:
 
 
 def _counted(messages: DataFrame) -> tuple[DataFrame, Observation]:
+    """Count rows while they are written: in the writing tasks, which Spark counts once each."""
     published = Observation()
     return messages.observe(published, F.count(F.lit(1)).alias("rows")), published
 
@@ -40,8 +41,8 @@ def publish_kafka(df: DataFrame, servers: str, topic: str) -> int:
 
 def publish_files(df: DataFrame, path: str, mode: str = "append", num_files: int | None = None) -> int:
     """Text files of one message per line, which a file stream can follow; returns the row count."""
-    messages, published = _counted(as_messages(df))
     if num_files is not None:
-        messages = messages.repartition(num_files)
+        df = df.repartition(num_files)
+    messages, published = _counted(as_messages(df))
     messages.write.mode(mode).text(path)
     return published.get["rows"]

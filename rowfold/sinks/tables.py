@@ -51,11 +51,14 @@ def write_sorted(
 ) -> None:
     """Sort rows inside each file so that row-group statistics let scans skip.
 
-    ``cluster`` range-partitions by the columns first, which makes skipping work across files too.
+    ``cluster`` range-partitions by the columns first, which makes skipping work across files too. Rows
+    of one value are told apart by the task that read them, so a value that holds a large part of the
+    table is split over several ranges.
     ``bloom_columns`` get Parquet bloom filters, for look-ups by columns the sort does not serve.
     """
     if cluster:
-        df = df.repartitionByRange(*[F.col(quote(c)) for c in columns])
+        tied = df.withColumn("_task", F.spark_partition_id())
+        df = tied.repartitionByRange(*[F.col(quote(c)) for c in columns], "_task").drop("_task")
     writer = df.sortWithinPartitions(*[F.col(quote(c)) for c in columns]).write.mode(mode)
     for column in bloom_columns:
         writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")

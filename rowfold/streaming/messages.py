@@ -12,7 +12,6 @@ from pyspark.sql.streaming import StreamingQuery
 from rowfold.functions.hashing import quote
 from rowfold.operators.distinct import row_count
 from rowfold.operators.filters import equals, equals_ignoring_case, present
-from rowfold.operators.joins import not_seen
 from rowfold.operators.projection import binary_to_text, flatten, parse_json
 from rowfold.plans.load import load_table
 from rowfold.plans.state import LoadStore
@@ -115,37 +114,31 @@ def count_and_sample(
     rows: DataFrame,
     keys: Sequence[str],
     columns: Sequence[str],
-    store_path: str,
+    path: str,
     checkpoint: str,
     continuous: str | None = None,
 ) -> StreamingQuery:
     """Feed a row count and a distinct sample from one pass over the source.
 
-    Every micro-batch adds its count and its unseen keys under its own number, so a batch that is
-    delivered again replaces what it wrote. See :func:`counted_total` and :func:`sampled_rows`.
+    Every micro-batch is counted per key in its map tasks and written under its own number, so a batch
+    that is delivered again replaces what it wrote. :func:`counted_total` adds the counts up and
+    :func:`sampled_rows` keeps one row per key.
     """
+    others = [F.first(c).alias(c) for c in columns if c not in keys]
 
     def feed(batch: DataFrame, batch_id: int) -> None:
-        batch.agg(F.count("*").alias("records")).write.mode("overwrite").parquet(
-            f"{store_path}/count/batch={batch_id}"
-        )
-        fresh = batch.select(*columns).dropDuplicates(list(keys))
-        if batch_id > 0:
-            earlier = sampled_rows(batch.sparkSession, store_path, fresh.schema, before=batch_id)
-            fresh = not_seen(fresh, earlier.select(*keys), list(keys))
-        fresh.write.mode("overwrite").parquet(f"{store_path}/sample/batch={batch_id}")
+        keyed = batch.groupBy(*keys).agg(F.count("*").alias("records"), *others)
+        keyed.select(*columns, "records").write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     return _writer(rows, checkpoint, continuous).foreachBatch(feed).start()
 
 
-def sampled_rows(spark: SparkSession, store_path: str, schema: T.StructType, before: int | None = None) -> DataFrame:
-    fields = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
-    rows = spark.read.schema(fields).parquet(f"{store_path}/sample")
-    return (rows.filter(F.col("batch") < before) if before is not None else rows).drop("batch")
+def sampled_rows(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str]) -> DataFrame:
+    return spark.read.schema(schema).parquet(path).dropDuplicates(list(keys))
 
 
-def counted_total(spark: SparkSession, store_path: str, name: str = "total_records") -> DataFrame:
-    counts = spark.read.schema("records bigint, batch bigint").parquet(f"{store_path}/count")
+def counted_total(spark: SparkSession, path: str, name: str = "total_records") -> DataFrame:
+    counts = spark.read.schema("records bigint").parquet(path)
     return counts.agg(F.coalesce(F.sum("records"), F.lit(0)).alias(name))
 
 

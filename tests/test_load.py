@@ -248,8 +248,13 @@ def test_first_positions_are_narrow_and_combined_in_map_tasks(spark, tmp_path):
     groups = chunk_groups(runs, 5)
     plan = groups._jdf.queryExecution().executedPlan().toString()
     assert "partial_sum(copies" in plan and "partial_min(position" in plan
-    new = new_records(groups, spark.createDataFrame([(bytes([0]),)], "record_hash binary"))
-    assert sorted(r["position"] for r in new.collect()) == [1, 2, 3, 4]
+    seen = spark.createDataFrame([(bytes([0]),), (bytes([9]),)], "record_hash binary")
+    for count in (20, None):
+        new = new_records(groups, seen, count)
+        assert sorted(r["position"] for r in new.collect()) == [1, 2, 3, 4]
+        plan = new._jdf.queryExecution().executedPlan().toString()
+        assert ("BroadcastHashJoin" in plan) == (count is not None)
+        assert "SortMergeJoin" not in plan
 
 
 def test_loads_of_different_tasks_share_numbers(spark, store):

@@ -240,6 +240,9 @@ def test_sets(spark):
         sets.union_all([])
     assert values(sets.limit(df, 3, [F.desc("v")])) == [9, 8, 7]
     assert "TakeOrderedAndProject" in tables.plan_text(sets.limit(df, 3, ["v"]), "simple")
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(sets, "TOP_IN_ONE_TASK", 2)
+        assert sorted(values(sets.limit(df, 3, [F.desc("v")]))) == [7, 8, 9]
     assert sets.repartition(df, 3).rdd.getNumPartitions() == 3
     assert sets.materialise(df).count() == 10
     first = sets.sample_with_replacement(df, 0.5, seed=1).collect()
@@ -313,6 +316,15 @@ def test_sorted_and_bucketed_layouts(spark, tmp_path):
     lines = spark.read.parquet(f"{SF_DIR}/lineitem.parquet").select("l_orderkey", "l_shipdate")
     tables.write_sorted(lines, f"{tmp_path}/s", ["l_shipdate"], bloom_columns=["l_orderkey"])
     assert spark.read.parquet(f"{tmp_path}/s").count() == lines.count()
+    hot = spark.range(0, 8000, 1, 8).select(F.lit(1).alias("k"), "id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tables.write_sorted(hot, f"{tmp_path}/hot", ["k"], cluster=True)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    stored = spark.read.parquet(f"{tmp_path}/hot")
+    shares = stored.groupBy(F.col("_metadata.file_path")).count()
+    assert stored.count() == 8000 and shares.count() > 3
     for name in ("left_lines", "right_lines"):
         tables.write_bucketed(lines, name, f"{tmp_path}/{name}", "l_orderkey", 4)
     joined = joins.already_seen(spark.table("left_lines"), spark.table("right_lines"), "l_orderkey")

@@ -77,7 +77,7 @@ def test_count_and_sample_from_one_pass(spark, events, source, tmp_path):
     out = f"{tmp_path}/both"
     M.finish(M.count_and_sample(rows, ["user_id"], ["user_id", "event_type"], out, f"{tmp_path}/cp"), 120)
     assert M.counted_total(spark, out).first()[0] == events.count()
-    sample = M.sampled_rows(spark, out, T.StructType(SCHEMA.fields[1:]))
+    sample = M.sampled_rows(spark, out, T.StructType(SCHEMA.fields[1:]), ["user_id"])
     assert sample.count() == events.select("user_id").distinct().count()
 
 
