@@ -1,6 +1,6 @@
 """Duplicate accounting of a batch against everything loaded before.
 
-Everything here works on narrow rows (hash, position, copies) that are counted inside the map tasks
+Everything here works on narrow rows (hash, position) that are counted inside the map tasks
 before they are shuffled, so no step ever holds all copies of one record in one place.
 """
 
@@ -13,48 +13,46 @@ from pyspark.sql import functions as F
 
 from rowfold.functions.hashing import RECORD_HASH, record_hash
 from rowfold.operators.joins import already_seen, not_seen
-from rowfold.operators.positions import chunk_of, index_of, prefix_sum, row_group_of, running_totals
+from rowfold.operators.positions import chunk_of, index_of, row_group_of, row_positions, running_totals
+from rowfold.session import new_work_dir, stage
 
 # Hashes of a batch are broadcast up to this many (some 50 bytes each).
 BROADCAST_HASHES = 500_000
 
 
-def ordered_runs(
+def hashed_rows(placed: DataFrame, columns: Sequence[str], algorithm: str = "sha256") -> DataFrame:
+    """``record_hash, position`` of rows that carry their position."""
+    return placed.select(record_hash(placed, columns, algorithm, as_hex=False).alias(RECORD_HASH), "position")
+
+
+def ordered_rows(
     df: DataFrame,
     order: Sequence[str],
-    chunk_size: int,
-    columns: Sequence[str] | None = None,
+    columns: Sequence[str],
     algorithm: str = "sha256",
+    work_dir: str | None = None,
 ) -> DataFrame:
-    """``record_hash, position, copies`` of a table whose arrival order is given by columns.
+    """``record_hash, position`` of a table whose arrival order is given by columns.
 
-    Equal records with equal order values are counted first and then hold a range of positions
-    together; a range that crosses chunk limits is cut at them.
+    Only the order columns and the hash are sorted, never the records. They are written down first,
+    because drawing the ranges takes a pass of its own: the table is read and hashed once. Different
+    records with equal order values are ordered by hash.
     """
-    hashed = df.select(*order, record_hash(df, columns, algorithm, as_hex=False).alias(RECORD_HASH))
-    counted = hashed.groupBy(*order, RECORD_HASH).agg(F.count("*").alias("_n"))
-    placed = prefix_sum(counted, [*order, RECORD_HASH], weight=F.col("_n"), name="_start")
-    size = F.lit(chunk_size).cast("bigint")
-    end = F.col("_start") + F.col("_n")
-    first = F.call_function("div", F.col("_start"), size)
-    last = F.call_function("div", end - F.lit(1), size)
-    cut = placed.select(
-        RECORD_HASH, "_start", end.alias("_end"), F.explode(F.sequence(first, last)).alias("_chunk")
-    )
-    begins = F.greatest(F.col("_start"), F.col("_chunk") * size)
-    ends = F.least(F.col("_end"), (F.col("_chunk") + F.lit(1)) * size)
-    return cut.select(RECORD_HASH, begins.alias("position"), (ends - begins).alias("copies"))
+    work_dir = work_dir or new_work_dir(df.sparkSession, "ordered")
+    narrow = df.select(*order, record_hash(df, columns, algorithm, as_hex=False).alias(RECORD_HASH))
+    narrow = stage(narrow, work_dir, "hashed")
+    return row_positions(narrow, [*order, RECORD_HASH], work_dir=work_dir).select(RECORD_HASH, "position")
 
 
-def chunk_groups(runs: DataFrame, chunk_size: int) -> DataFrame:
+def chunk_groups(rows: DataFrame, chunk_size: int) -> DataFrame:
     """Copies and first position of each record in each chunk."""
     return (
-        runs.groupBy(
+        rows.groupBy(
             RECORD_HASH,
             row_group_of(F.col("position")).alias("row_group"),
             chunk_of(F.col("position"), chunk_size).alias("chunk"),
         )
-        .agg(F.sum("copies").alias("copies"), F.min("position").alias("position"))
+        .agg(F.count("*").alias("copies"), F.min("position").alias("position"))
     )
 
 

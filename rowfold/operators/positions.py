@@ -1,4 +1,4 @@
-"""Row positions and prefix sums without a single-task sort."""
+"""Row positions and running totals without a single-task sort."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowfold.session import cut_lineage
+from rowfold.session import new_work_dir, stage
 
 # A position is ``row_group * ROW_GROUP_SPAN + index of the row in its group``: one bigint that sorts
 # like the pair. Room for 2^40 rows in a group and 2^23 groups.
@@ -26,47 +26,42 @@ def chunk_of(position: Column, chunk_size: int) -> Column:
     return F.call_function("div", index_of(position), F.lit(chunk_size))
 
 
-def prefix_sum(
+def row_positions(
     df: DataFrame,
-    order: Sequence[str],
-    weight: Column | None = None,
+    order: Sequence[str | Column],
     name: str = "position",
     partitions: int | None = None,
+    work_dir: str | None = None,
 ) -> DataFrame:
-    """Add the sum of ``weight`` (1 by default) over all rows that come before in ``order``.
+    """Number the rows 0, 1, 2, ... in the given order.
 
-    The rows are range-partitioned once, the partition each row fell into is fixed on shared storage
-    (range bounds come from a sample, so they must not be drawn again), and the only thing that
-    crosses partitions is one total per range partition. ``order`` must be a total order.
+    The rows are range-partitioned and sorted once and written down with their place in their range
+    (range bounds come from a sample, so they must not be drawn again). All that crosses ranges is one
+    row count for each. Rows that tie are told apart by the task that read them, so that many copies of
+    one row are spread over several ranges.
     """
-    shards = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if weight is None:
-        # sorted inside each range, a row's running number is its sum: no second shuffle is needed
-        ranged = df.repartitionByRange(shards, *order).sortWithinPartitions(*order)
-        running = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-        placed = cut_lineage(ranged.select("*", F.spark_partition_id().alias("_shard"), running.alias("_inside")))
-        totals = placed.groupBy("_shard").agg(F.count("*").alias("_total"))
-    else:
-        ranged = df.withColumn("_weight", weight.cast("bigint")).repartitionByRange(shards, *order)
-        placed = cut_lineage(ranged.withColumn("_shard", F.spark_partition_id()))
-        totals = placed.groupBy("_shard").agg(F.sum("_weight").alias("_total"))
-        within = Window.partitionBy("_shard").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-        inside = F.coalesce(F.sum("_weight").over(within), F.lit(0))
-        placed = placed.withColumn("_inside", inside).drop("_weight")
-
+    spark = df.sparkSession
+    shards = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tied = df.withColumn("_task", F.spark_partition_id())
+    ranged = tied.repartitionByRange(shards, *order, "_task").sortWithinPartitions(*order, "_task").drop("_task")
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    numbered = ranged.select("*", F.spark_partition_id().alias("_shard"), place.alias("_place"))
+    placed = stage(numbered, work_dir or new_work_dir(spark, "positions"), "rows")
+
+    totals = placed.groupBy("_shard").agg(F.count("*").alias("_total"))
     before = Window.orderBy("_shard").rowsBetween(Window.unboundedPreceding, -1)
     # at most ``shards`` rows
     offsets = totals.select("_shard", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_offset"))
     return (
-        placed.join(offsets, "_shard")
-        .withColumn(name, F.col("_offset") + F.col("_inside"))
-        .drop("_shard", "_offset", "_inside")
+        placed.join(F.broadcast(offsets), "_shard")
+        .withColumn(name, F.col("_offset") + F.col("_place"))
+        .drop("_shard", "_offset", "_place")
     )
 
 
 def with_chunk(df: DataFrame, order: Sequence[str], chunk_size: int, name: str = "chunk") -> DataFrame:
     """Number of the fixed-size slice each row falls into, in the given total order."""
-    numbered = prefix_sum(df, order, name="_position")
+    numbered = row_positions(df, order, name="_position")
     return numbered.withColumn(name, F.call_function("div", F.col("_position"), F.lit(chunk_size))).drop("_position")
 
 

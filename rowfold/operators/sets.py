@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowfold.functions.seeded import mix
-from rowfold.operators.positions import prefix_sum
+from rowfold.operators.positions import row_positions
 from rowfold.session import cut_lineage
 
 TOP_IN_ONE_TASK = 1_000_000
@@ -25,7 +25,7 @@ def limit(df: DataFrame, n: int, order: Sequence[str | Column] | None = None) ->
         return df.limit(n)
     if n <= TOP_IN_ONE_TASK:
         return df.orderBy(*order).limit(n)
-    return prefix_sum(df, order, name="_position").filter(F.col("_position") < n).drop("_position")
+    return row_positions(df, order, name="_position").filter(F.col("_position") < n).drop("_position")
 
 
 def slice_rows(df: DataFrame, chunk: int, column: str = "chunk") -> DataFrame:
@@ -49,7 +49,7 @@ def duplicates(df: DataFrame, order: Sequence[str], count: int, salt: int = 1) -
     Draws are counted per position before they meet the rows, so a row that is drawn often costs one
     join row, and each row is repeated where it lies. ``order`` must be a total order of the rows.
     """
-    numbered = prefix_sum(df, order, name="_position")
+    numbered = row_positions(df, order, name="_position")
     size = numbered.count()
     if size == 0 or count == 0:
         return df.limit(0)

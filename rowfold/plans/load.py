@@ -21,9 +21,10 @@ from rowfold.operators.dedup import (
     at_or_before,
     chunk_groups,
     chunk_report,
+    hashed_rows,
     last_position_kept,
     new_records,
-    ordered_runs,
+    ordered_rows,
     with_progress,
 )
 from rowfold.operators.distinct import distinct_by
@@ -39,7 +40,7 @@ from rowfold.plans.state import (
     read_state,
     save_state,
 )
-from rowfold.session import new_work_dir, remove_work_dir
+from rowfold.session import new_work_dir, remove_work_dir, stage
 from rowfold.sinks.tables import write_table
 from rowfold.sources.files import FILE_PATH, empty_table, read_or_empty, row_groups, with_file_position
 
@@ -80,35 +81,27 @@ class DedupPlan:
     stopped_at: tuple[int, int] | None
 
 
-def stage(df: DataFrame, work_dir: str, name: str) -> DataFrame:
-    """Write an intermediate table to the shared folder and read it back."""
-    spark = df.sparkSession
-    path = f"{work_dir}/{name}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def plan_dedup(
-    runs: DataFrame,
+    rows: DataFrame,
     seen: DataFrame,
     chunk_size: int,
     remaining: int | None = None,
     max_chunks: int | None = None,
     work_dir: str | None = None,
 ) -> DedupPlan:
-    """Decide which records of a batch are accepted, from its (hash, position, copies) rows.
+    """Decide which records of a batch are accepted, from its (hash, position) rows.
 
     ``remaining`` is how many records the cap still allows. The chunk that reaches it is the last one
     reported; its records beyond the cap are counted as ``capped`` and are not remembered.
     """
-    spark = runs.sparkSession
+    spark = rows.sparkSession
     work_dir = work_dir or new_work_dir(spark, "plan")
     nothing = empty_table(spark, T.StructType([*SEEN_SCHEMA.fields, T.StructField("position", T.LongType())]))
     if (remaining is not None and remaining <= 0) or max_chunks == 0:
         return DedupPlan(nothing, empty_table(spark, REPORT_SCHEMA), 0, 0, False, None)
 
     columns = REPORT_SCHEMA.fieldNames()
-    groups = stage(chunk_groups(runs, chunk_size), work_dir, "groups")
+    groups = stage(chunk_groups(rows, chunk_size), work_dir, "groups")
     new = stage(new_records(groups, seen, groups.count()), work_dir, "new")
     progress = stage(with_progress(chunk_report(groups, new, chunk_size)), work_dir, "progress")
 
@@ -258,9 +251,9 @@ def load_table(
     if not pending:
         return row
     work_dir = new_work_dir(spark, "load")
-    runs = after_cursor(ordered_runs(batch, order, chunk_size, columns, algorithm), chunk_size, row)
+    hashed = after_cursor(ordered_rows(batch, order, columns, algorithm, work_dir), chunk_size, row)
     seen = seen_hashes(spark, store, state)
-    plan = plan_dedup(runs, seen, chunk_size, _remaining(cap, row), max_chunks, work_dir)
+    plan = plan_dedup(hashed, seen, chunk_size, _remaining(cap, row), max_chunks, work_dir)
     rows = accepted_rows(batch, plan, columns, algorithm, whole_batch=row["last_processed_chunk"] == 0)
     _move_cursor(row, plan, cap, end=1, whole=True)
     row = _commit(spark, store, plan, rows.drop(RECORD_HASH), state, row, partition_by)
@@ -312,14 +305,9 @@ def load_files(
         files = files.filter(F.col(FILE_PATH).between(found["first"], found["last"]))
 
     placed = with_file_position(files, groups, count)
-    runs = placed.select(
-        record_hash(files, columns, algorithm, as_hex=False).alias(RECORD_HASH),
-        "position",
-        F.lit(1).cast("bigint").alias("copies"),
-    )
-    runs = after_cursor(runs, chunk_size, row)
+    hashed = after_cursor(hashed_rows(placed, columns, algorithm), chunk_size, row)
     seen = seen_hashes(spark, store, state)
-    plan = plan_dedup(runs, seen, chunk_size, _remaining(cap, row), max_chunks, work_dir)
+    plan = plan_dedup(hashed, seen, chunk_size, _remaining(cap, row), max_chunks, work_dir)
     rows = accepted_at(placed, plan, columns, whole_batch=row["last_processed_chunk"] == 0)
     _move_cursor(row, plan, cap, end=stop, whole=stop == count)
     row = _commit(spark, store, plan, rows, state, row, partition_by)
@@ -338,12 +326,12 @@ def _move_cursor(row: dict, plan: DedupPlan, cap: int | None, end: int, whole: b
     row["status"] = DONE if full or finished else RUNNING
 
 
-def after_cursor(runs: DataFrame, chunk_size: int, row: dict) -> DataFrame:
+def after_cursor(rows: DataFrame, chunk_size: int, row: dict) -> DataFrame:
     """Rows at or after the saved cursor."""
     group, chunk = row["last_processed_row_group"], row["last_processed_chunk"]
     if (group, chunk) == (0, 0):
-        return runs
-    return runs.filter(F.col("position") >= group * ROW_GROUP_SPAN + chunk * chunk_size)
+        return rows
+    return rows.filter(F.col("position") >= group * ROW_GROUP_SPAN + chunk * chunk_size)
 
 
 def _visible(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rowfold.operators.dedup import ordered_runs
+from rowfold.operators.dedup import ordered_rows
 from rowfold.plans.load import (
     SEEN_SCHEMA,
     finalize_load,
@@ -57,8 +57,8 @@ def _lines(spark, sf_dir):
     FROM report WINDOW w AS (ORDER BY chunk)""",
 )
 def dedup_report(spark, sf_dir):
-    runs = ordered_runs(_lines(spark, sf_dir).select(*ORDER), ORDER, CHUNK, KEYS)
-    return plan_dedup(runs, empty_table(spark, SEEN_SCHEMA), CHUNK).report
+    rows = ordered_rows(_lines(spark, sf_dir).select(*ORDER), ORDER, KEYS)
+    return plan_dedup(rows, empty_table(spark, SEEN_SCHEMA), CHUNK).report
 
 
 @query(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -76,8 +76,19 @@ def remove_work_dir(spark: SparkSession, path: str) -> None:
     files.delete(folder, True)
 
 
-def cut_lineage(df):
-    """Materialise ``df`` on reliable shared storage, so lost executors cannot change or undo it."""
+def stage(df: DataFrame, work_dir: str, name: str) -> DataFrame:
+    """Write an intermediate table to the shared folder and read it back.
+
+    Computed once, it stays as it is when executors are lost, and later steps read only the columns
+    they need.
+    """
+    path = f"{work_dir}/{name}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Checkpoint ``df`` on reliable shared storage."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowfold.operators.dedup import chunk_groups, new_records, ordered_runs
+from rowfold.operators.dedup import chunk_groups, new_records, ordered_rows
 from rowfold.plans import load as load_module
 from rowfold.plans.load import (
     finalize_load,
@@ -224,8 +224,7 @@ def test_one_record_may_fill_a_third_of_the_batch(spark, store):
         F.col("id").alias("seq"),
         F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("n"), F.col("id") % 5000)).alias("name"),
     )
-    runs = ordered_runs(df, ["seq"], 1000, ["name"])
-    groups = chunk_groups(runs, 1000)
+    groups = chunk_groups(ordered_rows(df, ["seq"], ["name"]), 1000)
     per_hash = groups.groupBy("record_hash").agg(F.count("*").alias("groups"), F.sum("copies").alias("copies"))
     hottest = per_hash.orderBy(F.desc("copies")).first()
     assert hottest["copies"] == 10_000 and hottest["groups"] == 30
@@ -235,19 +234,22 @@ def test_one_record_may_fill_a_third_of_the_batch(spark, store):
     assert (totals["rows"], totals["total_unique_records"]) == (30_000, distinct)
 
 
-def test_equal_rows_with_equal_order_values_keep_their_chunks(spark):
-    """One run of copies is cut at chunk limits without being written out row by row."""
-    df = spark.range(1000).select(F.lit(1).alias("seq"), F.lit("same").alias("name"))
-    runs = ordered_runs(df, ["seq"], 300, ["name"])
-    assert sorted(map(tuple, runs.select("position", "copies").collect())) == [(0, 300), (300, 300), (600, 300), (900, 100)]
+def test_copies_with_equal_order_values_are_spread(spark):
+    """Equal rows do not all end in one range, and each gets a place of its own."""
+    df = spark.range(0, 8000, 1, 8).select(F.lit(1).alias("seq"), F.lit("same").alias("name"))
+    rows = ordered_rows(df, ["seq"], ["name"])
+    ends = rows.agg(F.min("position"), F.max("position"), F.countDistinct("position")).first()
+    assert tuple(ends) == (0, 7999, 8000)
+    per_task = rows.groupBy(F.spark_partition_id()).count()
+    files = [f for f in rows.inputFiles()]
+    assert len(files) > 3 and per_task.agg(F.sum("count")).first()[0] == 8000
 
 
 def test_first_positions_are_narrow_and_combined_in_map_tasks(spark, tmp_path):
-    rows = [(bytes([i % 5]), i, 1) for i in range(20)]
-    runs = spark.createDataFrame(rows, "record_hash binary, position long, copies long")
-    groups = chunk_groups(runs, 5)
+    rows = [(bytes([i % 5]), i) for i in range(20)]
+    groups = chunk_groups(spark.createDataFrame(rows, "record_hash binary, position long"), 5)
     plan = groups._jdf.queryExecution().executedPlan().toString()
-    assert "partial_sum(copies" in plan and "partial_min(position" in plan
+    assert "partial_count(1)" in plan and "partial_min(position" in plan
     seen = spark.createDataFrame([(bytes([0]),), (bytes([9]),)], "record_hash binary")
     for count in (20, None):
         new = new_records(groups, seen, count)
