@@ -356,6 +356,19 @@ def test_file_list_beyond_the_broadcast_bound_is_joined_all_the_same(spark, tmp_
     assert small.select("position").distinct().count() == 20
 
 
+def test_a_file_range_reads_only_its_files(spark, tmp_path):
+    spark.range(0, 80, 1, 8).write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    paths = sorted(values(df.select(F.col(files.FILE_PATH).alias("v")).distinct()))
+    part = df.filter(F.col(files.FILE_PATH).between(paths[5], paths[6]))
+    assert part.count() == 20
+    part.collect()
+    scan = part._jdf.queryExecution().executedPlan()
+    while scan.children().size():
+        scan = scan.children().apply(0)
+    assert scan.metrics().apply("numFiles").value() == 2
+
+
 def test_connector_options():
     ranged = jdbc.read_options("jdbc:x", "t", "id", 0, 100, 8)
     assert ranged["fetchsize"] == "50000" and ranged["numPartitions"] == "8"
