@@ -34,12 +34,17 @@ def quote(name: str) -> str:
 
 
 def row_text(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
-    """The whole row as one unambiguous text: ``<bytes>:<value>`` per field, ``~`` for null."""
+    """The whole row as one unambiguous text: ``<bytes>:<name>=<bytes>:<value>`` per field, ``~`` for a null value.
+
+    Fields are in the order of their names, so the text does not depend on the order of columns, and rows of tables with
+    other columns have other texts.
+    """
     types = {f.name: f.dataType for f in df.schema.fields}
     parts = []
-    for name in columns or df.columns:
+    for name in sorted(columns or df.columns):
         text = field_text(name, types[name])
-        parts.append(F.coalesce(F.concat(F.octet_length(text).cast("string"), F.lit(":"), text), F.lit("~")))
+        value = F.coalesce(F.concat(F.octet_length(text).cast("string"), F.lit(":"), text), F.lit("~"))
+        parts += [F.lit(f"{len(name.encode())}:{name}="), value]
     return F.concat(*parts)
 
 

@@ -6,8 +6,6 @@ another SQL engine can reproduce them.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,59 +23,9 @@ def mix(row_id: Column, salt: int) -> Column:
     return ((x * x) % F.lit(MODULUS) + x * F.lit(MIX_STEP)) % F.lit(MODULUS)
 
 
-def draw(start: Column, step: Column, number: int) -> Column:
-    """The ``number``-th draw of a row from two mixed numbers of it: any two draws are independent.
-
-    Much cheaper than mixing once per draw when a row needs dozens.
-    """
-    return (start + step * F.lit(number)) % F.lit(MODULUS)
-
-
-def _bound(value) -> Column:
-    return (value if isinstance(value, Column) else F.lit(value)).cast("bigint")
-
-
-def pick_int(draw: Column, low, high) -> Column:
-    """Whole number in the closed range; bounds may be columns."""
-    if isinstance(low, int) and isinstance(high, int):
-        return draw % F.lit(high - low + 1) + F.lit(low)
-    lo = _bound(low)
-    return lo + draw % (_bound(high) - lo + F.lit(1))
-
-
-def pick_real(draw: Column, low: float, high: float) -> Column:
-    return F.lit(float(low)) + F.lit(float(high) - float(low)) * draw / F.lit(MODULUS)
-
-
-def pick_from(draw: Column, values: Column) -> Column:
-    return F.element_at(values, (draw % F.size(values) + 1).cast("int"))
-
-
-def pick_weighted(draw: Column, choices: Sequence[tuple[str, int]]) -> Column:
-    """Label drawn with whole percentages that add up to 100."""
-    if sum(weight for _, weight in choices) != 100:
-        raise ValueError("weights must add up to 100")
-    share = draw % F.lit(100)
-    below, result = 0, None
-    for label, weight in choices[:-1]:
-        below += weight
-        inside = share < F.lit(below)
-        result = F.when(inside, F.lit(label)) if result is None else result.when(inside, F.lit(label))
-    last = F.lit(choices[-1][0])
-    return last if result is None else result.otherwise(last)
-
-
-def happens(draw: Column, percent: int) -> Column:
-    return draw % F.lit(100) < F.lit(percent)
-
-
-def pick_date(draw: Column, first: str, last: str) -> Column:
-    """A day of the closed range."""
-    start, end = F.lit(first).cast("date"), F.lit(last).cast("date")
-    return F.date_add(start, (draw % (F.datediff(end, start) + F.lit(1))).cast("int"))
-
-
-def pick_years(draw: Column, age: Column, start_age: int = 18, young_max: int = 5) -> Column:
-    """Years since ``start_age``, at least one; the young get one to ``young_max``."""
-    grown = pick_int(draw, 1, F.greatest(F.lit(1), age - F.lit(start_age)))
-    return F.when(age > F.lit(start_age), grown).otherwise(pick_int(draw, 1, young_max))
+def wide_mix(row_id: Column, salt: int) -> Column:
+    """A number in [0, MODULUS^2), for draws from more than MODULUS places or of more than MODULUS ids."""
+    # what of the id the first number cannot tell apart goes into the second, and from there into both
+    turns = F.call_function("div", row_id.cast("bigint"), F.lit(MODULUS))
+    second = mix(turns + mix(row_id, salt), salt + 1)
+    return mix(second + turns, salt) * F.lit(MODULUS) + second

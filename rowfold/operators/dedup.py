@@ -8,21 +8,26 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowfold.functions.hashing import RECORD_HASH, record_hash
+from rowfold.functions.hashing import RECORD_HASH, record_hash, row_text
 from rowfold.operators.joins import already_seen, not_seen
 from rowfold.operators.positions import chunk_of, index_of, row_group_of, row_positions, running_totals
 from rowfold.session import new_work_dir, stage
 
-# Hashes of a batch are broadcast up to this many (some 50 bytes each).
-BROADCAST_HASHES = 500_000
+# A second, independent hash of the row: two different rows with one record hash differ in it.
+CHECK = "check_hash"
 
 
 def hashed_rows(placed: DataFrame, columns: Sequence[str], algorithm: str = "sha256") -> DataFrame:
-    """``record_hash, position`` of rows that carry their position."""
-    return placed.select(record_hash(placed, columns, algorithm, as_hex=False).alias(RECORD_HASH), "position")
+    """``record_hash, check_hash, position`` of rows that carry their position."""
+    return placed.select(*_hashes(placed, columns, algorithm), "position")
+
+
+def _hashes(df: DataFrame, columns: Sequence[str], algorithm: str) -> list[Column]:
+    digest = record_hash(df, columns, algorithm, as_hex=False).alias(RECORD_HASH)
+    return [digest, F.hash(row_text(df, columns)).alias(CHECK)]
 
 
 def ordered_rows(
@@ -32,61 +37,59 @@ def ordered_rows(
     algorithm: str = "sha256",
     work_dir: str | None = None,
 ) -> DataFrame:
-    """``record_hash, position`` of a table whose arrival order is given by columns.
+    """``record_hash, check_hash, position`` of a table whose arrival order is given by columns.
 
     Only the order columns and the hash are sorted, never the records. They are written down first,
     because drawing the ranges takes a pass of its own: the table is read and hashed once. Different
     records with equal order values are ordered by hash.
     """
     work_dir = work_dir or new_work_dir(df.sparkSession, "ordered")
-    narrow = df.select(*order, record_hash(df, columns, algorithm, as_hex=False).alias(RECORD_HASH))
-    narrow = stage(narrow, work_dir, "hashed")
-    return row_positions(narrow, [*order, RECORD_HASH], work_dir=work_dir).select(RECORD_HASH, "position")
+    narrow = stage(df.select(*order, *_hashes(df, columns, algorithm)), work_dir, "hashed")
+    return row_positions(narrow, [*order, RECORD_HASH], work_dir=work_dir).select(RECORD_HASH, CHECK, "position")
 
 
 def chunk_groups(rows: DataFrame, chunk_size: int) -> DataFrame:
-    """Copies and first position of each record in each chunk."""
+    """Copies and first position of each record hash in each chunk, and whether different rows share it."""
     return (
         rows.groupBy(
             RECORD_HASH,
             row_group_of(F.col("position")).alias("row_group"),
             chunk_of(F.col("position"), chunk_size).alias("chunk"),
         )
-        .agg(F.count("*").alias("copies"), F.min("position").alias("position"))
+        .agg(
+            F.count("*").alias("copies"),
+            F.min("position").alias("position"),
+            (F.min(CHECK) != F.max(CHECK)).cast("bigint").alias("shared"),
+        )
     )
 
 
-def new_records(groups: DataFrame, seen: DataFrame, group_count: int | None = None) -> DataFrame:
+def new_records(groups: DataFrame, seen: DataFrame, buckets: int | None = None) -> DataFrame:
     """``record_hash, position`` of the first copy of each record that is not stored yet.
 
-    A batch known to be small (``group_count``) is broadcast against the store, which is then only
-    scanned. Otherwise batch and store meet in one aggregation by hash: one shuffle, no sort, and both
-    sides reach it with each hash once per map task, so no hash can be hot.
+    The batch, one row per hash by then, is shuffled into the buckets of the stored hashes, which are only scanned: the
+    ones that the batch has are looked up in it, and then taken from it. Without ``buckets`` the stored side is shuffled too.
     """
-    if group_count is not None and group_count <= BROADCAST_HASHES:
-        firsts = groups.groupBy(RECORD_HASH).agg(F.min("position").alias("position"))
-        # neither side has more rows than the batch has groups
-        known = already_seen(seen.select(RECORD_HASH), F.broadcast(groups.select(RECORD_HASH)), RECORD_HASH)
-        return not_seen(firsts, F.broadcast(known), RECORD_HASH)
-    batch = groups.select(RECORD_HASH, "position", F.lit(False).alias("_stored"))
-    stored = seen.select(RECORD_HASH, F.lit(None).cast("bigint").alias("position"), F.lit(True).alias("_stored"))
-    met = batch.unionByName(stored).groupBy(RECORD_HASH)
-    records = met.agg(F.min("position").alias("position"), F.max("_stored").alias("_stored"))
-    return records.filter(~F.col("_stored") & F.col("position").isNotNull()).drop("_stored")
+    firsts = groups.groupBy(RECORD_HASH).agg(F.min("position").alias("position"))
+    if buckets is not None:
+        firsts = firsts.repartition(buckets, RECORD_HASH)
+    # the batch is the side that is held in memory, bucket by bucket
+    known = already_seen(seen.select(RECORD_HASH), firsts.select(RECORD_HASH).hint("shuffle_hash"), RECORD_HASH)
+    return not_seen(firsts, known.hint("shuffle_hash"), RECORD_HASH)
 
 
 def chunk_report(groups: DataFrame, new: DataFrame, chunk_size: int) -> DataFrame:
-    """Per chunk: rows, duplicates inside it, records stored before, new records.
+    """Per chunk: rows, duplicates inside it, different rows with one hash, records stored before, new records.
 
-    ``hash_dedup`` counts different rows with the same hash; rows are only told apart by their hash
-    here, so it stays zero.
+    ``hash_dedup`` counts a hash of several different rows once in each chunk: one row more is lost to it.
     """
     zero = F.lit(0).cast("bigint")
-    counted = groups.select("row_group", "chunk", "copies", F.lit(1).alias("_record"), zero.alias("_new"))
+    counted = groups.select("row_group", "chunk", "copies", "shared", F.lit(1).alias("_record"), zero.alias("_new"))
     fresh = new.select(
         row_group_of(F.col("position")).alias("row_group"),
         chunk_of(F.col("position"), chunk_size).alias("chunk"),
         zero.alias("copies"),
+        zero.alias("shared"),
         zero.alias("_record"),
         F.lit(1).alias("_new"),
     )
@@ -94,14 +97,19 @@ def chunk_report(groups: DataFrame, new: DataFrame, chunk_size: int) -> DataFram
     chunks = (
         counted.unionByName(fresh)
         .groupBy("row_group", "chunk")
-        .agg(F.sum("copies").alias("rows"), F.sum("_record").alias("_records"), F.sum("_new").alias("new"))
+        .agg(
+            F.sum("copies").alias("rows"),
+            F.sum("shared").alias("hash_dedup"),
+            F.sum("_record").alias("_records"),
+            F.sum("_new").alias("new"),
+        )
     )
     return chunks.select(
         "row_group",
         "chunk",
         "rows",
-        (F.col("rows") - F.col("_records")).alias("in_chunk"),
-        zero.alias("hash_dedup"),
+        (F.col("rows") - F.col("_records") - F.col("hash_dedup")).alias("in_chunk"),
+        "hash_dedup",
         (F.col("_records") - F.col("new")).alias("already"),
         "new",
     )

@@ -1,7 +1,8 @@
 """Membership, upsert and dimension look-up.
 
-No side is ever broadcast by hint: Spark broadcasts a side only while its measured size is under
-``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles, splitting skewed partitions.
+No side is broadcast by hint here: Spark broadcasts a side only while its measured size is under
+``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles. A hot key of a shuffled side is split by Spark's adaptive
+handling of skewed joins alone.
 """
 
 from __future__ import annotations
@@ -11,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rowfold.functions.hashing import quote
+
 
 def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
@@ -32,19 +35,22 @@ def upsert(old: DataFrame, new: DataFrame, key: str | Sequence[str]) -> DataFram
 
 
 def lookup_row(table: DataFrame, key: str, value, default: dict) -> DataFrame:
-    """The row stored under a key, or one row of defaults when there is none."""
-    spark = table.sparkSession
-    wanted = spark.range(1).select(F.lit(value).alias(key))
-    found = table.withColumn("_found", F.lit(True))
-    row = wanted.join(found, key, "left")
+    """The row stored under a key, or one row of defaults when there is none; a key stored twice is an error.
+
+    An aggregate without groups gives one row whatever it finds, so no join is planned.
+    """
+    row = F.struct(*[F.col(quote(c)) for c in table.columns])
+    found = table.filter(F.col(quote(key)) == F.lit(value)).agg(F.first(row).alias("_row"), F.count("*").alias("_n"))
+    found = found.withColumn("_row", F.when(F.col("_n") > 1, F.raise_error(F.lit(f"{key} is stored twice"))).otherwise(F.col("_row")))
     columns = []
     for field in table.schema.fields:
-        stored = F.col(field.name)
+        stored = F.col("_row")[field.name]
+        missing = value if field.name == key else default.get(field.name)
         if field.name in default:
-            fallback = F.lit(default[field.name]).cast(field.dataType)
-            stored = F.when(F.col("_found").isNull(), fallback).otherwise(stored)
-        columns.append(stored.alias(field.name))
-    return row.select(*columns)
+            missing = default[field.name]
+        fallback = F.lit(missing).cast(field.dataType)
+        columns.append(F.when(F.col("_n") == 0, fallback).otherwise(stored).alias(field.name))
+    return found.select(*columns)
 
 
 def lookup_dimension(facts: DataFrame, dimension: DataFrame, key: str, how: str = "inner") -> DataFrame:

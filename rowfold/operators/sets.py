@@ -8,23 +8,21 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowfold.functions.seeded import mix
+from rowfold.functions.seeded import wide_mix
 from rowfold.operators.positions import row_positions
 from rowfold.session import cut_lineage
 
-TOP_IN_ONE_TASK = 1_000_000
-
 
 def limit(df: DataFrame, n: int, order: Sequence[str | Column] | None = None) -> DataFrame:
-    """First ``n`` rows; give a total order for a result that repeats.
+    """First ``n`` rows, in order; give a total order for a result that repeats.
 
-    Up to ``TOP_IN_ONE_TASK`` rows every task sends its own first ``n``; beyond that the rows are
-    numbered in parallel, so that no task has to hold them all.
+    Every task sends its own first ``n`` to one, so this is for reports; :func:`first_rows` is for many.
     """
-    if order is None:
-        return df.limit(n)
-    if n <= TOP_IN_ONE_TASK:
-        return df.orderBy(*order).limit(n)
+    return df.limit(n) if order is None else df.orderBy(*order).limit(n)
+
+
+def first_rows(df: DataFrame, n: int, order: Sequence[str | Column]) -> DataFrame:
+    """The first ``n`` rows as a set, for any ``n``: rows are numbered in parallel and none is sent to one task."""
     return row_positions(df, order, name="_position").filter(F.col("_position") < n).drop("_position")
 
 
@@ -55,7 +53,7 @@ def duplicates(df: DataFrame, order: Sequence[str], count: int, salt: int = 1) -
         return df.limit(0)
     draws = (
         df.sparkSession.range(count)
-        .select((mix(F.col("id"), salt) % F.lit(size)).alias("_position"))
+        .select((wide_mix(F.col("id"), salt) % F.lit(size)).alias("_position"))
         .groupBy("_position")
         .agg(F.count("*").alias("_copies"))
     )
@@ -71,10 +69,6 @@ def inject_duplicates(df: DataFrame, order: Sequence[str], count: int, salt: int
     return df.unionByName(duplicates(df, order, count, salt))
 
 
-def repartition(df: DataFrame, partitions: int | None = None, *columns: str) -> DataFrame:
-    return df.repartition(partitions, *columns) if partitions else df.repartition(*columns)
-
-
 def materialise(df: DataFrame) -> DataFrame:
     """Compute once and cut the lineage, on reliable shared storage."""
     return cut_lineage(df)

@@ -2,13 +2,17 @@
 
 One load reads its batch twice. The first pass reduces it to (hash, chunk) counts, from which the
 report, the cap and the accepted hashes follow; the second moves each accepted record once. A load
-writes under its own number and saves the state last. A load that dies before that leaves nothing
-visible, and the next one takes the same number and overwrites what is there.
+writes under its own number, which it claims first, and saves the state last. A load that dies before
+that leaves nothing visible; its claim is lifted with :func:`lift_claim`, and the next load overwrites
+what is there.
+
+Stored hashes are kept in a table bucketed by hash, and only the batch is shuffled to meet them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -37,16 +41,21 @@ from rowfold.plans.state import (
     STATE_DEFAULTS,
     LoadState,
     LoadStore,
+    claim,
+    drop_claim,
     read_state,
     save_state,
 )
-from rowfold.session import new_work_dir, remove_work_dir, stage
-from rowfold.sinks.tables import write_table
-from rowfold.sources.files import FILE_PATH, empty_table, read_or_empty, row_groups, with_file_position
+from rowfold.session import new_work_dir, path_exists, remove_work_dir, stage
+from rowfold.sinks.tables import bucketed_table, write_table
+from rowfold.sources.files import empty_table, read_or_empty, row_groups, with_file_position
 
 CHUNK_ROWS = 250_000
-TASK = "process_all_row_groups"
-FINAL_TASK = "finalize_load"
+# Names of the state rows that a caller need not choose.
+TASK = "load"
+FINAL_TASK = "totals"
+# Files of one step of a file load: a step is committed as a whole, and its file list is broadcast.
+STEP_FILES = 4_096
 
 SEEN_SCHEMA = T.StructType([T.StructField(RECORD_HASH, T.BinaryType())])
 REPORT_SCHEMA = T.StructType(
@@ -88,6 +97,7 @@ def plan_dedup(
     remaining: int | None = None,
     max_chunks: int | None = None,
     work_dir: str | None = None,
+    buckets: int | None = None,
 ) -> DedupPlan:
     """Decide which records of a batch are accepted, from its (hash, position) rows.
 
@@ -102,7 +112,7 @@ def plan_dedup(
 
     columns = REPORT_SCHEMA.fieldNames()
     groups = stage(chunk_groups(rows, chunk_size), work_dir, "groups")
-    new = stage(new_records(groups, seen, groups.count()), work_dir, "new")
+    new = stage(new_records(groups, seen, buckets), work_dir, "new")
     progress = stage(with_progress(chunk_report(groups, new, chunk_size)), work_dir, "progress")
 
     reached = F.lit(False)
@@ -178,6 +188,49 @@ def accepted_at(placed: DataFrame, plan: DedupPlan, columns: Sequence[str], whol
     return kept.drop("position")
 
 
+# --- stored hashes
+
+
+def _seen_table(spark: SparkSession, store: LoadStore, state: LoadState) -> str:
+    """The catalogue name of the store's bucketed hashes; registered in each session that uses them."""
+    path = store.seen(state.generation)
+    name = f"seen_{hashlib.md5(path.encode()).hexdigest()}"
+    schema = T.StructType([*SEEN_SCHEMA.fields, T.StructField("attempt", T.StringType())])
+    return bucketed_table(spark, name, path, schema, RECORD_HASH, store.buckets)
+
+
+def seen_hashes(spark: SparkSession, store: LoadStore, state: LoadState | None = None) -> DataFrame:
+    """Hashes of all committed records, each once; those of lost attempts are not among the committed ones."""
+    state = state or read_state(spark, store)
+    table = spark.table(_seen_table(spark, store, state))
+    # one entry for each load since the hashes were compacted
+    return table.filter(F.col("attempt").isin(state.attempts)).select(RECORD_HASH)
+
+
+def compact_seen(spark: SparkSession, store: LoadStore) -> None:
+    """Write all committed hashes anew as one file for each bucket; the old files stay until they are removed.
+
+    Claims a load number like any other writer, so that no load runs meanwhile.
+    """
+    state = read_state(spark, store)
+    if not state.rows:
+        return
+    number = state.visible[1] + 1
+    attempt = claim(spark, store, number)
+    after = LoadState(state.version, state.rows, state.generation + 1, [attempt])
+    hashes = seen_hashes(spark, store, state).withColumn("attempt", F.lit(attempt))
+    hashes.repartition(store.buckets, RECORD_HASH).write.insertInto(_seen_table(spark, store, after))
+    save_state(spark, store, after, *[row | {"last_load": number} for row in state.rows.values()])
+
+
+# --- contract, claims and commits
+
+
+def _contract(store: LoadStore, columns: Sequence[str], algorithm: str) -> str:
+    """What a store's hashes are made of, and how they are kept."""
+    return f"{algorithm}({', '.join(sorted(columns))}) in {store.buckets} buckets"
+
+
 def _commit(
     spark: SparkSession,
     store: LoadStore,
@@ -186,46 +239,79 @@ def _commit(
     state: LoadState,
     row: dict,
     partition_by: Sequence[str],
-) -> dict:
-    """Write rows, hashes and report of one load, then the state that makes them visible."""
+) -> tuple[LoadState, dict]:
+    """Claim a number, write rows, hashes and report under it, then the state that makes them visible."""
     number = state.visible[1] + 1
+    attempt = claim(spark, store, number)
     if partition_by:
         rows = rows.hint("rebalance", *partition_by)
-    writes = [
-        (rows, store.target, partition_by),
-        (plan.accepted.select(RECORD_HASH), store.seen, ()),
-        (plan.report, store.report, ()),
+    hashes = plan.accepted.select(RECORD_HASH, F.lit(attempt).alias("attempt")).repartition(store.buckets, RECORD_HASH)
+    seen = _seen_table(spark, store, state)
+    writes: list[Callable[[], None]] = [
+        lambda: write_table(rows, f"{store.target}/load={number}", "overwrite", partition_by=partition_by),
+        lambda: hashes.write.insertInto(seen),
+        lambda: write_table(plan.report, f"{store.report}/load={number}", "overwrite"),
     ]
     with ThreadPoolExecutor(len(writes)) as pool:
         # three independent Spark jobs; list() raises what any of them raised
-        list(pool.map(lambda w: write_table(w[0], f"{w[1]}/load={number}", "overwrite", partition_by=w[2]), writes))
-    row["total_unique_records"] += plan.unique
-    row["total_duplicate_records"] += plan.duplicates
-    row["last_load"] = number
-    save_state(spark, store, state, row)
-    return row
+        list(pool.map(lambda write: write(), writes))
+    row = row | {
+        "total_unique_records": row["total_unique_records"] + plan.unique,
+        "total_duplicate_records": row["total_duplicate_records"] + plan.duplicates,
+        "last_load": number,
+    }
+    attempts = [*state.attempts, attempt]
+    return save_state(spark, store, LoadState(state.version, state.rows, state.generation, attempts), row), row
+
+
+def lift_claim(spark: SparkSession, store: LoadStore) -> bool:
+    """Free the number claimed by a load that died; never call it while a load runs. False if none is claimed."""
+    return drop_claim(spark, store, read_state(spark, store).visible[1] + 1)
 
 
-def _begin(spark: SparkSession, store: LoadStore, task: str, batch_id: str, fresh: bool) -> tuple[LoadState, dict, bool]:
+def _begin(
+    spark: SparkSession,
+    store: LoadStore,
+    task: str,
+    batch_id: str,
+    contract: str,
+    fresh: bool,
+    grows: bool = False,
+    sequence: int | None = None,
+) -> tuple[LoadState, dict, bool]:
     """State, row to start from, and whether there is anything to do.
 
-    The row holds the cursor of an unfinished batch or the start of a new one. A batch that was the
-    last to be loaded whole is done, so a redelivered one is skipped.
+    The row holds the cursor of an unfinished batch or the start of a new one. A batch that is done is skipped, but
+    for one that ``grows``, which goes on behind its cursor. Batches with a ``sequence`` number are done up to the last
+    one. A new batch is refused while another of the same task is unfinished, and so are hashes of another make.
     """
     if fresh:
         reset_load(spark, store)
     state = read_state(spark, store)
     row = state.of(task)
+    known = state.contract
+    if known is not None and known != contract:
+        raise ValueError(f"the store holds hashes of {known}, not of {contract}")
+    row["contract"] = contract
     if row["batch_id"] == batch_id:
-        return state, row, row["status"] != DONE
-    row |= {"batch_id": batch_id, "last_processed_row_group": 0, "last_processed_chunk": 0, "status": RUNNING}
-    return state, row, True
+        pending = row["status"] != DONE or grows
+        return state, row | ({"status": RUNNING} if pending else {}), pending
+    if sequence is not None and row["batch_id"] is not None and sequence <= int(row["batch_id"]):
+        return state, row, False
+    if row["status"] == RUNNING:
+        raise ValueError(f"batch {row['batch_id']!r} of task {task!r} is unfinished; finish it before {batch_id!r}")
+    start = {"batch_id": batch_id, "last_processed_row_group": 0, "last_processed_chunk": 0, "last_file": None}
+    return state, row | start | {"status": RUNNING}, True
 
 
 def _remaining(cap: int | None, row: dict) -> int | None:
     return None if cap is None else cap - row["total_unique_records"]
 
 
+def _full(cap: int | None, row: dict) -> bool:
+    return cap is not None and row["total_unique_records"] >= cap
+
+
 def load_table(
     batch: DataFrame,
     order: Sequence[str],
@@ -239,24 +325,38 @@ def load_table(
     fresh: bool = False,
     algorithm: str = "sha256",
     partition_by: Sequence[str] = (),
+    sequence: int | None = None,
 ) -> dict:
     """Load any table whose arrival order is given by columns; returns the task's state row.
 
-    ``columns`` make up the record (all by default); ``order`` may use others. ``max_chunks`` commits
-    after that many chunks; calling again with the same ``batch_id`` resumes from there.
+    ``columns`` make up the record (all by default); ``order`` may use others. ``max_chunks`` commits after
+    that many chunks; calling again with the same ``batch_id`` resumes from there, on the numbered hashes that
+    the store keeps until the batch is done. A cap that is reached already reads nothing.
     """
     spark = batch.sparkSession
     columns = list(columns or batch.columns)
-    state, row, pending = _begin(spark, store, task, batch_id, fresh)
+    state, row, pending = _begin(spark, store, task, batch_id, _contract(store, columns, algorithm), fresh, sequence=sequence)
     if not pending:
         return row
+    if _full(cap, row):
+        row["status"] = DONE
+        save_state(spark, store, state, row)
+        return row
     work_dir = new_work_dir(spark, "load")
-    hashed = after_cursor(ordered_rows(batch, order, columns, algorithm, work_dir), chunk_size, row)
-    seen = seen_hashes(spark, store, state)
-    plan = plan_dedup(hashed, seen, chunk_size, _remaining(cap, row), max_chunks, work_dir)
-    rows = accepted_rows(batch, plan, columns, algorithm, whole_batch=row["last_processed_chunk"] == 0)
+    numbered = store.numbered(task, batch_id)
+    if max_chunks is None and not path_exists(spark, f"{numbered}/rows/_SUCCESS"):
+        rows = ordered_rows(batch, order, columns, algorithm, work_dir)
+    else:
+        if not path_exists(spark, f"{numbered}/rows/_SUCCESS"):
+            write_table(ordered_rows(batch, order, columns, algorithm, work_dir), f"{numbered}/rows", "overwrite")
+        rows = spark.read.parquet(f"{numbered}/rows")
+    hashed = after_cursor(rows, chunk_size, row)
+    plan = plan_dedup(hashed, seen_hashes(spark, store, state), chunk_size, _remaining(cap, row), max_chunks, work_dir, store.buckets)
+    found = accepted_rows(batch, plan, columns, algorithm, whole_batch=row["last_processed_chunk"] == 0)
     _move_cursor(row, plan, cap, end=1, whole=True)
-    row = _commit(spark, store, plan, rows.drop(RECORD_HASH), state, row, partition_by)
+    _, row = _commit(spark, store, plan, found.drop(RECORD_HASH), state, row, partition_by)
+    if row["status"] == DONE and path_exists(spark, numbered):
+        remove_work_dir(spark, numbered)
     remove_work_dir(spark, work_dir)
     return row
 
@@ -274,45 +374,73 @@ def load_files(
     fresh: bool = False,
     algorithm: str = "sha256",
     partition_by: Sequence[str] = (),
+    step_files: int = STEP_FILES,
+    on_step: Callable[[dict], None] | None = None,
 ) -> dict:
     """Load Parquet files in path order; a file is a row group and positions come from the scan.
 
-    Nothing is sorted. Files before the cursor are not read again, and with ``max_chunks`` only the
-    files that many chunks can reach are.
+    Nothing is sorted. The load runs in steps of ``step_files`` files, commits each, tells ``on_step`` the state row,
+    and stops when the cap is reached, so a failure loses a step at most. Files before the cursor are not read again. A
+    folder that has grown is gone on with: new files must come behind those loaded before, by path.
     """
-    state, row, pending = _begin(spark, store, task, batch_id or path, fresh)
-    if not pending:
+    columns = list(columns or spark.read.parquet(path).columns)
+    contract = _contract(store, columns, algorithm)
+    state, row, pending = _begin(spark, store, task, batch_id or path, contract, fresh, grows=True)
+    if _full(cap, row):
+        if row["status"] != DONE:
+            row["status"] = DONE
+            save_state(spark, store, state, row)
         return row
     work_dir = new_work_dir(spark, "load")
     files = spark.read.parquet(path)
-    columns = list(columns or files.columns)
     groups = stage(row_groups(files), work_dir, "files")
+    count = groups.count()
+    _check_cursor(groups, row)
+    left, committed = max_chunks, False
+    while row["last_processed_row_group"] < count and left != 0:
+        start = row["last_processed_row_group"]
+        # a step of few chunks needs no more files than these can reach
+        stop = min(count, start + (step_files if left is None else min(step_files, left)))
+        step_dir = f"{work_dir}/step-{start}-{row['last_processed_chunk']}"
+        plan, before = _step(spark, files, groups, store, state, row, columns, chunk_size, cap, left, algorithm, start, stop, step_dir)
+        _move_cursor(row, plan, cap, end=stop, whole=stop == count)
+        row["last_file"] = _file_at(groups, row["last_processed_row_group"] - 1)
+        state, row = _commit(spark, store, plan, before, state, row, partition_by)
+        committed = True
+        remove_work_dir(spark, step_dir)
+        if left is not None:
+            left = max(0, left - spark.read.parquet(f"{store.report}/load={row['last_load']}").count())
+        if on_step is not None:
+            on_step(dict(row))
+        if _full(cap, row):
+            break
+    if not committed:
+        row["status"] = DONE
+        if count == 0 or state.of(task)["status"] != DONE:
+            save_state(spark, store, state, row)
+    remove_work_dir(spark, work_dir)
+    return row
 
-    start = row["last_processed_row_group"]
-    inside = F.col("row_group") >= start
-    if max_chunks is not None:
-        inside &= F.col("row_group") < start + max_chunks
-    found = groups.agg(
-        F.count("*").alias("count"),
-        F.min(F.when(inside, F.col("file_path"))).alias("first"),
-        F.max(F.when(inside, F.col("file_path"))).alias("last"),
-    ).first()
-    count = found["count"]
-    stop = count if max_chunks is None else min(count, start + max_chunks)
-    if found["first"] is None:
-        files = files.filter(F.lit(False))
-    else:
-        files = files.filter(F.col(FILE_PATH).between(found["first"], found["last"]))
 
-    placed = with_file_position(files, groups, count)
+def _step(spark, files, groups, store, state, row, columns, chunk_size, cap, max_chunks, algorithm, start, stop, work_dir):
+    """Plan and accepted rows of the files ``start`` to ``stop``."""
+    inside = groups.filter((F.col("row_group") >= start) & (F.col("row_group") < stop))
+    placed = with_file_position(files, inside, stop - start)
     hashed = after_cursor(hashed_rows(placed, columns, algorithm), chunk_size, row)
-    seen = seen_hashes(spark, store, state)
-    plan = plan_dedup(hashed, seen, chunk_size, _remaining(cap, row), max_chunks, work_dir)
-    rows = accepted_at(placed, plan, columns, whole_batch=row["last_processed_chunk"] == 0)
-    _move_cursor(row, plan, cap, end=stop, whole=stop == count)
-    row = _commit(spark, store, plan, rows, state, row, partition_by)
-    remove_work_dir(spark, work_dir)
-    return row
+    plan = plan_dedup(hashed, seen_hashes(spark, store, state), chunk_size, _remaining(cap, row), max_chunks, work_dir, store.buckets)
+    return plan, accepted_at(placed, plan, columns, whole_batch=row["last_processed_chunk"] == 0)
+
+
+def _file_at(groups: DataFrame, number: int) -> str | None:
+    found = groups.filter(F.col("row_group") == number).select("file_path").first()
+    return found["file_path"] if found else None
+
+
+def _check_cursor(groups: DataFrame, row: dict) -> None:
+    """Files loaded before must still be the first ones by path."""
+    last = row["last_file"]
+    if last is not None and _file_at(groups, row["last_processed_row_group"] - 1) != last:
+        raise ValueError(f"files were added or removed before {last}, up to which the folder is loaded")
 
 
 def _move_cursor(row: dict, plan: DedupPlan, cap: int | None, end: int, whole: bool) -> None:
@@ -334,6 +462,9 @@ def after_cursor(rows: DataFrame, chunk_size: int, row: dict) -> DataFrame:
     return rows.filter(F.col("position") >= group * ROW_GROUP_SPAN + chunk * chunk_size)
 
 
+# --- results
+
+
 def _visible(
     spark: SparkSession, store: LoadStore, path: str, schema: T.StructType, state: LoadState | None = None
 ) -> DataFrame:
@@ -342,11 +473,6 @@ def _visible(
     return table.filter((F.col("load") > base) & (F.col("load") <= last))
 
 
-def seen_hashes(spark: SparkSession, store: LoadStore, state: LoadState | None = None) -> DataFrame:
-    """Hashes of all committed records, each once."""
-    return _visible(spark, store, store.seen, SEEN_SCHEMA, state).select(RECORD_HASH)
-
-
 def loaded_rows(spark: SparkSession, store: LoadStore, schema: T.StructType) -> DataFrame:
     """Committed rows, with the number of the load that brought them."""
     return _visible(spark, store, store.target, schema)
@@ -385,7 +511,8 @@ def reset_load(spark: SparkSession, store: LoadStore) -> None:
     if last == 0:
         return
     empty = {**STATE_DEFAULTS, "status": PENDING, "base_load": last, "last_load": last}
-    save_state(spark, store, state, *[{"task": task, **empty} for task in state.rows])
+    after = LoadState(state.version, state.rows, state.generation + 1, [])
+    save_state(spark, store, after, *[{"task": task, **empty} for task in state.rows])
     hollow = empty_table(spark, T.StructType([*SEEN_SCHEMA.fields, _LOAD]))
-    for path in (store.target, store.seen, store.report):
+    for path in (store.target, store.report):
         write_table(hollow, path, "overwrite", partition_by=["load"])

@@ -1,37 +1,9 @@
-"""The wide player-record table: schema, fixed value lists, and seeded rows for any set of ids."""
+"""Schema of the wide player-record table, in its two spellings."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowfold.functions.arithmetic import (
-    band,
-    capped_percentage,
-    cascading_limit,
-    clamp,
-    first_positive,
-    floor_div,
-    guarded_ratio,
-    per_event,
-    truncated,
-    weighted_sum,
-    zero_unless,
-)
-from rowfold.functions.dates import age_in_years, format_date
-from rowfold.functions.lookup import cyclic_pick, literal_array, lookup
-from rowfold.functions import seeded
-from rowfold.functions.seeded import (
-    happens,
-    mix,
-    pick_date,
-    pick_from,
-    pick_int,
-    pick_real,
-    pick_weighted,
-    pick_years,
-)
 from rowfold.operators.projection import snake_name
 
 # Display name and type of every field, in table order.
@@ -91,63 +63,6 @@ FIELDS = [
 SHORT_NAMES = {"Batting Impact in High-Pressure Situations": "batting_impact"}
 WIDENED = ["matches_won_contribution", "win_percentage_as_captain"]
 
-# Names, countries, roles with their weights, styles and strengths.
-NAMES = [
-    "Virat Kohli", "Joe Root", "Steve Smith", "Kane Williamson", "Babar Azam", "David Warner",
-    "Rohit Sharma", "Ben Stokes", "Faf du Plessis", "AB de Villiers", "Shakib Al Hasan",
-    "Jos Buttler", "Rashid Khan", "Glenn Maxwell", "Quinton de Kock", "Trent Boult", "Pat Cummins",
-    "Marnus Labuschagne", "Jofra Archer", "Shreyas Iyer", "Shaheen Afridi", "Mohammed Siraj",
-    "Kusal Perera", "Jason Holder", "Chris Gayle", "Jasprit Bumrah", "Sachin Tendulkar",
-    "M S Dhoni", "Yuvraj Singh", "Kevin Pietersen", "Brian Lara", "Jacques Kallis",
-    "Kumar Sangakkara", "Mahela Jayawardene", "Michael Clarke", "Ricky Ponting", "Rahul Dravid",
-    "Anil Kumble", "Sourav Ganguly", "Zaheer Khan", "Matthew Hayden", "Adam Gilchrist",
-    "Shane Warne", "Glenn McGrath", "Brett Lee", "Lasith Malinga", "Daniel Vettori",
-    "Graeme Smith", "Mitchell Starc", "Shubman Gill", "Devon Conway", "Hardik Pandya",
-    "Ravindra Jadeja", "Mohammed Shami", "Suryakumar Yadav", "Heinrich Klaasen",
-    "Anrich Nortje", "Naseem Shah", "Mitchell Marsh", "Kyle Mayers", "Harry Brook",
-    "Ishan Kishan", "David Willey", "Mustafizur Rahman", "Kieron Pollard", "Andre Russell",
-    "Sunil Narine", "Dwayne Bravo", "Ross Taylor", "Martin Guptill", "Tim Southee",
-    "Travis Head", "Cameron Green", "Rassie van der Dussen", "Lungi Ngidi", "Josh Hazlewood",
-    "Aaron Finch", "Jonny Bairstow", "Chris Woakes", "Eoin Morgan", "Tom Latham",
-    "Mohammad Rizwan", "Fakhar Zaman", "Imran Tahir", "James Anderson", "Stuart Broad",
-    "Ravi Ashwin", "Aiden Markram", "Usman Khawaja", "Alex Carey",
-]
-COUNTRIES = [
-    "India", "Australia", "England", "South Africa", "New Zealand", "Pakistan", "Sri Lanka",
-    "West Indies", "Bangladesh", "Afghanistan", "Zimbabwe", "Ireland", "Netherlands", "Scotland",
-    "UAE", "Nepal", "Oman", "Namibia", "USA", "Canada", "Hong Kong", "Papua New Guinea", "Kenya",
-    "Bermuda", "Malaysia", "Singapore", "Qatar", "Germany", "Italy",
-]
-ROLES = [("Batsman", 40), ("Bowler", 30), ("All-rounder", 20), ("Wicketkeeper", 10)]
-BATTING_ROLES = ["Batsman", "All-rounder", "Wicketkeeper"]
-BOWLING_ROLES = ["Bowler", "All-rounder"]
-BATTING_STYLES = ["Right-Handed", "Left-Handed"]
-BOWLING_STYLES = [
-    "Right-Arm Fast", "Left-Arm Fast", "Right-Arm Fast Medium", "Left-Arm Fast Medium",
-    "Right-Arm Medium", "Left-Arm Medium", "Left-Arm Orthodox", "Left-Arm Spin", "Off Spin", "Leg Spin",
-]
-STRENGTHS = {
-    "Batsman": [
-        "Hand-Eye Coordination", "Footwork", "Shot Selection", "Power & Timing", "Temperament & Patience",
-    ],
-    "Bowler": [
-        "Accuracy & Line-Length Control", "Variation & Deception", "Stamina & Endurance",
-        "Aggression & Mind Games",
-    ],
-    "All-rounder": ["Versatility", "Adaptability", "Consistency", "Game Awareness", "Match Impact"],
-    "Wicketkeeper": [
-        "Speed & Agility", "Throwing Accuracy", "Diving & Athleticism", "Glove Work", "Quick Reflexes",
-    ],
-    "Captain": [
-        "Composure Under Pressure", "Decision-Making", "Teamwork & Leadership", "Strategic Thinking",
-    ],
-}
-# Closed strike-rate bands of the best format; what falls between them is unknown.
-BATTING_FORMATS = [(30, 60, "Test"), (61, 90, "ODI"), (90, None, "T20")]
-BOWLING_FORMATS = [(5, 15, "T20"), (16, 30, "ODI"), (30, None, "Test")]
-UNKNOWN = "Unknown"
-BORN = ("1970-01-01", "2005-12-31")
-
 
 def short_name(display: str) -> str:
     return SHORT_NAMES.get(display, snake_name(display))
@@ -163,146 +78,3 @@ def player_schema(display_names: bool = False, widened: bool = False, nullable:
         data_type = {"string": T.StringType(), "int": T.IntegerType(), "double": T.DoubleType()}[kind]
         fields.append(T.StructField(display if display_names else short, data_type, nullable))
     return T.StructType(fields)
-
-
-def best_format(role: Column, batting_rate: Column, bowling_rate: Column) -> Column:
-    bowling = F.coalesce(bowling_rate, F.lit(100.0))
-    return (
-        F.when(role.isin(BATTING_ROLES), band(batting_rate, BATTING_FORMATS, UNKNOWN))
-        .when(role == "Bowler", band(bowling, BOWLING_FORMATS, UNKNOWN))
-        .otherwise(F.lit(UNKNOWN))
-    )
-
-
-def player_records(ids: DataFrame, id_column: str, as_of: str, seed: int = 0, display_names: bool = False) -> DataFrame:
-    """One record per row of ``ids``, a function of its id and the seed alone.
-
-    Every task makes its own rows: there is no shuffle and nothing random to repeat. Columns are
-    built in layers, each on the ones before.
-    """
-    c, lit = F.col, F.lit
-
-    def draw(number: int) -> Column:
-        return seeded.draw(c("_start"), c("_step"), number)
-
-    bats, bowls = c("role").isin(BATTING_ROLES), c("role").isin(BOWLING_ROLES)
-    boundary_runs = weighted_sum([(c("fours_hit"), 4), (c("sixes_hit"), 6)])
-    thousands = floor_div(c("runs"), lit(1000))
-
-    def milestone(number: int, low: float, high: float, most: Column) -> Column:
-        share = truncated(c("innings") * pick_real(draw(number), low, high), "bigint")
-        return zero_unless(bats & (c("runs") > 0), F.least(share, most))
-
-    layers: list[dict[str, Column]] = [
-        {
-            "player_name": cyclic_pick(literal_array(NAMES), c("_id")),
-            "country": pick_from(draw(1), literal_array(COUNTRIES)),
-            "_born": pick_date(draw(2), *BORN),
-            "role": pick_weighted(draw(3), ROLES),
-            "batting_style": pick_from(draw(4), literal_array(BATTING_STYLES)),
-            "bowling_style": pick_from(draw(5), literal_array(BOWLING_STYLES)),
-            "matches": pick_int(draw(6), 50, 1000),
-        },
-        {
-            "player_date_of_birth": format_date(c("_born")),
-            "age": age_in_years(c("_born"), as_of),
-            "innings": pick_int(draw(7), c("matches"), floor_div(c("matches") * 3, lit(2))),
-            "fours_hit": F.when(bats, pick_int(draw(8), 50, 500)).otherwise(pick_int(draw(8), 10, 50)),
-            "sixes_hit": F.when(bats, pick_int(draw(9), 10, 200)).otherwise(pick_int(draw(9), 0, 30)),
-            "overs_bowled": zero_unless(bowls, pick_int(draw(10), 1000, 25000)),
-        },
-        {
-            "years_active": pick_years(draw(11), c("age")),
-            "not_outs": clamp(
-                floor_div(c("innings") * pick_int(draw(12), 2, 30), lit(100)), lit(0), c("innings") - 1
-            ),
-            "ducks": floor_div(c("innings"), pick_int(draw(13), 10, 20)),
-            "runs": pick_int(draw(14), 2, 7) * boundary_runs,
-            "total_balls_bowled": c("overs_bowled") * 6,
-            "bowling_wickets": zero_unless(
-                bowls,
-                F.when(c("overs_bowled") > 10000, pick_int(draw(15), 20, 850)).otherwise(pick_int(draw(15), 1, 249)),
-            ),
-            "total_runs_conceded": c("overs_bowled") * pick_int(draw(16), 1, 3),
-        },
-        {
-            "balls_faced": F.greatest(
-                c("runs"), pick_int(draw(17), floor_div(c("runs") * 3, lit(4)), c("runs") * 2)
-            ),
-            "batting_average": guarded_ratio(c("runs"), c("innings") - c("not_outs")),
-            "boundary_percentage": capped_percentage(boundary_runs, c("runs")),
-            "fifties": milestone(18, 0.3, 0.5, thousands * 8),
-            "hundreds": milestone(19, 0.2, 0.3, thousands * 3),
-            "double_hundreds": milestone(20, 0.0, 0.05, floor_div(c("runs"), lit(3000)) * 2),
-            "five_wicket_hauls": zero_unless(c("bowling_wickets") > 100, pick_int(draw(21), 1, 14)),
-            "ten_wicket_hauls": zero_unless(c("bowling_wickets") > 250, pick_int(draw(22), 0, 4)),
-            "bowling_average": zero_unless(bowls, guarded_ratio(c("total_runs_conceded"), c("bowling_wickets"))),
-            "bowling_economy_rate": zero_unless(bowls, guarded_ratio(c("total_runs_conceded"), c("overs_bowled"))),
-            "bowling_strike_rate": zero_unless(bowls, guarded_ratio(c("total_balls_bowled"), c("bowling_wickets"))),
-        },
-        {
-            "batting_strike_rate": guarded_ratio(c("runs"), c("balls_faced"), scale=100),
-            "high_score": first_positive(
-                [
-                    (
-                        c("double_hundreds"),
-                        pick_int(
-                            draw(23),
-                            200,
-                            F.greatest(lit(200), F.least(lit(456), floor_div(c("runs"), lit(2)))),
-                        ),
-                    ),
-                    (c("hundreds"), pick_int(draw(23), 100, 199)),
-                    (c("fifties"), pick_int(draw(23), 50, 99)),
-                ],
-                F.when((c("fours_hit") > 0) & (c("sixes_hit") > 0), pick_int(draw(23), 10, 49)).otherwise(
-                    pick_int(draw(23), 3, 10)
-                ),
-            ),
-            "batting_impact": pick_int(draw(24), 0, 100),
-            "balls_per_dismissal": per_event(c("balls_faced"), c("innings"), c("not_outs")),
-            "best_bowling_wickets": cascading_limit(
-                c("bowling_wickets"),
-                [(c("ten_wicket_hauls"), lit(7)), (c("five_wicket_hauls"), lit(5))],
-                pick_int(draw(25), 0, 4),
-            ),
-            "best_bowling_runs": zero_unless(bowls, pick_int(draw(26), 0, 120)),
-            "yorkers_bowled": zero_unless(bowls, pick_int(draw(27), c("overs_bowled"), c("overs_bowled") * 3)),
-            "maidens": zero_unless(
-                bowls,
-                pick_int(
-                    draw(28),
-                    floor_div(c("overs_bowled") * 10, lit(13)),
-                    floor_div(c("overs_bowled") * 10, lit(11)),
-                ),
-            ),
-            "dot_balls": c("overs_bowled") * pick_int(draw(29), 1, 3),
-            "catches_taken": pick_int(draw(30), 0, 500),
-            "run_outs": pick_int(draw(31), 0, 150),
-            "boundary_stops": pick_int(draw(32), 0, 300),
-            "wicketkeeping_dismissals": zero_unless(c("role") == "Wicketkeeper", pick_int(draw(33), 0, 800)),
-            "man_of_the_match_awards": pick_int(draw(34), 0, F.least(lit(100), c("matches"))),
-            "matches_won_contribution": pick_int(draw(35), 10, F.least(lit(90), c("matches"))),
-            "win_percentage_as_captain": zero_unless(happens(draw(36), 20), pick_int(draw(37), 10, 100)),
-            "key_strength": F.trim(pick_from(draw(38), lookup(STRENGTHS, c("role"), [UNKNOWN]))),
-            "impact_category": pick_int(draw(39), 0, 100),
-        },
-        {
-            "fielding_dismissals": c("catches_taken") + c("run_outs"),
-            "best_format": best_format(c("role"), c("batting_strike_rate"), c("bowling_strike_rate")),
-        },
-    ]
-    row_id = c(id_column).cast("bigint")
-    rows = ids.select(
-        row_id.alias("_id"), mix(row_id, 2 * seed).alias("_start"), mix(row_id, 2 * seed + 1).alias("_step")
-    )
-    for layer in layers:
-        rows = rows.select("*", *[value.alias(name) for name, value in layer.items()])
-    schema = player_schema()
-    names = [display for display, _ in FIELDS] if display_names else schema.fieldNames()
-    return rows.select(*[c(f.name).cast(f.dataType).alias(n) for f, n in zip(schema.fields, names, strict=True)])
-
-
-def synthetic_table(spark: SparkSession, rows: int, as_of: str, seed: int = 0, display_names: bool = True) -> DataFrame:
-    """``rows`` records made where they are needed."""
-    return player_records(spark.range(rows), "id", as_of, seed, display_names)

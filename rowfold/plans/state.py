@@ -6,11 +6,15 @@ a writer that dies half-way leaves the current version whole.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import hashlib
+import uuid
+from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from rowfold.session import create_new, path_exists, remove_work_dir
 from rowfold.sources.files import read_or_empty
 
 PENDING, RUNNING, DONE = "PENDING", "RUNNING", "DONE"
@@ -28,10 +32,20 @@ STATE_SCHEMA = T.StructType(
         T.StructField("batch_id", T.StringType()),
         T.StructField("last_load", T.LongType()),
         T.StructField("base_load", T.LongType()),
+        # what the store's hashes are made of, and the last whole file of a file load
+        T.StructField("contract", T.StringType()),
+        T.StructField("last_file", T.StringType()),
     ]
 )
 _LOG_SCHEMA = T.StructType(
-    [*STATE_SCHEMA.fields, T.StructField("version", T.LongType()), T.StructField("slot", T.IntegerType())]
+    [
+        *STATE_SCHEMA.fields,
+        T.StructField("version", T.LongType()),
+        # which of the hash tables is in use, and the attempts whose hashes in it are committed
+        T.StructField("generation", T.LongType()),
+        T.StructField("attempts", T.ArrayType(T.StringType())),
+        T.StructField("slot", T.IntegerType()),
+    ]
 )
 STATE_DEFAULTS = {
     "last_processed_row_group": 0,
@@ -42,22 +56,35 @@ STATE_DEFAULTS = {
     "batch_id": None,
     "last_load": 0,
     "base_load": 0,
+    "contract": None,
+    "last_file": None,
 }
 
 
 @dataclass(frozen=True)
 class LoadStore:
-    """Where a load keeps its rows, hashes, reports and state."""
+    """Where a load keeps its rows, hashes, reports and state.
+
+    ``buckets`` is how many files the stored hashes are spread over, about one for each 50 million records that the store
+    is to hold; it cannot change later.
+    """
 
     root: str
+    buckets: int = 16
 
     @property
     def target(self) -> str:
         return f"{self.root}/target"
 
-    @property
-    def seen(self) -> str:
-        return f"{self.root}/seen"
+    def seen(self, generation: int) -> str:
+        return f"{self.root}/seen/{generation}"
+
+    def numbered(self, task: str, batch_id: str) -> str:
+        """Numbered hashes of a batch that is loaded in steps."""
+        return f"{self.root}/numbered/{hashlib.md5(f'{task}|{batch_id}'.encode()).hexdigest()}"
+
+    def claim(self, number: int) -> str:
+        return f"{self.root}/claims/{number}"
 
     @property
     def report(self) -> str:
@@ -74,6 +101,12 @@ class LoadState:
 
     version: int
     rows: dict[str, dict]
+    generation: int = 0
+    attempts: list[str] = field(default_factory=list)
+
+    @property
+    def contract(self) -> str | None:
+        return next((r["contract"] for r in self.rows.values() if r["contract"] is not None), None)
 
     @property
     def visible(self) -> tuple[int, int]:
@@ -92,13 +125,17 @@ def read_state(spark: SparkSession, store: LoadStore) -> LoadState:
     version = max((r["version"] for r in log), default=0)
     names = STATE_SCHEMA.fieldNames()
     current = [{n: r[n] for n in names} for r in log if r["version"] == version]
-    return LoadState(version, {r["task"]: r for r in current})
+    own = next((r for r in log if r["version"] == version), None)
+    generation, attempts = (own["generation"], own["attempts"]) if own else (0, [])
+    return LoadState(version, {r["task"]: r for r in current}, generation, list(attempts))
 
 
 def save_state(spark: SparkSession, store: LoadStore, state: LoadState, *changed: dict) -> LoadState:
     """Upsert rows by task and make the result the current version."""
-    saved = LoadState(state.version + 1, {**state.rows, **{r["task"]: dict(r) for r in changed}})
-    rows = [(*[r[n] for n in STATE_SCHEMA.fieldNames()], saved.version) for r in saved.rows.values()]
+    changes = {r["task"]: dict(r) for r in changed}
+    saved = LoadState(state.version + 1, {**state.rows, **changes}, state.generation, state.attempts)
+    last = saved.version, saved.generation, saved.attempts
+    rows = [(*[r[n] for n in STATE_SCHEMA.fieldNames()], *last) for r in saved.rows.values()]
     table = spark.createDataFrame(rows, T.StructType(_LOG_SCHEMA.fields[:-1]))
     table.coalesce(1).write.mode("overwrite").parquet(f"{store.state}/slot={saved.version % 2}")
     return saved
@@ -108,3 +145,26 @@ def state_table(spark: SparkSession, store: LoadStore) -> DataFrame:
     """The current state as a table."""
     rows = read_state(spark, store).rows.values()
     return spark.createDataFrame([tuple(r[n] for n in STATE_SCHEMA.fieldNames()) for r in rows], STATE_SCHEMA)
+
+
+def claim(spark: SparkSession, store: LoadStore, number: int) -> str:
+    """Take a load number for this writer alone; returns the name of the attempt.
+
+    The claim is a file that must not exist yet. It stays when the load is committed; that of a writer that died has to be
+    lifted by hand, because only its owner knows that it is dead.
+    """
+    attempt = uuid.uuid4().hex
+    try:
+        create_new(spark, store.claim(number), attempt)
+    except Py4JJavaError as error:
+        if not path_exists(spark, store.claim(number)):
+            raise
+        raise RuntimeError(f"load {number} of {store.root} belongs to another writer, or to one that died") from error
+    return attempt
+
+
+def drop_claim(spark: SparkSession, store: LoadStore, number: int) -> bool:
+    found = path_exists(spark, store.claim(number))
+    if found:
+        remove_work_dir(spark, store.claim(number))
+    return found

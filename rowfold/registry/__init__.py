@@ -34,4 +34,4 @@ def table_path(sf_dir: str, name: str) -> str:
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from rowfold.registry import columns, loads, records, rows, streams  # noqa: F401
+    from rowfold.registry import columns, loads, rows, streams  # noqa: F401

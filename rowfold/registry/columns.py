@@ -68,8 +68,8 @@ def json_unreadable(spark, sf_dir):
 
 
 HASHED = " || ".join(
-    f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '~')"
-    for c in ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+    f"'{len(c)}:{c}=' || coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '~')"
+    for c in ["o_custkey", "o_orderdate", "o_orderkey", "o_orderpriority", "o_orderstatus", "o_totalprice"]
 )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from rowfold.operators.dedup import ordered_rows
 from rowfold.plans.load import (
     SEEN_SCHEMA,
+    compact_seen,
     finalize_load,
     load_files,
     load_reports,
@@ -40,8 +41,13 @@ RANKED = f"""
 """
 
 
+def load_buckets(spark) -> int:
+    """Buckets for a store that holds one table of the session's size."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _store(spark) -> LoadStore:
-    return LoadStore(new_work_dir(spark, "store"))
+    return LoadStore(new_work_dir(spark, "store"), load_buckets(spark))
 
 
 def _lines(spark, sf_dir):
@@ -101,9 +107,9 @@ def loaded_keys(spark, sf_dir):
 @query(
     "fresh_load",
     """WITH every AS (SELECT count(*) AS n FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem))
-       SELECT 'finalize_load' AS task, n AS total_unique_records, (SELECT count(*) FROM lineitem) - n
+       SELECT 'totals' AS task, n AS total_unique_records, (SELECT count(*) FROM lineitem) - n
          AS total_duplicate_records, 'DONE' AS status FROM every
-       UNION ALL SELECT 'process_all_row_groups', n, (SELECT count(*) FROM lineitem) - n, 'DONE' FROM every""",
+       UNION ALL SELECT 'load', n, (SELECT count(*) FROM lineitem) - n, 'DONE' FROM every""",
 )
 def fresh_load(spark, sf_dir):
     """A load that empties the store first does not know the lines loaded before."""
@@ -142,3 +148,44 @@ def resume_load(spark, sf_dir):
     for max_chunks in (2, None):
         load_table(lines, ORDER, store, "lines", KEYS, chunk_size=CHUNK, max_chunks=max_chunks)
     return load_reports(spark, store).select("load", "chunk", "rows", "in_chunk", "already", "new")
+
+
+@query(
+    "grown_load",
+    """WITH done AS (SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus = 'F'),
+        later AS (SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus <> 'F')
+       SELECT CAST(1 AS BIGINT) AS folders, (SELECT count(*) FROM orders WHERE o_orderstatus = 'F') AS rows,
+         (SELECT count(*) FROM done) AS stored
+       UNION ALL SELECT 2, (SELECT count(*) FROM orders),
+         (SELECT count(*) FROM (SELECT * FROM done UNION SELECT * FROM later))""",
+)
+def grown_load(spark, sf_dir):
+    """A folder is loaded, grows by more files, and is gone on with."""
+    store, path = _store(spark), new_work_dir(spark, "grown")
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderstatus")
+    finished, counts = F.col("o_orderstatus") == "F", []
+    for number, part in enumerate((orders.filter(finished), orders.filter(~finished)), 1):
+        part.select("o_custkey").write.parquet(f"{path}/part={number}")
+        load_files(spark, path, store, columns=["o_custkey"], chunk_size=CHUNK)
+        totals = load_reports(spark, store).agg(F.sum("rows").alias("rows"), F.sum("new").alias("stored"))
+        # written down before the folder grows
+        counts.append((number, *totals.first()))
+    return spark.createDataFrame(counts, "folders bigint, rows bigint, stored bigint")
+
+
+@query(
+    "second_load_report",
+    f"""WITH {RANKED}
+    SELECT CAST(0 AS BIGINT) AS row_group, chunk, rows, in_chunk, rows - in_chunk AS already, CAST(0 AS BIGINT) AS new
+    FROM report""",
+)
+def second_load_report(spark, sf_dir):
+    """All lines once more, after compaction of the stored hashes: each chunk's report."""
+    store = _store(spark)
+    lines = _lines(spark, sf_dir).select(*ORDER)
+    load_table(lines, ORDER, store, "first", KEYS, chunk_size=CHUNK)
+    compact_seen(spark, store)
+    load_table(lines, ORDER, store, "second", KEYS, chunk_size=CHUNK)
+    last = load_reports(spark, store)
+    last = last.join(last.agg(F.max("load").alias("load")), "load", "left_semi")
+    return last.select("row_group", "chunk", "rows", "in_chunk", "already", "new")

@@ -17,11 +17,18 @@ from rowfold.operators.filters import (
 )
 from rowfold.operators.joins import already_seen, lookup_dimension, lookup_row, not_seen, upsert
 from rowfold.operators.positions import running_totals, with_chunk
-from rowfold.operators.sets import inject_duplicates, limit, sample_with_replacement, slice_rows, union_all
+from rowfold.operators.sets import (
+    inject_duplicates,
+    limit,
+    materialise,
+    sample_with_replacement,
+    slice_rows,
+    union_all,
+)
 from rowfold.plans.forest import fit_forest, score
 from rowfold.registry import query, table, table_path
 from rowfold.session import new_work_dir
-from rowfold.sinks.tables import write_partitioned, write_sorted
+from rowfold.sinks.tables import write_partitioned, write_sorted, write_table
 from rowfold.sources.files import scan_units
 
 LINE_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
@@ -29,8 +36,10 @@ MIX_SQL = """(((({id} * 48271 + {salt} * 40503) % 2147483647) * (({id} * 48271 +
   % 2147483647 + (({id} * 48271 + {salt} * 40503) % 2147483647) * 16807) % 2147483647)"""
 
 
-def mix_sql(row_id: str, salt: int) -> str:
-    return MIX_SQL.format(id=row_id, salt=salt)
+def wide_mix_sql(row_id: str, salt: int) -> str:
+    turns = f"({row_id} // 2147483647)"
+    second = MIX_SQL.format(id=f"({turns} + {MIX_SQL.format(id=row_id, salt=salt)})", salt=salt + 1)
+    return f"({MIX_SQL.format(id=f'({second} + {turns})', salt=salt)} * 2147483647 + {second})"
 
 
 @query(
@@ -232,15 +241,33 @@ def union_batches(spark, sf_dir):
     return union_all(parts)
 
 
-@query("sample_replace")
+@query(
+    "sample_replace",
+    "SELECT true AS all_from_table, true AS size_in_bounds, true AS some_repeat FROM (SELECT count(*) FROM lineitem)",
+)
 def sample_replace(spark, sf_dir):
-    return sample_with_replacement(table(spark, sf_dir, "lineitem"), 0.1, seed=42)
+    """Checks of a sample with replacement: its rows are the table's, about a tenth as many, and some come twice."""
+    lines = table(spark, sf_dir, "lineitem").select(*LINE_ORDER)
+    drawn = sample_with_replacement(lines, 0.1, seed=42).groupBy(*LINE_ORDER).agg(F.count("*").alias("times"))
+    size = lines.agg(F.count("*").alias("size"))
+    both = drawn.select(F.xxhash64(*LINE_ORDER).alias("row"), "times")
+    known = already_seen(both, lines.select(F.xxhash64(*LINE_ORDER).alias("row")), "row")
+    found = known.agg(F.count("*").alias("known"))
+    totals = drawn.agg(F.count("*").alias("rows"), F.sum("times").alias("drawn"), F.max("times").alias("most"))
+    # each side is one row; a Poisson count stays within five of its standard deviations
+    joined = totals.crossJoin(size).crossJoin(found)
+    wanted = F.col("size") * 0.1
+    return joined.select(
+        (F.col("known") == F.col("rows")).alias("all_from_table"),
+        (F.abs(F.col("drawn") - wanted) <= 5 * F.sqrt(wanted)).alias("size_in_bounds"),
+        (F.col("most") > 1).alias("some_repeat"),
+    )
 
 
 @query(
     "inject_duplicates",
     f"""WITH numbered AS (SELECT *, row_number() OVER (ORDER BY p_partkey) - 1 AS pos FROM part),
-        draws AS (SELECT {mix_sql("i", 1)} % (SELECT count(*) FROM part) AS pos
+        draws AS (SELECT {wide_mix_sql("i", 1)} % (SELECT count(*) FROM part) AS pos
                   FROM (SELECT CAST(pos AS BIGINT) AS i FROM numbered
                         WHERE pos < (SELECT count(*) // 9 FROM part)))
         SELECT * FROM part
@@ -335,10 +362,46 @@ def unique_keys(spark, sf_dir):
     return orders.unionByName(expect_unique(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"]))
 
 
-@query("forest_fit_score")
+@query(
+    "forest_fit_score",
+    """SELECT count(*) AS scored, 0::BIGINT AS unscored, true AS in_label_range, true AS better_than_mean
+       FROM lineitem""",
+)
 def forest_fit_score(spark, sf_dir):
+    """Checks of scores for all lines: one each, within the range of the label, nearer to it than its mean."""
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_extendedprice"
     )
     model = fit_forest(lines, ["l_quantity", "l_discount", "l_tax"], "l_extendedprice", trees=5, depth=4, seed=7)
-    return score(model, lines)
+    label, told = F.col("l_extendedprice"), F.col("prediction")
+    return score(model, lines).agg(
+        F.count("*").alias("scored"),
+        F.count_if(told.isNull()).alias("unscored"),
+        ((F.min(told) >= F.min(label)) & (F.max(told) <= F.max(label))).alias("in_label_range"),
+        (F.avg((label - told) ** 2) < F.var_pop(label)).alias("better_than_mean"),
+    )
+
+
+@query(
+    "file_counts",
+    """SELECT count(*) AS rows, 1::BIGINT AS single_files, true AS capped_files, true AS same_rows FROM customer""",
+)
+def file_counts(spark, sf_dir):
+    """A table written over as one file, then by rows per file, from one materialised result."""
+    customers = materialise(table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"))
+    path = new_work_dir(spark, "files")
+    write_table(customers, f"{path}/t", "overwrite", max_records_per_file=100)
+    many = scan_files(spark, f"{path}/t")
+    write_table(customers, f"{path}/t", "overwrite", num_files=1)
+    single = scan_files(spark, f"{path}/t")
+    rows = customers.count()
+    return spark.read.parquet(f"{path}/t").agg(
+        F.count("*").alias("rows"),
+        F.lit(single).cast("bigint").alias("single_files"),
+        F.lit(many >= rows // 100).alias("capped_files"),
+        (F.countDistinct("c_custkey") == rows).alias("same_rows"),
+    )
+
+
+def scan_files(spark, path) -> int:
+    return scan_units(spark.read.parquet(path)).select("file_path").distinct().count()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,16 +40,17 @@ def build_session(app_name: str = "rowfold", master: str | None = None, **conf:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster in ``spark.checkpoint.dir``.
 
-    Only a local-mode session without that setting gets a temporary folder of its own.
+    A session that runs in one process and has no such setting works beside its warehouse. On a cluster the
+    setting is required, and a path without a scheme means the cluster's default file system.
     """
     configured = spark.conf.get(CHECKPOINT_CONF, None)
     context = spark.sparkContext
     if not configured:
         configured = context.getCheckpointDir()
     if not configured:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
             raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
-        configured = tempfile.mkdtemp(prefix="rowfold-")
+        configured = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(configured)
     return configured.rstrip("/")
@@ -70,6 +71,19 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(folder)
 
 
+def create_new(spark: SparkSession, path: str, content: str) -> None:
+    """Write a small file that must not exist yet."""
+    target, files = _folder(spark, path)
+    out = files.create(target, False)
+    out.write(bytearray(content.encode()))
+    out.close()
+
+
+def make_dir(spark: SparkSession, path: str) -> None:
+    folder, files = _folder(spark, path)
+    files.mkdirs(folder)
+
+
 def remove_work_dir(spark: SparkSession, path: str) -> None:
     """Delete a folder made by :func:`new_work_dir`."""
     folder, files = _folder(spark, path)
@@ -91,7 +105,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Checkpoint ``df`` on reliable shared storage."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def set_log_level(spark: SparkSession, level: str = "WARN") -> None:
-    spark.sparkContext.setLogLevel(level)

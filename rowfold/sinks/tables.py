@@ -6,10 +6,12 @@ import contextlib
 import io
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowfold.functions.hashing import quote
+from rowfold.session import make_dir
 
 
 def write_table(
@@ -79,6 +81,25 @@ def write_bucketed(
     )
 
 
+def bucketed_table(
+    spark: SparkSession, name: str, path: str, schema: T.StructType, key: str, buckets: int
+) -> str:
+    """Name of the bucketed table at ``path``, which is made, or made known to this session, if need be.
+
+    Fill it with ``insertInto``. The files carry their bucket in their names, so any session can take them up.
+    """
+    if not spark.catalog.tableExists(name):
+        make_dir(spark, path)
+        fields = ", ".join(f"{quote(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
+        spark.sql(
+            f"CREATE TABLE {quote(name)} ({fields}) USING parquet CLUSTERED BY ({quote(key)}) INTO {buckets} BUCKETS "
+            f"LOCATION '{path}'"
+        )
+    # another session may have written to it
+    spark.catalog.refreshTable(name)
+    return name
+
+
 def show(df: DataFrame, rows: int = 20) -> None:
     df.show(rows, truncate=False)
 

@@ -14,8 +14,8 @@ from rowfold.session import path_exists
 FILE_PATH = "_metadata.file_path"
 ROW_INDEX = "_metadata.row_index"
 
-# A file list is broadcast up to this many files (some 100 bytes each); Spark shuffles beyond it.
-BROADCAST_FILES = 500_000
+# Files that can be numbered in one go: their list (some 100 bytes each) goes to every task.
+MOST_FILES = 100_000
 
 
 def read_parquet(spark: SparkSession, *paths: str, schema: T.StructType | None = None) -> DataFrame:
@@ -52,7 +52,10 @@ def scan_units(df: DataFrame) -> DataFrame:
 
 
 def row_groups(df: DataFrame) -> DataFrame:
-    """One numbered group per file, in path order: ``row_group, file_path, rows``."""
+    """One numbered group per file, in path order: ``row_group, file_path, rows``.
+
+    One task numbers the files, a row of some 100 bytes for each.
+    """
     files = df.select(F.col(FILE_PATH).alias("file_path")).groupBy("file_path").agg(F.count("*").alias("rows"))
     # one row per file
     number = F.row_number().over(Window.orderBy("file_path")) - F.lit(1)
@@ -60,10 +63,17 @@ def row_groups(df: DataFrame) -> DataFrame:
 
 
 def with_file_position(df: DataFrame, groups: DataFrame, group_count: int, name: str = "position") -> DataFrame:
-    """Add each row's position from its file and its place in it; needs no sort and no shuffle."""
-    numbers = groups.select(F.col("file_path").alias("_path"), F.col("row_group").alias("_group"))
-    if group_count <= BROADCAST_FILES:
-        numbers = F.broadcast(numbers)
+    """Add each row's position from its file and its place in it; needs no sort and no shuffle.
+
+    Only rows of the files in ``groups`` stay; there may be ``MOST_FILES`` of them at most.
+    """
+    if group_count > MOST_FILES:
+        raise ValueError(f"number at most {MOST_FILES} files at a time, not {group_count}")
+    listed = groups.agg(F.min("file_path"), F.max("file_path")).first()
+    if listed[0] is not None:
+        # files outside are not even opened
+        df = df.filter(F.col(FILE_PATH).between(*listed))
+    numbers = F.broadcast(groups.select(F.col("file_path").alias("_path"), F.col("row_group").alias("_group")))
     placed = df.select("*", F.col(FILE_PATH).alias("_file"), F.col(ROW_INDEX).alias("_index"))
     return (
         placed.join(numbers, F.col("_file") == F.col("_path"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,13 +11,13 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from rowfold.functions.hashing import quote
-from rowfold.operators.distinct import row_count
+from rowfold.operators.distinct import keep_first, row_count
 from rowfold.operators.filters import equals, equals_ignoring_case, present
 from rowfold.operators.projection import binary_to_text, flatten, parse_json
 from rowfold.plans.load import load_table
 from rowfold.plans.state import LoadStore
-
-TASK = "stream_load"
+from rowfold.session import path_exists, remove_work_dir
+from rowfold.sources.files import read_or_empty
 
 
 def parse_messages(messages: DataFrame, schema: T.StructType, column: str = "value") -> DataFrame:
@@ -48,12 +49,6 @@ def distinct_stream(rows: DataFrame, keys: Sequence[str], salts: int = 16) -> Da
     return salted.dropDuplicates([*keys, "_salt"]).drop("_salt").dropDuplicates(list(keys))
 
 
-def distinct_within(rows: DataFrame, keys: Sequence[str], event_time: str, delay: str) -> DataFrame:
-    """Bounded form: a key is forgotten ``delay`` after its last event and may then come again."""
-    timed = rows.withColumn(event_time, F.col(quote(event_time)).cast("timestamp"))
-    return timed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
-
-
 def _writer(rows: DataFrame, checkpoint: str | None, continuous: str | None):
     writer = rows.writeStream
     if checkpoint is not None:
@@ -78,34 +73,124 @@ def to_memory(rows: DataFrame, name: str, mode: str = "append") -> StreamingQuer
     return _writer(rows, None, None).format("memory").queryName(name).outputMode(mode).start()
 
 
+def distinct_within(
+    rows: DataFrame,
+    keys: Sequence[str],
+    event_time: str,
+    delay: str,
+    path: str,
+    checkpoint: str,
+    continuous: str | None = None,
+) -> StreamingQuery:
+    """Distinct with bounded memory: a key is forgotten ``delay`` (such as ``1 day``) after the event that kept it.
+
+    It may then come again. The watermark is the latest event time of the batches before, less the delay. Events before it
+    are late: their key may be forgotten already, so they are neither kept nor dropped but written to a table of their
+    own. Every batch writes under its number, so one that is delivered again replaces what it wrote:
+
+    ``path/kept`` the rows kept; ``path/late`` the late ones; ``path/counts`` rows, kept, late and repeated ones of each
+    batch; ``path/state`` live keys with the time they expire, and ``path/watermark``, of the last two batches.
+
+    Events without a time are never late and expire with the watermark of their batch; a null key is a key.
+    """
+    keys = list(keys)
+    live_schema = T.StructType([rows.schema[k] for k in keys] + [T.StructField("expires", T.TimestampType())])
+    mark_schema = T.StructType([T.StructField("watermark", T.TimestampType())])
+    span = F.expr(f"INTERVAL {delay}")
+
+    def feed(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        at = lambda part, number: f"{path}/{part}/batch={number}"
+        marks = read_or_empty(spark, at("watermark", batch_id - 1), mark_schema).first()
+        mark = marks["watermark"] if marks else None
+        live = read_or_empty(spark, at("state", batch_id - 1), live_schema)
+        time = F.col(quote(event_time))
+        timed = batch.withColumn(event_time, time.cast("timestamp")).persist()
+        try:
+            is_late = F.lit(False) if mark is None else F.coalesce(time < F.lit(mark), F.lit(False))
+            if mark is not None:
+                live = live.filter(F.col("expires") >= F.lit(mark))
+            known = live.select(*[F.col(quote(k)).alias(f"_{k}") for k in keys])
+            same = reduce(lambda x, y: x & y, [F.col(quote(k)).eqNullSafe(F.col(quote(f"_{k}"))) for k in keys])
+            firsts = keep_first(timed.filter(~is_late), keys, [F.asc_nulls_last(quote(event_time))])
+            firsts.join(known, same, "left_anti").write.mode("overwrite").parquet(at("kept", batch_id))
+            kept = spark.read.schema(timed.schema).parquet(at("kept", batch_id))
+            timed.filter(is_late).write.mode("overwrite").parquet(at("late", batch_id))
+            expires = (F.coalesce(time, F.lit(mark).cast("timestamp")) + span).alias("expires")
+            after = live.unionByName(kept.select(*[F.col(quote(k)) for k in keys], expires))
+            after.write.mode("overwrite").parquet(at("state", batch_id))
+            seen = timed.agg(
+                F.count("*").alias("rows"),
+                F.coalesce(F.sum(is_late.cast("long")), F.lit(0)).alias("late"),
+                (F.max(time) - span).alias("reached"),
+            ).first()
+            counts = spark.range(1).select(
+                F.lit(seen["rows"]).alias("rows"), F.lit(seen["late"]).alias("late"), F.lit(kept.count()).alias("kept")
+            )
+            repeated = (F.col("rows") - F.col("late") - F.col("kept")).alias("repeated")
+            counts.select("*", repeated).write.mode("overwrite").parquet(at("counts", batch_id))
+            reached = [t for t in (mark, seen["reached"]) if t is not None]
+            new_mark = spark.createDataFrame([(max(reached, default=None),)], mark_schema)
+            new_mark.write.mode("overwrite").parquet(at("watermark", batch_id))
+        finally:
+            timed.unpersist()
+        for part in ("state", "watermark"):
+            if path_exists(spark, at(part, batch_id - 2)):
+                remove_work_dir(spark, at(part, batch_id - 2))
+
+    return _writer(rows, checkpoint, continuous).foreachBatch(feed).start()
+
+
 def count_to_table(
     rows: DataFrame, path: str, checkpoint: str, name: str = "total_records", continuous: str | None = None
 ) -> StreamingQuery:
-    """Keep the running row count in a one-row table at ``path``."""
+    """Keep the running row count; :func:`latest_count` reads it.
 
-    def replace(batch: DataFrame, _batch_id: int) -> None:
-        batch.coalesce(1).write.mode("overwrite").parquet(path)
+    Every batch writes a version of its own, and the one before stays, so a reader, or a crash, always finds a whole one.
+    """
+
+    def replace(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch.coalesce(1).write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+        if path_exists(spark, f"{path}/version={batch_id - 2}"):
+            remove_work_dir(spark, f"{path}/version={batch_id - 2}")
 
     writer = _writer(row_count(rows, name), checkpoint, continuous).outputMode("complete")
     return writer.foreachBatch(replace).start()
 
 
+def latest_count(spark: SparkSession, path: str, name: str = "total_records") -> DataFrame:
+    """The count of the last batch, in one row; 0 before the first."""
+    schema = T.StructType([T.StructField(name, T.LongType()), T.StructField("version", T.LongType())])
+    versions = read_or_empty(spark, path, schema)
+    return versions.agg(F.coalesce(F.max_by(name, "version"), F.lit(0)).alias(name))
+
+
+def stream_task(checkpoint: str) -> str:
+    """The load task of a stream: batch numbers start anew with each checkpoint, so each has a task of its own."""
+    return f"stream {checkpoint.rstrip('/')}"
+
+
 def dedup_load_stream(
     rows: DataFrame,
     store: LoadStore,
     checkpoint: str,
     order: Sequence[str],
     continuous: str | None = None,
+    task: str | None = None,
     **load_options,
 ) -> StreamingQuery:
     """Load each micro-batch with the de-duplicating load.
 
-    The checkpoint takes the place of the cursor, and the load skips a batch that is delivered again,
-    so every record is stored once.
+    The checkpoint takes the place of the cursor, and the load skips a batch that is delivered again, so every record is
+    stored once. A micro-batch is always loaded whole.
     """
+    if load_options.get("max_chunks") is not None:
+        raise ValueError("a micro-batch is delivered once and loaded whole: max_chunks would leave rows behind")
+    task = task or stream_task(checkpoint)
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        load_table(batch, order, store, batch_id=str(batch_id), task=TASK, **load_options)
+        load_table(batch, order, store, batch_id=str(batch_id), task=task, sequence=batch_id, **load_options)
 
     return _writer(rows, checkpoint, continuous).foreachBatch(load).start()
 

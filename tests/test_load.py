@@ -9,10 +9,12 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowfold.operators.dedup import chunk_groups, new_records, ordered_rows
+from rowfold.operators.dedup import chunk_groups, chunk_report, new_records, ordered_rows
 from rowfold.plans import load as load_module
 from rowfold.plans.load import (
+    compact_seen,
     finalize_load,
+    lift_claim,
     load_files,
     load_reports,
     load_table,
@@ -67,7 +69,7 @@ def stored_names(spark, store):
 
 @pytest.fixture
 def store(tmp_path):
-    return LoadStore(f"file://{tmp_path}/store")
+    return LoadStore(f"file://{tmp_path}/store", 4)
 
 
 def draws(seed, n, kinds):
@@ -106,7 +108,7 @@ def test_rows_add_up_and_second_load_adds_nothing(spark, store):
 
 def test_split_in_batches_equals_one_batch(spark, tmp_path):
     names = draws(8, 90, 40)
-    whole, split = LoadStore(f"{tmp_path}/whole"), LoadStore(f"{tmp_path}/split")
+    whole, split = LoadStore(f"{tmp_path}/whole", 4), LoadStore(f"{tmp_path}/split", 4)
     load_table(table(spark, names), ["seq"], whole, "all", ["name"], chunk_size=10)
     for i in range(3):
         load_table(table(spark, names[30 * i : 30 * i + 30]), ["seq"], split, f"part{i}", ["name"], chunk_size=10)
@@ -117,7 +119,7 @@ def test_split_in_batches_equals_one_batch(spark, tmp_path):
 
 def test_stop_and_resume_equals_one_run(spark, tmp_path):
     names = draws(9, 70, 25)
-    whole, steps = LoadStore(f"{tmp_path}/whole"), LoadStore(f"{tmp_path}/steps")
+    whole, steps = LoadStore(f"{tmp_path}/whole", 4), LoadStore(f"{tmp_path}/steps", 4)
     load_table(table(spark, names), ["seq"], whole, "all", ["name"], chunk_size=10, cap=20)
     status = []
     for _ in range(6):
@@ -156,7 +158,7 @@ def test_file_load_in_steps(spark, tmp_path):
     names = draws(12, 40, 18)
     for i in range(4):
         table(spark, names[10 * i : 10 * i + 10]).select("name").coalesce(1).write.parquet(f"{source}/part={i}")
-    whole, steps = LoadStore(f"{tmp_path}/whole"), LoadStore(f"{tmp_path}/steps")
+    whole, steps = LoadStore(f"{tmp_path}/whole", 4), LoadStore(f"{tmp_path}/steps", 4)
     load_files(spark, str(source), whole, columns=["name"], chunk_size=4, cap=15)
     for _ in range(12):
         state = load_files(spark, str(source), steps, columns=["name"], chunk_size=4, cap=15, max_chunks=2)
@@ -179,9 +181,13 @@ def test_nothing_shows_before_the_state_is_saved(spark, store, monkeypatch):
 
     with monkeypatch.context() as patch:
         patch.setattr(load_module, "save_state", fail)
-        with pytest.raises(RuntimeError):
+        with pytest.raises(RuntimeError, match="lost"):
             load_table(table(spark, names), ["seq"], store, "b", ["name"])
     assert stored_names(spark, store) == before
+    # the number still belongs to the writer that died
+    with pytest.raises(RuntimeError, match="another writer"):
+        load_table(table(spark, names[10:20]), ["seq"], store, "c", ["name"])
+    assert lift_claim(spark, store) and not lift_claim(spark, store)
     assert seen_hashes(spark, store).count() == len(before)
     load_table(table(spark, names[10:20]), ["seq"], store, "c", ["name"])
     assert stored_names(spark, store) == sorted(set(names[:20]))
@@ -245,18 +251,111 @@ def test_copies_with_equal_order_values_are_spread(spark):
     assert len(files) > 3 and per_task.agg(F.sum("count")).first()[0] == 8000
 
 
-def test_first_positions_are_narrow_and_combined_in_map_tasks(spark, tmp_path):
-    rows = [(bytes([i % 5]), i) for i in range(20)]
-    groups = chunk_groups(spark.createDataFrame(rows, "record_hash binary, position long"), 5)
+def test_first_positions_are_narrow_and_combined_in_map_tasks(spark):
+    rows = [(bytes([i % 5]), 7, i) for i in range(20)]
+    groups = chunk_groups(spark.createDataFrame(rows, "record_hash binary, check_hash int, position long"), 5)
     plan = groups._jdf.queryExecution().executedPlan().toString()
     assert "partial_count(1)" in plan and "partial_min(position" in plan
     seen = spark.createDataFrame([(bytes([0]),), (bytes([9]),)], "record_hash binary")
-    for count in (20, None):
-        new = new_records(groups, seen, count)
-        assert sorted(r["position"] for r in new.collect()) == [1, 2, 3, 4]
+    for buckets in (None, 3):
+        assert sorted(r["position"] for r in new_records(groups, seen, buckets).collect()) == [1, 2, 3, 4]
+
+
+def test_stored_hashes_are_scanned_not_shuffled(spark, store):
+    load_table(table(spark, draws(15, 60, 40)), ["seq"], store, "a", ["name"])
+    batch = chunk_groups(ordered_rows(table(spark, draws(16, 60, 90)), ["seq"], ["name"]), 10)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        new = new_records(batch, seen_hashes(spark, store), store.buckets)
+        expected = set(draws(16, 60, 90)) - set(draws(15, 60, 40))
+        assert new.count() == len(expected)
         plan = new._jdf.queryExecution().executedPlan().toString()
-        assert ("BroadcastHashJoin" in plan) == (count is not None)
-        assert "SortMergeJoin" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    lines = plan.splitlines()
+    scans = [i for i, line in enumerate(lines) if "FileScan" in line and "attempt" in line]
+    assert scans and "SelectedBucketsCount: 4 out of 4" in plan and "ShuffledHashJoin" in plan
+    for i in scans:
+        # between the scan and the join above it
+        above = next(j for j in range(i, -1, -1) if "Join" in lines[j])
+        assert not any("Exchange" in line for line in lines[above:i])
+
+
+def test_compaction_keeps_what_is_known(spark, store):
+    names = draws(17, 40, 25)
+    for part in range(4):
+        load_table(table(spark, names[10 * part : 10 * part + 10]), ["seq"], store, f"p{part}", ["name"])
+    before = sorted(bytes(r[0]) for r in seen_hashes(spark, store).collect())
+    compact_seen(spark, store)
+    assert sorted(bytes(r[0]) for r in seen_hashes(spark, store).collect()) == before
+    assert read_state(spark, store).generation == 1 and len(read_state(spark, store).attempts) == 1
+    load_table(table(spark, [*names, "new"]), ["seq"], store, "again", ["name"])
+    assert stored_names(spark, store) == sorted({*names, "new"})
+
+
+def test_a_folder_that_has_grown_is_gone_on_with(spark, tmp_path, store):
+    source = tmp_path / "source"
+    names = draws(18, 40, 30)
+    for i in (1, 2):
+        table(spark, names[20 * i - 20 : 20 * i]).select("name").coalesce(1).write.parquet(f"{source}/part={i}")
+        assert load_files(spark, str(source), store, columns=["name"], chunk_size=7)["status"] == DONE
+        assert stored_names(spark, store) == sorted(set(names[: 20 * i]))
+    loads = load_reports(spark, store).select("load").distinct().count()
+    load_files(spark, str(source), store, columns=["name"], chunk_size=7)
+    assert load_reports(spark, store).select("load").distinct().count() == loads == 2
+    table(spark, ["early"]).select("name").coalesce(1).write.parquet(f"{source}/part=0")
+    with pytest.raises(ValueError, match="before"):
+        load_files(spark, str(source), store, columns=["name"], chunk_size=7)
+
+
+def test_file_load_commits_step_by_step_and_stops_at_the_cap(spark, tmp_path, store):
+    source = tmp_path / "source"
+    names = [f"n{i:02d}" for i in range(50)]
+    for i in range(5):
+        table(spark, names[10 * i : 10 * i + 10]).select("name").coalesce(1).write.parquet(f"{source}/part={i}")
+    steps = []
+    state = load_files(spark, str(source), store, columns=["name"], cap=25, step_files=1, on_step=steps.append)
+    assert [s["total_unique_records"] for s in steps] == [10, 20, 25] and state["status"] == DONE
+    assert stored_names(spark, store) == names[:25]
+
+
+def test_a_cap_that_is_reached_reads_nothing(spark, store, monkeypatch):
+    load_table(table(spark, ["a", "b"]), ["seq"], store, "x", ["name"], cap=2)
+    monkeypatch.setattr(load_module, "ordered_rows", lambda *_: pytest.fail("sorted"))
+    assert load_table(table(spark, ["c"]), ["seq"], store, "y", ["name"], cap=2)["status"] == DONE
+
+
+def test_a_new_batch_waits_for_an_unfinished_one(spark, store):
+    names = draws(19, 40, 30)
+    load_table(table(spark, names), ["seq"], store, "a", ["name"], chunk_size=10, max_chunks=1)
+    with pytest.raises(ValueError, match="unfinished"):
+        load_table(table(spark, names), ["seq"], store, "b", ["name"], chunk_size=10)
+    load_table(table(spark, names), ["seq"], store, "a", ["name"], chunk_size=10)
+    assert stored_names(spark, store) == sorted(set(names))
+
+
+def test_a_store_remembers_what_its_hashes_are_made_of(spark, tmp_path):
+    df = spark.createDataFrame([(i, f"a{i}", f"b{i}") for i in range(10)], "seq long, a string, b string")
+    store = LoadStore(f"{tmp_path}/store", 4)
+    load_table(df, ["seq"], store, "one", ["a", "b"])
+    with pytest.raises(ValueError, match="sha256"):
+        load_table(df, ["seq"], store, "two", ["a", "b"], algorithm="md5")
+    with pytest.raises(ValueError, match="hashes of"):
+        load_table(df, ["seq"], store, "three", ["a"])
+    load_table(df, ["seq"], store, "four", ["b", "a"])
+    assert report_totals(load_reports(spark, store)).first()["total_unique_records"] == 10
+    turned = df.select("seq", F.col("a").alias("b"), F.col("b").alias("a"))
+    load_table(turned, ["seq"], store, "five", ["a", "b"])
+    assert report_totals(load_reports(spark, store)).first()["total_unique_records"] == 20
+
+
+def test_different_rows_with_one_hash_are_counted(spark):
+    rows = [(b"h", 1, 0), (b"h", 2, 1), (b"h", 1, 2), (b"g", 5, 3)]
+    groups = chunk_groups(spark.createDataFrame(rows, "record_hash binary, check_hash int, position long"), 10)
+    seen = spark.createDataFrame([], "record_hash binary")
+    report = chunk_report(groups, new_records(groups, seen), 10).first()
+    assert (report["rows"], report["in_chunk"], report["hash_dedup"], report["new"]) == (4, 1, 1, 2)
 
 
 def test_loads_of_different_tasks_share_numbers(spark, store):

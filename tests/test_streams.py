@@ -83,7 +83,7 @@ def test_count_and_sample_from_one_pass(spark, events, source, tmp_path):
 
 def test_stream_load_equals_batch_and_skips_redelivery(spark, events, source, tmp_path):
     rows = M.parse_messages(stream(spark, source), SCHEMA)
-    store = LoadStore(f"{tmp_path}/store")
+    store = LoadStore(f"{tmp_path}/store", 4)
     options = dict(columns=["user_id", "event_type"], chunk_size=200)
     M.finish(M.dedup_load_stream(rows, store, f"{tmp_path}/cp", ["event_id"], **options), 300)
     pairs = events.select("user_id", "event_type")
@@ -95,17 +95,78 @@ def test_stream_load_equals_batch_and_skips_redelivery(spark, events, source, tm
     loads = load_reports(spark, store).select("load").distinct().count()
     assert loads == 3
     # the last batch once more, as after a crash between the load and the checkpoint
-    M.load_table(events.select(*SCHEMA.fieldNames()), ["event_id"], store, str(loads - 1), task=M.TASK, **options)
+    task, rows = M.stream_task(f"{tmp_path}/cp"), events.select(*SCHEMA.fieldNames())
+    for number in (loads - 1, 0):
+        M.load_table(rows, ["event_id"], store, str(number), task=task, sequence=number, **options)
     assert report_totals(load_reports(spark, store)).first() == totals
 
 
-def test_bounded_dedup_keeps_every_key_at_least_once(spark, events, tmp_path):
-    stream_rows = replay(events.select("user_id", "ts"), f"{tmp_path}/m", 3)
-    bounded = M.distinct_within(stream_rows, ["user_id"], "ts", "1 day")
-    M.finish(M.to_table(bounded, f"{tmp_path}/out", f"{tmp_path}/cp"), 120)
-    got = spark.read.parquet(f"{tmp_path}/out")
-    assert got.select("user_id").distinct().count() == events.select("user_id").distinct().count()
-    assert got.count() <= events.count()
+def bounded(spark, tmp_path, batches, delay="1 day"):
+    """Run batches of (user, time) one after the other, each as a file of its own."""
+    rows = spark.createDataFrame([], "user_id long, ts timestamp")
+    for number, batch in enumerate(batches):
+        publish_files(spark.createDataFrame(batch, "user_id long, ts string").selectExpr("user_id", "timestamp(ts) AS ts"), f"{tmp_path}/m", num_files=1)
+        stream_rows = M.parse_messages(read_text_messages(spark, f"{tmp_path}/m"), rows.schema)
+        query = M.distinct_within(stream_rows, ["user_id"], "ts", delay, f"{tmp_path}/out", f"{tmp_path}/cp")
+        assert M.finish(query, 120)
+    parts = {p: spark.read.parquet(f"{tmp_path}/out/{p}") for p in ("kept", "late", "counts", "state")}
+    return parts
+
+
+def test_bounded_dedup_expires_keys_and_keeps_late_rows_apart(spark, tmp_path):
+    day = lambda d: f"2024-01-{d:02d} 00:00:00"
+    parts = bounded(
+        spark,
+        tmp_path,
+        [
+            [(1, day(1)), (1, day(1)), (2, day(1)), (None, day(1))],
+            [(1, day(2)), (3, day(5)), (None, day(1))],
+            # behind day 4: late; user 1 was forgotten and comes again
+            [(2, day(2)), (1, day(6)), (3, day(5))],
+        ],
+    )
+    assert sorted(((r["user_id"], r["ts"].day) for r in parts["kept"].collect()), key=str) == sorted(
+        [(1, 1), (2, 1), (None, 1), (3, 5), (1, 6)], key=str
+    )
+    assert [(r["user_id"], r["ts"].day) for r in parts["late"].collect()] == [(2, 2)]
+    counts = parts["counts"].agg(*[F.sum(c) for c in ("rows", "kept", "late", "repeated")]).first()
+    assert tuple(counts) == (10, 5, 1, 4)
+    assert {r["batch"] for r in parts["state"].select("batch").distinct().collect()} == {1, 2}
+
+
+def test_every_event_is_kept_repeated_or_late(spark, events, tmp_path):
+    publish_files(events.select("user_id", "ts"), f"{tmp_path}/m", num_files=5)
+    rows = M.parse_messages(read_text_messages(spark, f"{tmp_path}/m", 1), events.select("user_id", "ts").schema)
+    M.finish(M.distinct_within(rows, ["user_id"], "ts", "1 day", f"{tmp_path}/out", f"{tmp_path}/cp"), 300)
+    parts = {p: spark.read.parquet(f"{tmp_path}/out/{p}") for p in ("kept", "late", "counts")}
+    counts = parts["counts"].agg(*[F.sum(c).alias(c) for c in ("rows", "kept", "late", "repeated")]).first()
+    assert counts["rows"] == events.count() == counts["kept"] + counts["late"] + counts["repeated"]
+    assert (counts["kept"], counts["late"]) == (parts["kept"].count(), parts["late"].count())
+    assert counts["late"] > 0
+    users = parts["kept"].select("user_id").union(parts["late"].select("user_id")).distinct().count()
+    assert users == events.select("user_id").distinct().count()
+
+
+def test_two_streams_share_a_store(spark, tmp_path):
+    store = LoadStore(f"{tmp_path}/store", 4)
+    for part in range(2):
+        rows = spark.range(10 * part, 10 * part + 10).select("id", F.concat(F.lit("n"), "id").alias("name"))
+        stream_rows = replay(rows, f"{tmp_path}/m{part}", 1)
+        query = M.dedup_load_stream(stream_rows, store, f"{tmp_path}/cp{part}", ["id"], columns=["name"])
+        assert M.finish(query, 120)
+    assert report_totals(load_reports(spark, store)).first()["total_unique_records"] == 20
+    with pytest.raises(ValueError, match="max_chunks"):
+        M.dedup_load_stream(stream_rows, store, f"{tmp_path}/cp3", ["id"], max_chunks=1)
+
+
+def test_count_is_whole_at_any_time(spark, events, source, tmp_path):
+    rows = M.parse_messages(stream(spark, source), SCHEMA)
+    out = f"{tmp_path}/count"
+    assert M.latest_count(spark, out).first()[0] == 0
+    M.finish(M.count_to_table(rows, out, f"{tmp_path}/cp"), 120)
+    assert M.latest_count(spark, out).first()[0] == events.count()
+    # the version before is still there for readers that have begun
+    assert spark.read.parquet(out).select("version").distinct().count() == 2
 
 
 def test_unreadable_messages_go_to_the_side(spark):
