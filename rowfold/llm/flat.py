@@ -17,8 +17,9 @@ from pyspark.sql import types as T
 SPACE_BYTES = b" \t\n\x0b\x0c\r"
 IS_SPACE = np.zeros(256, dtype=bool)
 IS_SPACE[list(SPACE_BYTES)] = True
-# Texts are handled in slices of about this many bytes, whatever the size of the batch.
-SLICE_BYTES = 16 << 20
+# Texts are handled in slices of about this many bytes, whatever the size of the batch: a slice takes some 30 times as
+# much for its words, tokens and their places.
+SLICE_BYTES = 4 << 20
 
 
 class FlatTexts:

@@ -438,13 +438,17 @@ def deduplicated(
     64, which are few). Of several rows with the smallest id exactly one stays; a null id stays last.
     """
     work_dir = work_dir or new_work_dir(docs.sparkSession, "simhash")
+    # columns are numbered, so that none clashes with those that are added
     columns = docs.columns
-    hashed = fingerprints(docs, words, text_col, tuple(columns), wide=True).withColumn("row_", F.monotonically_increasing_id())
+    numbered = [f"c{k}" for k in range(len(columns))]
+    own_id, own_text = (F.col(numbered[columns.index(c)]) for c in (id_col, text_col))
+    named = docs.toDF(*numbered).withColumn("own_text", own_text)
+    hashed = fingerprints(named, words, "own_text", tuple(numbered), wide=True).withColumn("row_", F.monotonically_increasing_id())
     # with their rows written down, texts are fingerprinted once
     rows = stage(hashed, work_dir, "documents")
-    key = F.struct(F.col(f"`{id_col}`").isNull().alias("none"), F.col(f"`{id_col}`").alias("id"), F.col("row_").alias("row"))
+    key = F.struct(own_id.isNull().alias("none"), own_id.alias("id"), F.col("row_").alias("row"))
     keyed = rows.select(key.alias("key"), "fp", "more")
     radius, total = bits_for(similarity, BITS) + 1, bits_for(similarity, 2 * BITS)
     classes = _classes(keyed, work_dir, radius, parts, total)
     stay = classes.select(F.col("name.row").alias("row_")).distinct()
-    return rows.join(stay, "row_", "left_semi").select(*[F.col(f"`{c}`") for c in columns])
+    return rows.join(stay, "row_", "left_semi").select(*numbered).toDF(*columns)

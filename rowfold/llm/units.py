@@ -25,8 +25,8 @@ import pyarrow.compute as pc
 from rowfold.llm.flat import FlatTexts, gather
 from rowfold.llm.pieces import PieceModel
 
-# What one Python worker remembers at most (a unit takes some 250 bytes); beyond it the memory starts afresh.
-MEMORY_UNITS = 500_000
+# What one Python worker remembers at most (a unit takes some 60 bytes); beyond it the memory starts afresh.
+MEMORY_UNITS = 1_000_000
 MEMORY_BYTES = 32 << 20
 # New units encoded in one call.
 JOINED_UNITS = 4_000
@@ -62,8 +62,7 @@ class UnitMemory:
         self.forget()
 
     def forget(self) -> None:
-        self.place: dict[bytes, int] = {}
-        self.held = 0
+        self.units = pa.array([], pa.large_binary())
         self.ids = np.zeros(0, np.int32)
         self.bounds = np.zeros(1, np.int64)
 
@@ -76,9 +75,6 @@ class UnitMemory:
         raise NotImplementedError
 
     def remember(self, units: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
-        base = len(self.bounds) - 1
-        self.place.update(zip(units, range(base, base + len(units)), strict=True))
-        self.held += sum(map(len, units))
         self.ids = np.concatenate([self.ids, ids])
         self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(sizes)])
 
@@ -105,8 +101,10 @@ class UnitMemory:
         firsts = pc.if_else(pa.array(whole), column, units.take(lead))
         rest = units.filter(pa.array(behind)).cast(pa.large_binary()).dictionary_encode()
         firsts = firsts.cast(pa.large_binary()).dictionary_encode()
-        known = [self.joint + u for u in rest.dictionary.to_pylist()]
-        at = self._places(known + firsts.dictionary.to_pylist())
+        # the joint is put between nothing and the unit: in front of it
+        nothing = pa.scalar(b"", pa.large_binary())
+        known = pc.binary_join_element_wise(nothing, rest.dictionary, pa.scalar(self.joint, pa.large_binary()))
+        at = self._places(pa.concat_arrays([known, firsts.dictionary]))
         places = np.empty(unit_bounds[-1], np.int64)
         places[~is_first] = at[: len(known)][rest.indices.to_numpy(zero_copy_only=False)]
         places[is_first] = at[len(known) :][firsts.indices.to_numpy(zero_copy_only=False)]
@@ -120,15 +118,20 @@ class UnitMemory:
         total = np.concatenate([[0], np.cumsum(self.unproven(units, first, flat.sizes))])
         return np.diff(total[ends]) > 0
 
-    def _places(self, units: list[bytes]) -> np.ndarray:
-        if len(self.place) > self.most_units or self.held > self.most_bytes:
+    def _places(self, units: pa.Array) -> np.ndarray:
+        """Where each of the units is remembered; new ones are encoded."""
+        if len(self.units) > self.most_units or self.units.nbytes > self.most_bytes + 8 * self.most_units:
             self.forget()
-        at = [self.place.get(u, -1) for u in units]
-        new = list(dict.fromkeys(u for u, p in zip(units, at, strict=True) if p < 0))
-        if new:
-            self.remember(new, *self.encode_units(new))
-            at = [self.place[u] for u in units]
-        return np.asarray(at, np.int64)
+        found = pc.index_in(units, value_set=self.units)
+        at = found.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        missing = at < 0
+        if missing.any():
+            at[missing] = len(self.units) + np.arange(missing.sum())
+            new = units.filter(pa.array(missing))
+            held = new.to_pylist()
+            self.remember(held, *self.encode_units(held))
+            self.units = pa.concat_arrays([self.units, new])
+        return at
 
 
 def as_text(unit: bytes) -> str:
@@ -190,8 +193,8 @@ class PieceUnits(UnitMemory):
 
     MARK = "▁"
 
-    def __init__(self, path: str, spans: bool = True, **limits: int) -> None:
-        self.model, self.with_spans = PieceModel(path), spans
+    def __init__(self, path: str, **limits: int) -> None:
+        self.model = PieceModel(path)
         spec = self.model.normalizer
         self.cuts = (
             self.model.is_bpe
@@ -206,20 +209,18 @@ class PieceUnits(UnitMemory):
 
     def forget(self) -> None:
         super().forget()
-        self.starts, self.stops = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.unit_sizes = np.zeros(0, np.int64)
+        self.starts, self.stops = np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self.unit_sizes = np.zeros(0, np.int32)
 
     def encode_units(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         return _flat(self.model.processor.encode(list(map(as_text, units)), num_threads=1))
 
     def remember(self, units: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
         super().remember(units, ids, sizes)
-        if not self.with_spans:
-            return
         starts, stops = self.model.spans(units, ids, sizes)
-        self.starts = np.concatenate([self.starts, starts])
-        self.stops = np.concatenate([self.stops, stops])
-        self.unit_sizes = np.concatenate([self.unit_sizes, np.fromiter(map(len, units), np.int64, len(units))])
+        self.starts = np.concatenate([self.starts, starts.astype(np.int32)])
+        self.stops = np.concatenate([self.stops, stops.astype(np.int32)])
+        self.unit_sizes = np.concatenate([self.unit_sizes, np.fromiter(map(len, units), np.int32, len(units))])
 
     def unproven(self, units: pa.Array, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         if not self.cuts:
@@ -229,7 +230,7 @@ class PieceUnits(UnitMemory):
 
     def spans(self, found: Encoded) -> tuple[np.ndarray, np.ndarray]:
         """Start and stop of every token in its text's bytes."""
-        sizes = self.unit_sizes[found.places] + 1  # with the space behind
+        sizes = self.unit_sizes[found.places].astype(np.int64) + 1  # with the space behind
         begin = np.concatenate([[0], np.cumsum(sizes)])[:-1]
         shift = begin - np.repeat(begin[found.unit_bounds[:-1]], np.diff(found.unit_bounds))
         moved = np.repeat(shift, np.diff(found.unit_tokens))
@@ -258,5 +259,5 @@ def byte_units(path: str) -> ByteUnits:
 
 
 @functools.lru_cache(maxsize=4)
-def piece_units(path: str, spans: bool = True) -> PieceUnits:
-    return PieceUnits(path, spans)
+def piece_units(path: str) -> PieceUnits:
+    return PieceUnits(path)
