@@ -5,7 +5,7 @@ rule, a conjunction of comparisons, and a logistic regression with an L1 penalty
 left are compiled into one Spark column expression over the statistics. Scores are probabilities of label 1.
 
 Statistics come from one pass over the bytes of the whole text. Labels are used for fitting only. Fitting takes
-``FIT_ROWS`` labelled documents at most, those with the smallest hash of their id, so it does not grow with the corpus.
+``FIT_ROWS`` labelled ids at most, those with the smallest hash, so it does not grow with the corpus.
 
 A null or empty text has the statistics of an empty one and gets a score like any other. Rows are scored one by one, repeated
 or null ids included. Labels that are null or of unknown documents are not used; several labels of a document count as
@@ -155,11 +155,11 @@ class RuleEnsemble:
         return 1.0 / (1.0 + F.exp(-total))
 
 
-def fit(labelled: DataFrame, work_dir: str, fit_rows: int = FIT_ROWS) -> RuleEnsemble:
-    """From statistics with a column ``label`` (0 or 1) and ``order``, whose smallest values are taken."""
-    sample = labelled.orderBy("order", *STATISTICS).limit(fit_rows)
-    # at most ``fit_rows`` rows, in one file: the same trees in every run
-    sample = stage(sample.select("label", *STATISTICS).coalesce(1), work_dir, "sample")
+def fit(labelled: DataFrame, work_dir: str) -> RuleEnsemble:
+    """From statistics with a column ``label`` (0 or 1), which are few enough for one task to hold."""
+    # in one file and in one order: the same trees in every run
+    sample = labelled.select("label", *STATISTICS).coalesce(1).sortWithinPartitions("label", *STATISTICS)
+    sample = stage(sample, work_dir, "sample")
     seen = sample.agg(F.count("*").alias("n"), F.sum("label").alias("ones")).first()
     n, ones = seen["n"], seen["ones"] or 0
     if not 0 < ones < n:
@@ -184,6 +184,19 @@ def held_out(id_col: str = "doc_id", folds: int = 5) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit(""))), F.lit(folds)) == 0
 
 
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, id_col: str, label_col: str, fit_rows: int, work_dir: str
+) -> DataFrame:
+    """``chosen_id, label`` of the documents to fit on: those with the smallest hash of their id, ``fit_rows`` at most."""
+    key = F.col(f"`{id_col}`")
+    marked = labels.filter(F.col(f"`{label_col}`").isNotNull() & key.isNotNull())
+    marked = marked.groupBy(key.alias("chosen_id")).agg(F.round(F.avg(F.col(f"`{label_col}`"))).alias("label"))
+    marked = marked.filter(~held_out("chosen_id"))
+    known = docs.select(key.alias("chosen_id")).filter("chosen_id IS NOT NULL")
+    found = marked.join(known, "chosen_id", "left_semi").orderBy(F.xxhash64("chosen_id"), "chosen_id").limit(fit_rows)
+    return stage(found, work_dir, "chosen")
+
+
 def quality_scores(
     docs: DataFrame,
     labels: DataFrame,
@@ -192,19 +205,21 @@ def quality_scores(
     label_col: str = "quality",
     threshold: float = THRESHOLD,
     keep: tuple[str, ...] = (),
+    fit_rows: int = FIT_ROWS,
     work_dir: str | None = None,
 ) -> DataFrame:
-    """``id, held_out, score, predicted`` of every row, and the columns ``keep``."""
+    """``id, held_out, score, predicted`` of every row, and the columns ``keep``.
+
+    Statistics are computed for the chosen labelled documents, and after fitting for all, in the pass that scores them.
+    """
     work_dir = work_dir or new_work_dir(docs.sparkSession, "quality")
     columns = tuple(dict.fromkeys([id_col, *keep]))
-    found = stage(text_statistics(docs, text_col, columns), work_dir, "statistics")
     key = F.col(f"`{id_col}`")
-    marked = labels.filter(F.col(f"`{label_col}`").isNotNull() & key.isNotNull())
-    marked = marked.groupBy(key.alias("labelled_id")).agg(F.round(F.avg(F.col(f"`{label_col}`"))).alias("label"))
-    train = found.filter(~held_out(id_col)).join(marked, key == F.col("labelled_id"))
-    model = fit(train.select("label", F.xxhash64(key).alias("order"), *STATISTICS), work_dir)
-    score = model.score()
-    return found.select(
+    chosen = labelled_sample(docs, labels, id_col, label_col, fit_rows, work_dir)
+    # at most ``fit_rows`` short rows
+    met = docs.select(key.alias("chosen_id"), F.col(f"`{text_col}`").alias("text")).join(F.broadcast(chosen), "chosen_id")
+    score = fit(text_statistics(met, "text", ("label",)), work_dir).score()
+    return text_statistics(docs, text_col, columns).select(
         *[F.col(f"`{c}`") for c in columns],
         held_out(id_col).alias("held_out"),
         score.alias("score"),

@@ -30,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -435,20 +435,30 @@ def deduplicated(
     """The rows that stay when of each group of near copies the one with the smallest id does; all columns.
 
     Linked are texts whose 64 and 128 bits differ by no more than is expected at ``similarity`` (and one bit more of the
-    64, which are few). Of several rows with the smallest id exactly one stays; a null id stays last.
+    64, which are few). Of several rows with the smallest id exactly one stays; a null id stays last. Texts are read twice,
+    for their fingerprints and for the rows that stay, and are not written in between.
     """
     work_dir = work_dir or new_work_dir(docs.sparkSession, "simhash")
-    # columns are numbered, so that none clashes with those that are added
-    columns = docs.columns
-    numbered = [f"c{k}" for k in range(len(columns))]
-    own_id, own_text = (F.col(numbered[columns.index(c)]) for c in (id_col, text_col))
-    named = docs.toDF(*numbered).withColumn("own_text", own_text)
-    hashed = fingerprints(named, words, "own_text", tuple(numbered), wide=True).withColumn("row_", F.monotonically_increasing_id())
-    # with their rows written down, texts are fingerprinted once
-    rows = stage(hashed, work_dir, "documents")
-    key = F.struct(own_id.isNull().alias("none"), own_id.alias("id"), F.col("row_").alias("row"))
-    keyed = rows.select(key.alias("key"), "fp", "more")
+    own_id = F.col(f"`{id_col}`")
+    # all that tells rows apart; equal rows are interchangeable
+    key = F.struct(own_id.isNull().alias("none"), own_id.alias("id"), row_hash(docs).alias("row"))
+    narrow = docs.select(key.alias("key"), F.col(f"`{text_col}`").alias("text"))
+    hashed = stage(fingerprints(narrow, words, "text", ("key",), wide=True), work_dir, "fingerprints")
     radius, total = bits_for(similarity, BITS) + 1, bits_for(similarity, 2 * BITS)
-    classes = _classes(keyed, work_dir, radius, parts, total)
-    stay = classes.select(F.col("name.row").alias("row_")).distinct()
-    return rows.join(stay, "row_", "left_semi").select(*numbered).toDF(*columns)
+    stay = _classes(hashed, work_dir, radius, parts, total).select(F.col("name").alias("stays")).distinct()
+    stay = stage(stay, work_dir, "stay")
+    # columns are numbered, so that none clashes with the one that is added
+    columns = docs.columns
+    numbered = [F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(columns)]
+    row = docs.select(*numbered, key["row"].alias("row_"))
+    found = row.join(stay.select(F.col("stays.row").alias("row_")), "row_", "left_semi")
+    rows_alike = hashed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").join(stay, F.col("key") == F.col("stays"))
+    if not rows_alike.isEmpty():
+        found = found.dropDuplicates(["row_"])
+    return found.drop("row_").toDF(*columns)
+
+
+def row_hash(df: DataFrame) -> Column:
+    """A text of 128 bits that tells rows apart by all their columns."""
+    values = [F.col(f"`{c}`") for c in df.columns]
+    return F.concat_ws("-", F.hex(F.xxhash64(*values)), F.hex(F.xxhash64(F.lit(1), *reversed(values), *values)))

@@ -211,9 +211,12 @@ def test_pipeline_stage_by_stage(spark, tmp_path):
 
     # mixing: whole documents, in the seeded order, as often as their places come before the target
     lines, sizes = defaultdict(list), defaultdict(int)
+    hashes = results[2].select("doc_id", simhash.row_hash(results[2]).alias("key"))
+    keys = dict(map(tuple, hashes.collect()))
+    assert len(set(keys.values())) == len(keys) == len(single)
     for r in single:
         n = len(WORD.findall(r["text"]))
-        key = f"{r['doc_id']}:{xxhash_spark(r['text'])}"
+        key = keys[r["doc_id"]]
         lines[r["source"]].append((hashlib.md5(f"mix|{key}".encode()).hexdigest(), r["doc_id"], n))
         sizes[r["source"]] += n
     want = Counter()
@@ -228,10 +231,6 @@ def test_pipeline_stage_by_stage(spark, tmp_path):
     assert Counter(r["doc_id"] for r in encoded) == +want
 
 
-def xxhash_spark(text):
-    return f"{xxhash.xxh64_intdigest(text.encode(), 42):X}"
-
-
 def brute_targets(sizes):
     """Share by weight, stop sources at three times their size, share the rest again."""
     names = sorted(sizes)
