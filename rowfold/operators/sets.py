@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rowfold.functions.hashing import quote
 from rowfold.functions.seeded import wide_mix
 from rowfold.operators.positions import row_positions
 from rowfold.session import cut_lineage
@@ -44,10 +45,10 @@ def sample_with_replacement(df: DataFrame, fraction: float, seed: int) -> DataFr
 def duplicates(df: DataFrame, order: Sequence[str], count: int, salt: int = 1) -> DataFrame:
     """Exactly ``count`` repeats of rows of ``df``, drawn with replacement by row position.
 
-    Draws are counted per position before they meet the rows, so a row that is drawn often costs one
-    join row, and each row is repeated where it lies. ``order`` must be a total order of the rows.
+    Only the order columns are sorted and numbered. Draws are counted per position before they meet them, so a row that
+    is drawn often costs one join row, and each row is repeated where it lies. ``order`` must be a total order of the rows.
     """
-    numbered = row_positions(df, order, name="_position")
+    numbered = row_positions(df.select(*[F.col(quote(c)) for c in order]), order, name="_position")
     size = numbered.count()
     if size == 0 or count == 0:
         return df.limit(0)
@@ -57,10 +58,12 @@ def duplicates(df: DataFrame, order: Sequence[str], count: int, salt: int = 1) -
         .groupBy("_position")
         .agg(F.count("*").alias("_copies"))
     )
+    drawn = numbered.join(draws, "_position").select(*[F.col(quote(c)).alias(f"_{k}") for k, c in enumerate(order)], "_copies")
+    same = reduce(lambda x, y: x & y, [F.col(quote(c)).eqNullSafe(F.col(f"_{k}")) for k, c in enumerate(order)])
     return (
-        numbered.join(draws, "_position")
+        df.join(drawn, same)
         .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))))
-        .select(*df.columns)
+        .select(*[F.col(quote(c)) for c in df.columns])
     )
 
 

@@ -43,5 +43,3 @@ def assert_same(df, connection, sql):
     assert len(got) == len(want), f"{len(got)} rows, expected {len(want)}"
     differing = [(g, w) for g, w in zip(got, want) if g != w]
     assert not differing, f"{len(differing)} rows differ, first: {differing[0]}"
-    types = {n: t for n, t in zip(names, [str(d[1]) for d in expected.description])}
-    return types

@@ -224,6 +224,13 @@ def test_sets(spark):
     assert sorted(values(sets.slice_rows(chunked, 2))) == [8, 9]
 
 
+def test_duplicates_move_keys_not_rows(spark):
+    df = spark.createDataFrame([(k if k else None, "x" * k) for k in range(50)], "k int, v string")
+    extra = sets.duplicates(df, ["k"], 40)
+    assert extra.count() == 40 and extra.join(df, ["k", "v"], "left_semi").count() >= 39
+    assert extra.columns == df.columns
+
+
 def test_joins(spark):
     batch = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "h string, v int")
     seen = spark.createDataFrame([("a",), ("z",)], "h string")
