@@ -35,6 +35,8 @@ from rowfold.session import new_work_dir, stage
 RESPONSE, REVISIT = "response", "revisit"
 REVISIT_BYTES = 1000
 RANGE_BYTES = 8 << 20
+# Tasks that ranges are spread over at most; beyond it a task takes several.
+MOST_TASKS = 20_000
 _MAGIC = b"\x1f\x8b\x08"
 _STEP = 1 << 20
 # Headers of a record end within so many decoded bytes.
@@ -106,7 +108,9 @@ def write_pages(
         F.col(f"`{html_col}`").cast("binary").alias("html"),
     )
     # written down, so that a row keeps its number
-    rows = stage(rows.withColumn("number", F.monotonically_increasing_id()), folder, "numbered")
+    numbered = rows.withColumn("number", F.monotonically_increasing_id())
+    numbered.write.option("compression", "zstd").parquet(f"{folder}/numbered")
+    rows = spark.read.schema(numbered.schema).parquet(f"{folder}/numbered")
     size = F.coalesce(F.octet_length("html"), F.lit(0))
     payloads = rows.filter(size >= least_bytes).select("number", "page_id", F.sha2("html", 256).alias("payload"))
     same = payloads.groupBy("payload").agg(F.max(F.struct("page_id", "number")).alias("last"), F.count("*").alias("n")).filter("n > 1")
@@ -128,7 +132,8 @@ def write_pages(
                     member = page_record({c: batch.column(c)[k].as_py() for c in batch.schema.names}, space)
                     out.write(member)
                     done, size = done + 1, size + len(member)
-        yield pa.RecordBatch.from_pydict({"path": [f"{place}/{name}"], "bytes": pa.array([size], pa.int64()), "records": pa.array([done], pa.int64())})
+        told = [pa.array([f"{place}/{name}"]), pa.array([size], pa.int64()), pa.array([done], pa.int64())]
+        yield pa.RecordBatch.from_arrays(told, names=["path", "bytes", "records"])
 
     return stage(records.mapInArrow(write, "path string, bytes long, records long"), folder, "manifest")
 
@@ -243,8 +248,9 @@ def read_archives(files: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame
     """All records of the archives in ``path, bytes``, read by ranges of ``range_bytes``; columns of ``RECORD_SCHEMA``."""
     starts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(range_bytes).cast("long"))).alias("start")
     ranges = files.filter("bytes > 0").select("path", "bytes", starts)
-    # a range is a few bytes here and some megabytes of work
-    spread = ranges.repartition(F.xxhash64("path", "start"))
+    # a range is a few bytes here and some megabytes of work, so tasks are counted by ranges and not by bytes
+    count = files.agg(F.sum(F.ceil(F.col("bytes") / range_bytes))).first()[0] or 1
+    spread = ranges.repartition(min(int(count), MOST_TASKS), F.xxhash64("path", "start"))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
