@@ -157,8 +157,8 @@ class RuleEnsemble:
 
 def fit(labelled: DataFrame, work_dir: str) -> RuleEnsemble:
     """From statistics with a column ``label`` (0 or 1), which are few enough for one task to hold."""
-    # in one file and in one order: the same trees in every run
-    sample = labelled.select("label", *STATISTICS).coalesce(1).sortWithinPartitions("label", *STATISTICS)
+    # computed where the documents are, then brought together in one file and one order: the same trees in every run
+    sample = labelled.select("label", *STATISTICS).repartition(1).sortWithinPartitions("label", *STATISTICS)
     sample = stage(sample, work_dir, "sample")
     seen = sample.agg(F.count("*").alias("n"), F.sum("label").alias("ones")).first()
     n, ones = seen["n"], seen["ones"] or 0
