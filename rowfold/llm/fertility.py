@@ -34,6 +34,7 @@ MAX_REPEATED = 50
 # A text's entropy may be so much of the median of its language and length, in groups of at least so many texts.
 ENTROPY_DROP = 0.93
 LEAST_ROWS = 30
+MOST_BANDS = 10_000
 
 
 @dataclass(frozen=True)
@@ -220,10 +221,13 @@ def judged(
     """
     columns = tuple(dict.fromkeys([*keep, *([language] if language else [])]))
     figures = quality_figures(docs, path, text_col, columns).withColumn("base_failed", base_failed())
-    figures = stage(figures, work_dir or new_work_dir(docs.sparkSession, "fertility"), "figures")
+    work_dir = work_dir or new_work_dir(docs.sparkSession, "fertility")
+    figures = stage(figures, work_dir, "figures")
     group = F.coalesce(F.col(f"`{language}`"), F.col("script")) if language else F.col("script")
-    bands = entropy_bands(figures, group)
-    # one row per language and octave
+    bands = stage(entropy_bands(figures, group), work_dir, "bands")
+    # one short row per language and octave: every task gets them, unless the languages are out of all proportion
+    if bands.count() <= MOST_BANDS:
+        bands = F.broadcast(bands)
     met = figures.withColumn("band_group", group).withColumn("octave", _octave()).join(bands, ["band_group", "octave"], "left")
     high_enough = F.coalesce(F.col("entropy") >= F.col("entropy_limit"), F.lit(True))
     kept = met.withColumn("kept", ~F.col("base_failed") & in_bands(language) & high_enough)
