@@ -17,7 +17,8 @@ with the square of a label's vectors where these fill the space evenly; a task's
 
 Vectors that are null, empty, zero, or hold null or non-finite components, and those with a null label, link with nothing. Nor
 do rows with a null id (they have a null component and are not kept) or vectors of different lengths. Every row gives one
-row; equal rows are vectors of their own and link with each other. Columns other than id, vector and label are not read.
+row; equal rows are vectors of their own and link with each other. An id is taken for one vector: if it stands for several
+different ones, they count as one in components. Columns other than id, vector and label are not read.
 """
 
 from __future__ import annotations
