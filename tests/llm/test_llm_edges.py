@@ -466,6 +466,33 @@ def test_near_copies_go_and_clean_texts_stay(spark):
     assert len(stay & set(range(60, 90))) <= 2
 
 
+def test_near_copies_are_those_of_brute_force_jaccard(spark, monkeypatch):
+    """Pairs on both sides of 0.8, repeated passages, small blocks and common shingles: as all pairs of sets say."""
+    monkeypatch.setattr(simhash, "SET_BLOCK", 2_000)
+    monkeypatch.setattr(simhash, "SAMPLE", 1)
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 9)))
+    passage, texts = [word() for _ in range(40)], []
+    for n in range(120):
+        own = [word() for _ in range(rng.choice([3, 8, 60, 300]))] + passage * (n % 3)
+        texts.append(own)
+        for _ in range(2):
+            copy = list(own)
+            for at in rng.sample(range(len(own)), min(len(own), max(1, round(len(own) * rng.choice([0.01, 0.02, 0.022, 0.025, 0.03, 0.05]))))):
+                copy[at] = word()
+            texts.append(copy)
+    rng.shuffle(texts)
+    sets = [set(zip(*(t[k:] for k in range(5)))) or {tuple(t)} for t in texts]
+    jaccard = np.array([[len(a & b) / len(a | b) for b in sets] for a in sets])
+    assert ((jaccard >= 0.7) & (jaccard < 0.8)).sum() > 40 and ((jaccard >= 0.8) & (jaccard < 0.85)).sum() > 40
+    root = np.arange(len(texts))
+    while (new := np.array([root[jaccard[k] >= 0.8].min() for k in range(len(texts))])).tolist() != root.tolist():
+        root = new
+    rows = [(k, " ".join(t), "en", "s") for k, t in enumerate(texts)]
+    stay = {r["doc_id"] for r in simhash.deduplicated(documents(spark, rows)).collect()}
+    assert stay == set(root.tolist())
+
+
 def test_token_table_edges(spark, docs, tmp_path):
     token_tables.write_token_table(docs, f"{tmp_path}/t", BYTES, files=3)
     rows = sorted(token_tables.read_back(spark, f"{tmp_path}/t", work_dir=f"{tmp_path}/w").collect(), key=lambda r: r["start"])
