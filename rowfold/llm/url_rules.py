@@ -5,7 +5,8 @@ path goes on to the next ``?``, ``#`` or the end. A host rule fits its host and
 rule's; the longest rule that fits decides.
 
 Where none fits, pattern rules do. Each is a regular expression with the literal tokens (runs of a-z and 0-9) that any URL
-it matches must contain. A rule is filed under that of its tokens which fewest URLs of the table have. A URL is cut into
+it matches must contain. A rule is filed under that of its tokens which fewest URLs of the table have; one that has only
+alternatives is filed under each of them. A URL is cut into
 its distinct tokens, these fetch the candidate rules, and only those run their expressions, on the lower-cased URL. A rule
 without a literal token is a candidate for every URL.
 
@@ -43,11 +44,13 @@ class HostRule:
 
 @dataclass(frozen=True)
 class PatternRule:
-    """``pattern`` searched in the lower-cased URL; every match contains each of ``tokens`` as a whole token."""
+    """``pattern`` searched in the lower-cased URL; every match contains each of ``tokens``, and one of ``either`` if there are some,
+    as a whole token."""
 
     pattern: str
     tokens: tuple[str, ...]
     verdict: str = BLOCK
+    either: tuple[str, ...] = ()
 
 
 HOST_RULES = (
@@ -65,7 +68,7 @@ PATTERN_RULES = (
     PatternRule(r"://([^/?#]*[.-])?xxx\b", ("xxx",)),
     PatternRule(r"://([^/?#]*[.-])?adult\b", ("adult",)),
     PatternRule(r"://([^/?#]*\.)?doubleclick\.", ("doubleclick",)),
-    PatternRule(r"://ads?\.", ("ads",)),
+    PatternRule(r"://ads?\.", (), either=("ad", "ads")),
     PatternRule(r"/(?:wp-)?login\.php\b", ("login", "php")),
     PatternRule(r"/cgi-bin/", ("cgi", "bin")),
     PatternRule(r"/(?:user|account)/signup\b", ("signup",)),
@@ -124,6 +127,9 @@ class PatternIndex:
             if rule.tokens:
                 rarest = min(rule.tokens, key=lambda t: (counts.get(t, 0), t))
                 self.by_token.setdefault(rarest, []).append(number)
+            elif rule.either:
+                for token in rule.either:
+                    self.by_token.setdefault(token, []).append(number)
             else:
                 self.always.append(number)
 

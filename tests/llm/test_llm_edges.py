@@ -6,6 +6,7 @@ import gzip
 import io
 import math
 import random
+import re
 import zlib
 
 import numpy as np
@@ -366,6 +367,20 @@ def test_only_candidates_run_their_expressions():
         assert index.first(url) == (every[0] if every else None), url
 
 
+def test_rules_are_found_by_tokens_they_match_but_do_not_list():
+    """Tokens of the expressions themselves, shortened and lengthened, as well as the listed ones."""
+    index = url_rules.PatternIndex(url_rules.PATTERN_RULES, {})
+    assert index.first("http://ad.example.com/x") is not None and index.first("http://ads.example.com/x") is not None
+    rng = random.Random(7)
+    words = {w for r in url_rules.PATTERN_RULES for w in re.findall("[a-z0-9]+", re.sub(r"\\.", " ", r.pattern))}
+    words |= {w[:-1] for w in words} | {w + "s" for w in words}
+    bits = sorted(words - {""}) + ["http://", "http://", "://", ".", ".", "/", "-", "?", "=", "#", "&", "_", "2024/01"]
+    for _ in range(20_000):
+        url = "".join(rng.choice(bits) for _ in range(rng.randint(2, 8)))
+        every = [n for n, r in enumerate(index.rules) if r[0].search(url)]
+        assert index.first(url) == (every[0] if every else None), url
+
+
 def test_token_counts_edges(spark, docs):
     rows = token_counts.token_counts(docs, BYTES, window=2000, overlap=256).collect()
     tokenizer = Tokenizer.from_file(BYTES)
