@@ -39,8 +39,6 @@ RANGE_BYTES = 8 << 20
 MOST_TASKS = 20_000
 _MAGIC = b"\x1f\x8b\x08"
 _STEP = 1 << 20
-# Headers of a record end within so many decoded bytes.
-_HEADER_BYTES = 1 << 16
 _DATE = "1970-01-01T00:00:00Z"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _LEVEL = 6
@@ -174,15 +172,12 @@ class ByteRange:
 
 
 def _headers(data: bytes) -> tuple[dict[str, str], int] | None:
-    """Headers of a record, and the place behind them."""
-    end = data.find(b"\r\n\r\n", 0, _HEADER_BYTES)
-    if end < 0:
-        return None
-    lines = data[:end].decode("utf-8", "replace").split("\r\n")
+    """Headers of a record up to the blank line that ``data`` ends with, and the place behind it."""
+    lines = data[:-4].decode("utf-8", "replace").split("\r\n")
     pairs = [line.partition(":") for line in lines[1:]]
     headers = {name.strip().lower(): value.strip() for name, _, value in pairs}
     length = headers.get("content-length", "")
-    return (headers, end + 4) if length.isdecimal() and "warc-type" in headers else None
+    return (headers, len(data)) if length.isdecimal() and "warc-type" in headers else None
 
 
 def decode_record(source: ByteRange, at: int) -> Record | None:
@@ -194,13 +189,15 @@ def decode_record(source: ByteRange, at: int) -> Record | None:
             piece = source.piece(place, 1 << 16)
             if not piece:
                 return None
+            seen = max(0, len(out) - 3)
             out += unzip.decompress(piece)
             place += len(piece)
             if not b"WARC/1.".startswith(out[:7]) and not out.startswith(b"WARC/1."):
                 return None
-            if known is None:
-                known = _headers(out)
-                if known is None and len(out) > _HEADER_BYTES:
+            # headers may be of any length; they end with a blank line
+            if known is None and (blank := out.find(b"\r\n\r\n", seen)) >= 0:
+                known = _headers(bytes(out[: blank + 4]))
+                if known is None:
                     return None
     except zlib.error:
         return None

@@ -219,6 +219,17 @@ def test_warc_edges(spark, tmp_path):
     assert warc.round_trip(spark, pages(spark, []), f"file://{tmp_path}/none").count() == 0
 
 
+def test_warc_reads_back_urls_of_any_length(spark, tmp_path):
+    rng = random.Random(8)
+    noise = "http://n/" + "".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(400_000))
+    html = "<p>" + "x" * 2000
+    rows = [(1, "http://a/", html), (2, "http://b/" + " " * 300_000, html), (3, noise, html), (4, noise, "small")]
+    got = warc.round_trip(spark, pages(spark, rows), f"file://{tmp_path}/w", range_bytes=5_000).collect()
+    told = sorted((r["page_id"], r["payload_bytes"], r["record_type"], r["refers_to"]) for r in got)
+    n = len(html)
+    assert told == [(1, n, "revisit", 3), (2, n, "revisit", 3), (3, n, "response", None), (4, 5, "response", None)]
+
+
 def test_archives_are_standard_and_read_alike_in_ranges_of_any_size(spark, tmp_path):
     rng = random.Random(4)
     noise = ["".join(chr(rng.randrange(32, 127)) for _ in range(rng.randrange(3000))) for _ in range(40)]
