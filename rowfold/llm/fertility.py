@@ -4,7 +4,8 @@ Three figures of the text's tokens: characters of words per token, share of byte
 token distribution in bits. A text outside the bands of its script is rejected: too few characters per token or many
 byte tokens mean symbols, encoded data or broken text; a low entropy means a few tokens said over and over. The fixed
 bands are wide; a second entropy band is drawn from all texts of the same language (script if null) and about the same
-length, because entropy grows with length.
+length, because entropy grows with length. Where these are few, it is drawn from the lengths beside it, then from the script's
+texts of that length, then from all of the script, so that every text meets one, whatever the number of rows.
 
 Base figures come from one pass over the bytes: words are runs of other characters than space and ``\\t\\n\\v\\f\\r``.
 
@@ -31,7 +32,7 @@ IS_SYMBOL = np.zeros(256, dtype=bool)
 IS_SYMBOL[list(SYMBOLS)] = True
 MIN_WORDS = 50
 MAX_REPEATED = 50
-# A text's entropy may be so much of the median of its language and length, in groups of at least so many texts.
+# A text's entropy may be so much of the median of its language and length; groups of fewer texts take a wider one's band.
 ENTROPY_DROP = 0.93
 LEAST_ROWS = 30
 MOST_BANDS = 10_000
@@ -187,20 +188,44 @@ def in_bands(
 
 
 def entropy_bands(figures: DataFrame, group: Column, least_rows: int = LEAST_ROWS) -> DataFrame:
-    """``band_group, octave, entropy_limit``: what is too low among texts of one language and about one length.
+    """``band_group, script, octave, entropy_limit, share_limit``: what is too low among texts of one language and about one length.
 
     Entropy grows with length, so texts are compared within a doubling of their number of tokens. The limit lies under
     the median by ``ENTROPY_DROP``, and below the lower quartile by twice the middle half, whichever is lower: the first
     keeps the band open where many copies of one text narrow the quartiles, the second where texts really vary. All
-    texts that pass the base rules count. Groups of fewer than ``least_rows`` texts have no limit of their own.
+    texts that pass the base rules count. Groups of fewer than ``least_rows`` texts have no ``entropy_limit``; theirs is
+    ``share_limit``, on entropy as a share of what the number of tokens allows, and comes from the first of these that has as many: the
+    language with the octaves beside, the script's octave, the script with the octaves beside; or else from the whole script, however
+    few its texts are.
     """
-    passed = figures.filter(~F.col("base_failed"))
-    sizes = passed.groupBy(group.alias("band_group"), _octave().alias("octave")).agg(
-        F.percentile_approx("entropy", [0.25, 0.5, 0.75], 10_000).alias("q"), F.count("*").alias("texts")
+    passed = figures.filter(~F.col("base_failed")).select(
+        group.alias("band_group"), "script", _octave().alias("octave"), "entropy", (F.col("entropy") / _reach()).alias("share")
     )
+    beside = passed.withColumn("octave", F.explode(F.array(*(F.col("octave") + k for k in (-1, 0, 1)))))
+    own = _limits(passed, ["band_group", "octave"], "entropy", "entropy_limit", least_rows)
+    found = passed.select("band_group", "script", "octave").distinct().join(own, ["band_group", "octave"], "left")
+    wider = [
+        (beside, ["band_group", "octave"], least_rows),
+        (passed, ["script", "octave"], least_rows),
+        (beside, ["script", "octave"], least_rows),
+        (passed, ["script"], 1),
+    ]
+    for k, (texts, keys, least) in enumerate(wider):
+        found = found.join(_limits(texts, keys, "share", f"limit_{k}", least), keys, "left")
+    share = F.coalesce(*(F.col(f"limit_{k}") for k in range(len(wider))))
+    return found.select("band_group", "script", "octave", "entropy_limit", share.alias("share_limit"))
+
+
+def _limits(texts: DataFrame, keys: list[str], figure: str, name: str, least_rows: int) -> DataFrame:
+    sizes = texts.groupBy(*keys).agg(F.percentile_approx(figure, [0.25, 0.5, 0.75], 10_000).alias("q"), F.count("*").alias("texts"))
     low, middle, high = (F.col("q")[i] for i in range(3))
     limit = F.least(ENTROPY_DROP * middle, low - 2 * (high - low))
-    return sizes.filter(F.col("texts") >= least_rows).select("band_group", "octave", limit.alias("entropy_limit"))
+    return sizes.filter(F.col("texts") >= least_rows).select(*keys, limit.alias(name))
+
+
+def _reach() -> Column:
+    """The most entropy that so many tokens can have, capped where the vocabulary in use sets it rather than the length."""
+    return F.least(F.log2(F.greatest(F.col("n_tokens"), F.lit(2)).cast("double")), F.lit(10.0))
 
 
 def _octave() -> Column:
@@ -225,10 +250,11 @@ def judged(
     figures = stage(figures, work_dir, "figures")
     group = F.coalesce(F.col(f"`{language}`"), F.col("script")) if language else F.col("script")
     bands = stage(entropy_bands(figures, group), work_dir, "bands")
-    # one short row per language and octave: every task gets them, unless the languages are out of all proportion
+    # one short row per language, script and octave: every task gets them, unless the languages are out of all proportion
     if bands.count() <= MOST_BANDS:
         bands = F.broadcast(bands)
-    met = figures.withColumn("band_group", group).withColumn("octave", _octave()).join(bands, ["band_group", "octave"], "left")
-    high_enough = F.coalesce(F.col("entropy") >= F.col("entropy_limit"), F.lit(True))
+    met = figures.withColumn("band_group", group).withColumn("octave", _octave()).join(bands, ["band_group", "script", "octave"], "left")
+    # only texts that fail the base rules can be without a band
+    high_enough = F.coalesce(F.col("entropy") >= F.coalesce("entropy_limit", F.col("share_limit") * _reach()), F.lit(True))
     kept = met.withColumn("kept", ~F.col("base_failed") & in_bands(language) & high_enough)
     return kept.select(*[F.col(f"`{c}`") for c in keep], *FIGURES_SCHEMA.fieldNames(), "base_failed", "kept")

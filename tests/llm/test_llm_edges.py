@@ -344,6 +344,20 @@ def test_fertility_bands(spark):
     assert not kept[60] and not kept[61]
 
 
+def test_thin_groups_have_entropy_bands_too(spark):
+    """Monotonous texts go, and their neighbours stay, in a rare language, a sparse length and a small table."""
+    rng = random.Random(11)
+    words = ["".join(rng.choice("abcdefghijklmnoprstu") for _ in range(rng.randint(3, 7))) for _ in range(400)]
+    prose = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    flat = lambda n: " ".join(rng.choice(words[:24]) for _ in range(n))
+    few = [*[(prose(150), "en") for _ in range(9)], (flat(150), "en")]
+    many = [*[(prose(150), "en") for _ in range(90)], *[(flat(150), "en") for _ in range(3)], (prose(150), "is"), (flat(150), "is"), (prose(3_000), "en"), (" ".join(rng.choice(words[:40]) for _ in range(3_000)), "en")]
+    for table, gone in ((few, {9}), (many, {90, 91, 92, 94, 96})):
+        rows = fertility.judged(documents(spark, [(k, *t, "s") for k, t in enumerate(table)]), PIECES).collect()
+        assert not any(r["base_failed"] for r in rows)
+        assert {r["doc_id"] for r in rows if not r["kept"]} == gone
+
+
 def test_url_edges(spark):
     urls = [
         "http://x.net/a", "http://NET/", "http://net", "http://x.example.net/en/1?q=/", "HTTP://Example.NET/en/", "http://notexample.net/en/",
