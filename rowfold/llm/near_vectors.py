@@ -46,6 +46,8 @@ _SEED = 20_240_501
 # Window widths a projection is rounded to; rounding only widens windows.
 _LEVELS = 16
 _QUERIES = 512
+# Pairs that are counted together, and components of vectors that are multiplied together, about.
+_PAIRS, _COMPONENTS = 1 << 20, 1 << 22
 
 _POINT_SCHEMA = "id long, label string, size int, digest binary, unit array<double>, p array<double>"
 
@@ -100,34 +102,40 @@ def directions_of(size: int) -> np.ndarray:
     return _DIRECTIONS[size]
 
 
-def candidates(grid: np.ndarray, queries: slice, order: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (query, other) with enough window collisions.
+def candidates(grid: np.ndarray, queries: int, least: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (query, other) with enough window collisions, the first ``queries`` vectors with all; about ``_PAIRS`` at a time.
 
-    ``grid`` holds the rounded projections, a row for each direction; ``order`` the vectors sorted by the first. Windows are
-    counted direction by direction; when a half is done, only pairs that can still reach the count go on.
+    ``grid`` holds the rounded projections, a row for each direction. Windows are counted direction by direction; when a half
+    is done, only pairs that can still reach the count go on.
     """
     m = len(grid)
-    q = np.arange(queries.start, queries.stop)
-    count = np.zeros((len(q), grid.shape[1]), np.int16)
+    count = np.zeros((queries, grid.shape[1]), np.int16)
     half = min(m, max(1, m // 2))
     for k in range(half):
-        count += np.abs(grid[k][None, :] - grid[k][q][:, None]) <= _LEVELS
-    a, b = np.nonzero(count >= least - (m - half))
-    total = count[a, b].astype(np.int32)
-    a = q[a]
-    for k in range(half, m):
-        total += np.abs(grid[k][a] - grid[k][b]) <= _LEVELS
-        if k % 8 == 7:
-            on = total >= least - (m - 1 - k)
-            a, b, total = a[on], b[on], total[on]
-    on = total >= least
-    return a[on], b[on]
-
-
-def block_links(unit: np.ndarray, p: np.ndarray, part: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Linked pairs (positions, each once) among the vectors of one block, or between two.
-
-    ``part`` tells the block of a vector; of two blocks, only pairs across them are wanted.
+        count += np.abs(grid[k][None, :] - grid[k][:queries, None]) <= _LEVELS
+    enough = count >= least - (m - half)
+    ends = np.cumsum(enough.sum(axis=1))
+    start = 0
+    while start < queries:
+        stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + _PAIRS, side="right")))
+        a, b = np.nonzero(enough[start:stop])
+        a += start
+        total = count[a, b].astype(np.int32)
+        for k in range(half, m):
+            total += np.abs(grid[k][a] - grid[k][b]) <= _LEVELS
+            if k % 8 == 7:
+                on = total >= least - (m - 1 - k)
+                a, b, total = a[on], b[on], total[on]
+        on = total >= least
+        yield a[on], b[on]
+        start = stop
+
+
+def block_links(unit: np.ndarray, p: np.ndarray, part: np.ndarray, weight: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """For each vector of one block, or of two, the weight it is linked with and the smallest position it can reach.
+
+    ``part`` tells the block of a vector; of two blocks, only pairs across them are wanted. Pairs are counted and joined as
+    they are found and not kept, so that memory grows with the vectors and not with their links.
     """
     n, size = unit.shape
     w, least = least_collisions(size, cosine)
@@ -138,25 +146,26 @@ def block_links(unit: np.ndarray, p: np.ndarray, part: np.ndarray, cosine: float
     first = p[order, 0]
     grid, placed = np.ascontiguousarray(grid[:, order]), part[order]
     vectors = unit[order]
-    found_a, found_b = [], []
+    links, root = np.zeros(n), np.arange(n)
+    step = max(1, _COMPONENTS // size)
     for start in range(0, n, _QUERIES):
         stop = min(n, start + _QUERIES)
         # the window of half-width r on the first projection: others behind the queries in sorted order
         last = int(np.searchsorted(first, first[stop - 1] + r + 1e-9, side="right"))
-        view = grid[:, start:last]
-        a, b = candidates(view, slice(0, stop - start), order, least)
-        wanted = b > a
-        if across:
-            wanted &= placed[start:last][a] != placed[start:last][b]
-        a, b = a[wanted] + start, b[wanted] + start
-        for at in range(0, len(a), 1 << 18):
-            x, y = a[at : at + (1 << 18)], b[at : at + (1 << 18)]
-            hit = np.einsum("ij,ij->i", vectors[x], vectors[y]) >= cosine
-            found_a.append(x[hit])
-            found_b.append(y[hit])
-    a = order[np.concatenate(found_a)] if found_a else np.zeros(0, np.int64)
-    b = order[np.concatenate(found_b)] if found_b else np.zeros(0, np.int64)
-    return a, b, vectors, order
+        for a, b in candidates(grid[:, start:last], stop - start, least):
+            wanted = b > a
+            if across:
+                wanted &= placed[start:last][a] != placed[start:last][b]
+            a, b = a[wanted] + start, b[wanted] + start
+            for at in range(0, len(a), step):
+                x, y = a[at : at + step], b[at : at + step]
+                hit = np.einsum("ij,ij->i", vectors[x], vectors[y]) >= cosine
+                x, y = order[x[hit]], order[y[hit]]
+                links += np.bincount(x, weight[y], n) + np.bincount(y, weight[x], n)
+                apart = root[x] != root[y]
+                if apart.any():
+                    root = forest(n, root[x[apart]], root[y[apart]])[root]
+    return links, root
 
 
 def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -180,10 +189,7 @@ def _link(cosine: float):
         group = group.sort_values("id", kind="stable")
         ids, weight = group["id"].to_numpy(), group["weight"].to_numpy()
         unit, p = np.stack(group["unit"].to_list()), np.stack(group["p"].to_list())
-        a, b, _, _ = block_links(unit, p, group["own"].to_numpy(), cosine)
-        n = len(ids)
-        links = np.bincount(a, weight[b], n) + np.bincount(b, weight[a], n)
-        root = forest(n, a, b)
+        links, root = block_links(unit, p, group["own"].to_numpy(), weight, cosine)
         met = links > 0
         return pd.DataFrame({"rep": ids[met], "links": links[met].astype(np.int64), "root": ids[root[met]]})
 

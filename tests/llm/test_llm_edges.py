@@ -7,6 +7,7 @@ import io
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -180,6 +181,21 @@ def test_near_vectors_against_brute_force(spark, size):
     assert got == {k: (int(linked[k].sum()), int(root[k])) for k in range(len(x))}
 
 
+def test_dense_blocks_take_memory_by_vectors_and_not_by_links():
+    """Two full blocks of different vectors, all near each other: 268 million links, 4.3 GB as pairs."""
+    n = 2 * near_vectors.BLOCK
+    rng = np.random.default_rng(3)
+    x = np.stack([np.ones(n), rng.uniform(-0.1, 0.1, n)], axis=1)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    part, weight = np.arange(n) % 2, 1 + np.arange(n) % 3
+    tracemalloc.start()
+    links, root = near_vectors.block_links(x, x @ near_vectors.directions(2), part, weight, 0.93)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (root == 0).all() and (links == np.where(part == 0, weight[part == 1].sum(), weight[part == 0].sum())).all()
+    assert peak < 400 << 20
+
+
 def test_components_of_chains_and_stars(spark, tmp_path):
     rng = random.Random(3)
     chain = list(range(200))
