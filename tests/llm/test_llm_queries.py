@@ -247,6 +247,18 @@ def brute_targets(sizes):
     return out
 
 
+def test_mixing_stage_on_repeated_rows_nulls_and_no_rows(spark):
+    """Equal rows are used as often as so many different ones."""
+    rows = [(1, "a b c", "en", "s0", 5)] * 4 + [(None, None, None, None, None)] * 2 + [(2, "d e f", "en", None, 5)] * 3 + [(3, "", "en", "s0", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.mix_sources(spark, docs, SF_DIR)
+    marked = docs.withColumn("doc_id", F.monotonically_increasing_id())
+    apart = corpus_pipeline.mix_sources(spark, marked, SF_DIR)
+    assert Counter(r["text"] for r in out.collect()) == Counter(r["text"] for r in apart.collect())
+    assert out.columns == corpus_pipeline.COLUMNS
+    assert corpus_pipeline.mix_sources(spark, docs.limit(0), SF_DIR).count() == 0
+
+
 def test_pipeline_run(spark):
     assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").count() > 0
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
