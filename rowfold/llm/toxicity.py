@@ -215,9 +215,11 @@ def fit(labelled: DataFrame, work_dir: str) -> ToxicityModel:
         share = min(max(toxic / n if n else 0.0, 1e-9), 1 - 1e-9)
         return ToxicityModel(Dictionaries(b"", b""), (0.0,) * len(FEATURES), math.log(share / (1 - share)))
     chosen = frozenset(telling_segments(sample.select("text", "label"), toxic, n - toxic))
-    pieces = sample.filter("label = 0").select("rank", "text", F.expr(f"explode(sequence(0, greatest(0, octet_length(text) - 1), {SAMPLE_BYTES}))").alias("at"))
-    ordered = pieces.orderBy(F.xxhash64("rank", "at"), "rank", "at").limit(ORDINARY_SAMPLES)
-    drawn = ordered.select(F.expr(f"substring(text, at + 1, {SAMPLE_BYTES})").alias("piece")).collect()
+    starts = F.expr(f"explode(sequence(0, greatest(0, octet_length(text) - 1), {SAMPLE_BYTES}))")
+    pieces = sample.filter("label = 0").select("rank", "text", starts.alias("at"))
+    pieces = pieces.select("rank", "at", F.expr(f"substring(text, at + 1, {SAMPLE_BYTES})").alias("piece"))
+    # short pieces only, ``ORDINARY_SAMPLES`` of them
+    drawn = pieces.orderBy(F.xxhash64("rank", "at"), "rank", "at").limit(ORDINARY_SAMPLES).select("piece").collect()
     ordinary = train_dictionary([bytes(r["piece"]).lower() for r in drawn], ORDINARY_BYTES)
 
     def uses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
