@@ -229,11 +229,17 @@ _COLUMNS = ["conv", "turn", "role", "text", "present"]
 _ORDER = ["turn", "role", "text", "copy"]
 
 
+def _plain(value, column: str):
+    if value is None or (isinstance(value, float) and value != value):
+        return None
+    return int(value) if column == "turn" else value
+
+
 def _stream(frames: Iterator[pd.DataFrame], columns: list[str]) -> Iterator[tuple]:
     """Rows, with the null-safe key of their conversation in front; missing numbers are None."""
     for frame in frames:
-        # whole numbers with nulls come as objects; a NaN is not equal to itself
-        lists = [[None if isinstance(v, float) and v != v else v for v in frame[c].tolist()] for c in columns]
+        # ids and turns come as texts: beside nulls, pandas would make floats of them
+        lists = [[_plain(v, c) for v in frame[c].tolist()] for c in columns]
         yield from zip(*lists, strict=True)
 
 
@@ -289,7 +295,7 @@ def _repair_small(frames: Iterator[pd.DataFrame], block_rows: int, block_bytes:
     return _frames(run(), columns, lambda r: sum(len(t["text"]) + 16 for t in r[-1] or []))
 
 
-_BLOCK_SCHEMA = f"conv long, block long, last boolean, numbers binary, rows {_TURNS}, " + ", ".join(f"{c} long" for c in _COUNTS) + ", role int, end string"
+_BLOCK_SCHEMA = f"conv string, block long, last boolean, numbers binary, rows {_TURNS}, " + ", ".join(f"{c} long" for c in _COUNTS) + ", role int, end string"
 
 
 def _number_giants(frames: Iterator[pd.DataFrame], block_rows: int, block_bytes: int) -> Iterator[pd.DataFrame]:
@@ -367,12 +373,14 @@ class Repaired:
     def summary(self) -> DataFrame:
         """``conv, gaps, blank, duplicate, truncated, illegal, cost, audit`` of every conversation."""
         found = self.whole.drop("turns")
-        return found if self.giants is None else found.unionByName(self.giants.summary)
+        found = found if self.giants is None else found.unionByName(self.giants.summary)
+        return found.withColumn("conv", F.col("conv").cast("long"))
 
     def parts(self) -> DataFrame:
         """The repaired turns of every conversation, in one part or several: ``conv, part, turns``."""
         found = self.whole.select("conv", F.lit(0).cast("long").alias("part"), "turns")
-        return found if self.giants is None else found.unionByName(self.giants.parts)
+        found = found if self.giants is None else found.unionByName(self.giants.parts)
+        return found.withColumn("conv", F.col("conv").cast("long"))
 
     def with_digest(self) -> DataFrame:
         """The summary and ``repaired_sha256`` of the turns as ``role:text`` lines; parts of giants are streamed."""
@@ -380,9 +388,9 @@ class Repaired:
         found = self.whole.select("conv", *_COUNTS, "audit", F.sha2(lines, 256).alias("sha256"))
         if self.giants is not None:
             ordered = self.giants.parts.repartition("conv").sortWithinPartitions(F.asc_nulls_first("conv"), "part")
-            digests = ordered.select("conv", "turns").mapInPandas(_digest, "of long, sha256 string")
+            digests = ordered.select("conv", "turns").mapInPandas(_digest, "of string, sha256 string")
             found = found.unionByName(self.giants.summary.join(digests, F.col("conv").eqNullSafe(F.col("of"))).drop("of"))
-        return found.select(F.col("conv").alias("conv_id"), *_COUNTS, "audit", F.col("sha256").alias("repaired_sha256"))
+        return found.select(F.col("conv").cast("long").alias("conv_id"), *_COUNTS, "audit", F.col("sha256").alias("repaired_sha256"))
 
 
 def repair(
@@ -401,7 +409,7 @@ def repair(
     work_dir = work_dir or new_work_dir(rows.sparkSession, "conversations")
     space = F.lit(" ")
     plain = rows.select(
-        F.col(f"`{id_col}`").cast("long").alias("conv"),
+        F.col(f"`{id_col}`").cast("long").cast("string").alias("conv"),
         F.col(f"`{turn_col}`").cast("long").alias("turn"),
         F.coalesce(F.col(f"`{role_col}`"), space).alias("role"),
         F.coalesce(F.col(f"`{text_col}`"), space).alias("text"),
@@ -409,8 +417,8 @@ def repair(
         (F.lit(True) if present_col is None else F.coalesce(F.col(f"`{present_col}`"), F.lit(False))).alias("present"),
     )
     in_order = lambda df: df.repartition("conv").sortWithinPartitions(F.asc_nulls_first("conv"), F.asc_nulls_first("turn"), *_ORDER[1:])
-    small = in_order(plain).select(*_COLUMNS).mapInPandas(
-        lambda frames: _repair_small(frames, block_rows, block_bytes), f"conv long, giant boolean, {SUMMARY_SCHEMA}, turns {_TURNS}"
+    small = in_order(plain).withColumn("turn", F.col("turn").cast("string")).select(*_COLUMNS).mapInPandas(
+        lambda frames: _repair_small(frames, block_rows, block_bytes), f"conv string, giant boolean, {SUMMARY_SCHEMA}, turns {_TURNS}"
     )
     small = stage(small, work_dir, "conversations")
     whole = small.filter("NOT giant").select("conv", *_COUNTS, "audit", "turns")
@@ -425,19 +433,19 @@ def _repair_giants(plain, giants, in_order, block_rows: int, block_bytes: int, w
     # texts are told apart by two hashes; a text that is repeated very often is one run of a sorted partition
     same = Window.partitionBy("conv", "role", F.xxhash64("text"), F.md5("text")).orderBy(F.asc_nulls_first("turn"), "copy")
     marked = in_order(held.withColumn("first", F.row_number().over(same) == 1))
-    numbered = marked.select("conv", "turn", "role", "text", "first").mapInPandas(
+    numbered = marked.select("conv", F.col("turn").cast("string").alias("turn"), "role", "text", "first").mapInPandas(
         lambda frames: _number_giants(frames, block_rows, block_bytes), _BLOCK_SCHEMA
     )
     blocks = stage(numbered, work_dir, "blocks")
     backwards = blocks.select("conv", "block", "numbers", "role", "end").repartition("conv")
     backwards = backwards.sortWithinPartitions(F.asc_nulls_first("conv"), F.desc("block"))
     edits = stage(
-        backwards.mapInPandas(_walk_giants, "conv long, block long, before int, edits string, end string"), work_dir, "edits"
+        backwards.mapInPandas(_walk_giants, "conv string, block long, before int, edits string, end string"), work_dir, "edits"
     )
     key = F.col("b.conv").eqNullSafe(F.col("e.conv")) & (F.col("b.block") == F.col("e.block"))
     met = blocks.select("conv", "block", "rows").alias("b").join(edits.alias("e"), key)
     placed = met.select("b.conv", "b.block", "e.before", "e.edits", "b.rows", "e.end")
-    parts = placed.mapInPandas(_edit_blocks, f"conv long, part long, turns {_TURNS}")
+    parts = placed.mapInPandas(_edit_blocks, f"conv string, part long, turns {_TURNS}")
     # a byte for each edit, put in order by the numbers of the blocks
     letters = edits.groupBy("conv").agg(F.array_sort(F.collect_list(F.struct("block", F.translate("edits", ",", "").alias("edits"), "end"))).alias("all"))
     audits = letters.select(F.col("conv").alias("of"), F.array_join(F.transform("all", lambda b: F.concat(b["edits"], b["end"])), "").alias("audit"))

@@ -48,8 +48,9 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mixture(_table(spark, sf_dir, "documents"))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+    folder = new_work_dir(spark, "mixture")
+    mixed = mixing.mixture(_table(spark, sf_dir, "documents"), work_dir=folder)
+    return mixing.scheduled(mixed, folder)[1].select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,11 +201,11 @@ WITH RECURSIVE raw AS (
   FROM coded WHERE kind <> 0
 ), placed AS (
   SELECT *, row_number() OVER w AS n, left(role, 1) AS initial, lag(left(role, 1)) OVER w AS before,
-    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS use,
     regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS last
   FROM damaged WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)
 ), rows AS (
-  SELECT *, CASE WHEN last = '' THEN 'blank' WHEN use > 1 THEN 'duplicate' WHEN last NOT IN ('.', '!', '?') THEN 'truncated' END AS fault
+  SELECT *, CASE WHEN last = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 THEN 'duplicate'
+    WHEN last NOT IN ('.', '!', '?') THEN 'truncated' END AS fault
   FROM placed
 ), keeps(mid, edit, initial, after) AS (
   VALUES (0, 'K', 's', 1), (0, 'K', 'u', 2), (1, 'K', 'u', 2), (2, 'K', 'a', 3), (3, 'K', 'u', 2), (0, 'R', NULL, 2),
