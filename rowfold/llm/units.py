@@ -25,11 +25,11 @@ import pyarrow.compute as pc
 from rowfold.llm.flat import FlatTexts, gather
 from rowfold.llm.pieces import PieceModel
 
-# What one Python worker remembers at most (a unit takes some 60 bytes); beyond it the memory starts afresh.
-MEMORY_UNITS = 1_000_000
-MEMORY_BYTES = 32 << 20
-# New units encoded in one call.
-JOINED_UNITS = 4_000
+# What one Python worker remembers at most (a unit takes some 150 bytes); beyond it the memory starts afresh.
+MEMORY_UNITS = 750_000
+MEMORY_BYTES = 24 << 20
+# New units that are encoded as one text; the library takes longer for each byte of a longer one.
+JOINED_UNITS = 64
 # ASCII white space and separators, and lead bytes of the characters that may be white space outside ASCII.
 _MAYBE_SPACE = np.zeros(256, dtype=bool)
 _MAYBE_SPACE[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 0xC2, 0xE1, 0xE2, 0xE3]] = True
@@ -43,16 +43,36 @@ class Encoded:
 
     def __init__(self, memory: UnitMemory, places: np.ndarray, unit_bounds: np.ndarray) -> None:
         self.places, self.unit_bounds = places, unit_bounds
-        self.positions, self.unit_tokens = gather(memory.bounds, places)
-        self.ids, self.bounds = memory.ids[self.positions], self.unit_tokens[unit_bounds]
+        self.positions, self.unit_tokens = gather(memory.bounds.values, places)
+        self.ids, self.bounds = memory.ids.values[self.positions], self.unit_tokens[unit_bounds]
 
     @property
     def counts(self) -> np.ndarray:
         return np.diff(self.bounds)
 
 
+class Growing:
+    """An array that is added to, with room kept for more, so that adding copies little."""
+
+    def __init__(self, kind: type) -> None:
+        self.held, self.size = np.zeros(1 << 12, kind), 0
+
+    def add(self, more: np.ndarray) -> None:
+        end = self.size + len(more)
+        if end > len(self.held):
+            wider = np.zeros(max(end, 3 * len(self.held) // 2), self.held.dtype)
+            wider[: self.size] = self.values
+            self.held = wider
+        self.held[self.size : end] = more
+        self.size = end
+
+    @property
+    def values(self) -> np.ndarray:
+        return self.held[: self.size]
+
+
 class UnitMemory:
-    """Ids (and more, by subclass) of the units seen so far, in flat arrays."""
+    """Ids (and more, by subclass) of the units seen so far, in flat arrays, and a table of their places."""
 
     #: What precedes a unit that is not the first of its text.
     joint = b""
@@ -62,9 +82,10 @@ class UnitMemory:
         self.forget()
 
     def forget(self) -> None:
-        self.units = pa.array([], pa.large_binary())
-        self.ids = np.zeros(0, np.int32)
-        self.bounds = np.zeros(1, np.int64)
+        self.places: dict[bytes, int] = {}
+        self.bytes = 0
+        self.ids, self.bounds = Growing(np.int32), Growing(np.int64)
+        self.bounds.add(np.zeros(1, np.int64))
 
     def encode_units(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all units end to end, and how many each has."""
@@ -75,8 +96,8 @@ class UnitMemory:
         raise NotImplementedError
 
     def remember(self, units: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
-        self.ids = np.concatenate([self.ids, ids])
-        self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(sizes)])
+        self.bounds.add(self.ids.size + np.cumsum(sizes))
+        self.ids.add(ids)
 
     def encode(self, texts: FlatTexts) -> Encoded:
         column = pa.Array.from_buffers(
@@ -120,18 +141,19 @@ class UnitMemory:
 
     def _places(self, units: pa.Array) -> np.ndarray:
         """Where each of the units is remembered; new ones are encoded."""
-        if len(self.units) > self.most_units or self.units.nbytes > self.most_bytes + 8 * self.most_units:
+        if len(self.places) > self.most_units or self.bytes > self.most_bytes:
             self.forget()
-        found = pc.index_in(units, value_set=self.units)
-        at = found.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
-        missing = at < 0
-        if missing.any():
-            at[missing] = len(self.units) + np.arange(missing.sum())
-            new = units.filter(pa.array(missing))
-            held = new.to_pylist()
-            self.remember(held, *self.encode_units(held))
-            self.units = pa.concat_arrays([self.units, new])
-        return at
+        held, places = units.to_pylist(), self.places
+        found = list(map(places.get, held))
+        missing = [k for k, at in enumerate(found) if at is None]
+        if missing:
+            fresh = list(dict.fromkeys([held[k] for k in missing]))
+            places.update(zip(fresh, range(len(places), len(places) + len(fresh)), strict=True))
+            self.bytes += sum(map(len, fresh))
+            self.remember(fresh, *self.encode_units(fresh))
+            for k in missing:
+                found[k] = places[held[k]]
+        return np.array(found, np.int64)
 
 
 def as_text(unit: bytes) -> str:
@@ -160,29 +182,21 @@ class ByteUnits(UnitMemory):
 
     def encode_units(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """New units are encoded end to end, many in one call, and told apart by the bytes of their tokens."""
-        spaced = [u[:1] == b" " and u[1:2] != b" " and len(u) > 1 for u in units]
-        parts: list[tuple[np.ndarray, np.ndarray]] = []
-        run = 0
-        while run < len(units):
-            stop = run + 1
-            while spaced[run] and stop < len(units) and spaced[stop] and stop - run < JOINED_UNITS:
-                stop += 1
-            parts.append(self._joined(units[run:stop]))
-            run = stop
-        return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-
-    def _joined(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        coded = self.tokenizer.encode_batch_fast([as_text(b"".join(units))], add_special_tokens=False)[0].ids
-        ids = np.array(coded, np.int32)
-        if len(units) == 1:
-            return ids, np.array([len(ids)])
+        spaced = [len(u) > 1 and u[0] == 32 and u[1] != 32 for u in units]
+        starts, run = [0], 0
+        for k in range(1, len(units)):
+            if not spaced[k] or not spaced[k - 1] or k - run == JOINED_UNITS:
+                starts.append(k)
+                run = k
+        texts = [as_text(b"".join(units[a:b])) for a, b in zip(starts, [*starts[1:], len(units)], strict=True)]
+        ids = _flat([e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])[0]
         ends = np.cumsum(np.fromiter(map(len, units), np.int64, len(units)))
-        covered = np.cumsum(self.token_bytes[ids])
+        covered = np.concatenate([[0], np.cumsum(self.token_bytes[ids])])
         at = np.searchsorted(covered, ends)
         if covered[-1] != ends[-1] or (covered[at] != ends).any():
             # bytes that are not UTF-8: one by one
             return _flat([self.tokenizer.encode(as_text(u), add_special_tokens=False).ids for u in units])
-        return ids, np.diff(at + 1, prepend=0)
+        return ids, np.diff(at, prepend=0)
 
     def unproven(self, units: pa.Array, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         return (sizes == 0) | _MAYBE_SPACE[first]
@@ -209,8 +223,7 @@ class PieceUnits(UnitMemory):
 
     def forget(self) -> None:
         super().forget()
-        self.starts, self.stops = np.zeros(0, np.int32), np.zeros(0, np.int32)
-        self.unit_sizes = np.zeros(0, np.int32)
+        self.starts, self.stops, self.unit_sizes = Growing(np.int32), Growing(np.int32), Growing(np.int32)
 
     def encode_units(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         return _flat(self.model.processor.encode(list(map(as_text, units)), num_threads=1))
@@ -218,9 +231,9 @@ class PieceUnits(UnitMemory):
     def remember(self, units: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
         super().remember(units, ids, sizes)
         starts, stops = self.model.spans(units, ids, sizes)
-        self.starts = np.concatenate([self.starts, starts.astype(np.int32)])
-        self.stops = np.concatenate([self.stops, stops.astype(np.int32)])
-        self.unit_sizes = np.concatenate([self.unit_sizes, np.fromiter(map(len, units), np.int32, len(units))])
+        self.starts.add(starts)
+        self.stops.add(stops)
+        self.unit_sizes.add(np.fromiter(map(len, units), np.int32, len(units)))
 
     def unproven(self, units: pa.Array, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         if not self.cuts:
@@ -230,11 +243,11 @@ class PieceUnits(UnitMemory):
 
     def spans(self, found: Encoded) -> tuple[np.ndarray, np.ndarray]:
         """Start and stop of every token in its text's bytes."""
-        sizes = self.unit_sizes[found.places].astype(np.int64) + 1  # with the space behind
+        sizes = self.unit_sizes.values[found.places].astype(np.int64) + 1  # with the space behind
         begin = np.concatenate([[0], np.cumsum(sizes)])[:-1]
         shift = begin - np.repeat(begin[found.unit_bounds[:-1]], np.diff(found.unit_bounds))
         moved = np.repeat(shift, np.diff(found.unit_tokens))
-        starts, stops = self.starts[found.positions] + moved, self.stops[found.positions] + moved
+        starts, stops = self.starts.values[found.positions] + moved, self.stops.values[found.positions] + moved
         # the space in front of a unit belongs to the unit's first token
         led = found.unit_tokens[:-1][(shift > 0) & (np.diff(found.unit_tokens) > 0)]
         starts[led] -= 1
