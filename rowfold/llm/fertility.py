@@ -19,7 +19,7 @@ from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,9 +32,10 @@ IS_SYMBOL = np.zeros(256, dtype=bool)
 IS_SYMBOL[list(SYMBOLS)] = True
 MIN_WORDS = 50
 MAX_REPEATED = 50
-# A text's entropy may be so much of the median of its language and length; groups of fewer texts take a wider one's band.
+# A text's entropy may be so much of the median of its language and length.
 ENTROPY_DROP = 0.93
-LEAST_ROWS = 30
+# Entropies are counted in steps of a bit, so that quantiles are exact, and add up over any partitioning.
+STEPS = 1_024
 MOST_BANDS = 10_000
 
 
@@ -56,8 +57,14 @@ SCRIPT_BANDS = {
     "cjk": Band(min_chars_per_token=0.3, max_byte_share=0.9, min_entropy_share=0.4),
     "other": Band(min_chars_per_token=0.25, max_byte_share=1.0, min_entropy_share=0.4),
 }
-# Languages with a band of their own; it takes the place of their script's.
-LANGUAGE_BANDS: dict[str, Band] = {}
+# Languages with a band of their own; it takes the place of their script's. Languages written without spaces, or in scripts whose
+# lead bytes :func:`main_script` does not tell apart.
+LANGUAGE_BANDS: dict[str, Band] = {
+    **dict.fromkeys(("zh", "ja", "ko"), Band(min_chars_per_token=0.3, max_byte_share=0.9, min_entropy_share=0.4)),
+    **dict.fromkeys(("th", "lo", "km", "my"), Band(min_chars_per_token=0.25, max_byte_share=1.0, min_entropy_share=0.4)),
+    **dict.fromkeys(("ar", "fa", "he", "hi", "bn"), Band(min_chars_per_token=0.4, max_byte_share=0.8, min_entropy_share=0.4)),
+    **dict.fromkeys(("vi", "cs", "pl", "tr", "hu"), Band(min_chars_per_token=0.9, max_byte_share=0.35)),
+}
 
 FIGURES_SCHEMA = T.StructType(
     [
@@ -187,45 +194,29 @@ def in_bands(
     return F.when(F.col("n_tokens") > 1, inside).otherwise(F.lit(True))
 
 
-def entropy_bands(figures: DataFrame, group: Column, least_rows: int = LEAST_ROWS) -> DataFrame:
-    """``band_group, script, octave, entropy_limit, share_limit``: what is too low among texts of one language and about one length.
+def entropy_bands(figures: DataFrame, group: Column) -> DataFrame:
+    """``band_group, octave, entropy_limit``: what is too low among texts of one language and about one length.
 
     Entropy grows with length, so texts are compared within a doubling of their number of tokens. The limit lies under
     the median by ``ENTROPY_DROP``, and below the lower quartile by twice the middle half, whichever is lower: the first
     keeps the band open where many copies of one text narrow the quartiles, the second where texts really vary. All
-    texts that pass the base rules count. Groups of fewer than ``least_rows`` texts have no ``entropy_limit``; theirs is
-    ``share_limit``, on entropy as a share of what the number of tokens allows, and comes from the first of these that has as many: the
-    language with the octaves beside, the script's octave, the script with the octaves beside; or else from the whole script, however
-    few its texts are.
+    texts that pass the base rules count. Every group has its own limit, however few its texts are, so a verdict depends on
+    a text and the proportions of its group and not on the size of the input.
     """
-    passed = figures.filter(~F.col("base_failed")).select(
-        group.alias("band_group"), "script", _octave().alias("octave"), "entropy", (F.col("entropy") / _reach()).alias("share")
-    )
-    beside = passed.withColumn("octave", F.explode(F.array(*(F.col("octave") + k for k in (-1, 0, 1)))))
-    own = _limits(passed, ["band_group", "octave"], "entropy", "entropy_limit", least_rows)
-    found = passed.select("band_group", "script", "octave").distinct().join(own, ["band_group", "octave"], "left")
-    wider = [
-        (beside, ["band_group", "octave"], least_rows),
-        (passed, ["script", "octave"], least_rows),
-        (beside, ["script", "octave"], least_rows),
-        (passed, ["script"], 1),
-    ]
-    for k, (texts, keys, least) in enumerate(wider):
-        found = found.join(_limits(texts, keys, "share", f"limit_{k}", least), keys, "left")
-    share = F.coalesce(*(F.col(f"limit_{k}") for k in range(len(wider))))
-    return found.select("band_group", "script", "octave", "entropy_limit", share.alias("share_limit"))
-
-
-def _limits(texts: DataFrame, keys: list[str], figure: str, name: str, least_rows: int) -> DataFrame:
-    sizes = texts.groupBy(*keys).agg(F.percentile_approx(figure, [0.25, 0.5, 0.75], 10_000).alias("q"), F.count("*").alias("texts"))
-    low, middle, high = (F.col("q")[i] for i in range(3))
-    limit = F.least(ENTROPY_DROP * middle, low - 2 * (high - low))
-    return sizes.filter(F.col("texts") >= least_rows).select(*keys, limit.alias(name))
+    passed = figures.filter(~F.col("base_failed")).select(group.alias("band_group"), _octave().alias("octave"), _steps().alias("step"))
+    keys = ["band_group", "octave"]
+    # a row for each step that occurs, some ten thousand of a group at most
+    counted = passed.groupBy(*keys, "step").agg(F.count("*").alias("n"))
+    upto = F.sum("n").over(Window.partitionBy(*keys).orderBy("step"))
+    of = F.sum("n").over(Window.partitionBy(*keys))
+    placed = counted.withColumn("upto", upto).withColumn("of", of)
+    quartiles = [F.min(F.when(4 * F.col("upto") >= k * F.col("of"), F.col("step"))).alias(f"q{k}") for k in (1, 2, 3)]
+    limit = F.least(F.lit(ENTROPY_DROP) * F.col("q2"), F.col("q1") - 2 * (F.col("q3") - F.col("q1")))
+    return placed.groupBy(*keys).agg(*quartiles).select(*keys, (limit / STEPS).alias("entropy_limit"))
 
 
-def _reach() -> Column:
-    """The most entropy that so many tokens can have, capped where the vocabulary in use sets it rather than the length."""
-    return F.least(F.log2(F.greatest(F.col("n_tokens"), F.lit(2)).cast("double")), F.lit(10.0))
+def _steps() -> Column:
+    return F.floor(F.col("entropy") * STEPS).cast("long")
 
 
 def _octave() -> Column:
@@ -250,11 +241,11 @@ def judged(
     figures = stage(figures, work_dir, "figures")
     group = F.coalesce(F.col(f"`{language}`"), F.col("script")) if language else F.col("script")
     bands = stage(entropy_bands(figures, group), work_dir, "bands")
-    # one short row per language, script and octave: every task gets them, unless the languages are out of all proportion
+    # one short row per language and octave: every task gets them, unless the languages are out of all proportion
     if bands.count() <= MOST_BANDS:
         bands = F.broadcast(bands)
-    met = figures.withColumn("band_group", group).withColumn("octave", _octave()).join(bands, ["band_group", "script", "octave"], "left")
-    # only texts that fail the base rules can be without a band
-    high_enough = F.coalesce(F.col("entropy") >= F.coalesce("entropy_limit", F.col("share_limit") * _reach()), F.lit(True))
+    met = figures.withColumn("band_group", group).withColumn("octave", _octave()).join(bands, ["band_group", "octave"], "left")
+    # only texts that fail the base rules can be without a limit
+    high_enough = F.coalesce(_steps() / STEPS >= F.col("entropy_limit"), F.lit(True))
     kept = met.withColumn("kept", ~F.col("base_failed") & in_bands(language) & high_enough)
     return kept.select(*[F.col(f"`{c}`") for c in keep], *FIGURES_SCHEMA.fieldNames(), "base_failed", "kept")

@@ -7,7 +7,8 @@ more than ``most_epochs`` times its size: what is too much is shared again by de
 *Positions.* The documents of a source are lined up in a seeded order that does not depend on the run, epoch after epoch,
 until the target is full; the last one is taken up to the target. A document's place in its line is cumulative demand:
 inverting the source's demand over the run gives the time at which it is due, its training position. All documents, sorted
-by position over the ranges of the cluster, are the curriculum.
+by position over the ranges of the cluster, are the curriculum (:func:`scheduled` writes it). A document's words taken are
+those of its uses there.
 
 Sizes are summed along the lines in two steps: inside slices of the seeded order, and over the slices' totals, so that no
 source, however large, is in one task. Equal rows are counted, and expanded after the sums.
@@ -30,7 +31,8 @@ from rowfold.llm.flat import FlatTexts, map_texts
 from rowfold.session import new_work_dir, stage
 
 Schedule = Sequence[tuple[float, float]]
-CYCLE: tuple[Schedule, ...] = (((0.0, 1.0), (1.0, 1.0)), ((0.0, 2.0), (1.0, 2.0)), ((0.0, 3.0), (1.0, 3.0)))
+#: Schedules that sources take in turn; over the run they weigh 1, 2 and 3: one rises, one rises and falls, one falls.
+CYCLE: tuple[Schedule, ...] = (((0.0, 0.5), (1.0, 1.5)), ((0.0, 1.0), (0.5, 3.0), (1.0, 1.0)), ((0.0, 4.5), (1.0, 1.5)))
 MOST_EPOCHS = 3
 # Rows of a source's line that are summed together, about.
 SLICE_ROWS = 4_000
@@ -136,7 +138,7 @@ def mixture(
     text_col: str = "text",
     work_dir: str | None = None,
 ) -> DataFrame:
-    """``id, size, source, source_size, target, kind, before, taken`` of every row."""
+    """``id, size, source, source_size, target, kind, before`` of every row."""
     work_dir = work_dir or new_work_dir(docs.sparkSession, "mixture")
     sizes = sized(docs, text_col, (id_col, source_col)).select(
         F.col(f"`{id_col}`").alias("id"), F.col(f"`{source_col}`").alias("source"), "size"
@@ -147,13 +149,21 @@ def mixture(
     rows = sizes.count()
     lined = line_up(sizes, max(1, rows // SLICE_ROWS))
     met = lined.join(targets, lined["source"].eqNullSafe(targets["source"])).drop(targets["source"])
-    # the target in whole words, laid over the epochs of the line
-    words = F.round("target").cast("long")
-    taken = F.lit(0).cast("long")
-    for epoch in range(most_epochs):
-        left = words - F.lit(epoch) * F.col("source_size") - F.col("before")
-        taken = taken + F.least(F.col("size"), F.greatest(left, F.lit(0).cast("long")))
-    return met.select(F.col("id").alias(id_col), "size", "source", "source_size", "target", "kind", "before", taken.alias("taken"))
+    return met.select(F.col("id").alias(id_col), "size", "source", "source_size", "target", "kind", "before")
+
+
+def scheduled(mixed: DataFrame, work_dir: str, cycle: Sequence[Schedule] = CYCLE, most_epochs: int = MOST_EPOCHS) -> tuple[DataFrame, DataFrame]:
+    """The curriculum, range-sorted by position and written, and the rows of ``mixed`` with the words ``taken`` in it.
+
+    Uses with one position are in the order of epochs and rows; rows are numbered as they are written first.
+    """
+    rows = stage(mixed.withColumn("row", F.monotonically_increasing_id()), work_dir, "mixed")
+    placed = curriculum(rows, cycle, most_epochs)
+    order = ["position", "epoch", "row"]
+    placed = stage(placed.repartitionByRange(*order).sortWithinPartitions(*order), work_dir, "curriculum")
+    taken = placed.groupBy("row").agg(F.sum("words").alias("taken"), F.min("position").alias("first_position"))
+    told = rows.join(taken, "row", "left").withColumn("taken", F.coalesce("taken", F.lit(0).cast("long")))
+    return placed, told.drop("row")
 
 
 def curriculum(mixed: DataFrame, cycle: Sequence[Schedule] = CYCLE, most_epochs: int = MOST_EPOCHS) -> DataFrame:

@@ -9,7 +9,7 @@ Statistics come from one pass over the bytes of the whole text. Labels are used
 
 A null or empty text has the statistics of an empty one and gets a score like any other. Rows are scored one by one, repeated
 or null ids included. Labels that are null or of unknown documents are not used; several labels of a document count as
-their mean, rounded. Without labels of both classes every score is the mean label, or 0.5 without any.
+their mean, rounded; of several documents with one id the one with the least statistics is fitted on. Without labels of both classes every score is the mean label, or 0.5 without any.
 """
 
 from __future__ import annotations
@@ -218,7 +218,10 @@ def quality_scores(
     chosen = labelled_sample(docs, labels, id_col, label_col, fit_rows, work_dir)
     # at most ``fit_rows`` short rows
     met = docs.select(key.alias("chosen_id"), F.col(f"`{text_col}`").alias("text")).join(F.broadcast(chosen), "chosen_id")
-    score = fit(text_statistics(met, "text", ("label",)), work_dir).score()
+    # of several documents with one id the one with the least statistics counts
+    single = text_statistics(met, "text", ("chosen_id", "label")).groupBy("chosen_id", "label")
+    single = single.agg(F.min(F.struct(*STATISTICS)).alias("first")).select("label", "first.*")
+    score = fit(single, work_dir).score()
     return text_statistics(docs, text_col, columns).select(
         *[F.col(f"`{c}`") for c in columns],
         held_out(id_col).alias("held_out"),

@@ -15,13 +15,6 @@ value is compared in full.
 group of its own, so that no group is larger than two blocks. A group gives one link per fingerprint at most: what
 it finds connected is written as a tree, not as all pairs. Exact copies share a fingerprint and are never paired.
 
-*Near copies by content.* :func:`deduplicated` does not take SimHash's word: it links texts whose sets of shingles have a
-Jaccard similarity of ``similarity`` or more. Two such sets share one of their first ``n - ceil(similarity * n) + 1``
-shingles in any order that holds for all texts, so texts that meet under one of these are all there can be. Common
-shingles come last in that order, found in a sample that decides about work and not about results. What meets is a candidate
-if its fingerprints differ by no more than ``MARGIN`` standard deviations above the mean at the threshold; candidates'
-components bring the sets together, once for each text and not for each shingle, and there the similarity is counted.
-
 A null or empty text has fingerprint zero and is linked like any other. A text with fewer words than a shingle is one
 shingle. Rows are kept as they are, repeated ids included; a row with a null id belongs to its fingerprint's component,
 whose name is the smallest id that is not null. Columns other than id and text are not read, but for those of
@@ -41,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowfold.llm.flat import gather, map_texts
+from rowfold.llm.flat import map_texts
 from rowfold.llm.graph import components
 from rowfold.session import new_work_dir, stage
 
@@ -56,12 +49,6 @@ HISTOGRAM_BITS = 12
 SMALL_GROUP = 8
 # No part gets a wider threshold: it would be sent to too many values.
 WIDEST = 3
-# Fingerprints of candidates: standard deviations above the mean, in a binomial model a loss of about one pair in a million at the threshold.
-MARGIN = 5
-# Shingles come last in the common order that so many texts of a sample of one in SAMPLE have; at most so many.
-SAMPLE, COMMON, MOST_COMMON = 64, 16, 100_000
-# Shingles of a block whose texts are compared set by set, about.
-SET_BLOCK = 1 << 20
 
 
 def shingle_hashes(text: bytes, words: int) -> np.ndarray:
@@ -434,197 +421,39 @@ def near_duplicates(
     return found.select(F.col("key").alias(id_col), "fp", F.col("name").alias("component_id"))
 
 
-def bits_for(similarity: float, bits: int) -> int:
-    """Differing bits to expect of two texts that share ``similarity`` of all their shingles (Jaccard)."""
-    return int(bits * math.acos(2 * similarity / (1 + similarity)) / math.pi)
-
-
-def most_bits(similarity: float, bits: int) -> int:
-    """Differing bits that two texts with ``similarity`` of all their shingles (Jaccard) hardly ever exceed."""
-    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return math.ceil(bits * share + MARGIN * math.sqrt(bits * share * (1 - share)))
-
-
-# --- near copies by their sets of shingles
-
-
-def shingle_set(text: bytes | None, words: int) -> np.ndarray:
-    return np.unique(shingle_hashes(text or b"", words))
-
-
-def common_shingles(texts: DataFrame, words: int) -> np.ndarray:
-    """Shingles that many texts of a sample have, sorted; ``text`` is the only column."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for text in batch.column("text").to_pylist():
-                yield pa.RecordBatch.from_pydict({"shingle": pa.array(shingle_set(text, words).view(np.int64))})
-
-    sample = texts.filter(F.pmod(F.xxhash64("text"), F.lit(SAMPLE)) == 0).select(F.col("text").cast("binary").alias("text"))
-    counted = sample.mapInArrow(count, "shingle long").groupBy("shingle").agg(F.count("*").alias("n")).filter(F.col("n") >= COMMON)
-    # at most MOST_COMMON rows
-    found = counted.orderBy(F.desc("n"), "shingle").limit(MOST_COMMON).collect()
-    return np.sort(np.array([r["shingle"] for r in found], np.int64).view(np.uint64))
-
-
-def prefix(shingles: np.ndarray, common: np.ndarray, similarity: float) -> np.ndarray:
-    """The first shingles in the common order, one of which any set of at least ``similarity`` has among its own first."""
-    size = len(shingles) - math.ceil(similarity * len(shingles) - 1e-6) + 1 if len(shingles) else 0
-    last = np.isin(shingles, common)
-    return np.concatenate([shingles[~last], shingles[last]])[:size]
-
-
-def set_prints(texts: DataFrame, words: int, similarity: float, keep: tuple[str, ...]) -> DataFrame:
-    """``digest`` of the set of shingles, its fingerprint ``fp, more``, its ``size`` and ``prefix``, with the columns ``keep``."""
-    common = common_shingles(texts.select("text"), words)
-
-    def work(batch: pa.RecordBatch) -> dict[str, pa.Array | np.ndarray]:
-        sets = [shingle_set(text, words) for text in batch.column("text").to_pylist()]
-        fp = np.array([fingerprint(s) for s in sets], np.uint64)
-        more = np.array([fingerprint(mixed(s)) for s in sets], np.uint64)
-        return {
-            "digest": pa.array([xxhash.xxh3_128_digest(s.astype("<u8").tobytes()) for s in sets], pa.binary()),
-            "fp": fp.view(np.int64),
-            "more": more.view(np.int64),
-            "size": np.array([len(s) for s in sets], np.int64),
-            "prefix": pa.array([prefix(s, common, similarity).view(np.int64) for s in sets], pa.list_(pa.int64())),
-        }
-
-    kinds = {"digest": T.BinaryType(), "fp": T.LongType(), "more": T.LongType(), "size": T.LongType(), "prefix": T.ArrayType(T.LongType())}
-    return map_texts(texts, work, T.StructType([T.StructField(n, k) for n, k in kinds.items()]), keep=keep)
-
-
-class SetGroup:
-    """Texts of a group as sets of shingles, numbered 0, 1, 2..."""
-
-    def __init__(self, sets: list[np.ndarray]) -> None:
-        self.sizes = np.array([len(s) for s in sets], np.int64)
-        self.bounds = np.concatenate([[0], np.cumsum(self.sizes)])
-        self.items = np.unique(np.concatenate(sets), return_inverse=True)[1]
-        self.marks = np.zeros(int(self.items.max(initial=-1)) + 1, bool)
-
-    def similarity(self, one: int, others: np.ndarray) -> np.ndarray:
-        """Jaccard similarity of one set to others; none is empty."""
-        own = self.items[self.bounds[one] : self.bounds[one + 1]]
-        self.marks[own] = True
-        places, starts = gather(self.bounds, others)
-        both = np.add.reduceat(self.marks[self.items[places]].astype(np.int64), starts[:-1])
-        self.marks[own] = False
-        return both / (self.sizes[one] + self.sizes[others] - both)
-
-
-def set_links(node: np.ndarray, fp: np.ndarray, more: np.ndarray, sets: list[np.ndarray], reach: Reach, similarity: float) -> list[tuple[int, int]]:
-    """A forest of links among the texts of a group; only sets whose fingerprints are near are compared."""
-    group, left, links = SetGroup(sets), np.unique(node, return_index=True)[1], []
-    while len(left) > 1:
-        front, left = [left[0]], left[1:]
-        while front and len(left):
-            own = front.pop()
-            maybe = reach.near(fp[own], more[own], fp[left], more[left])
-            maybe &= np.minimum(group.sizes[own], group.sizes[left]) >= similarity * np.maximum(group.sizes[own], group.sizes[left]) - 1e-6
-            at = np.flatnonzero(maybe)
-            # a slice at a time, so that what is gathered stays small
-            for start in range(0, len(at), 1_024):
-                some = at[start : start + 1_024]
-                maybe[some] = group.similarity(own, left[some]) >= similarity
-            links += [(int(node[own]), int(node[k])) for k in left[maybe]]
-            front += left[maybe].tolist()
-            left = left[~maybe]
-    return links
-
-
-_SET_GROUP = ["root", "one", "two"]
-
-
-def _confirm(batches: Iterator[pa.RecordBatch], reach: Reach, similarity: float) -> Iterator[pa.RecordBatch]:
-    """Links of sorted groups of sets; a group may go on in the next batch."""
-
-    def links(rows: list[tuple]) -> pa.RecordBatch:
-        node = np.array([r[0] for r in rows], np.int64)
-        fp, more = (np.array([r[k] for r in rows], np.int64).view(np.uint64) for k in (1, 2))
-        found = set_links(node, fp, more, [r[3] for r in rows], reach, similarity)
-        return pa.RecordBatch.from_pydict({k: pa.array([x[n] for x in found], pa.int64()) for n, k in enumerate("ab")})
-
-    held, of = [], None
-    for batch in batches:
-        groups = zip(*(batch.column(c).to_pylist() for c in _SET_GROUP), strict=True)
-        numbers = zip(*(batch.column(c).to_pylist() for c in _NODE), strict=True)
-        for k, (group, row) in enumerate(zip(groups, numbers, strict=True)):
-            if group != of and len(held) > 1:
-                yield links(held)
-            if group != of:
-                held, of = [], group
-            held.append((*row, batch.column("shingles")[k].values.to_numpy().copy()))
-    if len(held) > 1:
-        yield links(held)
-
-
-def jaccard_links(firsts: DataFrame, texts: DataFrame, words: int, similarity: float, work_dir: str, block: int = BLOCK) -> DataFrame:
-    """``a, b``: a forest that connects the ``node`` of texts with ``similarity`` or more.
-
-    ``firsts`` has ``node, row, fp, more, size, prefix`` of every set of shingles once, ``texts`` the ``row, text`` of each ``row``.
-    """
-    reach = Reach(BITS, most_bits(similarity, 2 * BITS))
-    keys = firsts.select(F.lit(0).alias("part"), F.explode("prefix").alias("value"), *_NODE)
-    # a shingle that no other text has among its first brings nothing
-    sizes = keys.groupBy("value").agg(F.count("*").alias("n")).filter("n > 1")
-    maybe = components(_group_forest(keys.join(sizes, "value"), block, reach), f"{work_dir}/candidates")
-    maybe = stage(firsts.drop("prefix").join(maybe, "node"), work_dir, "candidates-found")
-    total = maybe.groupBy("root").agg(F.sum("size").alias("total")).filter(F.col("total") > SET_BLOCK)
-
-    def sets(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-        found = [shingle_set(text, words).view(np.int64) for text in batch.column("text").to_pylist()]
-        return {"shingles": pa.array(found, pa.list_(pa.int64()))}
-
-    read = texts.join(maybe.join(total, "root", "left"), "row")
-    read = map_texts(read, sets, T.StructType([T.StructField("shingles", T.ArrayType(T.LongType()))]), keep=("root", "total", *_NODE))
-    blocks = F.ceil(F.coalesce("total", F.lit(1)) / F.lit(SET_BLOCK)).cast("int")
-    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    paired = read.select("root", *_NODE, "shingles", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
-    grouped = paired.select("root", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), *_NODE, "shingles")
-    sorted_groups = grouped.repartition(*_SET_GROUP).sortWithinPartitions(*_SET_GROUP)
-    return sorted_groups.mapInArrow(lambda b: _confirm(b, reach, similarity), "a long, b long")
-
-
 def deduplicated(
     docs: DataFrame,
-    words: int = 5,
-    similarity: float = 0.8,
+    words: int = 3,
+    radius: int = RADIUS,
+    parts: int = PARTS,
     id_col: str = "doc_id",
     text_col: str = "text",
     work_dir: str | None = None,
 ) -> DataFrame:
-    """The rows that stay when of each group of near copies the one with the smallest id does; all columns.
+    """The rows that stay when of each group of near copies (as in :func:`near_duplicates`) one does; all columns.
 
-    Linked are texts whose sets of shingles have a Jaccard similarity of ``similarity`` or more, and no others; groups are
-    what links can reach. Of several rows with the smallest id exactly one stays; a null id stays last. Texts are read for
-    their prints, for the sets of candidates and for the rows that stay, and are not written in between.
+    The one with the smallest id stays; of several rows with that id exactly one does, and a row with a null id only where
+    no other id is in the group. Texts are read for their fingerprints and for the rows that stay, and are not written in between.
     """
     work_dir = work_dir or new_work_dir(docs.sparkSession, "simhash")
     own_id, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`").alias("text")
     # all that tells rows apart; equal rows are interchangeable
     key = F.struct(own_id.isNull().alias("none"), own_id.alias("id"), row_hash(docs).alias("row"))
-    prints = stage(set_prints(docs.select(key.alias("key"), text), words, similarity, ("key",)), work_dir, "prints")
-    alike = prints.groupBy("digest").agg(F.min(F.struct("key", "fp", "more", "size", "prefix")).alias("first"))
-    alike = alike.select("first.*").select(F.col("key").alias("first"), F.col("key.row").alias("row"), "fp", "more", "size", "prefix")
-    # written down, so that the nodes keep their numbers
-    firsts = stage(alike.withColumn("node", F.monotonically_increasing_id()), work_dir, "firsts")
-    links = jaccard_links(firsts, docs.select(key["row"].alias("row"), text), words, similarity, work_dir)
-    roots = components(links, work_dir).withColumnRenamed("root", "linked")
-    rooted = firsts.select("node", "first").join(roots, "node", "left").select("first", F.coalesce("linked", "node").alias("root"))
-    stay = stage(rooted.groupBy("root").agg(F.min("first").alias("stays")).select("stays"), work_dir, "stay")
+    hashed = stage(fingerprints(docs.select(key.alias("key"), text), words, "text", ("key",)), work_dir, "fingerprints")
+    stay = stage(_classes(hashed, work_dir, radius, parts).select("name").distinct(), work_dir, "stay")
     # columns are numbered, so that none clashes with the one that is added
-    columns = docs.columns
-    numbered = [F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(columns)]
-    row = docs.select(*numbered, key["row"].alias("row_"))
-    found = row.join(stay.select(F.col("stays.row").alias("row_")), "row_", "left_semi")
-    rows_alike = prints.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").join(stay, F.col("key") == F.col("stays"))
-    if not rows_alike.isEmpty():
+    numbered = [F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns)]
+    rows = docs.select(*numbered, key["row"].alias("row_"))
+    found = rows.join(stay.select(F.col("name.row").alias("row_")), "row_", "left_semi")
+    alike = hashed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").join(stay, F.col("key") == F.col("name"))
+    if not alike.isEmpty():
         found = found.dropDuplicates(["row_"])
-    return found.drop("row_").toDF(*columns)
+    return found.drop("row_").toDF(*docs.columns)
 
 
 def row_hash(df: DataFrame) -> Column:
-    """A text of 128 bits that tells rows apart by all their columns."""
+    """A text of 128 bits that tells rows apart by all their columns, nulls and their places included."""
     values = [F.col(f"`{c}`") for c in df.columns]
-    return F.concat_ws("-", F.hex(F.xxhash64(*values)), F.hex(F.xxhash64(F.lit(1), *reversed(values), *values)))
+    # the hash passes over nulls
+    nulls = F.concat(*[F.when(v.isNull(), "1").otherwise("0") for v in values])
+    return F.concat_ws("-", F.hex(F.xxhash64(nulls, *values)), F.hex(F.xxhash64(F.lit(1), nulls, *reversed(values), *values)))
