@@ -6,7 +6,7 @@ before they are shuffled, so no step ever holds all copies of one record in one
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -64,16 +64,15 @@ def chunk_groups(rows: DataFrame, chunk_size: int) -> DataFrame:
     )
 
 
-def new_records(groups: DataFrame, seen: DataFrame, buckets: int | None = None) -> DataFrame:
+def new_records(groups: DataFrame, seen: DataFrame | Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``record_hash, position`` of the first copy of each record that is not stored yet.
 
-    The batch, one row per hash by then, is shuffled into the buckets of the stored hashes, which are only scanned: the
-    ones that the batch has are looked up in it, and then taken from it. Without ``buckets`` the stored side is shuffled too.
+    ``seen`` are the stored hashes, each once, or what keeps the rows whose hash is not stored. The batch has one row per
+    hash by then and is the side that is held in memory, part by part: stored hashes that it has are looked up in it.
     """
     firsts = groups.groupBy(RECORD_HASH).agg(F.min("position").alias("position"))
-    if buckets is not None:
-        firsts = firsts.repartition(buckets, RECORD_HASH)
-    # the batch is the side that is held in memory, bucket by bucket
+    if callable(seen):
+        return seen(firsts)
     known = already_seen(seen.select(RECORD_HASH), firsts.select(RECORD_HASH).hint("shuffle_hash"), RECORD_HASH)
     return not_seen(firsts, known.hint("shuffle_hash"), RECORD_HASH)
 

@@ -12,6 +12,8 @@ from rowfold.session import new_work_dir, stage
 # A position is ``row_group * ROW_GROUP_SPAN + index of the row in its group``: one bigint that sorts
 # like the pair. Room for 2^40 rows in a group and 2^23 groups.
 ROW_GROUP_SPAN = 1 << 40
+# Rows of a range, about.
+RANGE_ROWS = 2_000_000
 
 
 def row_group_of(position: Column) -> Column:
@@ -41,7 +43,8 @@ def row_positions(
     one row are spread over several ranges.
     """
     spark = df.sparkSession
-    shards = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # by the number of rows: a range is sorted by one task
+    shards = partitions or max(spark.sparkContext.defaultParallelism, -(-df.count() // RANGE_ROWS))
     tied = df.withColumn("_task", F.spark_partition_id())
     ranged = tied.repartitionByRange(shards, *order, "_task").sortWithinPartitions(*order, "_task").drop("_task")
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))

@@ -6,12 +6,11 @@ writes under its own number, which it claims first, and saves the state last. A
 that leaves nothing visible; its claim is lifted with :func:`lift_claim`, and the next load overwrites
 what is there.
 
-Stored hashes are kept in a table bucketed by hash, and only the batch is shuffled to meet them.
+Stored hashes are runs with membership filters (:mod:`rowfold.plans.seen`), so that a load opens few of them, or none.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -34,6 +33,9 @@ from rowfold.operators.dedup import (
 from rowfold.operators.distinct import distinct_by
 from rowfold.operators.joins import already_seen
 from rowfold.operators.positions import ROW_GROUP_SPAN
+from rowfold.operators.selection import can_rank, cut_at_rank, up_to
+from rowfold.plans import seen as stored
+from rowfold.plans.seen import SEEN_SCHEMA
 from rowfold.plans.state import (
     DONE,
     PENDING,
@@ -41,23 +43,26 @@ from rowfold.plans.state import (
     STATE_DEFAULTS,
     LoadState,
     LoadStore,
+    Run,
     claim,
     drop_claim,
+    drop_version,
     read_state,
     save_state,
+    update_state,
 )
+from rowfold.plans.sketches import SKETCH_SCHEMA, sketch_columns
 from rowfold.session import new_work_dir, path_exists, remove_work_dir, stage
-from rowfold.sinks.tables import bucketed_table, write_table
+from rowfold.sinks.tables import write_table
 from rowfold.sources.files import empty_table, read_or_empty, row_groups, with_file_position
 
 CHUNK_ROWS = 250_000
 # Names of the state rows that a caller need not choose.
 TASK = "load"
 FINAL_TASK = "totals"
-# Files of one step of a file load: a step is committed as a whole, and its file list is broadcast.
-STEP_FILES = 4_096
+# Files and bytes of one step of a file load: a step is committed as a whole, and its file list is broadcast.
+STEP_FILES, STEP_BYTES = 4_096, 64 << 30
 
-SEEN_SCHEMA = T.StructType([T.StructField(RECORD_HASH, T.BinaryType())])
 REPORT_SCHEMA = T.StructType(
     [
         T.StructField(name, T.LongType())
@@ -92,15 +97,15 @@ class DedupPlan:
 
 def plan_dedup(
     rows: DataFrame,
-    seen: DataFrame,
+    seen: DataFrame | Callable[[DataFrame], DataFrame],
     chunk_size: int,
     remaining: int | None = None,
     max_chunks: int | None = None,
     work_dir: str | None = None,
-    buckets: int | None = None,
 ) -> DedupPlan:
     """Decide which records of a batch are accepted, from its (hash, position) rows.
 
+    ``seen`` are the stored hashes, or what keeps the rows whose hash is not stored (:func:`rowfold.plans.seen.not_stored`).
     ``remaining`` is how many records the cap still allows. The chunk that reaches it is the last one
     reported; its records beyond the cap are counted as ``capped`` and are not remembered.
     """
@@ -112,7 +117,7 @@ def plan_dedup(
 
     columns = REPORT_SCHEMA.fieldNames()
     groups = stage(chunk_groups(rows, chunk_size), work_dir, "groups")
-    new = stage(new_records(groups, seen, buckets), work_dir, "new")
+    new = stage(new_records(groups, seen), work_dir, "new")
     progress = stage(with_progress(chunk_report(groups, new, chunk_size)), work_dir, "progress")
 
     reached = F.lit(False)
@@ -191,36 +196,46 @@ def accepted_at(placed: DataFrame, plan: DedupPlan, columns: Sequence[str], whol
 # --- stored hashes
 
 
-def _seen_table(spark: SparkSession, store: LoadStore, state: LoadState) -> str:
-    """The catalogue name of the store's bucketed hashes; registered in each session that uses them."""
-    path = store.seen(state.generation)
-    name = f"seen_{hashlib.md5(path.encode()).hexdigest()}"
-    schema = T.StructType([*SEEN_SCHEMA.fields, T.StructField("attempt", T.StringType())])
-    return bucketed_table(spark, name, path, schema, RECORD_HASH, store.buckets)
-
-
 def seen_hashes(spark: SparkSession, store: LoadStore, state: LoadState | None = None) -> DataFrame:
-    """Hashes of all committed records, each once; those of lost attempts are not among the committed ones."""
-    state = state or read_state(spark, store)
-    table = spark.table(_seen_table(spark, store, state))
-    # one entry for each load since the hashes were compacted
-    return table.filter(F.col("attempt").isin(state.attempts)).select(RECORD_HASH)
+    """Hashes of all committed records, each once; runs of lost attempts are not among the committed ones."""
+    return stored.seen_hashes(spark, store, state or read_state(spark, store))
 
 
 def compact_seen(spark: SparkSession, store: LoadStore) -> None:
-    """Write all committed hashes anew as one file for each bucket; the old files stay until they are removed.
+    """Merge all runs into one; loads merge runs of one size by themselves.
 
     Claims a load number like any other writer, so that no load runs meanwhile.
     """
     state = read_state(spark, store)
-    if not state.rows:
+    if not state.rows or len(state.runs) < 2:
         return
     number = state.visible[1] + 1
     attempt = claim(spark, store, number)
-    after = LoadState(state.version, state.rows, state.generation + 1, [attempt])
-    hashes = seen_hashes(spark, store, state).withColumn("attempt", F.lit(attempt))
-    hashes.repartition(store.buckets, RECORD_HASH).write.insertInto(_seen_table(spark, store, after))
-    save_state(spark, store, after, *[row | {"last_load": number} for row in state.rows.values()])
+    stored.write_run(spark, store, attempt, empty_table(spark, SEEN_SCHEMA), state.runs)
+    run = Run(attempt, sum(r.records for r in state.runs))
+    _save(spark, store, state, number, [run], [r.id for r in state.runs], lambda rows: [r | {"last_load": number} for r in rows.values()])
+
+
+def _save(
+    spark: SparkSession,
+    store: LoadStore,
+    state: LoadState,
+    number: int,
+    runs: list[Run],
+    retired: list[str],
+    rows: Callable[[dict[str, dict]], list[dict]],
+) -> LoadState:
+    """Make a claimed number current; rows of other tasks that were saved meanwhile are kept."""
+
+    def change(now: LoadState) -> tuple[LoadState, list[dict]]:
+        if now.visible[1] >= number or now.runs != state.runs:
+            raise RuntimeError(f"load {number} of {store.root} was overtaken by another writer")
+        return LoadState(now.version, now.rows, runs, retired), rows(now.rows)
+
+    saved = update_state(spark, store, change)
+    # nobody reads the state before the last one any more
+    stored.remove_runs(spark, store, state.retired)
+    return saved
 
 
 # --- contract, claims and commits
@@ -239,34 +254,52 @@ def _commit(
     state: LoadState,
     row: dict,
     partition_by: Sequence[str],
+    sketches: Sequence[str] = (),
 ) -> tuple[LoadState, dict]:
     """Claim a number, write rows, hashes and report under it, then the state that makes them visible."""
     number = state.visible[1] + 1
     attempt = claim(spark, store, number)
-    if partition_by:
-        rows = rows.hint("rebalance", *partition_by)
-    hashes = plan.accepted.select(RECORD_HASH, F.lit(attempt).alias("attempt")).repartition(store.buckets, RECORD_HASH)
-    seen = _seen_table(spark, store, state)
+    wide = rows.hint("rebalance", *partition_by) if partition_by else rows
+    merged = stored.to_merge(state.runs, plan.unique) if plan.unique else []
     writes: list[Callable[[], None]] = [
-        lambda: write_table(rows, f"{store.target}/load={number}", "overwrite", partition_by=partition_by),
-        lambda: hashes.write.insertInto(seen),
+        lambda: write_table(wide, f"{store.target}/load={number}", "overwrite", partition_by=partition_by),
         lambda: write_table(plan.report, f"{store.report}/load={number}", "overwrite"),
     ]
+    if plan.unique:
+        writes.append(lambda: stored.write_run(spark, store, attempt, plan.accepted, merged))
     with ThreadPoolExecutor(len(writes)) as pool:
-        # three independent Spark jobs; list() raises what any of them raised
+        # independent Spark jobs; list() raises what any of them raised
         list(pool.map(lambda write: write(), writes))
+    if sketches:
+        # of the rows as they were written, a narrow scan
+        written = spark.read.schema(rows.schema).parquet(f"{store.target}/load={number}")
+        write_table(sketch_columns(written, sketches), f"{store.sketches}/load={number}", "overwrite")
     row = row | {
         "total_unique_records": row["total_unique_records"] + plan.unique,
         "total_duplicate_records": row["total_duplicate_records"] + plan.duplicates,
         "last_load": number,
     }
-    attempts = [*state.attempts, attempt]
-    return save_state(spark, store, LoadState(state.version, state.rows, state.generation, attempts), row), row
+    runs = [r for r in state.runs if r not in merged]
+    if plan.unique:
+        runs.append(Run(attempt, plan.unique + sum(r.records for r in merged)))
+    return _save(spark, store, state, number, runs, [r.id for r in merged], lambda _: [row]), row
 
 
 def lift_claim(spark: SparkSession, store: LoadStore) -> bool:
-    """Free the number claimed by a load that died; never call it while a load runs. False if none is claimed."""
-    return drop_claim(spark, store, read_state(spark, store).visible[1] + 1)
+    """Free the number and the state claimed by a load that died; never call it while a load runs. False if none is claimed."""
+    saving = drop_version(spark, store)
+    return drop_claim(spark, store, read_state(spark, store).visible[1] + 1) or saving
+
+
+def _finish(spark: SparkSession, store: LoadStore, row: dict) -> None:
+    """Save that a batch is done which brings no load."""
+
+    def change(now: LoadState) -> tuple[LoadState, list[dict]]:
+        # loads of other tasks may have come in between
+        base, last = now.visible
+        return now, [row | {"base_load": max(base, row["base_load"]), "last_load": max(last, row["last_load"])}]
+
+    update_state(spark, store, change)
 
 
 def _begin(
@@ -326,6 +359,7 @@ def load_table(
     algorithm: str = "sha256",
     partition_by: Sequence[str] = (),
     sequence: int | None = None,
+    sketches: Sequence[str] = (),
 ) -> dict:
     """Load any table whose arrival order is given by columns; returns the task's state row.
 
@@ -340,27 +374,56 @@ def load_table(
         return row
     if _full(cap, row):
         row["status"] = DONE
-        save_state(spark, store, state, row)
+        _finish(spark, store, row)
         return row
     work_dir = new_work_dir(spark, "load")
     numbered = store.numbered(task, batch_id)
+    unseen = stored.not_stored(spark, store, state, work_dir)
     if max_chunks is None and not path_exists(spark, f"{numbered}/rows/_SUCCESS"):
-        rows = ordered_rows(batch, order, columns, algorithm, work_dir)
+        part, plan = _capped_plan(batch, order, columns, algorithm, unseen, chunk_size, _remaining(cap, row), work_dir)
     else:
         if not path_exists(spark, f"{numbered}/rows/_SUCCESS"):
             write_table(ordered_rows(batch, order, columns, algorithm, work_dir), f"{numbered}/rows", "overwrite")
-        rows = spark.read.parquet(f"{numbered}/rows")
-    hashed = after_cursor(rows, chunk_size, row)
-    plan = plan_dedup(hashed, seen_hashes(spark, store, state), chunk_size, _remaining(cap, row), max_chunks, work_dir, store.buckets)
-    found = accepted_rows(batch, plan, columns, algorithm, whole_batch=row["last_processed_chunk"] == 0)
+        hashed = after_cursor(spark.read.parquet(f"{numbered}/rows"), chunk_size, row)
+        part, plan = batch, plan_dedup(hashed, unseen, chunk_size, _remaining(cap, row), max_chunks, work_dir)
+    found = accepted_rows(part, plan, columns, algorithm, whole_batch=row["last_processed_chunk"] == 0)
     _move_cursor(row, plan, cap, end=1, whole=True)
-    _, row = _commit(spark, store, plan, found.drop(RECORD_HASH), state, row, partition_by)
+    _, row = _commit(spark, store, plan, found.drop(RECORD_HASH), state, row, partition_by, sketches)
     if row["status"] == DONE and path_exists(spark, numbered):
         remove_work_dir(spark, numbered)
     remove_work_dir(spark, work_dir)
     return row
 
 
+def _capped_plan(
+    batch: DataFrame,
+    order: Sequence[str],
+    columns: Sequence[str],
+    algorithm: str,
+    unseen: Callable[[DataFrame], DataFrame],
+    chunk_size: int,
+    remaining: int | None,
+    work_dir: str,
+) -> tuple[DataFrame, DedupPlan]:
+    """The plan of a batch, and the part of it that it covers: with a cap, what lies before a cut of the order key.
+
+    The first rows up to a key have the same positions as among all rows. As many are taken as the cap allows records, and a
+    chunk; if the cap lies further behind, twice as many, and so on. Only those are hashed and sorted.
+    """
+    cut, wanted = None, None
+    if remaining is not None and can_rank(batch, order[0]):
+        wanted = (-(-remaining // chunk_size) + 1) * chunk_size
+    while True:
+        step_dir = f"{work_dir}/up-to-{wanted}"
+        cut = cut_at_rank(batch, order[0], wanted) if wanted is not None else None
+        part = up_to(batch, order[0], cut) if cut is not None else batch
+        plan = plan_dedup(ordered_rows(part, order, columns, algorithm, step_dir), unseen, chunk_size, remaining, work_dir=step_dir)
+        # the chunk that reaches the cap has to be whole
+        if cut is None or (plan.stopped_at is not None and cut.rows >= (plan.stopped_at[1] + 1) * chunk_size):
+            return part, plan
+        wanted = 2 * cut.rows
+
+
 def load_files(
     spark: SparkSession,
     path: str,
@@ -375,6 +438,8 @@ def load_files(
     algorithm: str = "sha256",
     partition_by: Sequence[str] = (),
     step_files: int = STEP_FILES,
+    step_bytes: int = STEP_BYTES,
+    sketches: Sequence[str] = (),
     on_step: Callable[[dict], None] | None = None,
 ) -> dict:
     """Load Parquet files in path order; a file is a row group and positions come from the scan.
@@ -389,23 +454,23 @@ def load_files(
     if _full(cap, row):
         if row["status"] != DONE:
             row["status"] = DONE
-            save_state(spark, store, state, row)
+            _finish(spark, store, row)
         return row
     work_dir = new_work_dir(spark, "load")
     files = spark.read.parquet(path)
-    groups = stage(row_groups(files), work_dir, "files")
+    groups = stage(row_groups(files, path), work_dir, "files")
     count = groups.count()
     _check_cursor(groups, row)
     left, committed = max_chunks, False
     while row["last_processed_row_group"] < count and left != 0:
         start = row["last_processed_row_group"]
         # a step of few chunks needs no more files than these can reach
-        stop = min(count, start + (step_files if left is None else min(step_files, left)))
+        stop = min(count, start + (step_files if left is None else min(step_files, left)), _reach(groups, start, step_bytes))
         step_dir = f"{work_dir}/step-{start}-{row['last_processed_chunk']}"
         plan, before = _step(spark, files, groups, store, state, row, columns, chunk_size, cap, left, algorithm, start, stop, step_dir)
         _move_cursor(row, plan, cap, end=stop, whole=stop == count)
         row["last_file"] = _file_at(groups, row["last_processed_row_group"] - 1)
-        state, row = _commit(spark, store, plan, before, state, row, partition_by)
+        state, row = _commit(spark, store, plan, before, state, row, partition_by, sketches)
         committed = True
         remove_work_dir(spark, step_dir)
         if left is not None:
@@ -417,17 +482,26 @@ def load_files(
     if not committed:
         row["status"] = DONE
         if count == 0 or state.of(task)["status"] != DONE:
-            save_state(spark, store, state, row)
+            _finish(spark, store, row)
     remove_work_dir(spark, work_dir)
     return row
 
 
+def _reach(groups: DataFrame, start: int, size: int) -> int:
+    """The number of the first file that the bytes of one step do not reach; at least one file is taken."""
+    before = groups.filter(F.col("row_group") == start).select("bytes_before").first()[0]
+    inside = groups.filter((F.col("row_group") > start) & (F.col("bytes_before") + F.col("bytes") > before + size))
+    first = inside.agg(F.min("row_group")).first()[0]
+    return groups.count() if first is None else first
+
+
 def _step(spark, files, groups, store, state, row, columns, chunk_size, cap, max_chunks, algorithm, start, stop, work_dir):
     """Plan and accepted rows of the files ``start`` to ``stop``."""
     inside = groups.filter((F.col("row_group") >= start) & (F.col("row_group") < stop))
     placed = with_file_position(files, inside, stop - start)
     hashed = after_cursor(hashed_rows(placed, columns, algorithm), chunk_size, row)
-    plan = plan_dedup(hashed, seen_hashes(spark, store, state), chunk_size, _remaining(cap, row), max_chunks, work_dir, store.buckets)
+    unseen = stored.not_stored(spark, store, state, work_dir)
+    plan = plan_dedup(hashed, unseen, chunk_size, _remaining(cap, row), max_chunks, work_dir)
     return plan, accepted_at(placed, plan, columns, whole_batch=row["last_processed_chunk"] == 0)
 
 
@@ -483,6 +557,12 @@ def load_reports(spark: SparkSession, store: LoadStore) -> DataFrame:
     return _visible(spark, store, store.report, REPORT_SCHEMA)
 
 
+def load_sketches(spark: SparkSession, store: LoadStore) -> DataFrame:
+    """``column, hll, theta, load`` of all committed loads that were asked for sketches; unite them with
+    :func:`rowfold.plans.sketches.distinct_counts`."""
+    return _visible(spark, store, store.sketches, SKETCH_SCHEMA)
+
+
 def report_totals(report: DataFrame) -> DataFrame:
     duplicates = F.col("in_chunk") + F.col("hash_dedup") + F.col("already")
     return report.agg(
@@ -495,24 +575,32 @@ def report_totals(report: DataFrame) -> DataFrame:
 
 def finalize_load(spark: SparkSession, store: LoadStore, task: str = FINAL_TASK) -> dict:
     """Save the totals of all committed reports as a state row of their own."""
-    totals = report_totals(load_reports(spark, store)).first()
-    state = read_state(spark, store)
-    row = state.of(task) | {"status": DONE}
-    row["total_unique_records"] = totals["total_unique_records"]
-    row["total_duplicate_records"] = totals["total_duplicate_records"]
-    save_state(spark, store, state, row)
-    return row
+    saved: dict = {}
+
+    def change(now: LoadState) -> tuple[LoadState, list[dict]]:
+        # of the loads of the very state that the row is saved into
+        totals = report_totals(_visible(spark, store, store.report, REPORT_SCHEMA, now)).first()
+        saved.update(now.of(task) | {"status": DONE})
+        saved.update({c: totals[c] for c in ("total_unique_records", "total_duplicate_records")})
+        return now, [saved]
+
+    update_state(spark, store, change)
+    return dict(saved)
 
 
 def reset_load(spark: SparkSession, store: LoadStore) -> None:
-    """Empty the store: one state save hides all loads, then their files are overwritten with nothing."""
+    """Empty the store: one state save hides all loads, then their files are overwritten with nothing.
+
+    Claims a load number, so it fails while a load runs.
+    """
     state = read_state(spark, store)
     _, last = state.visible
     if last == 0:
         return
-    empty = {**STATE_DEFAULTS, "status": PENDING, "base_load": last, "last_load": last}
-    after = LoadState(state.version, state.rows, state.generation + 1, [])
-    save_state(spark, store, after, *[{"task": task, **empty} for task in state.rows])
+    number = last + 1
+    claim(spark, store, number)
+    empty = {**STATE_DEFAULTS, "status": PENDING, "base_load": number, "last_load": number}
+    _save(spark, store, state, number, [], [r.id for r in state.runs], lambda rows: [{"task": task, **empty} for task in rows])
     hollow = empty_table(spark, T.StructType([*SEEN_SCHEMA.fields, _LOAD]))
     for path in (store.target, store.report):
         write_table(hollow, path, "overwrite", partition_by=["load"])

@@ -7,7 +7,9 @@ a writer that dies half-way leaves the current version whole.
 from __future__ import annotations
 
 import hashlib
+import time
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from py4j.protocol import Py4JJavaError
@@ -41,9 +43,11 @@ _LOG_SCHEMA = T.StructType(
     [
         *STATE_SCHEMA.fields,
         T.StructField("version", T.LongType()),
-        # which of the hash tables is in use, and the attempts whose hashes in it are committed
-        T.StructField("generation", T.LongType()),
-        T.StructField("attempts", T.ArrayType(T.StringType())),
+        # the runs of stored hashes, with their sizes, and those that were merged into them by the last commit
+        T.StructField(
+            "runs", T.ArrayType(T.StructType([T.StructField("id", T.StringType()), T.StructField("records", T.LongType())]))
+        ),
+        T.StructField("retired", T.ArrayType(T.StringType())),
         T.StructField("slot", T.IntegerType()),
     ]
 )
@@ -76,8 +80,11 @@ class LoadStore:
     def target(self) -> str:
         return f"{self.root}/target"
 
-    def seen(self, generation: int) -> str:
-        return f"{self.root}/seen/{generation}"
+    def run(self, run: str) -> str:
+        return f"{self.root}/seen/{run}"
+
+    def filters(self, run: str) -> str:
+        return f"{self.root}/filters/{run}"
 
     def numbered(self, task: str, batch_id: str) -> str:
         """Numbered hashes of a batch that is loaded in steps."""
@@ -86,23 +93,42 @@ class LoadStore:
     def claim(self, number: int) -> str:
         return f"{self.root}/claims/{number}"
 
+    def version(self, number: int) -> str:
+        return f"{self.root}/versions/{number}"
+
     @property
     def report(self) -> str:
         return f"{self.root}/report"
 
+    @property
+    def sketches(self) -> str:
+        return f"{self.root}/sketches"
+
     @property
     def state(self) -> str:
         return f"{self.root}/state"
 
 
+class StateMoved(RuntimeError):
+    """Another writer saved a state, or is about to, since the one at hand was read."""
+
+
+@dataclass(frozen=True)
+class Run:
+    """Stored hashes that were written together."""
+
+    id: str
+    records: int
+
+
 @dataclass
 class LoadState:
     """The current state version: one dict per task, as few rows as there are tasks."""
 
     version: int
     rows: dict[str, dict]
-    generation: int = 0
-    attempts: list[str] = field(default_factory=list)
+    runs: list[Run] = field(default_factory=list)
+    retired: list[str] = field(default_factory=list)
 
     @property
     def contract(self) -> str | None:
@@ -126,21 +152,62 @@ def read_state(spark: SparkSession, store: LoadStore) -> LoadState:
     names = STATE_SCHEMA.fieldNames()
     current = [{n: r[n] for n in names} for r in log if r["version"] == version]
     own = next((r for r in log if r["version"] == version), None)
-    generation, attempts = (own["generation"], own["attempts"]) if own else (0, [])
-    return LoadState(version, {r["task"]: r for r in current}, generation, list(attempts))
+    runs = [Run(r["id"], r["records"]) for r in own["runs"]] if own else []
+    return LoadState(version, {r["task"]: r for r in current}, runs, list(own["retired"]) if own else [])
 
 
 def save_state(spark: SparkSession, store: LoadStore, state: LoadState, *changed: dict) -> LoadState:
-    """Upsert rows by task and make the result the current version."""
+    """Upsert rows by task and make the result the current version, if the one it was made from still is.
+
+    A version is claimed by a file that must not exist yet, so of two writers with one version at hand the second fails
+    with :class:`StateMoved`. Old claims are removed; a writer that is far behind gets one of these, but then sees the newer state.
+    A writer that dies between claim and save holds the next version until :func:`drop_version` lifts its claim.
+    """
     changes = {r["task"]: dict(r) for r in changed}
-    saved = LoadState(state.version + 1, {**state.rows, **changes}, state.generation, state.attempts)
-    last = saved.version, saved.generation, saved.attempts
-    rows = [(*[r[n] for n in STATE_SCHEMA.fieldNames()], *last) for r in saved.rows.values()]
+    saved = LoadState(state.version + 1, {**state.rows, **changes}, state.runs, state.retired)
+    own = store.version(saved.version)
+    try:
+        create_new(spark, own, "")
+    except Py4JJavaError as error:
+        if not path_exists(spark, own):
+            raise
+        raise StateMoved(f"state {saved.version} of {store.root} belongs to another writer, or to one that died") from error
+    if read_state(spark, store).version != state.version:
+        remove_work_dir(spark, own)
+        raise StateMoved(f"state {state.version} of {store.root} is no longer the current one")
+    runs = [(r.id, r.records) for r in saved.runs]
+    rows = [(*[r[n] for n in STATE_SCHEMA.fieldNames()], saved.version, runs, saved.retired) for r in saved.rows.values()]
     table = spark.createDataFrame(rows, T.StructType(_LOG_SCHEMA.fields[:-1]))
     table.coalesce(1).write.mode("overwrite").parquet(f"{store.state}/slot={saved.version % 2}")
+    if path_exists(spark, store.version(saved.version - 2)):
+        remove_work_dir(spark, store.version(saved.version - 2))
     return saved
 
 
+def update_state(
+    spark: SparkSession, store: LoadStore, change: Callable[[LoadState], tuple[LoadState, list[dict]]], tries: int = 20
+) -> LoadState:
+    """Save what ``change`` makes of the current state; another writer's save in between is taken in by asking it again."""
+    for left in reversed(range(tries)):
+        after, rows = change(read_state(spark, store))
+        try:
+            return save_state(spark, store, after, *rows)
+        except StateMoved:
+            if not left:
+                raise
+            time.sleep(0.2)
+    raise ValueError("no tries")
+
+
+def drop_version(spark: SparkSession, store: LoadStore) -> bool:
+    """Lift the claim of a writer that died while it saved the state."""
+    own = store.version(read_state(spark, store).version + 1)
+    found = path_exists(spark, own)
+    if found:
+        remove_work_dir(spark, own)
+    return found
+
+
 def state_table(spark: SparkSession, store: LoadStore) -> DataFrame:
     """The current state as a table."""
     rows = read_state(spark, store).rows.values()

@@ -11,11 +11,13 @@ from rowfold.plans.load import (
     finalize_load,
     load_files,
     load_reports,
+    load_sketches,
     load_table,
     loaded_rows,
     plan_dedup,
 )
-from rowfold.plans.state import LoadStore, state_table
+from rowfold.plans.sketches import distinct_counts, new_values
+from rowfold.plans.state import LoadStore, read_state, state_table
 from rowfold.registry import query, table, table_path
 from rowfold.session import new_work_dir
 from rowfold.sources.files import empty_table
@@ -189,3 +191,77 @@ def second_load_report(spark, sf_dir):
     last = load_reports(spark, store)
     last = last.join(last.agg(F.max("load").alias("load")), "load", "left_semi")
     return last.select("row_group", "chunk", "rows", "in_chunk", "already", "new")
+
+
+@query(
+    "filtered_load",
+    """WITH parts AS (SELECT *, CASE WHEN l_orderkey % 2 = 0 THEN 1 ELSE 2 END AS load FROM lineitem),
+        counts AS (SELECT load, count(*) AS rows, count(DISTINCT (l_orderkey, l_linenumber)) AS new FROM parts GROUP BY load)
+       SELECT CAST(load AS BIGINT) AS load, rows, rows - new AS duplicates, new FROM counts""",
+)
+def filtered_load(spark, sf_dir):
+    """Lines of even orders, then those of odd ones: all keys of the second load are new, and no run is opened for them."""
+    store = _store(spark)
+    lines = _lines(spark, sf_dir).select(*ORDER)
+    for name, part in (("even", lines.filter("l_orderkey % 2 = 0")), ("odd", lines.filter("l_orderkey % 2 <> 0"))):
+        load_table(part, ORDER, store, name, KEYS, chunk_size=CHUNK)
+    duplicates = F.sum(F.col("in_chunk") + F.col("hash_dedup") + F.col("already")).alias("duplicates")
+    return load_reports(spark, store).groupBy("load").agg(F.sum("rows").alias("rows"), duplicates, F.sum("new").alias("new"))
+
+
+PARTS = 9
+
+
+@query(
+    "many_loads",
+    f"""SELECT CAST({PARTS} AS BIGINT) AS loads, true AS few_runs, l_orderkey, l_linenumber
+       FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)""",
+)
+def many_loads(spark, sf_dir):
+    """The lines in parts by supplier, so that keys come in several of them: all rows, in few runs of hashes."""
+    store = _store(spark)
+    lines = _lines(spark, sf_dir).select(*ORDER, "l_suppkey")
+    for part in range(PARTS):
+        load_table(lines.filter(F.col("l_suppkey") % PARTS == part).drop("l_suppkey"), ORDER, store, f"part-{part}", KEYS, chunk_size=CHUNK)
+    few = len(read_state(spark, store).runs) <= 6
+    rows = loaded_rows(spark, store, lines.select(*KEYS).schema)
+    loads = load_reports(spark, store).select("load").distinct().count()
+    return rows.select(F.lit(loads).cast("bigint").alias("loads"), F.lit(few).alias("few_runs"), *KEYS)
+
+
+SKETCHED = ["o_orderkey", "o_custkey", "o_orderdate"]
+
+
+@query(
+    "load_sketches",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", count(DISTINCT {c}) AS exact, count(DISTINCT {c}) - count(DISTINCT {c}) FILTER (o_orderstatus = 'F')
+        AS exact_added, true AS distinct_in_bounds, true AS added_in_bounds FROM orders"""
+        for c in SKETCHED
+    ),
+)
+def load_sketches_of_orders(spark, sf_dir):
+    """Finished orders, then the others: distinct values and new ones by sketches alone, beside the exact counts."""
+    store = _store(spark)
+    orders = table(spark, sf_dir, "orders").select(*SKETCHED, "o_orderstatus")
+    finished = F.col("o_orderstatus") == "F"
+    for name, part in (("finished", orders.filter(finished)), ("open", orders.filter(~finished))):
+        load_table(part, ["o_orderkey"], store, name, SKETCHED, chunk_size=CHUNK, sketches=SKETCHED)
+    held = load_sketches(spark, store)
+    last = held.agg(F.max("load")).first()[0]
+    rows = loaded_rows(spark, store, orders.select(*SKETCHED).schema)
+    counts = []
+    for c in SKETCHED:
+        ends = rows.agg(F.countDistinct(c).alias("exact"), F.countDistinct(F.when(F.col("load") < last, F.col(c))).alias("before"))
+        counts.append(ends.select(F.lit(c).alias("column"), "exact", (F.col("exact") - F.col("before")).alias("exact_added")))
+    exact = counts[0].unionByName(counts[1]).unionByName(counts[2])
+    united = distinct_counts(held)
+    added = new_values(held, last).withColumnRenamed("error", "added_error")
+    met = exact.join(united, "column").join(added, "column")
+    return met.select(
+        "column",
+        "exact",
+        "exact_added",
+        (F.abs(F.col("distinct") - F.col("exact")) <= F.col("error")).alias("distinct_in_bounds"),
+        (F.abs(F.col("added") - F.col("exact_added")) <= F.col("added_error")).alias("added_in_bounds"),
+    )

@@ -16,6 +16,8 @@ DEFAULTS = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # Do not record a stack trace for every column expression built from Python.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # State of streams that outgrows memory, with timers.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # Remove checkpoint files of plans that are no longer referenced.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
@@ -79,6 +81,17 @@ def create_new(spark: SparkSession, path: str, content: str) -> None:
     out.close()
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file, such as one of :func:`create_new`."""
+    return "".join(r["value"] for r in spark.read.option("wholetext", True).text(path).collect())
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no such folder."""
+    folder, files = _folder(spark, path)
+    return [status.getPath().getName() for status in files.listStatus(folder)] if files.exists(folder) else []
+
+
 def make_dir(spark: SparkSession, path: str) -> None:
     folder, files = _folder(spark, path)
     files.mkdirs(folder)

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from rowfold.operators.positions import ROW_GROUP_SPAN
 from rowfold.session import path_exists
+from rowfold.sources.footers import can_read_footers, row_group_listing
 
 FILE_PATH = "_metadata.file_path"
 ROW_INDEX = "_metadata.row_index"
@@ -51,15 +52,25 @@ def scan_units(df: DataFrame) -> DataFrame:
     )
 
 
-def row_groups(df: DataFrame) -> DataFrame:
-    """One numbered group per file, in path order: ``row_group, file_path, rows``.
+def row_groups(df: DataFrame, path: str | None = None) -> DataFrame:
+    """One numbered group per file, in path order: ``row_group, file_path, rows, bytes, bytes_before``.
 
-    One task numbers the files, a row of some 100 bytes for each.
+    With ``path``, the folder that ``df`` reads, rows and bytes come from the footers and nothing is scanned; a folder that only
+    Spark's readers can open is scanned without any column, and has no bytes (0). One task numbers the files, a row of some
+    100 bytes for each. Files without rows are left out.
     """
-    files = df.select(F.col(FILE_PATH).alias("file_path")).groupBy("file_path").agg(F.count("*").alias("rows"))
+    if path is not None and can_read_footers(path):
+        listing = row_group_listing(df.sparkSession, path)
+        files = listing.groupBy("file_path").agg(F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes")).filter("rows > 0")
+    else:
+        files = df.select(F.col(FILE_PATH).alias("file_path")).groupBy("file_path").agg(F.count("*").alias("rows"))
+        files = files.withColumn("bytes", F.lit(0).cast("long"))
     # one row per file
-    number = F.row_number().over(Window.orderBy("file_path")) - F.lit(1)
-    return files.select(number.cast("bigint").alias("row_group"), "file_path", "rows")
+    by_path = Window.orderBy("file_path")
+    number, before = F.row_number().over(by_path) - F.lit(1), F.sum("bytes").over(by_path.rowsBetween(Window.unboundedPreceding, -1))
+    return files.select(
+        number.cast("bigint").alias("row_group"), "file_path", "rows", "bytes", F.coalesce(before, F.lit(0)).alias("bytes_before")
+    )
 
 
 def with_file_position(df: DataFrame, groups: DataFrame, group_count: int, name: str = "position") -> DataFrame:

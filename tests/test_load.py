@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import random
 import threading
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from pyspark.sql import types as T
 
 from rowfold.operators.dedup import chunk_groups, chunk_report, new_records, ordered_rows
 from rowfold.plans import load as load_module
+from rowfold.plans import seen as seen_module
 from rowfold.plans.load import (
     compact_seen,
     finalize_load,
@@ -23,7 +26,9 @@ from rowfold.plans.load import (
     reset_load,
     seen_hashes,
 )
-from rowfold.plans.state import DONE, RUNNING, LoadStore, read_state, state_table
+from rowfold.plans.seen import not_stored
+from rowfold.plans.state import DONE, RUNNING, LoadState, LoadStore, Run, StateMoved, claim, read_state, save_state, state_table
+from rowfold.session import create_new
 
 SCHEMA = T.StructType([T.StructField("seq", T.LongType()), T.StructField("name", T.StringType())])
 RECORD = T.StructType([SCHEMA["name"]])
@@ -180,7 +185,7 @@ def test_nothing_shows_before_the_state_is_saved(spark, store, monkeypatch):
         raise RuntimeError("lost")
 
     with monkeypatch.context() as patch:
-        patch.setattr(load_module, "save_state", fail)
+        patch.setattr(load_module, "update_state", fail)
         with pytest.raises(RuntimeError, match="lost"):
             load_table(table(spark, names), ["seq"], store, "b", ["name"])
     assert stored_names(spark, store) == before
@@ -257,24 +262,23 @@ def test_first_positions_are_narrow_and_combined_in_map_tasks(spark):
     plan = groups._jdf.queryExecution().executedPlan().toString()
     assert "partial_count(1)" in plan and "partial_min(position" in plan
     seen = spark.createDataFrame([(bytes([0]),), (bytes([9]),)], "record_hash binary")
-    for buckets in (None, 3):
-        assert sorted(r["position"] for r in new_records(groups, seen, buckets).collect()) == [1, 2, 3, 4]
+    assert sorted(r["position"] for r in new_records(groups, seen).collect()) == [1, 2, 3, 4]
 
 
-def test_stored_hashes_are_scanned_not_shuffled(spark, store):
+def test_stored_hashes_are_scanned_not_shuffled(spark, store, tmp_path):
     load_table(table(spark, draws(15, 60, 40)), ["seq"], store, "a", ["name"])
     batch = chunk_groups(ordered_rows(table(spark, draws(16, 60, 90)), ["seq"], ["name"]), 10)
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        new = new_records(batch, seen_hashes(spark, store), store.buckets)
+        new = new_records(batch, not_stored(spark, store, read_state(spark, store), str(tmp_path / "w")))
         expected = set(draws(16, 60, 90)) - set(draws(15, 60, 40))
         assert new.count() == len(expected)
         plan = new._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     lines = plan.splitlines()
-    scans = [i for i, line in enumerate(lines) if "FileScan" in line and "attempt" in line]
+    scans = [i for i, line in enumerate(lines) if "FileScan" in line and "Bucketed: true" in line]
     assert scans and "SelectedBucketsCount: 4 out of 4" in plan and "ShuffledHashJoin" in plan
     for i in scans:
         # between the scan and the join above it
@@ -282,18 +286,126 @@ def test_stored_hashes_are_scanned_not_shuffled(spark, store):
         assert not any("Exchange" in line for line in lines[above:i])
 
 
+def opened(monkeypatch):
+    """The files of runs that loads open from here on."""
+    files, real = [], seen_module.run_files
+
+    def note(*args):
+        held = real(*args)
+        files.extend(r[0] for r in held.select("_metadata.file_path").distinct().collect())
+        return held
+
+    monkeypatch.setattr(seen_module, "run_files", note)
+    return files
+
+
+def test_a_load_of_new_keys_opens_no_run_and_one_of_a_known_key_one_file(spark, store, monkeypatch):
+    for part in range(3):
+        load_table(spark.range(2000 * part, 2000 * part + 2000).selectExpr("id AS seq", "concat('k', id) AS name"), ["seq"], store, f"p{part}", ["name"])
+    files = opened(monkeypatch)
+    load_table(spark.range(9000, 13_000).selectExpr("id AS seq", "concat('k', id) AS name"), ["seq"], store, "new", ["name"])
+    assert files == []
+    load_table(table(spark, ["k4001", "fresh", None]), ["seq"], store, "one", ["name"])
+    assert len(files) == 1
+    assert reported(spark, store, 5) == [(0, 3, 0, 1, 2, 0)]
+    assert len(stored_names(spark, store)) == 10_002
+
+
+def test_filters_miss_nothing_and_cells_are_bounded(spark, store, monkeypatch, tmp_path):
+    """Several filter rows in a bucket, short hashes, all stored and none stored."""
+    monkeypatch.setattr(seen_module, "FILTER_ROWS", 100)
+    for algorithm in ("sha256", "xxhash64"):
+        own = LoadStore(f"{store.root}-{algorithm}", 4)
+        load_table(table(spark, [f"n{k}" for k in range(3000)]), ["seq"], own, "a", ["name"], algorithm=algorithm)
+        state = read_state(spark, own)
+        rows = seen_module.filter_rows(spark, own, state.runs)
+        assert rows.count() > 20 and rows.agg(F.max(F.octet_length("marks"))).first()[0] <= 400
+        known = seen_hashes(spark, own, state).withColumn("position", F.lit(1).cast("long"))
+        assert not_stored(spark, own, state, str(tmp_path / f"{algorithm}-known"))(known).count() == 0
+        others = spark.range(3000).select(F.unhex(F.sha2(F.concat(F.lit("other"), "id"), 256)).alias("record_hash"), F.col("id").alias("position"))
+        assert not_stored(spark, own, state, str(tmp_path / f"{algorithm}-others"))(others).count() == 3000
+
+
+def test_runs_stay_few_whatever_is_loaded():
+    for sizes in ([1000] * 400, [10**6, *[10] * 300], [random.Random(5).randrange(1, 10**6) for _ in range(400)], list(range(1, 300))):
+        runs, written, total = [], 0, 0
+        for number, size in enumerate(sizes):
+            merged = seen_module.to_merge(runs, size)
+            runs = [r for r in runs if r not in merged] + [Run(str(number), size + sum(r.records for r in merged))]
+            written, total = written + runs[-1].records, total + size
+            tiers = math.log(total, seen_module.FAN) + 1
+            assert len(runs) <= (seen_module.FAN - 1) * tiers and sum(r.records for r in runs) == total
+        # each hash is written anew once for each tier at most
+        assert written <= total * (tiers + 1)
+
+
+def test_many_loads_keep_few_runs_and_all_rows(spark, store):
+    names = draws(23, 240, 150)
+    for part in range(12):
+        load_table(table(spark, names[20 * part : 20 * part + 20]), ["seq"], store, f"p{part}", ["name"])
+    state = read_state(spark, store)
+    assert len(state.runs) <= 6 and sum(r.records for r in state.runs) == len(set(names))
+    assert stored_names(spark, store) == sorted(set(names))
+    # runs that were merged go with the commit after
+    held = {p.name for p in (Path(store.root.removeprefix("file://")) / "seen").iterdir()}
+    assert held <= {r.id for r in state.runs} | set(state.retired)
+
+
 def test_compaction_keeps_what_is_known(spark, store):
     names = draws(17, 40, 25)
-    for part in range(4):
-        load_table(table(spark, names[10 * part : 10 * part + 10]), ["seq"], store, f"p{part}", ["name"])
+    for part in range(2):
+        load_table(table(spark, names[20 * part : 20 * part + 20]), ["seq"], store, f"p{part}", ["name"])
     before = sorted(bytes(r[0]) for r in seen_hashes(spark, store).collect())
     compact_seen(spark, store)
     assert sorted(bytes(r[0]) for r in seen_hashes(spark, store).collect()) == before
-    assert read_state(spark, store).generation == 1 and len(read_state(spark, store).attempts) == 1
+    assert len(read_state(spark, store).runs) == 1
     load_table(table(spark, [*names, "new"]), ["seq"], store, "again", ["name"])
     assert stored_names(spark, store) == sorted({*names, "new"})
 
 
+def test_a_load_that_commits_during_finalize_is_not_lost(spark, store, monkeypatch):
+    """A second load commits between the reading and the saving of the totals: 20 rows stored, 20 visible."""
+    load_table(table(spark, [f"a{k}" for k in range(10)]), ["seq"], store, "one", ["name"])
+    real, between = load_module.report_totals, [True]
+
+    def late(report):
+        totals = real(report)
+        if between.pop() if between else False:
+            load_table(table(spark, [f"b{k}" for k in range(10)]), ["seq"], store, "two", ["name"])
+        return totals
+
+    monkeypatch.setattr(load_module, "report_totals", late)
+    row = finalize_load(spark, store)
+    assert row["total_unique_records"] == 20 and len(stored_names(spark, store)) == 20
+    load_table(table(spark, ["a1", "c"]), ["seq"], store, "three", ["name"])
+    assert len(stored_names(spark, store)) == 21
+
+
+def test_of_two_writers_with_one_state_the_second_fails(spark, store):
+    load_table(table(spark, ["a"]), ["seq"], store, "one", ["name"])
+    state = read_state(spark, store)
+    saved = save_state(spark, store, state, state.of("x") | {"total_unique_records": 1})
+    for stale in (state, LoadState(state.version - 1, {})):
+        with pytest.raises(StateMoved):
+            save_state(spark, store, stale, stale.of("y"))
+    assert read_state(spark, store).rows.keys() == saved.rows.keys() == {"load", "x"}
+    # a writer that died between claim and save, and its claim lifted
+    create_new(spark, store.version(saved.version + 1), "")
+    with pytest.raises(StateMoved):
+        save_state(spark, store, saved, saved.of("z"))
+    assert lift_claim(spark, store)
+    save_state(spark, store, saved, saved.of("z"))
+    assert set(read_state(spark, store).rows) == {"load", "x", "z"}
+
+
+def test_reset_waits_for_a_load_that_runs(spark, store):
+    load_table(table(spark, ["a"]), ["seq"], store, "one", ["name"])
+    claim(spark, store, 2)
+    with pytest.raises(RuntimeError, match="another writer"):
+        reset_load(spark, store)
+    assert stored_names(spark, store) == ["a"]
+
+
 def test_a_folder_that_has_grown_is_gone_on_with(spark, tmp_path, store):
     source = tmp_path / "source"
     names = draws(18, 40, 30)
