@@ -6,6 +6,7 @@ import time
 import uuid
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowfold.plans.load import load_reports, loaded_rows
 from rowfold.plans.replay import replay
@@ -15,19 +16,24 @@ from rowfold.registry.loads import load_buckets
 from rowfold.session import new_work_dir
 from rowfold.sinks.messages import publish_files
 from rowfold.sources.messages import read_text_messages
+from rowfold.sources.records import read_records
 from rowfold.streaming.messages import (
+    REPEATED,
     count_and_sample,
     count_to_table,
     counted_total,
     dedup_load_stream,
     distinct_stream,
     distinct_within,
+    fate_counts,
+    fates,
     finish,
     latest_count,
     matching,
     parse_messages,
     result_table,
     sampled_rows,
+    state_store,
     to_memory,
     to_table,
 )
@@ -164,13 +170,12 @@ def stream_dedup_watermark(spark, sf_dir):
         publish_files(part if high is None else part.filter(seconds <= high), f"{out}/messages", num_files=files)
     # a quarter of the time in each micro-batch
     rows = parse_messages(read_text_messages(spark, f"{out}/messages", files), events.schema)
-    finish(distinct_within(rows, ["user_id"], "ts", "1 day", f"{out}/result", f"{out}/checkpoint"))
-    counts = spark.read.parquet(f"{out}/result/counts").agg(
-        *[F.sum(c).alias(c) for c in ("rows", "kept", "late", "repeated")]
-    )
-    kept, late = (spark.read.parquet(f"{out}/result/{part}").select("user_id") for part in ("kept", "late"))
-    users = kept.unionByName(late).agg(F.countDistinct("user_id").alias("users"), F.count("*").alias("written"))
-    return counts.crossJoin(users).select(
+    with state_store(spark):
+        finish(distinct_within(rows, ["user_id"], "ts", "1 day", f"{out}/result", f"{out}/checkpoint"))
+    written = fates(spark, f"{out}/result", T.StructType([events.schema["user_id"]])).filter(F.col("_fate") != REPEATED)
+    users = written.agg(F.countDistinct("user_id").alias("users"), F.count("*").alias("written"))
+    # two rows of totals
+    return fate_counts(spark, f"{out}/result").crossJoin(users).select(
         F.col("rows").alias("events"),
         "users",
         (F.col("written") + F.col("repeated") == F.col("rows")).alias("all_accounted_for"),
@@ -227,3 +232,38 @@ def stream_continuous(spark, sf_dir):
     running.processAllAvailable()
     running.stop()
     return spark.read.schema(rows.schema).parquet(f"{out}/rows")
+
+
+ADMITTED = 3_000
+
+
+@query(
+    "stream_by_records",
+    f"""SELECT event_id, user_id, CAST(ceil((SELECT count(*) FROM events) / {ADMITTED}.0) AS BIGINT) AS batches, true AS none_too_large
+       FROM events""",
+)
+def stream_by_records(spark, sf_dir):
+    """All events, at most so many records in a micro-batch whatever the files; stopped and gone on with on the way."""
+    out = new_work_dir(spark, "stream-records")
+    events = table(spark, sf_dir, "events").select("event_id", "user_id")
+    publish_files(events, f"{out}/messages", "overwrite", 3)
+    schema = T.StructType([*events.schema.fields, T.StructField("batch", T.LongType())])
+
+    def keep(batch, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/rows/batch={number}")
+
+    for runs in ("first", "second"):
+        rows = parse_messages(read_records(spark, f"{out}/messages", ADMITTED), events.schema)
+        running = rows.writeStream.foreachBatch(keep).option("checkpointLocation", f"{out}/checkpoint").trigger(processingTime="0 seconds").start()
+        if runs == "first":
+            while running.isActive and not (running.lastProgress and running.lastProgress.batchId >= 1):
+                time.sleep(0.1)
+        else:
+            running.processAllAvailable()
+        running.stop()
+        if running.exception() is not None:
+            raise running.exception()
+    held = spark.read.schema(schema).parquet(f"{out}/rows")
+    sizes = held.groupBy("batch").agg(F.count("*").alias("n")).agg(F.count("*").alias("batches"), F.max("n").alias("most"))
+    # one row of totals
+    return held.crossJoin(sizes).select("event_id", "user_id", "batches", (F.col("most") <= ADMITTED).alias("none_too_large"))

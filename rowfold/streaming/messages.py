@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,6 +73,78 @@ def to_memory(rows: DataFrame, name: str, mode: str = "append") -> StreamingQuer
     return _writer(rows, None, None).format("memory").queryName(name).outputMode(mode).start()
 
 
+#: What became of a row of :func:`distinct_within`.
+KEPT, LATE, REPEATED = "kept", "late", "repeated"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextlib.contextmanager
+def state_store(spark: SparkSession, provider: str = ROCKSDB):
+    """Start streams with this state store, whatever the session's own."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, provider)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def _first_within(columns: Sequence[str], event_time: str, delay_ms: int):
+    """The processor of one key, with all it needs, for workers that do not have this package."""
+    from pyspark.sql.streaming import StatefulProcessor
+
+    class FirstWithin(StatefulProcessor):
+        """Keeps the first row of a key, until ``delay`` after its event; marks late rows and counts repeated ones."""
+
+        def init(self, handle) -> None:
+            self.handle = handle
+            self.expires = handle.getValueState("expires", "at long")
+
+        def handleInputRows(self, key, rows, timerValues):
+            import pandas as pd
+
+            # no event has been seen before the first watermark
+            mark = timerValues.getCurrentWatermarkInMs()
+            held = self.expires.get()[0] if self.expires.exists() else None
+            live = held is not None and held >= mark
+            total, example, first = 0, None, None
+            for frame in rows:
+                at = (frame[event_time].astype("datetime64[us]").astype("int64") // 1000).where(frame[event_time].notna())
+                late = (at < mark) & (mark > 0)
+                if late.any():
+                    yield frame[late].assign(_fate="late", _rows=1)
+                frame, at = frame[~late], at[~late]
+                if not len(frame):
+                    continue
+                total += len(frame)
+                example = frame.iloc[:1]
+                # the earliest of the batch; rows without a time come last
+                place = at.argmin() if at.notna().any() else 0
+                time = float("inf") if pd.isna(at.iloc[place]) else float(at.iloc[place])
+                if first is None or time < first[0]:
+                    first = (time, frame.iloc[place : place + 1])
+            if first is not None and not live:
+                end = (mark if first[0] == float("inf") else int(first[0])) + delay_ms
+                self.expires.update((end,))
+                self.handle.registerTimer(max(end, mark) + 1)
+                yield first[1].assign(_fate="kept", _rows=1)
+                total -= 1
+            if total:
+                yield example.assign(_fate="repeated", _rows=total)
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+            # the key may have come again since the timer was set
+            if self.expires.exists() and self.expires.get()[0] < timerValues.getCurrentWatermarkInMs():
+                self.expires.clear()
+            return iter(())
+
+        def close(self) -> None:
+            pass
+
+    return FirstWithin()
+
+
 def distinct_within(
     rows: DataFrame,
     keys: Sequence[str],
@@ -84,61 +156,43 @@ def distinct_within(
 ) -> StreamingQuery:
     """Distinct with bounded memory: a key is forgotten ``delay`` (such as ``1 day``) after the event that kept it.
 
-    It may then come again. The watermark is the latest event time of the batches before, less the delay. Events before it
-    are late: their key may be forgotten already, so they are neither kept nor dropped but written to a table of their
-    own. Every batch writes under its number, so one that is delivered again replaces what it wrote:
-
-    ``path/kept`` the rows kept; ``path/late`` the late ones; ``path/counts`` rows, kept, late and repeated ones of each
-    batch; ``path/state`` live keys with the time they expire, and ``path/watermark``, of the last two batches.
+    It may then come again. Live keys are in the engine's state store, each with a timer, so a micro-batch costs as much as its
+    own keys; set ``spark.sql.streaming.stateStore.providerClass`` to :data:`ROCKSDB` before (:func:`build_session` does).
+    The watermark is the latest event time of the batches before, less the delay. Events before it are late: their key may
+    be forgotten already, so they are neither kept nor dropped but written beside. Every micro-batch writes under its number,
+    so one that is delivered again replaces what it wrote: :func:`fates` reads ``kept`` and ``late`` rows, and
+    :func:`fate_counts` how many rows were kept, late and repeated.
 
-    Events without a time are never late and expire with the watermark of their batch; a null key is a key.
+    Events without a time are never late and expire ``delay`` after the watermark of their batch; a null key is a key.
     """
-    keys = list(keys)
-    live_schema = T.StructType([rows.schema[k] for k in keys] + [T.StructField("expires", T.TimestampType())])
-    mark_schema = T.StructType([T.StructField("watermark", T.TimestampType())])
-    span = F.expr(f"INTERVAL {delay}")
+    spark, keys = rows.sparkSession, list(keys)
+    if spark.conf.get("spark.sql.streaming.stateStore.providerClass") != ROCKSDB:
+        raise ValueError("live keys with timers need the RocksDB state store")
+    seconds = spark.sql(f"SELECT unix_seconds(timestamp '1970-01-02 00:00:00' + INTERVAL {delay}) - 86400").first()[0]
+    timed = rows.withColumn(event_time, F.col(quote(event_time)).cast("timestamp"))
+    # the watermark is kept on a copy that goes no further, so that the engine leaves late rows to the processor
+    marked = timed.withColumn("_mark", F.col(quote(event_time))).withWatermark("_mark", delay).select(*timed.columns)
+    columns = timed.columns
+    out = T.StructType([*timed.schema.fields, T.StructField("_fate", T.StringType()), T.StructField("_rows", T.LongType())])
+    told = marked.groupBy(*keys).transformWithStateInPandas(_first_within(columns, event_time, seconds * 1000), out, "append", "EventTime")
 
     def feed(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        at = lambda part, number: f"{path}/{part}/batch={number}"
-        marks = read_or_empty(spark, at("watermark", batch_id - 1), mark_schema).first()
-        mark = marks["watermark"] if marks else None
-        live = read_or_empty(spark, at("state", batch_id - 1), live_schema)
-        time = F.col(quote(event_time))
-        timed = batch.withColumn(event_time, time.cast("timestamp")).persist()
-        try:
-            is_late = F.lit(False) if mark is None else F.coalesce(time < F.lit(mark), F.lit(False))
-            if mark is not None:
-                live = live.filter(F.col("expires") >= F.lit(mark))
-            known = live.select(*[F.col(quote(k)).alias(f"_{k}") for k in keys])
-            same = reduce(lambda x, y: x & y, [F.col(quote(k)).eqNullSafe(F.col(quote(f"_{k}"))) for k in keys])
-            firsts = keep_first(timed.filter(~is_late), keys, [F.asc_nulls_last(quote(event_time))])
-            firsts.join(known, same, "left_anti").write.mode("overwrite").parquet(at("kept", batch_id))
-            kept = spark.read.schema(timed.schema).parquet(at("kept", batch_id))
-            timed.filter(is_late).write.mode("overwrite").parquet(at("late", batch_id))
-            expires = (F.coalesce(time, F.lit(mark).cast("timestamp")) + span).alias("expires")
-            after = live.unionByName(kept.select(*[F.col(quote(k)) for k in keys], expires))
-            after.write.mode("overwrite").parquet(at("state", batch_id))
-            seen = timed.agg(
-                F.count("*").alias("rows"),
-                F.coalesce(F.sum(is_late.cast("long")), F.lit(0)).alias("late"),
-                (F.max(time) - span).alias("reached"),
-            ).first()
-            counts = spark.range(1).select(
-                F.lit(seen["rows"]).alias("rows"), F.lit(seen["late"]).alias("late"), F.lit(kept.count()).alias("kept")
-            )
-            repeated = (F.col("rows") - F.col("late") - F.col("kept")).alias("repeated")
-            counts.select("*", repeated).write.mode("overwrite").parquet(at("counts", batch_id))
-            reached = [t for t in (mark, seen["reached"]) if t is not None]
-            new_mark = spark.createDataFrame([(max(reached, default=None),)], mark_schema)
-            new_mark.write.mode("overwrite").parquet(at("watermark", batch_id))
-        finally:
-            timed.unpersist()
-        for part in ("state", "watermark"):
-            if path_exists(spark, at(part, batch_id - 2)):
-                remove_work_dir(spark, at(part, batch_id - 2))
+        batch.write.mode("overwrite").partitionBy("_fate").parquet(f"{path}/batch={batch_id}")
 
-    return _writer(rows, checkpoint, continuous).foreachBatch(feed).start()
+    return _writer(told, checkpoint, continuous).foreachBatch(feed).start()
+
+
+def fates(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All rows kept or late, with ``batch`` and ``_fate``; of repeated ones an example with the number in ``_rows``."""
+    more = [T.StructField("_rows", T.LongType()), T.StructField("batch", T.LongType()), T.StructField("_fate", T.StringType())]
+    return read_or_empty(spark, path, T.StructType([*schema.fields, *more]))
+
+
+def fate_counts(spark: SparkSession, path: str) -> DataFrame:
+    """``rows, kept, late, repeated``, in one row."""
+    told = fates(spark, path, T.StructType([]))
+    of = lambda fate: F.coalesce(F.sum(F.when(F.col("_fate") == fate, F.col("_rows"))), F.lit(0)).alias(fate)
+    return told.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows"), *[of(f) for f in (KEPT, LATE, REPEATED)])
 
 
 def count_to_table(
