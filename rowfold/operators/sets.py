@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -9,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowfold.functions.hashing import quote
-from rowfold.functions.seeded import wide_mix
+from rowfold.functions.seeded import MODULUS, wide_mix
 from rowfold.operators.positions import row_positions
 from rowfold.session import cut_lineage
 
@@ -38,8 +39,38 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda left, right: left.unionByName(right), frames)
 
 
-def sample_with_replacement(df: DataFrame, fraction: float, seed: int) -> DataFrame:
-    return df.sample(withReplacement=True, fraction=fraction, seed=seed)
+# Numbers of a draw: those of :func:`rowfold.functions.seeded.wide_mix`.
+_DRAWS = MODULUS * MODULUS
+
+
+def poisson_steps(mean: float) -> list[int]:
+    """Draws below the k-th of these numbers come k times or fewer: the distribution function, scaled to the draws."""
+    steps, share, total, k = [], math.exp(-mean), 0.0, 0
+    while total + share < 1 - 1e-13 and k < 1_000:
+        total += share
+        steps.append(int(total * _DRAWS))
+        k += 1
+        share *= mean / k
+    return steps
+
+
+def sample_with_replacement(df: DataFrame, fraction: float, salt: int = 1, row_id: Column | None = None) -> DataFrame:
+    """Each row as often as a Poisson draw of mean ``fraction`` says, which is made from its id by inversion.
+
+    The sample depends on the ids and the salt and on nothing else: not on partitioning, nor on what other rows there are. ``row_id``
+    is a whole number, not negative and under 1.9e14; by default a hash of all columns. Rows with one id come equally often.
+    For a sample of an exact size see :func:`duplicates`.
+    """
+    if not 0 < fraction <= 100:
+        raise ValueError("a mean of more than 0 and 100 at most")
+    nulls = F.concat(*[F.col(quote(c)).isNull().cast("string") for c in df.columns])
+    row_id = F.pmod(F.xxhash64(nulls, *[F.col(quote(c)) for c in df.columns]), F.lit(1 << 47)) if row_id is None else row_id
+    drawn = df.withColumn("_draw", wide_mix(row_id, salt))
+    # most rows are not drawn, and the first step tells
+    steps = poisson_steps(fraction)
+    some = drawn.filter(F.col("_draw") >= steps[0])
+    times = reduce(lambda x, y: x + y, [(F.col("_draw") >= s).cast("int") for s in steps])
+    return some.withColumn("_use", F.explode(F.sequence(F.lit(1), times))).drop("_draw", "_use")
 
 
 def duplicates(df: DataFrame, order: Sequence[str], count: int, salt: int = 1) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowfold.functions.hashing import RECORD_HASH, hash_text
 from rowfold.operators.checks import expect_between, expect_unique
@@ -21,15 +22,19 @@ from rowfold.operators.sets import (
     inject_duplicates,
     limit,
     materialise,
+    poisson_steps,
     sample_with_replacement,
     slice_rows,
     union_all,
 )
 from rowfold.plans.forest import fit_forest, score
+from rowfold.plans.merge import MergeTable, create_table, merge_rows, read_table
 from rowfold.registry import query, table, table_path
 from rowfold.session import new_work_dir
-from rowfold.sinks.tables import write_partitioned, write_sorted, write_table
-from rowfold.sources.files import scan_units
+from rowfold.sinks.clustered import files_within, read_clustered, write_clustered
+from rowfold.sinks.tables import plan_text, write_partitioned, write_sorted, write_table
+from rowfold.sources.files import local_table, scan_units
+from rowfold.sources.footers import row_group_listing
 
 LINE_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
 MIX_SQL = """(((({id} * 48271 + {salt} * 40503) % 2147483647) * (({id} * 48271 + {salt} * 40503) % 2147483647)
@@ -241,27 +246,19 @@ def union_batches(spark, sf_dir):
     return union_all(parts)
 
 
+SAMPLE_STEPS = poisson_steps(0.1)
+
+
 @query(
     "sample_replace",
-    "SELECT true AS all_from_table, true AS size_in_bounds, true AS some_repeat FROM (SELECT count(*) FROM lineitem)",
+    f"""WITH draws AS (SELECT l_orderkey, l_linenumber, l_suppkey, {wide_mix_sql("(l_orderkey * 10 + l_linenumber)", 5)} AS draw FROM lineitem),
+        times AS (SELECT *, {" + ".join(f"(draw >= {s})::INT" for s in SAMPLE_STEPS)} AS n FROM draws)
+       SELECT l_orderkey, l_linenumber, l_suppkey FROM (SELECT *, unnest(range(n)) FROM times)""",
 )
 def sample_replace(spark, sf_dir):
-    """Checks of a sample with replacement: its rows are the table's, about a tenth as many, and some come twice."""
-    lines = table(spark, sf_dir, "lineitem").select(*LINE_ORDER)
-    drawn = sample_with_replacement(lines, 0.1, seed=42).groupBy(*LINE_ORDER).agg(F.count("*").alias("times"))
-    size = lines.agg(F.count("*").alias("size"))
-    both = drawn.select(F.xxhash64(*LINE_ORDER).alias("row"), "times")
-    known = already_seen(both, lines.select(F.xxhash64(*LINE_ORDER).alias("row")), "row")
-    found = known.agg(F.count("*").alias("known"))
-    totals = drawn.agg(F.count("*").alias("rows"), F.sum("times").alias("drawn"), F.max("times").alias("most"))
-    # each side is one row; a Poisson count stays within five of its standard deviations
-    joined = totals.crossJoin(size).crossJoin(found)
-    wanted = F.col("size") * 0.1
-    return joined.select(
-        (F.col("known") == F.col("rows")).alias("all_from_table"),
-        (F.abs(F.col("drawn") - wanted) <= 5 * F.sqrt(wanted)).alias("size_in_bounds"),
-        (F.col("most") > 1).alias("some_repeat"),
-    )
+    """About a tenth of the lines, some of them several times: the same rows in any engine and any partitioning."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
+    return sample_with_replacement(lines, 0.1, 5, F.col("l_orderkey") * 10 + F.col("l_linenumber"))
 
 
 @query(
@@ -405,3 +402,93 @@ def file_counts(spark, sf_dir):
 
 def scan_files(spark, path) -> int:
     return scan_units(spark.read.parquet(path)).select("file_path").distinct().count()
+
+
+@query(
+    "row_group_listing",
+    "SELECT count(*) AS rows, true AS groups_are_cut, true AS bounds_hold, true AS positions_follow FROM lineitem",
+)
+def listed_row_groups(spark, sf_dir):
+    """The lines in files of several row groups, by their footers: rows, and what the footers say against the rows themselves."""
+    path = new_work_dir(spark, "row-groups")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    lines.repartition(4, "l_orderkey").sortWithinPartitions("l_orderkey").write.option("parquet.block.size", 256 << 10).parquet(path)
+    groups = row_group_listing(spark, path, "l_orderkey")
+    held = spark.read.parquet(path).select("l_orderkey", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.row_index").alias("at"))
+    inside = (held["at"] >= groups["first_row"]) & (held["at"] < groups["first_row"] + groups["rows"])
+    met = held.join(groups, (held["file_path"] == groups["file_path"]) & inside).groupBy(groups["file_path"], "row_group")
+    told = met.agg(
+        F.count("*").alias("found"), F.first("rows").alias("rows"), F.min("l_orderkey").alias("low"), F.max("l_orderkey").alias("high"),
+        F.first("least").cast("bigint").alias("least"), F.first("most").cast("bigint").alias("most"),
+    )
+    return told.agg(
+        F.sum("rows").alias("rows"),
+        (F.count("*") >= F.countDistinct("file_path")).alias("groups_are_cut"),
+        F.bool_and((F.col("low") == F.col("least")) & (F.col("high") == F.col("most"))).alias("bounds_hold"),
+        F.bool_and(F.col("found") == F.col("rows")).alias("positions_follow"),
+    )
+
+
+CURVED = ["l_partkey", "l_suppkey", "l_shipdate"]
+
+
+@query(
+    "clustered_layout",
+    """WITH ends AS (SELECT max(l_partkey) // 20 AS part, max(l_suppkey) // 20 AS supp,
+          min(l_shipdate) + INTERVAL 120 DAY AS ship FROM lineitem)
+       SELECT 'l_partkey' AS "column", l_orderkey, l_linenumber, true AS few_files FROM lineitem, ends WHERE l_partkey <= part
+       UNION ALL SELECT 'l_suppkey', l_orderkey, l_linenumber, true FROM lineitem, ends WHERE l_suppkey <= supp
+       UNION ALL SELECT 'l_shipdate', l_orderkey, l_linenumber, true FROM lineitem, ends WHERE l_shipdate <= ship""",
+)
+def clustered_layout(spark, sf_dir):
+    """The lines along a curve over three columns: about a twentieth by a filter on each, from under a third of the files."""
+    path = new_work_dir(spark, "clustered")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *CURVED)
+    write_clustered(lines, path, CURVED, files=256)
+    files = spark.read.parquet(path).select("_metadata.file_path").distinct().count()
+    ends = {"l_partkey": "max(l_partkey) div 20", "l_suppkey": "max(l_suppkey) div 20", "l_shipdate": "min(l_shipdate) + INTERVAL 120 DAY"}
+    ends = lines.agg(*[F.expr(e).alias(c) for c, e in ends.items()]).first()
+    parts = []
+    for c in CURVED:
+        few = 3 * len(files_within(spark, path, {c: (None, ends[c])})) < files
+        found = read_clustered(spark, path, **{c: (None, ends[c])})
+        parts.append(found.select(F.lit(c).alias("column"), "l_orderkey", "l_linenumber", F.lit(few).alias("few_files")))
+    return union_all(parts)
+
+
+@query(
+    "merge_upsert",
+    """SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey BETWEEN 1000 AND 1999 THEN 'X' ELSE o_orderstatus END AS o_orderstatus
+       FROM orders WHERE o_orderstatus <> 'P' OR o_orderkey BETWEEN 1000 AND 1999""",
+)
+def merge_upsert(spark, sf_dir):
+    """All orders but the pending ones, then the orders of a range of keys with another status, some of them new."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    held = MergeTable(new_work_dir(spark, "merged"), ("o_orderkey",), file_rows=max(1, orders.count() // 64))
+    create_table(orders.filter("o_orderstatus <> 'P'"), held)
+    merge_rows(orders.filter("o_orderkey BETWEEN 1000 AND 1999").withColumn("o_orderstatus", F.lit("X")), held)
+    return read_table(spark, held)
+
+
+FLAGS = [("R", "returned"), ("A", "accepted"), ("N", "none yet")]
+
+
+@query(
+    "local_rows",
+    f"""SELECT name, count(*) AS lines FROM lineitem JOIN (VALUES {", ".join(map(repr, FLAGS))}) AS f(flag, name)
+       ON l_returnflag = flag GROUP BY name""",
+)
+def local_rows(spark, sf_dir):
+    """The lines of each return flag by names from local rows."""
+    names = local_table(spark, FLAGS, T.StructType([T.StructField("flag", T.StringType()), T.StructField("name", T.StringType())]))
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("flag"))
+    return lines.join(names, "flag").groupBy("name").agg(F.count("*").alias("lines"))
+
+
+@query("explained", "SELECT count(*) AS lines, true AS filter_is_pushed, true AS columns_are_pruned FROM lineitem WHERE l_quantity > 30")
+def explained(spark, sf_dir):
+    """A count beside what the text of its plan says about the scan."""
+    lines = table(spark, sf_dir, "lineitem").filter("l_quantity > 30").select("l_orderkey")
+    text = plan_text(lines)
+    pushed, pruned = "GreaterThan(l_quantity,30" in text, "l_comment" not in text
+    return lines.agg(F.count("*").alias("lines")).select("lines", F.lit(pushed).alias("filter_is_pushed"), F.lit(pruned).alias("columns_are_pruned"))
