@@ -31,6 +31,8 @@ END_ID = 2
 # A row group is what a task reads, a page the least that a selective read decodes.
 ROW_GROUP_BYTES, PAGE_BYTES, PAGE_ROWS = 32 << 20, 256 << 10, 2_000
 RUN_BITS = 16
+# Bytes of text in a file, about, where the number of files is not given.
+FILE_BYTES = 256 << 20
 
 ENCODED_SCHEMA = T.StructType(
     [
@@ -84,13 +86,18 @@ def write_token_table(
 ) -> None:
     """Encode all documents and write them in ascending order of id, as about ``files`` files.
 
-    By default as many files as the session has shuffle partitions. The texts are sorted, not their ids: drawing the
-    ranges reads the input once more, and encoding happens once.
+    By default as many as the cores of the session, or as files of ``FILE_BYTES`` of text take, whichever is more. The texts
+    are sorted, not their ids: drawing the ranges reads the ids once more, and encoding happens once.
     """
-    files = files or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(f"`{id_col}`").alias(id_col), F.col(f"`{text_col}`").alias(text_col))
-    # the hash also spreads many rows with one id
-    order = [F.col(f"`{id_col}`").asc_nulls_first(), F.xxhash64(F.col(f"`{text_col}`"))]
+    key, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    if files is None:
+        size = rows.agg(F.sum(F.octet_length(text))).first()[0] or 0
+        files = max(docs.sparkSession.sparkContext.defaultParallelism, -(-size // FILE_BYTES))
+    order = [key.asc_nulls_first()]
+    if not rows.groupBy(key).count().filter("count > 1").isEmpty():
+        # the hash also spreads many rows with one id
+        order.append(F.xxhash64(text))
     ranged = rows.repartitionByRange(files, *order).sortWithinPartitions(*order)
     (
         encode_documents(ranged, path, id_col, text_col, end_id)

@@ -1,12 +1,14 @@
 """Tokenising whole texts through a memory of their space-separated units.
 
-A text is cut before spaces where no token can cross the cut, so its ids are those of its units, end to end. Each
-distinct unit is encoded once by the tokeniser library itself and remembered; finding the units of a batch and joining
-their ids is numpy and Arrow work. A text with a cut that is not proven is one single unit.
+A text is cut where no token can cross the cut, so its ids are those of its units, end to end. Each distinct unit is encoded
+once by the tokeniser library itself and remembered; finding the units of a batch and joining their ids is numpy and Arrow
+work. Where a cut is not proven there is none.
 
-*Byte-level BPE* whose pre-tokeniser is the usual pattern (``' ?\\p{L}+ | ?\\p{N}+ | ... | \\s+(?!\\S) | \\s+'``): every cut
-before a space that is followed by a non-space is a boundary. A match that holds the space and the character before it
-would have to be a run of white space, and such a run gives its last space to the word behind it.
+*Byte-level BPE* whose pre-tokeniser is the usual pattern (``' ?\\p{L}+ | ?\\p{N}+ | ... | \\s+(?!\\S) | \\s+'``). Boundaries are:
+before a space that a non-space follows (a match that holds the space and the character before it would have to be a run of white
+space, and such a run gives its last space to the word behind it); between an ASCII letter and ASCII punctuation (no match goes on
+from one to the other); before and behind a line break between ASCII characters that are not white space (a match of its
+own). Texts that hold a special string of the vocabulary are not cut.
 
 *SentencePiece BPE* without a character map, with a space put in front and white space kept: merges give vocabulary
 pieces only, and if no piece has the space mark behind another character, none crosses the start of a run of spaces.
@@ -33,6 +35,12 @@ JOINED_UNITS = 64
 # ASCII white space and separators, and lead bytes of the characters that may be white space outside ASCII.
 _MAYBE_SPACE = np.zeros(256, dtype=bool)
 _MAYBE_SPACE[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 0xC2, 0xE1, 0xE2, 0xE3]] = True
+_INK, _LETTER = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
+_INK[33:127] = True
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_DIGIT = np.zeros(256, dtype=bool)
+_DIGIT[48:58] = True
+_PUNCTUATION = _INK & ~_LETTER & ~_DIGIT
 
 
 class Encoded:
@@ -74,9 +82,6 @@ class Growing:
 class UnitMemory:
     """Ids (and more, by subclass) of the units seen so far, in flat arrays, and a table of their places."""
 
-    #: What precedes a unit that is not the first of its text.
-    joint = b""
-
     def __init__(self, units: int = MEMORY_UNITS, size: int = MEMORY_BYTES) -> None:
         self.most_units, self.most_bytes = units, size
         self.forget()
@@ -87,57 +92,21 @@ class UnitMemory:
         self.ids, self.bounds = Growing(np.int32), Growing(np.int64)
         self.bounds.add(np.zeros(1, np.int64))
 
+    def in_groups(self, units: list[bytes]) -> list[bytes]:
+        """New units in the order in which they are encoded."""
+        return units
+
     def encode_units(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all units end to end, and how many each has."""
         raise NotImplementedError
 
-    def unproven(self, units: pa.Array, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """Marks units for which the cut before them is not proven."""
-        raise NotImplementedError
-
     def remember(self, units: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
         self.bounds.add(self.ids.size + np.cumsum(sizes))
         self.ids.add(ids)
 
     def encode(self, texts: FlatTexts) -> Encoded:
-        column = pa.Array.from_buffers(
-            pa.large_string(),
-            len(texts),
-            [None, pa.py_buffer(np.ascontiguousarray(texts.bounds)), pa.py_buffer(np.ascontiguousarray(texts.data))],
-        )
-        lists = pc.split_pattern(column, " ")
-        units = lists.flatten()
-        ends = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))]).astype(np.int64)
-        whole = self._whole(units, ends)
-
-        # units behind the first ones, then the first ones; texts that are not cut count as a first unit
-        counts = np.where(whole, 1, np.diff(ends))
-        unit_bounds = np.concatenate([[0], np.cumsum(counts)])
-        behind = np.ones(len(units), bool)
-        behind[ends[:-1]] = False
-        behind &= np.repeat(~whole, np.diff(ends))
-        is_first = np.zeros(unit_bounds[-1], bool)
-        is_first[unit_bounds[:-1]] = True
-        lead = pa.array(ends[:-1])
-        firsts = pc.if_else(pa.array(whole), column, units.take(lead))
-        rest = units.filter(pa.array(behind)).cast(pa.large_binary()).dictionary_encode()
-        firsts = firsts.cast(pa.large_binary()).dictionary_encode()
-        # the joint is put between nothing and the unit: in front of it
-        nothing = pa.scalar(b"", pa.large_binary())
-        known = pc.binary_join_element_wise(nothing, rest.dictionary, pa.scalar(self.joint, pa.large_binary()))
-        at = self._places(pa.concat_arrays([known, firsts.dictionary]))
-        places = np.empty(unit_bounds[-1], np.int64)
-        places[~is_first] = at[: len(known)][rest.indices.to_numpy(zero_copy_only=False)]
-        places[is_first] = at[len(known) :][firsts.indices.to_numpy(zero_copy_only=False)]
-        return Encoded(self, places, unit_bounds)
-
-    def _whole(self, units: pa.Array, ends: np.ndarray) -> np.ndarray:
-        flat = FlatTexts.of(units)
-        first = np.zeros(len(units), np.uint8)
-        filled = flat.sizes > 0
-        first[filled] = flat.data[flat.bounds[:-1][filled]]
-        total = np.concatenate([[0], np.cumsum(self.unproven(units, first, flat.sizes))])
-        return np.diff(total[ends]) > 0
+        """Ids of all texts, by their units."""
+        raise NotImplementedError
 
     def _places(self, units: pa.Array) -> np.ndarray:
         """Where each of the units is remembered; new ones are encoded."""
@@ -147,7 +116,7 @@ class UnitMemory:
         found = list(map(places.get, held))
         missing = [k for k, at in enumerate(found) if at is None]
         if missing:
-            fresh = list(dict.fromkeys([held[k] for k in missing]))
+            fresh = self.in_groups(list(dict.fromkeys([held[k] for k in missing])))
             places.update(zip(fresh, range(len(places), len(places) + len(fresh)), strict=True))
             self.bytes += sum(map(len, fresh))
             self.remember(fresh, *self.encode_units(fresh))
@@ -168,24 +137,71 @@ def _flat(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
 class ByteUnits(UnitMemory):
     """Units of a byte-level BPE file of the tokenizers library, special strings handled as its default."""
 
-    joint = b" "
-
     def __init__(self, path: str, **limits: int) -> None:
         self.tokenizer = byte_tokenizer(path)
         # in a byte-level vocabulary a character stands for a byte; added tokens are plain text
-        added = {i: len(t.content.encode()) for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        decoder = self.tokenizer.get_added_tokens_decoder()
+        added = {i: len(t.content.encode()) for i, t in decoder.items()}
+        self.special = [t.content.encode() for t in decoder.values() if t.content]
         vocabulary = self.tokenizer.get_vocab()
         self.token_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():
             self.token_bytes[i] = added.get(i, len(token))
         super().__init__(**limits)
 
+    def encode(self, texts: FlatTexts) -> Encoded:
+        data, n = texts.data, len(texts.data)
+        if not n:
+            return Encoded(self, np.zeros(0, np.int64), np.zeros(len(texts) + 1, np.int64))
+        # ``inner[i]``: bytes i and i + 1 are of one text
+        inner = np.ones(n, bool)
+        inner[texts.bounds[1:][texts.sizes > 0] - 1] = False
+        before, behind = data[:-1], data[1:]
+        cut = np.zeros(n + 1, bool)
+        cut[1:-1] = _LETTER[before] & _PUNCTUATION[behind]
+        cut[:-2] |= inner[:-1] & (before == 32) & ~_MAYBE_SPACE[behind]
+        breaks = np.flatnonzero(data == 10)
+        breaks = breaks[(breaks > 0) & (breaks < n - 1)]
+        breaks = breaks[inner[breaks - 1] & inner[breaks] & _INK[data[breaks - 1]] & _INK[data[breaks + 1]]]
+        cut[breaks] = cut[breaks + 1] = True
+        for k in self._special(texts):
+            cut[texts.bounds[k] : texts.bounds[k + 1]] = False
+        cut[texts.bounds[:-1]] = True
+        cut[n] = False
+        at = np.flatnonzero(cut).astype(np.int64)
+        units = pa.Array.from_buffers(
+            pa.large_binary(), len(at), [None, pa.py_buffer(np.append(at, n)), pa.py_buffer(np.ascontiguousarray(data))]
+        ).dictionary_encode()
+        places = self._places(units.dictionary)[units.indices.to_numpy(zero_copy_only=False)]
+        # texts without bytes have no unit
+        return Encoded(self, places, np.searchsorted(at, texts.bounds))
+
+    def _special(self, texts: FlatTexts) -> set[int]:
+        """The texts that hold a special string."""
+        found, whole = set(), texts.data.tobytes()
+        for content in self.special:
+            at = whole.find(content)
+            while at >= 0:
+                found.add(int(np.searchsorted(texts.bounds, at, side="right")) - 1)
+                at = whole.find(content, at + 1)
+        return found
+
+    def in_groups(self, units: list[bytes]) -> list[bytes]:
+        """In an order in which many of them can be encoded as one text: units that have to be first, each before some others."""
+        others, firsts = [], []
+        for unit in units:
+            (others if _follows(unit) else firsts).append(unit)
+        size, out = JOINED_UNITS - 1, []
+        for k, first in enumerate(firsts):
+            out.append(first)
+            out += others[k * size : (k + 1) * size]
+        return out + others[len(firsts) * size :]
+
     def encode_units(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """New units are encoded end to end, many in one call, and told apart by the bytes of their tokens."""
-        spaced = [len(u) > 1 and u[0] == 32 and u[1] != 32 for u in units]
+        """New units are encoded end to end, many as one text, and told apart by the bytes of their tokens."""
         starts, run = [0], 0
         for k in range(1, len(units)):
-            if not spaced[k] or not spaced[k - 1] or k - run == JOINED_UNITS:
+            if k - run == JOINED_UNITS or not _follows(units[k]):
                 starts.append(k)
                 run = k
         texts = [as_text(b"".join(units[a:b])) for a, b in zip(starts, [*starts[1:], len(units)], strict=True)]
@@ -198,8 +214,10 @@ class ByteUnits(UnitMemory):
             return _flat([self.tokenizer.encode(as_text(u), add_special_tokens=False).ids for u in units])
         return ids, np.diff(at, prepend=0)
 
-    def unproven(self, units: pa.Array, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        return (sizes == 0) | _MAYBE_SPACE[first]
+
+def _follows(unit: bytes) -> bool:
+    """Whether a cut before the unit is proven whatever comes before: it is a space and a non-space."""
+    return unit[:1] == b" " and len(unit) > 1 and not _MAYBE_SPACE[unit[1]]
 
 
 class PieceUnits(UnitMemory):
@@ -241,6 +259,44 @@ class PieceUnits(UnitMemory):
         # a written space mark is a space to the model
         return (sizes == 0) | pc.match_substring(units, self.MARK).to_numpy(zero_copy_only=False)
 
+    def encode(self, texts: FlatTexts) -> Encoded:
+        column = pa.Array.from_buffers(
+            pa.large_string(),
+            len(texts),
+            [None, pa.py_buffer(np.ascontiguousarray(texts.bounds)), pa.py_buffer(np.ascontiguousarray(texts.data))],
+        )
+        lists = pc.split_pattern(column, " ")
+        units = lists.flatten()
+        ends = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))]).astype(np.int64)
+        whole = self._whole(units, ends)
+
+        # units behind the first ones, then the first ones; texts that are not cut count as a first unit
+        counts = np.where(whole, 1, np.diff(ends))
+        unit_bounds = np.concatenate([[0], np.cumsum(counts)])
+        behind = np.ones(len(units), bool)
+        behind[ends[:-1]] = False
+        behind &= np.repeat(~whole, np.diff(ends))
+        is_first = np.zeros(unit_bounds[-1], bool)
+        is_first[unit_bounds[:-1]] = True
+        lead = pa.array(ends[:-1])
+        firsts = pc.if_else(pa.array(whole), column, units.take(lead))
+        rest = units.filter(pa.array(behind)).cast(pa.large_binary()).dictionary_encode()
+        firsts = firsts.cast(pa.large_binary()).dictionary_encode()
+        known = rest.dictionary
+        at = self._places(pa.concat_arrays([known, firsts.dictionary]))
+        places = np.empty(unit_bounds[-1], np.int64)
+        places[~is_first] = at[: len(known)][rest.indices.to_numpy(zero_copy_only=False)]
+        places[is_first] = at[len(known) :][firsts.indices.to_numpy(zero_copy_only=False)]
+        return Encoded(self, places, unit_bounds)
+
+    def _whole(self, units: pa.Array, ends: np.ndarray) -> np.ndarray:
+        flat = FlatTexts.of(units)
+        first = np.zeros(len(units), np.uint8)
+        filled = flat.sizes > 0
+        first[filled] = flat.data[flat.bounds[:-1][filled]]
+        total = np.concatenate([[0], np.cumsum(self.unproven(units, first, flat.sizes))])
+        return np.diff(total[ends]) > 0
+
     def spans(self, found: Encoded) -> tuple[np.ndarray, np.ndarray]:
         """Start and stop of every token in its text's bytes."""
         sizes = self.unit_sizes.values[found.places].astype(np.int64) + 1  # with the space behind
