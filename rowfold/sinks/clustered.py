@@ -40,14 +40,17 @@ def with_curve(df: DataFrame, columns: Sequence[str], name: str = "_curve", bits
     numbered = df.select("*", *[as_number(df, c).alias(f"_n{k}") for k, c in enumerate(columns)])
     shares = [k / (1 << bits) for k in range(1, 1 << bits)]
     found = numbered.agg(*[F.percentile_approx(f"_n{k}", shares, 10 << bits).alias(f"_q{k}") for k in range(len(columns))]).first()
-    cuts = [[float("-inf"), *sorted(set(found[f"_q{k}"] or [0.0])), float("inf")] for k in range(len(columns))]
+    quantiles = [sorted(found[f"_q{k}"] or [0.0]) for k in range(len(columns))]
+    cuts = [[float("-inf"), *sorted(set(q)), float("inf")] for q in quantiles]
     inputs = [f"_n{k}" for k in range(len(columns))]
     ranker = Bucketizer(splitsArray=cuts, inputCols=inputs, outputCols=[f"_r{k}" for k in range(len(columns))], handleInvalid="keep")
     ranked = ranker.transform(numbered)
     curve = F.lit(0).cast("long")
     for k in range(len(columns)):
-        # fewer different values than ranks are spread over all of them, so that leading bits tell them apart
-        rank = F.least(F.floor(F.col(f"_r{k}") * ((1 << bits) / max(1, len(cuts[k]) - 1))), F.lit((1 << bits) - 1)).cast("long")
+        # a value that is many quantiles has the first one's rank, and those behind it the ranks that their rows have
+        last = (1 << bits) - 1
+        ranks = [0, *[quantiles[k].index(c) + 1 for c in cuts[k][1:-1]], last]
+        rank = F.element_at(F.array(*map(F.lit, ranks)), F.col(f"_r{k}").cast("int") + 1).cast("long")
         for bit in range(bits):
             one = F.shiftright(rank, bit).bitwiseAND(F.lit(1))
             curve = curve.bitwiseOR(F.shiftleft(one, bit * len(columns) + len(columns) - 1 - k))

@@ -218,8 +218,8 @@ def test_sets(spark):
     assert "TakeOrderedAndProject" in tables.plan_text(sets.limit(df, 3, ["v"]), "simple")
     assert sorted(values(sets.first_rows(df, 3, [F.desc("v")]))) == [7, 8, 9]
     assert sets.materialise(df).count() == 10
-    first = sets.sample_with_replacement(df, 0.5, seed=1).collect()
-    assert first == sets.sample_with_replacement(df, 0.5, seed=1).collect()
+    first = sets.sample_with_replacement(df, 0.5, 1).collect()
+    assert first == sets.sample_with_replacement(df, 0.5, 1).collect()
     chunked = positions.with_chunk(df, ["v"], 4)
     assert sorted(values(sets.slice_rows(chunked, 2))) == [8, 9]
 
