@@ -8,12 +8,12 @@ and every pair at or above the threshold is one. This count is calibrated for a
 space (``m`` = dimensions); with fewer directions than dimensions it is set so that a pair at the threshold falls short
 with a probability of ``MISS`` at most. Candidates are verified by their cosine in double precision.
 
-*Work.* Exact copies are one vector with a weight. Vectors of one label are sorted by their first projection and cut into
-blocks of about ``block`` vectors; a vector meets the blocks that hold something within ``r`` of it on every projection
-by the blocks' bounds, so blocks far apart never meet. Each pair of blocks is a group of its own: inside, windows are
-counted on sorted projections, a slice of queries at a time. A group returns one row per vector: its number of links there,
-and the smallest vector it is connected with; pairs are never written. Work grows with the pairs of blocks that meet, so
-with the square of a label's vectors where these fill the space evenly; a task's memory does not.
+*Work.* Exact copies are one vector with a weight. Vectors of one label are put in the order of a curve over their first
+``CURVE`` projections and cut into blocks of about ``block`` vectors; blocks whose bounds are more than ``r`` apart, over all
+projections, never meet. Each pair of blocks is a group of its own: inside, every projection is sorted, a query's window
+is a run of each sorted projection, found by binary search, and what lies in its runs is counted. A group returns one row per
+vector: its number of links there, and the smallest vector it is connected with; pairs are never written. Work grows with the
+pairs of blocks that meet, so with the square of a label's vectors where these fill the space evenly; a task's memory does not.
 
 Vectors that are null, empty, zero, or hold null or non-finite components, and those with a null label, link with nothing. Nor
 do rows with a null id (they have a null component and are not kept) or vectors of different lengths. Every row gives one
@@ -30,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,16 +38,17 @@ from rowfold.llm.graph import components
 from rowfold.session import new_work_dir, stage
 
 COSINE = 0.93
-BLOCK = 16_384
+BLOCK = 8_192
 #: Projections at most, and the window's half-width as a multiple of a pair's mean difference at the threshold.
-PROJECTIONS, WIDTH = 64, 3.3
+PROJECTIONS, WIDTH = 64, 1.75
+#: Projections that the order of blocks follows, and bits of each.
+CURVE, CURVE_BITS = 6, 4
 MISS = 1e-9
 _SEED = 20_240_501
-# Window widths a projection is rounded to; rounding only widens windows.
-_LEVELS = 16
-_QUERIES = 512
-# Pairs that are counted together, and components of vectors that are multiplied together, about.
-_PAIRS, _COMPONENTS = 1 << 20, 1 << 22
+# Share of the projections that are sorted; after these, few pairs can still reach the count.
+FIRST_SHARE = 0.65
+# Candidate pairs that are verified together, by the components of their vectors, about.
+_COMPONENTS = 1 << 22
 
 _POINT_SCHEMA = "id long, label string, size int, digest binary, unit array<double>, p array<double>"
 
@@ -102,69 +103,70 @@ def directions_of(size: int) -> np.ndarray:
     return _DIRECTIONS[size]
 
 
-def candidates(grid: np.ndarray, queries: int, least: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs (query, other) with enough window collisions, the first ``queries`` vectors with all; about ``_PAIRS`` at a time.
+class Windows:
+    """Sorted projections of a group's vectors, and the window of every vector on each as a run of the sorted order."""
 
-    ``grid`` holds the rounded projections, a row for each direction. Windows are counted direction by direction; when a half
-    is done, only pairs that can still reach the count go on.
+    def __init__(self, p: np.ndarray, half: float, queries: np.ndarray) -> None:
+        self.orders, self.runs, self.n = [], [], len(p)
+        for column in p.T:
+            order = np.argsort(column, kind="stable").astype(np.int32)
+            ranked = column[order]
+            # a little wider, so that no rounding takes a pair out
+            low = np.searchsorted(ranked, column[queries] - half * (1 + 1e-9), side="left")
+            high = np.searchsorted(ranked, column[queries] + half * (1 + 1e-9), side="right")
+            self.orders.append(order)
+            self.runs.append((low.tolist(), high.tolist()))
+
+    def collisions(self, query: int) -> np.ndarray:
+        """With how many of its windows each vector collides; ``query`` counts among the queries."""
+        inside = [order[low[query] : high[query]] for order, (low, high) in zip(self.orders, self.runs, strict=True)]
+        return np.bincount(np.concatenate(inside), minlength=self.n)
+
+
+def candidates(p: np.ndarray, half: float, least: int, queries: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (query, other) with ``least`` collisions or more, some more than ``most`` of them at a time.
+
+    The last projections are looked at only for pairs that can still reach the count.
     """
-    m = len(grid)
-    count = np.zeros((queries, grid.shape[1]), np.int16)
-    half = min(m, max(1, m // 2))
-    for k in range(half):
-        count += np.abs(grid[k][None, :] - grid[k][:queries, None]) <= _LEVELS
-    enough = count >= least - (m - half)
-    ends = np.cumsum(enough.sum(axis=1))
-    start = 0
-    while start < queries:
-        stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + _PAIRS, side="right")))
-        a, b = np.nonzero(enough[start:stop])
-        a += start
-        total = count[a, b].astype(np.int32)
-        for k in range(half, m):
-            total += np.abs(grid[k][a] - grid[k][b]) <= _LEVELS
-            if k % 8 == 7:
-                on = total >= least - (m - 1 - k)
-                a, b, total = a[on], b[on], total[on]
-        on = total >= least
-        yield a[on], b[on]
-        start = stop
+    first = math.ceil(p.shape[1] * FIRST_SHARE)
+    rest = np.ascontiguousarray(p[:, first:])
+    windows, held, size = Windows(p[:, :first], half, queries), [], 0
+    for k, own in enumerate(queries):
+        count = windows.collisions(k)
+        near = np.flatnonzero(count >= least - rest.shape[1])
+        more = (np.abs(rest[near] - rest[own]) <= half * (1 + 1e-9)).sum(axis=1)
+        near = near[count[near] + more >= least]
+        held.append((np.full(len(near), own), near))
+        size += len(near)
+        if size > most or k == len(queries) - 1:
+            yield tuple(np.concatenate(c) for c in zip(*held, strict=True))
+            held, size = [], 0
 
 
 def block_links(unit: np.ndarray, p: np.ndarray, part: np.ndarray, weight: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
     """For each vector of one block, or of two, the weight it is linked with and the smallest position it can reach.
 
-    ``part`` tells the block of a vector; of two blocks, only pairs across them are wanted. Pairs are counted and joined as
-    they are found and not kept, so that memory grows with the vectors and not with their links.
+    ``part`` tells the block of a vector; of two blocks, only pairs across them are wanted, and the vectors of the first are the
+    queries. Pairs are counted and joined as they are found and not kept, so that memory grows with the vectors and not
+    with their links.
     """
     n, size = unit.shape
-    w, least = least_collisions(size, cosine)
-    grid = np.floor((p.T + 1.0) / (w / _LEVELS)).astype(np.int16)
-    across = len(np.unique(part)) > 1
-    r = math.sqrt(2 - 2 * cosine)
-    order = np.argsort(p[:, 0], kind="stable")
-    first = p[order, 0]
-    grid, placed = np.ascontiguousarray(grid[:, order]), part[order]
-    vectors = unit[order]
+    half, least = least_collisions(size, cosine)
+    blocks = np.unique(part)
+    queries = np.flatnonzero(part == blocks[0])
     links, root = np.zeros(n), np.arange(n)
     step = max(1, _COMPONENTS // size)
-    for start in range(0, n, _QUERIES):
-        stop = min(n, start + _QUERIES)
-        # the window of half-width r on the first projection: others behind the queries in sorted order
-        last = int(np.searchsorted(first, first[stop - 1] + r + 1e-9, side="right"))
-        for a, b in candidates(grid[:, start:last], stop - start, least):
-            wanted = b > a
-            if across:
-                wanted &= placed[start:last][a] != placed[start:last][b]
-            a, b = a[wanted] + start, b[wanted] + start
-            for at in range(0, len(a), step):
-                x, y = a[at : at + step], b[at : at + step]
-                hit = np.einsum("ij,ij->i", vectors[x], vectors[y]) >= cosine
-                x, y = order[x[hit]], order[y[hit]]
-                links += np.bincount(x, weight[y], n) + np.bincount(y, weight[x], n)
-                apart = root[x] != root[y]
-                if apart.any():
-                    root = forest(n, root[x[apart]], root[y[apart]])[root]
+    for a, b in candidates(p, half, least, queries, step):
+        wanted = part[b] != blocks[0] if len(blocks) > 1 else b > a
+        a, b = a[wanted], b[wanted]
+        for at in range(0, len(a), step):
+            x, y = a[at : at + step], b[at : at + step]
+            hit = np.einsum("ij,ij->i", unit[x], unit[y]) >= cosine
+            x, y = x[hit], y[hit]
+            links += np.bincount(x, weight[y], n) + np.bincount(y, weight[x], n)
+            apart = root[x] != root[y]
+            if apart.any():
+                root = forest(n, root[x[apart]], root[y[apart]])[root]
     return links, root
 
 
@@ -224,8 +226,7 @@ def near_vectors(
 
     count = copies.count()
     blocks = max(1, -(-count // block))
-    first = F.col("p")[0]
-    cut = reps.repartitionByRange(blocks, "label", "size", first, "rep").withColumn("own", F.spark_partition_id())
+    cut = reps.repartitionByRange(blocks, "label", "size", _curve(), "rep").withColumn("own", F.spark_partition_id())
     cut = stage(cut.select(F.col("rep").alias("id"), "label", "size", "unit", "p", "weight", "own"), work_dir, "blocks")
 
     kind = ["label", "size"]
@@ -268,6 +269,18 @@ def near_vectors(
     return everything.select(F.col("id").alias(id_col), "n_links", "component_id", kept.alias("kept"))
 
 
+def _curve() -> Column:
+    """The place on a Z curve over the first projections, each cut into even steps of its spread."""
+    place = F.lit(0).cast("long")
+    for k in range(CURVE):
+        # a projection of a unit vector spreads by one over the root of its components
+        scaled = F.coalesce(F.element_at("p", F.lit(k + 1)), F.lit(0.0)) * F.sqrt(F.col("size")) / 4 + 0.5
+        rank = F.least(F.greatest(F.floor(scaled * (1 << CURVE_BITS)), F.lit(0)), F.lit((1 << CURVE_BITS) - 1)).cast("long")
+        for bit in range(CURVE_BITS):
+            place = place.bitwiseOR(F.shiftleft(F.shiftright(rank, bit).bitwiseAND(F.lit(1)), bit * CURVE + CURVE - 1 - k))
+    return place
+
+
 def _usable_vector():
     vector = F.col("vector")
     finite = F.forall(vector, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) != F.lit(float("inf"))))

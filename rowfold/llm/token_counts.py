@@ -2,8 +2,9 @@
 
 A document of up to ``window`` characters is encoded in one go. A longer one is cut into windows that overlap, which are
 shuffled, so that its work is spread over tasks. Each window is encoded with offsets. Neighbours share an overlap, and
-the first place in it that is a *stable boundary* (a space between two characters that are not white space: no token
-of the vocabulary's pre-tokeniser crosses it, whatever stands around) is the seam. Both sides must have a token
+the first place in it that is a *stable boundary* is the seam: before a space or line break between two characters that are
+not white space, or between a letter and punctuation, so that texts without spaces have seams too. No token of the
+vocabulary's pre-tokeniser crosses these, whatever stands around. Both sides must have a token
 boundary there; a window counts its tokens between its two seams. A window without such a seam fails, and its documents
 are encoded again with overlaps four times as wide, up to the whole text.
 
@@ -28,7 +29,10 @@ from rowfold.session import new_work_dir, stage
 
 WINDOW = 65_536
 OVERLAP = 512
-_SEAM = re.compile(r"(?<=\S) (?=\S)")
+# Letters and punctuation that are so in every version of the character tables: ASCII, kana, Han and Hangul, and CJK marks.
+_SEAM = re.compile(
+    r"(?<=\S)[ \n](?=\S)|(?<=[A-Za-z\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3])(?=[!-/:-@\[-`{-~\u3001\u3002\uff01\uff0c\uff1a\uff1b\uff1f])"
+)
 _SPECIAL_REACH = 64  # a special string is shorter; a seam keeps this far from the ends of the overlap
 
 COUNT_SCHEMA = T.StructType([T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType())])

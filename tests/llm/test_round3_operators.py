@@ -13,7 +13,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from rowfold.llm import conversations, hard_negatives, rule_ensemble, simhash, toxicity, units
+from rowfold.llm import conversations, hard_negatives, near_vectors, rule_ensemble, simhash, token_counts, toxicity, units
 from rowfold.llm.flat import FlatTexts
 from rowfold.llm.queries import BYTE_BPE, ORACLES, QUERIES, tokenizer_path
 
@@ -292,5 +292,37 @@ def test_units_are_remembered_between_slices_and_forgotten_when_full():
             assert found.ids[found.bounds[k] : found.bounds[k + 1]].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_huge_texts_without_spaces_are_spliced(spark):
+    """Han, kana and Hangul with marks, minified code and long lines: no window fails, and counts are the library's."""
+    rng = random.Random(12)
+    path = tokenizer_path(BYTE_BPE)
+    tokenizer = units.byte_tokenizer(path)
+    texts = [
+        "".join(rng.choice("漢字交文日本語かなカナ한국어、。，") for _ in range(30_000)),
+        ";".join(f"var a{k}=function(b,c){{return b+c*{k}}}" for k in range(2000)),
+        "\n".join("x" * rng.randrange(1, 90) + str(k) for k in range(1500)),
+        "don't;it's'" * 4000,
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "row long, text string")
+    found = {r["row"]: r for r in token_counts._huge_counts(df, path, 4_000, 512).collect()}
+    assert {k: (r["failed"], r["n_tokens"]) for k, r in found.items()} == {
+        k: (False, len(tokenizer.encode(t, add_special_tokens=False).ids)) for k, t in enumerate(texts)
+    }
+
+
+def test_near_vectors_beyond_a_block_and_uneven_clusters(spark):
+    """Several blocks along the curve, many labels of one vector, and links across blocks: as all pairs."""
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((400, 16))
+    x[200:] = x[:200] + 0.15 * rng.standard_normal((200, 16))
+    labels = [0 if k % 5 else k for k in range(400)]
+    df = spark.createDataFrame([(k, v.tolist(), y) for k, (v, y) in enumerate(zip(x, labels))], "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: r["n_links"] for r in near_vectors.near_vectors(df, block=30).collect()}
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    linked = (u @ u.T >= 0.93) & (np.array(labels)[:, None] == np.array(labels)[None])
+    np.fill_diagonal(linked, False)
+    assert got == dict(enumerate(linked.sum(axis=1).tolist())) and linked.sum() > 100
+
+
 def test_every_query_of_this_package_is_registered():
     assert {"op11_toxicity", "op12_hard_negatives", "op13_conversations"} <= QUERIES.keys()
