@@ -16,7 +16,7 @@ from rowfold.operators.filters import equals, equals_ignoring_case, present
 from rowfold.operators.projection import binary_to_text, flatten, parse_json
 from rowfold.plans.load import load_table
 from rowfold.plans.state import LoadStore
-from rowfold.session import path_exists, remove_work_dir
+from rowfold.session import list_names, path_exists, remove_work_dir
 from rowfold.sources.files import read_or_empty
 
 
@@ -249,6 +249,31 @@ def dedup_load_stream(
     return _writer(rows, checkpoint, continuous).foreachBatch(load).start()
 
 
+#: Parts of one level that are merged into one of the next.
+PARTS_MERGED = 8
+
+
+def _part(path: str, level: int, number: int) -> str:
+    return f"{path}/level-{level}/part-{number}"
+
+
+def _parts(spark: SparkSession, path: str) -> list[str]:
+    """Whole parts that cover all micro-batches, the widest there are: ``(PARTS_MERGED - 1) * log(batches)`` at most."""
+    levels = sorted(int(n.removeprefix("level-")) for n in list_names(spark, path))
+    numbers = {k: {int(n.removeprefix("part-")) for n in list_names(spark, f"{path}/level-{k}")} for k in levels}
+    whole = lambda k, n: n in numbers[k] and path_exists(spark, f"{_part(path, k, n)}/_SUCCESS")
+    found, at = [], 0
+    while True:
+        for level in reversed(levels):
+            width = PARTS_MERGED**level
+            if at % width == 0 and whole(level, at // width):
+                found.append(_part(path, level, at // width))
+                at += width
+                break
+        else:
+            return found
+
+
 def count_and_sample(
     rows: DataFrame,
     keys: Sequence[str],
@@ -260,24 +285,41 @@ def count_and_sample(
     """Feed a row count and a distinct sample from one pass over the source.
 
     Every micro-batch is counted per key in its map tasks and written under its own number, so a batch
-    that is delivered again replaces what it wrote. :func:`counted_total` adds the counts up and
-    :func:`sampled_rows` keeps one row per key.
+    that is delivered again replaces what it wrote. Eight parts of a level are merged into one of the next, so a reader
+    opens few parts however long the stream has run. :func:`counted_total` adds the counts up and :func:`sampled_rows`
+    keeps one row per key.
     """
     others = [F.first(c).alias(c) for c in columns if c not in keys]
+    names = [*columns, "records"]
 
     def feed(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         keyed = batch.groupBy(*keys).agg(F.count("*").alias("records"), *others)
-        keyed.select(*columns, "records").write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        keyed.select(*names).write.mode("overwrite").parquet(_part(path, 0, batch_id))
+        level, done = 0, batch_id + 1
+        while done % PARTS_MERGED == 0:
+            first, done = done - PARTS_MERGED, done // PARTS_MERGED
+            held = spark.read.schema(keyed.select(*names).schema).parquet(*[_part(path, level, first + k) for k in range(PARTS_MERGED)])
+            merged = held.groupBy(*keys).agg(F.sum("records").alias("records"), *others)
+            merged.select(*names).write.mode("overwrite").parquet(_part(path, level + 1, done - 1))
+            # those merged the time before; readers may still hold the ones merged now
+            for number in range(first - PARTS_MERGED, first):
+                if number >= 0 and path_exists(spark, _part(path, level, number)):
+                    remove_work_dir(spark, _part(path, level, number))
+            level += 1
 
     return _writer(rows, checkpoint, continuous).foreachBatch(feed).start()
 
 
 def sampled_rows(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str]) -> DataFrame:
-    return spark.read.schema(schema).parquet(path).dropDuplicates(list(keys))
+    parts = _parts(spark, path)
+    held = spark.read.schema(schema).parquet(*parts) if parts else spark.createDataFrame([], schema)
+    return held.dropDuplicates(list(keys))
 
 
 def counted_total(spark: SparkSession, path: str, name: str = "total_records") -> DataFrame:
-    counts = spark.read.schema("records bigint").parquet(path)
+    parts, schema = _parts(spark, path), "records bigint"
+    counts = spark.read.schema(schema).parquet(*parts) if parts else spark.createDataFrame([], schema)
     return counts.agg(F.coalesce(F.sum("records"), F.lit(0)).alias(name))
 
 

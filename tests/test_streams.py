@@ -180,3 +180,16 @@ def test_unreadable_messages_go_to_the_side(spark):
 def test_console_sink(spark, source, tmp_path):
     rows = M.matching(stream(spark, source, None), SCHEMA, "event_type", "click", exact=True)
     assert M.finish(M.to_console(rows, f"{tmp_path}/cp"), 120)
+
+
+def test_counts_and_samples_of_many_batches_are_few_parts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(M, "PARTS_MERGED", 2)
+    rows = spark.range(44).select((F.col("id") % 10).alias("k"), F.col("id").alias("v"))
+    publish_files(rows, f"{tmp_path}/m", num_files=11)
+    stream_rows = M.parse_messages(read_text_messages(spark, f"{tmp_path}/m", 1), rows.schema)
+    M.finish(M.count_and_sample(stream_rows, ["k"], ["k", "v"], f"{tmp_path}/out", f"{tmp_path}/cp"), 200)
+    # eight, two and one batches
+    assert [p.split("/")[-2] for p in M._parts(spark, f"{tmp_path}/out")] == ["level-3", "level-1", "level-0"]
+    assert M.counted_total(spark, f"{tmp_path}/out").first()[0] == 44
+    assert sorted(r["k"] for r in M.sampled_rows(spark, f"{tmp_path}/out", rows.schema, ["k"]).collect()) == list(range(10))
+    assert M.counted_total(spark, f"{tmp_path}/none").first()[0] == 0
