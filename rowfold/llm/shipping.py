@@ -13,12 +13,14 @@ from pyspark.sql import SparkSession
 from rowfold.session import new_work_dir
 
 _NAME = "rowfold-code.zip"
+# Applications that have the package already.
+_SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
     """Put the package's source into the shared folder and on the workers' path, once for each Spark context."""
     context = spark.sparkContext
-    if _NAME in context._python_includes:
+    if context.applicationId in _SHIPPED:
         return
     root = Path(__file__).resolve().parents[1]
     held = io.BytesIO()
@@ -32,6 +34,7 @@ def ship_package(spark: SparkSession) -> None:
     out.write(bytearray(held.getvalue()))
     out.close()
     context.addPyFile(str(files.makeQualified(target)))
+    _SHIPPED.add(context.applicationId)
 
 
 def with_package(function: Callable) -> Callable:

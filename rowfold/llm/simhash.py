@@ -41,7 +41,6 @@ from rowfold.session import new_work_dir, stage
 BITS = 64
 SEED = 42
 RADIUS = 2
-PARTS = 3
 BLOCK = 8_192
 # Leading bits of a part that its histogram counts, whatever the number of fingerprints.
 HISTOGRAM_BITS = 12
@@ -121,7 +120,7 @@ def unpack(fp: np.ndarray) -> np.ndarray:
     return np.unpackbits(np.ascontiguousarray(fp).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
 
 
-def correlated_parts(fps: DataFrame, parts: int = PARTS) -> list[list[int]]:
+def correlated_parts(fps: DataFrame, parts: int) -> list[list[int]]:
     """Bits grouped into parts of even size; a part grows by the bit most correlated with those it has."""
     sums = fps.select("fp").mapInArrow(_bit_sums, "bit int, rows long, both array<double>")
     entry = F.posexplode("both").alias("other", "n")
@@ -238,6 +237,22 @@ def thresholds(values: np.ndarray, parts: list[list[int]], counts: list[np.ndarr
     return out
 
 
+def best_parts(n: int, radius: int) -> int:
+    """The number of parts that brings the fewest rows and candidates for each of ``n`` fingerprints.
+
+    Few fingerprints are told apart by short parts; many need long ones, and then are sent to the values beside theirs. As if bits
+    were even; the thresholds themselves follow the histograms.
+    """
+
+    def cost(parts: int) -> float:
+        width, left = BITS // parts, radius - parts + 1
+        limits = [left // parts + (k < left % parts) for k in range(parts)]
+        probes = [sum(math.comb(width, i) for i in range(t + 1)) for t in limits]
+        return sum(p * (1 + n / 2**width) for p in probes)
+
+    return min(range(1, radius + 2), key=cost)
+
+
 # --- search
 
 
@@ -366,12 +381,16 @@ def _search(batches: Iterator[pa.RecordBatch], reach: Reach) -> Iterator[pa.Reco
         yield links(held)
 
 
-def near_links(fps: DataFrame, radius: int = RADIUS, parts: int = PARTS, block: int = BLOCK, total: int | None = None) -> DataFrame:
+def near_links(
+    fps: DataFrame, radius: int = RADIUS, parts: int | None = None, block: int = BLOCK, total: int | None = None
+) -> DataFrame:
     """``a, b``: a forest that connects the ``node`` of near fingerprints; ``fps`` has ``node, fp, more``, each once.
 
+    Without ``parts``, their number follows from that of the fingerprints (:func:`best_parts`).
+
     Near are fingerprints within ``radius`` bits, and ``total`` bits of both words if that is given.
     """
-    layout = correlated_parts(fps, parts)
+    layout = correlated_parts(fps, parts or best_parts(fps.count(), radius))
     counts = histograms(fps, layout)
     kinds = "part int, value long, node long, fp long, more long"
     keys = fps.select(*_NODE).mapInArrow(lambda b: _keys(b, layout, counts, radius), kinds)
@@ -391,7 +410,7 @@ def _group_forest(sized: DataFrame, block: int, reach: Reach) -> DataFrame:
     return sorted_groups.mapInArrow(lambda b: _search(b, reach), "a long, b long")
 
 
-def _classes(hashed: DataFrame, work_dir: str, radius: int, parts: int, total: int | None = None) -> DataFrame:
+def _classes(hashed: DataFrame, work_dir: str, radius: int, parts: int | None, total: int | None = None) -> DataFrame:
     """``fp, more, name`` from ``key, fp, more``: the smallest key that near fingerprints can reach."""
     firsts = hashed.groupBy("fp", "more").agg(F.min("key").alias("first"))
     # written down, so that the nodes keep their numbers
@@ -407,7 +426,7 @@ def near_duplicates(
     docs: DataFrame,
     words: int = 3,
     radius: int = RADIUS,
-    parts: int = PARTS,
+    parts: int | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
     work_dir: str | None = None,
@@ -425,7 +444,7 @@ def deduplicated(
     docs: DataFrame,
     words: int = 3,
     radius: int = RADIUS,
-    parts: int = PARTS,
+    parts: int | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
     work_dir: str | None = None,

@@ -324,5 +324,9 @@ def test_near_vectors_beyond_a_block_and_uneven_clusters(spark):
     assert got == dict(enumerate(linked.sum(axis=1).tolist())) and linked.sum() > 100
 
 
+def test_many_fingerprints_take_longer_parts():
+    assert [simhash.best_parts(n, 2) for n in (0, 250_000, 10**6, 10**9)] == [3, 3, 3, 2] and simhash.best_parts(10**6, 0) == 1
+
+
 def test_every_query_of_this_package_is_registered():
     assert {"op11_toxicity", "op12_hard_negatives", "op13_conversations"} <= QUERIES.keys()
