@@ -193,3 +193,12 @@ def test_counts_and_samples_of_many_batches_are_few_parts(spark, tmp_path, monke
     assert M.counted_total(spark, f"{tmp_path}/out").first()[0] == 44
     assert sorted(r["k"] for r in M.sampled_rows(spark, f"{tmp_path}/out", rows.schema, ["k"]).collect()) == list(range(10))
     assert M.counted_total(spark, f"{tmp_path}/none").first()[0] == 0
+
+
+def test_console_takes_every_row(spark, events, source, tmp_path):
+    rows = M.parse_messages(stream(spark, source), SCHEMA)
+    query = M.to_console(rows.filter("event_type = 'click'"), f"{tmp_path}/cp")
+    assert M.finish(query, 120)
+    done = query.recentProgress
+    assert all("Console" in p["sink"]["description"] for p in done)
+    assert sum(p["numInputRows"] for p in done) == events.count()
