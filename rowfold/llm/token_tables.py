@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,8 +32,8 @@ END_ID = 2
 # A row group is what a task reads, a page the least that a selective read decodes.
 ROW_GROUP_BYTES, PAGE_BYTES, PAGE_ROWS = 32 << 20, 256 << 10, 2_000
 RUN_BITS = 16
-# Bytes of text in a file, about, where the number of files is not given.
-FILE_BYTES = 256 << 20
+# Documents of a file, about, where the number of files is not given.
+FILE_ROWS = 16_384
 
 ENCODED_SCHEMA = T.StructType(
     [
@@ -86,19 +87,27 @@ def write_token_table(
 ) -> None:
     """Encode all documents and write them in ascending order of id, as about ``files`` files.
 
-    By default as many as the cores of the session, or as files of ``FILE_BYTES`` of text take, whichever is more. The texts
-    are sorted, not their ids: drawing the ranges reads the ids once more, and encoding happens once.
+    By default as many as the cores of the session, or one for ``FILE_ROWS`` documents, whichever is more. The texts are
+    sorted, not their ids, and encoding happens once. Ranges of ids that are numbers and do not repeat come from quantiles of the
+    ids alone; otherwise they are drawn from the rows, with the text's hash, which spreads many rows with one id.
     """
     rows = docs.select(F.col(f"`{id_col}`").alias(id_col), F.col(f"`{text_col}`").alias(text_col))
     key, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
     if files is None:
-        size = rows.agg(F.sum(F.octet_length(text))).first()[0] or 0
-        files = max(docs.sparkSession.sparkContext.defaultParallelism, -(-size // FILE_BYTES))
-    order = [key.asc_nulls_first()]
-    if not rows.groupBy(key).count().filter("count > 1").isEmpty():
-        # the hash also spreads many rows with one id
-        order.append(F.xxhash64(text))
-    ranged = rows.repartitionByRange(files, *order).sortWithinPartitions(*order)
+        files = max(docs.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // FILE_ROWS))
+    repeated = not rows.groupBy(key).count().filter("count > 1").isEmpty()
+    if repeated or not isinstance(rows.schema[id_col].dataType, T.NumericType):
+        order = [key.asc_nulls_first(), F.xxhash64(text)]
+        ranged = rows.repartitionByRange(files, *order).sortWithinPartitions(*order)
+    else:
+        shares = [k / files for k in range(1, files)]
+        found = rows.agg(F.percentile_approx(key.cast("double"), [*shares, 1.0], 10_000).alias("q")).first()["q"]
+        cuts = sorted(set((found or [0.0])[:-1] or [0.0]))
+        number = Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol="number_", outputCol="range_", handleInvalid="keep")
+        numbered = number.transform(rows.withColumn("number_", key.cast("double")))
+        # a null id comes first
+        place = F.when(key.isNull(), F.lit(0)).otherwise(F.col("range_").cast("int"))
+        ranged = numbered.repartitionById(len(cuts) + 1, place).drop("number_", "range_").sortWithinPartitions(key.asc_nulls_first())
     (
         encode_documents(ranged, path, id_col, text_col, end_id)
         .write.option("parquet.writer.version", "v2")

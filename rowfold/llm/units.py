@@ -329,4 +329,5 @@ def byte_units(path: str) -> ByteUnits:
 
 @functools.lru_cache(maxsize=4)
 def piece_units(path: str) -> PieceUnits:
-    return PieceUnits(path)
+    # these have spans as well
+    return PieceUnits(path, units=MEMORY_UNITS // 2)
