@@ -32,8 +32,9 @@ IS_SYMBOL = np.zeros(256, dtype=bool)
 IS_SYMBOL[list(SYMBOLS)] = True
 MIN_WORDS = 50
 MAX_REPEATED = 50
-# A text's entropy may be so much of the median of its language and length.
-ENTROPY_DROP = 0.93
+# A text's entropy may be so much of the median of its language and length, and its share of what its length allows so much of its
+# script's median.
+ENTROPY_DROP, SCRIPT_DROP = 0.93, 0.8
 # Entropies are counted in steps of a bit, so that quantiles are exact, and add up over any partitioning.
 STEPS = 1_024
 MOST_BANDS = 10_000
@@ -201,24 +202,40 @@ def entropy_bands(figures: DataFrame, group: Column) -> DataFrame:
     the median by ``ENTROPY_DROP``, and below the lower quartile by twice the middle half, whichever is lower: the first
     keeps the band open where many copies of one text narrow the quartiles, the second where texts really vary. All
     texts that pass the base rules count. Every group has its own limit, however few its texts are, so a verdict depends on
-    a text and the proportions of its group and not on the size of the input.
+    a text and the proportions of its group and not on the size of the input. What a group of few texts cannot tell, the
+    script's limit does (:func:`script_bands`), which every text meets as well.
     """
     passed = figures.filter(~F.col("base_failed")).select(group.alias("band_group"), _octave().alias("octave"), _steps().alias("step"))
-    keys = ["band_group", "octave"]
-    # a row for each step that occurs, some ten thousand of a group at most
-    counted = passed.groupBy(*keys, "step").agg(F.count("*").alias("n"))
+    q1, q2, q3 = (F.col(f"q{k}") for k in (1, 2, 3))
+    limit = F.least(F.lit(ENTROPY_DROP) * q2, q1 - 2 * (q3 - q1))
+    return _quartiles(passed, ["band_group", "octave"]).select("band_group", "octave", (limit / STEPS).alias("entropy_limit"))
+
+
+def script_bands(figures: DataFrame) -> DataFrame:
+    """``script, share_limit``: entropy as a share of what the number of tokens allows, for texts whose language or length is rare."""
+    passed = figures.filter(~F.col("base_failed")).select("script", F.floor(_share() * STEPS).cast("long").alias("step"))
+    return _quartiles(passed, ["script"]).select("script", (SCRIPT_DROP * F.col("q2") / STEPS).alias("share_limit"))
+
+
+def _quartiles(texts: DataFrame, keys: list[str]) -> DataFrame:
+    """Exact quartiles of ``step``; a row for each step that occurs, some ten thousand of a group at most."""
+    counted = texts.groupBy(*keys, "step").agg(F.count("*").alias("n"))
     upto = F.sum("n").over(Window.partitionBy(*keys).orderBy("step"))
     of = F.sum("n").over(Window.partitionBy(*keys))
     placed = counted.withColumn("upto", upto).withColumn("of", of)
     quartiles = [F.min(F.when(4 * F.col("upto") >= k * F.col("of"), F.col("step"))).alias(f"q{k}") for k in (1, 2, 3)]
-    limit = F.least(F.lit(ENTROPY_DROP) * F.col("q2"), F.col("q1") - 2 * (F.col("q3") - F.col("q1")))
-    return placed.groupBy(*keys).agg(*quartiles).select(*keys, (limit / STEPS).alias("entropy_limit"))
+    return placed.groupBy(*keys).agg(*quartiles)
 
 
 def _steps() -> Column:
     return F.floor(F.col("entropy") * STEPS).cast("long")
 
 
+def _share() -> Column:
+    """Entropy as a share of the most that so many tokens can have, capped where the vocabulary in use sets it rather than the length."""
+    return F.col("entropy") / F.least(F.log2(F.greatest(F.col("n_tokens"), F.lit(2)).cast("double")), F.lit(10.0))
+
+
 def _octave() -> Column:
     return F.floor(F.log2(F.greatest(F.col("n_tokens"), F.lit(1)).cast("double"))).cast("int")
 
@@ -245,7 +262,11 @@ def judged(
     if bands.count() <= MOST_BANDS:
         bands = F.broadcast(bands)
     met = figures.withColumn("band_group", group).withColumn("octave", _octave()).join(bands, ["band_group", "octave"], "left")
+    # one row for each script
+    scripts = stage(script_bands(figures), work_dir, "scripts")
+    met = met.join(F.broadcast(scripts), "script", "left")
     # only texts that fail the base rules can be without a limit
-    high_enough = F.coalesce(_steps() / STEPS >= F.col("entropy_limit"), F.lit(True))
+    high_enough = (_steps() / STEPS >= F.col("entropy_limit")) & (F.floor(_share() * STEPS) / STEPS >= F.col("share_limit"))
+    high_enough = F.coalesce(high_enough, F.lit(True))
     kept = met.withColumn("kept", ~F.col("base_failed") & in_bands(language) & high_enough)
     return kept.select(*[F.col(f"`{c}`") for c in keep], *FIGURES_SCHEMA.fieldNames(), "base_failed", "kept")

@@ -279,13 +279,14 @@ def test_false_magic_is_no_record():
 
 
 def test_mixture_edges(spark):
-    got = rows_of(mixing.mixture(documents(spark)).select("doc_id", "size", "source", "source_size", "target", "taken"))
+    taken = lambda df: mixing.scheduled(mixing.mixture(df), mixing.new_work_dir(spark, "mixed"))[1]
+    got = rows_of(taken(documents(spark)).select("doc_id", "size", "source", "source_size", "target", "taken"))
     assert len(got) == len(DOCS)
     assert all(0 <= r[5] <= 3 * r[1] for r in got)
-    again = rows_of(mixing.mixture(documents(spark).repartition(3)).select("doc_id", "size", "source", "source_size", "target", "taken"))
+    again = rows_of(taken(documents(spark).repartition(3)).select("doc_id", "size", "source", "source_size", "target", "taken"))
     assert got == again
-    assert mixing.mixture(documents(spark, [])).count() == 0
-    nothing = mixing.mixture(documents(spark, [(1, None, "en", "a"), (2, "", "en", "b")])).collect()
+    assert taken(documents(spark, [])).count() == 0
+    nothing = taken(documents(spark, [(1, None, "en", "a"), (2, "", "en", "b")])).collect()
     assert {(r["taken"], r["target"]) for r in nothing} == {(0, 0.0)}
 
 
@@ -299,7 +300,7 @@ def test_mixture_with_hot_rows_and_sources(spark):
     )
     with pytest.MonkeyPatch.context() as patch:
         patch.setattr(mixing, "SLICE_ROWS", 500)
-        rows = mixing.mixture(docs).collect()
+        rows = mixing.scheduled(mixing.mixture(docs), mixing.new_work_dir(spark, "mixed"))[1].collect()
     assert len(rows) == n
     for source in ("a", "b", None):
         own = [r for r in rows if r["source"] == source]
@@ -372,6 +373,10 @@ def test_thin_groups_have_entropy_bands_too(spark):
         rows = fertility.judged(documents(spark, [(k, *t, "s") for k, t in enumerate(table)]), PIECES).collect()
         assert not any(r["base_failed"] for r in rows)
         assert {r["doc_id"] for r in rows if not r["kept"]} == gone
+        # the same texts in the same proportions, many times over: the same verdicts
+        times = documents(spark, [(k, *t, "s") for k, t in enumerate(table)]).crossJoin(spark.range(40))
+        verdicts = fertility.judged(times, PIECES).groupBy("doc_id", "kept").count().collect()
+        assert {r["doc_id"] for r in verdicts if not r["kept"]} == gone and all(r["count"] == 40 for r in verdicts)
 
 
 def test_url_edges(spark):
