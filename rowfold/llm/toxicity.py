@@ -11,7 +11,7 @@ windows above thresholds) are weighed by a logistic regression on the labelled d
 it tells them apart best (F1), so that a score of 0.5 or more means toxic.
 
 Labels are used for fitting only. Fitting takes ``FIT_ROWS`` labelled ids at most (those with the smallest hash, one row of
-each), ``SEGMENTS`` segments and ``ORDINARY_SAMPLES`` windows of ordinary text, so it does not grow with the corpus.
+each), ``SEGMENTS`` segments and about ``ORDINARY_SAMPLES`` windows of ordinary text, so it does not grow with the corpus.
 
 A null or empty text has no windows and gets a score like any other. Rows are scored one by one, repeated or null ids
 included. Labels that are null or of unknown documents are not used; several labels of a document count as their mean,
@@ -218,8 +218,10 @@ def fit(labelled: DataFrame, work_dir: str) -> ToxicityModel:
     starts = F.expr(f"explode(sequence(0, greatest(0, octet_length(text) - 1), {SAMPLE_BYTES}))")
     pieces = sample.filter("label = 0").select("rank", "text", starts.alias("at"))
     pieces = pieces.select("rank", "at", F.expr(f"substring(text, at + 1, {SAMPLE_BYTES})").alias("piece"))
-    # short pieces only, ``ORDINARY_SAMPLES`` of them
-    drawn = pieces.orderBy(F.xxhash64("rank", "at"), "rank", "at").limit(ORDINARY_SAMPLES).select("piece").collect()
+    # short pieces only, about ``ORDINARY_SAMPLES`` of them: told by their hash in the tasks, so that no others leave these
+    known = max(1, pieces.count())
+    drawn = pieces.filter(F.pmod(F.xxhash64("rank", "at"), F.lit(known)) < ORDINARY_SAMPLES).select("rank", "at", "piece").collect()
+    drawn.sort(key=lambda r: (r["rank"], r["at"]))
     ordinary = train_dictionary([bytes(r["piece"]).lower() for r in drawn], ORDINARY_BYTES)
 
     def uses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
