@@ -220,8 +220,10 @@ def fit(labelled: DataFrame, work_dir: str) -> ToxicityModel:
     pieces = pieces.select("rank", "at", F.expr(f"substring(text, at + 1, {SAMPLE_BYTES})").alias("piece"))
     # short pieces only, about ``ORDINARY_SAMPLES`` of them: told by their hash in the tasks, so that no others leave these
     known = max(1, pieces.count())
-    drawn = pieces.filter(F.pmod(F.xxhash64("rank", "at"), F.lit(known)) < ORDINARY_SAMPLES).select("rank", "at", "piece").collect()
-    drawn.sort(key=lambda r: (r["rank"], r["at"]))
+    pieces = pieces.withColumn("hash", F.xxhash64("rank", "at"))
+    drawn = pieces.filter(F.pmod("hash", F.lit(known)) < ORDINARY_SAMPLES).select("hash", "rank", "at", "piece").collect()
+    # mixed, so that neighbours are of different texts: training takes them part by part
+    drawn.sort(key=lambda r: (r["hash"], r["rank"], r["at"]))
     ordinary = train_dictionary([bytes(r["piece"]).lower() for r in drawn], ORDINARY_BYTES)
 
     def uses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
