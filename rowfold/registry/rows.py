@@ -404,6 +404,10 @@ def scan_files(spark, path) -> int:
     return scan_units(spark.read.parquet(path)).select("file_path").distinct().count()
 
 
+# Lines of a file, about.
+LISTED_ROWS = 500_000
+
+
 @query(
     "row_group_listing",
     "SELECT count(*) AS rows, true AS groups_are_cut, true AS bounds_hold, true AS positions_follow FROM lineitem",
@@ -412,14 +416,18 @@ def listed_row_groups(spark, sf_dir):
     """The lines in files of several row groups, by their footers: rows, and what the footers say against the rows themselves."""
     path = new_work_dir(spark, "row-groups")
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
-    lines.repartition(4, "l_orderkey").sortWithinPartitions("l_orderkey").write.option("parquet.block.size", 256 << 10).parquet(path)
+    # files and the sorts behind them keep their size however many lines there are
+    files = max(4, -(-lines.count() // LISTED_ROWS))
+    lines.repartition(files, "l_orderkey").sortWithinPartitions("l_orderkey").write.option("parquet.block.size", 256 << 10).parquet(path)
     groups = row_group_listing(spark, path, "l_orderkey")
     held = spark.read.parquet(path).select("l_orderkey", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.row_index").alias("at"))
     inside = (held["at"] >= groups["first_row"]) & (held["at"] < groups["first_row"] + groups["rows"])
-    met = held.join(groups, (held["file_path"] == groups["file_path"]) & inside).groupBy(groups["file_path"], "row_group")
+    # a row for each row group: the rows themselves are neither shuffled nor sorted
+    met = held.join(F.broadcast(groups), (held["file_path"] == groups["file_path"]) & inside).groupBy(groups["file_path"], "row_group")
     told = met.agg(
         F.count("*").alias("found"), F.first("rows").alias("rows"), F.min("l_orderkey").alias("low"), F.max("l_orderkey").alias("high"),
-        F.first("least").cast("bigint").alias("least"), F.first("most").cast("bigint").alias("most"),
+        # as numbers: texts would make the aggregate sort all rows
+        F.first(F.col("least").cast("bigint")).alias("least"), F.first(F.col("most").cast("bigint")).alias("most"),
     )
     return told.agg(
         F.sum("rows").alias("rows"),
