@@ -12,6 +12,8 @@ from rowfold.session import new_work_dir, stage
 # A position is ``row_group * ROW_GROUP_SPAN + index of the row in its group``: one bigint that sorts
 # like the pair. Room for 2^40 rows in a group and 2^23 groups.
 ROW_GROUP_SPAN = 1 << 40
+# Numbers that ascend are stored as differences.
+ASCENDING = {"parquet.writer.version": "v2"}
 # Rows of a range, about.
 RANGE_ROWS = 2_000_000
 
@@ -34,13 +36,14 @@ def row_positions(
     name: str = "position",
     partitions: int | None = None,
     work_dir: str | None = None,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """Number the rows 0, 1, 2, ... in the given order.
 
     The rows are range-partitioned and sorted once and written down with their place in their range
     (range bounds come from a sample, so they must not be drawn again). All that crosses ranges is one
     row count for each. Rows that tie are told apart by the task that read them, so that many copies of
-    one row are spread over several ranges.
+    one row are spread over several ranges. ``keep`` names the columns that are written down, all by default.
     """
     spark = df.sparkSession
     # by the number of rows: a range is sorted by one task
@@ -48,8 +51,8 @@ def row_positions(
     tied = df.withColumn("_task", F.spark_partition_id())
     ranged = tied.repartitionByRange(shards, *order, "_task").sortWithinPartitions(*order, "_task").drop("_task")
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    numbered = ranged.select("*", F.spark_partition_id().alias("_shard"), place.alias("_place"))
-    placed = stage(numbered, work_dir or new_work_dir(spark, "positions"), "rows")
+    numbered = ranged.select(*(["*"] if keep is None else keep), F.spark_partition_id().alias("_shard"), place.alias("_place"))
+    placed = stage(numbered, work_dir or new_work_dir(spark, "positions"), "rows", **ASCENDING)
 
     totals = placed.groupBy("_shard").agg(F.count("*").alias("_total"))
     before = Window.orderBy("_shard").rowsBetween(Window.unboundedPreceding, -1)

@@ -26,13 +26,15 @@ from rowfold.operators.dedup import (
     chunk_report,
     hashed_rows,
     last_position_kept,
-    new_records,
     ordered_rows,
+    row_keys,
+    unseen,
+    with_first,
     with_progress,
 )
 from rowfold.operators.distinct import distinct_by
 from rowfold.operators.joins import already_seen
-from rowfold.operators.positions import ROW_GROUP_SPAN
+from rowfold.operators.positions import ASCENDING, ROW_GROUP_SPAN
 from rowfold.operators.selection import can_rank, cut_at_rank, up_to
 from rowfold.plans import seen as stored
 from rowfold.plans.seen import SEEN_SCHEMA
@@ -93,6 +95,8 @@ class DedupPlan:
     duplicates: int
     all_new: bool
     stopped_at: tuple[int, int] | None
+    #: the record's columns, if ``accepted`` has them
+    keys: tuple[str, ...] = ()
 
 
 def plan_dedup(
@@ -102,12 +106,15 @@ def plan_dedup(
     remaining: int | None = None,
     max_chunks: int | None = None,
     work_dir: str | None = None,
+    keys: Sequence[str] = (),
+    algorithm: str = "sha256",
 ) -> DedupPlan:
     """Decide which records of a batch are accepted, from its (hash, position) rows.
 
     ``seen`` are the stored hashes, or what keeps the rows whose hash is not stored (:func:`rowfold.plans.seen.not_stored`).
     ``remaining`` is how many records the cap still allows. The chunk that reaches it is the last one
-    reported; its records beyond the cap are counted as ``capped`` and are not remembered.
+    reported; its records beyond the cap are counted as ``capped`` and are not remembered. ``keys`` are the columns that stand
+    for the hash (:func:`rowfold.operators.dedup.row_keys`), of which ``algorithm`` makes it.
     """
     spark = rows.sparkSession
     work_dir = work_dir or new_work_dir(spark, "plan")
@@ -116,8 +123,15 @@ def plan_dedup(
         return DedupPlan(nothing, empty_table(spark, REPORT_SCHEMA), 0, 0, False, None)
 
     columns = REPORT_SCHEMA.fieldNames()
-    groups = stage(chunk_groups(rows, chunk_size), work_dir, "groups")
-    new = stage(new_records(groups, seen), work_dir, "new")
+    keys = tuple(keys)
+    groups = stage(with_first(chunk_groups(rows, chunk_size, keys), keys), work_dir, "groups", **ASCENDING)
+    # what stands for a hash is staged in its place
+    digest = record_hash(rows, keys, algorithm, as_hex=False).alias(RECORD_HASH) if keys else F.col(RECORD_HASH)
+    held = [*(keys or [RECORD_HASH]), "position"]
+    firsts = groups.filter("is_first").select(digest, *keys, "position")
+    new = unseen(firsts, seen)
+    if new is not firsts:
+        new = stage(new.select(*held), work_dir, "new", **ASCENDING).select(digest, *keys, "position")
     progress = stage(with_progress(chunk_report(groups, new, chunk_size)), work_dir, "progress")
 
     reached = F.lit(False)
@@ -139,7 +153,7 @@ def plan_dedup(
         unique, duplicates = totals["new"] or 0, totals["duplicates"] or 0
         accepted = new if unique else nothing
         all_new = totals["rows"] == totals["new"]
-        return DedupPlan(accepted, report.select(*columns), unique, duplicates, all_new, None)
+        return DedupPlan(accepted, report.select(*columns), unique, duplicates, all_new, None, keys)
 
     at = (boundary["row_group"], boundary["chunk"])
     report = report.filter(at_or_before(*at))
@@ -160,7 +174,7 @@ def plan_dedup(
         last = at[0] * ROW_GROUP_SPAN + (at[1] + 1) * chunk_size - 1
     accepted = new.filter(F.col("position") <= last)
     unique = boundary["total_new"] - capped
-    return DedupPlan(accepted, report.select(*columns), unique, boundary["total_duplicates"], False, at)
+    return DedupPlan(accepted, report.select(*columns), unique, boundary["total_duplicates"], False, at, keys)
 
 
 def accepted_rows(
@@ -174,8 +188,13 @@ def accepted_rows(
 
     Copies are dropped in the map tasks, then the rest is shuffled by hash once, for both the final
     distinct and the semi-join. Copies are equal in every column, so any of them will do. A planned
-    batch (``whole_batch``: no part of it was loaded before) without any duplicate is not shuffled.
+    batch (``whole_batch``: no part of it was loaded before) without any duplicate is not shuffled. Records that the plan holds
+    themselves are taken from it, and if there are none the batch is not read.
     """
+    if plan.unique and plan.keys:
+        return plan.accepted.select(*columns, RECORD_HASH)
+    if not plan.unique:
+        batch = batch.limit(0)
     hashed = batch.select(*columns, record_hash(batch, columns, algorithm, as_hex=False).alias(RECORD_HASH))
     if plan.all_new and whole_batch:
         return hashed
@@ -187,6 +206,10 @@ def accepted_at(placed: DataFrame, plan: DedupPlan, columns: Sequence[str], whol
 
     Positions are unique, so the semi-join is even however often a record is repeated.
     """
+    if plan.unique and plan.keys:
+        return plan.accepted.select(*columns)
+    if not plan.unique:
+        return placed.select(*columns).limit(0)
     if plan.all_new and whole_batch:
         return placed.select(*columns)
     kept = already_seen(placed.select(*columns, "position"), plan.accepted.select("position"), "position")
@@ -378,14 +401,23 @@ def load_table(
         return row
     work_dir = new_work_dir(spark, "load")
     numbered = store.numbered(task, batch_id)
-    unseen = stored.not_stored(spark, store, state, work_dir)
+    keys = row_keys(batch, columns, algorithm, order)
+    not_stored = stored.not_stored(spark, store, state, work_dir, record_hash(batch, columns, algorithm, as_hex=False))
     if max_chunks is None and not path_exists(spark, f"{numbered}/rows/_SUCCESS"):
-        part, plan = _capped_plan(batch, order, columns, algorithm, unseen, chunk_size, _remaining(cap, row), work_dir)
+        part, plan = _capped_plan(batch, order, columns, algorithm, not_stored, chunk_size, _remaining(cap, row), work_dir)
     else:
         if not path_exists(spark, f"{numbered}/rows/_SUCCESS"):
-            write_table(ordered_rows(batch, order, columns, algorithm, work_dir), f"{numbered}/rows", "overwrite")
-        hashed = after_cursor(spark.read.parquet(f"{numbered}/rows"), chunk_size, row)
-        part, plan = batch, plan_dedup(hashed, unseen, chunk_size, _remaining(cap, row), max_chunks, work_dir)
+            rows = ordered_rows(batch, order, columns, algorithm, work_dir)
+            write_table(rows.select(*keys, "position") if keys else rows, f"{numbered}/rows", "overwrite")
+        held = spark.read.parquet(f"{numbered}/rows")
+        if RECORD_HASH in held.columns:
+            keys = []
+        rows = after_cursor(hashed_rows(held, keys, algorithm) if keys else held, chunk_size, row)
+        if max_chunks is not None:
+            # no chunk behind the last one allowed is looked at
+            rows = rows.filter(F.col("position") < (row["last_processed_chunk"] + max_chunks) * chunk_size)
+        part = batch
+        plan = plan_dedup(rows, not_stored, chunk_size, _remaining(cap, row), max_chunks, work_dir, keys, algorithm)
     found = accepted_rows(part, plan, columns, algorithm, whole_batch=row["last_processed_chunk"] == 0)
     _move_cursor(row, plan, cap, end=1, whole=True)
     _, row = _commit(spark, store, plan, found.drop(RECORD_HASH), state, row, partition_by, sketches)
@@ -400,7 +432,7 @@ def _capped_plan(
     order: Sequence[str],
     columns: Sequence[str],
     algorithm: str,
-    unseen: Callable[[DataFrame], DataFrame],
+    not_stored: Callable[[DataFrame], DataFrame],
     chunk_size: int,
     remaining: int | None,
     work_dir: str,
@@ -417,7 +449,8 @@ def _capped_plan(
         step_dir = f"{work_dir}/up-to-{wanted}"
         cut = cut_at_rank(batch, order[0], wanted) if wanted is not None else None
         part = up_to(batch, order[0], cut) if cut is not None else batch
-        plan = plan_dedup(ordered_rows(part, order, columns, algorithm, step_dir), unseen, chunk_size, remaining, work_dir=step_dir)
+        rows, keys = ordered_rows(part, order, columns, algorithm, step_dir), row_keys(batch, columns, algorithm, order)
+        plan = plan_dedup(rows, not_stored, chunk_size, remaining, work_dir=step_dir, keys=keys, algorithm=algorithm)
         # the chunk that reaches the cap has to be whole
         if cut is None or (plan.stopped_at is not None and cut.rows >= (plan.stopped_at[1] + 1) * chunk_size):
             return part, plan
@@ -500,8 +533,9 @@ def _step(spark, files, groups, store, state, row, columns, chunk_size, cap, max
     inside = groups.filter((F.col("row_group") >= start) & (F.col("row_group") < stop))
     placed = with_file_position(files, inside, stop - start)
     hashed = after_cursor(hashed_rows(placed, columns, algorithm), chunk_size, row)
-    unseen = stored.not_stored(spark, store, state, work_dir)
-    plan = plan_dedup(hashed, unseen, chunk_size, _remaining(cap, row), max_chunks, work_dir)
+    keys = row_keys(files, columns, algorithm)
+    not_stored = stored.not_stored(spark, store, state, work_dir, record_hash(files, columns, algorithm, as_hex=False))
+    plan = plan_dedup(hashed, not_stored, chunk_size, _remaining(cap, row), max_chunks, work_dir, keys, algorithm)
     return plan, accepted_at(placed, plan, columns, whole_batch=row["last_processed_chunk"] == 0)
 
 

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowfold.functions.hashing import RECORD_HASH
-from rowfold.operators.joins import already_seen, not_seen
+from rowfold.operators.positions import ASCENDING
 from rowfold.plans.state import LoadState, LoadStore, Run
 from rowfold.session import path_exists, remove_work_dir, stage
 from rowfold.sinks.tables import bucketed_table
@@ -138,7 +138,7 @@ def _filter_builder(most_rows: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
     return build
 
 
-def _prober() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _prober(carried: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
         import pyarrow as pa
@@ -174,8 +174,8 @@ def _prober() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
                     for k in np.flatnonzero(hit):
                         if run not in found[k]:
                             found[k].append(run)
-                columns = [rows.column("record_hash"), rows.column("position"), rows.column("bucket"), pa.array(found, pa.list_(pa.int32()))]
-                yield pa.RecordBatch.from_arrays(columns, names=["record_hash", "position", "bucket", "runs"])
+                columns = [*(rows.column(c) for c in [*carried, "bucket"]), pa.array(found, pa.list_(pa.int32()))]
+                yield pa.RecordBatch.from_arrays(columns, names=[*carried, "bucket", "runs"])
                 start = stop
 
     return probe
@@ -187,38 +187,50 @@ def filter_rows(spark: SparkSession, store: LoadStore, runs: list[Run]) -> DataF
     return reduce(DataFrame.unionByName, tables)
 
 
-def not_stored(spark: SparkSession, store: LoadStore, state: LoadState, work_dir: str) -> Callable[[DataFrame], DataFrame]:
-    """What keeps, of ``record_hash, position`` with each hash once, the rows whose hash is in no run."""
+def not_stored(
+    spark: SparkSession, store: LoadStore, state: LoadState, work_dir: str, digest: Column | None = None
+) -> Callable[[DataFrame], DataFrame]:
+    """What keeps, of ``record_hash, position`` with each hash once, the rows whose hash is in no run.
+
+    Other columns of the rows are what ``digest`` makes the hash of: they are kept, and moved in its place.
+    """
 
     def keep(firsts: DataFrame) -> DataFrame:
         runs = state.runs
         if not runs:
             return firsts
+        names = firsts.columns
+        made = len(names) > 2
+        moved = [c for c in names if c != RECORD_HASH] if made else names
+        hashed = digest.alias(RECORD_HASH) if made else F.col(RECORD_HASH)
         nothing = F.lit(None)
         marks = filter_rows(spark, store, runs).select(
-            "bucket", "run", "bits", "offsets", "marks", nothing.cast("binary").alias(RECORD_HASH), nothing.cast("long").alias("position")
+            "bucket", "run", "bits", "offsets", "marks", *[nothing.cast(firsts.schema[c].dataType).alias(c) for c in moved]
         )
         rows = firsts.select(
             bucket_of(store.buckets).alias("bucket"), F.lit(-1).alias("run"), nothing.cast("int").alias("bits"),
-            nothing.cast("binary").alias("offsets"), nothing.cast("binary").alias("marks"), RECORD_HASH, "position",
+            nothing.cast("binary").alias("offsets"), nothing.cast("binary").alias("marks"), *moved,
         )
         met = rows.unionByName(marks).repartition(store.buckets, "bucket").sortWithinPartitions("bucket", F.desc("run"))
-        probed = met.mapInArrow(_prober(), f"{RECORD_HASH} binary, position long, bucket int, runs array<int>")
-        probed = stage(probed, work_dir, f"probed-{uuid.uuid4().hex}")
+        met = met.select(*rows.columns, hashed) if made else met
+        fields = [firsts.schema[c] for c in moved]
+        out = T.StructType([*fields, T.StructField("bucket", T.IntegerType()), T.StructField("runs", T.ArrayType(T.IntegerType()))])
+        probed = stage(met.mapInArrow(_prober(moved), out), work_dir, f"probed-{uuid.uuid4().hex}", **ASCENDING)
         maybe = probed.filter(F.size("runs") > 0)
         # a row for each file at most
         hits = maybe.select("bucket", F.explode("runs").alias("run")).distinct().collect()
-        new = probed.filter(F.size("runs") == 0).select(RECORD_HASH, "position")
+        others = [c for c in names if c != RECORD_HASH]
+        new = probed.filter(F.size("runs") == 0).select(hashed, *others)
         if not hits:
             return new
-        known = []
+        # the batch is moved to the buckets once and held in memory, part by part; stored hashes are looked up in it
+        asked = maybe.select(*moved).repartition(store.buckets, digest if made else F.col(RECORD_HASH)).select(hashed, *others)
         for k in sorted({h["run"] for h in hits}):
             held = run_files(spark, store, runs[k], sorted(h["bucket"] for h in hits if h["run"] == k))
-            asked = maybe.filter(F.array_contains("runs", k)).select(RECORD_HASH).repartition(store.buckets, RECORD_HASH)
-            known.append(already_seen(held, asked.hint("shuffle_hash"), RECORD_HASH))
-        maybe = maybe.select(RECORD_HASH, "position").repartition(store.buckets, RECORD_HASH)
-        missed = not_seen(maybe, reduce(DataFrame.unionByName, known).hint("shuffle_hash"), RECORD_HASH)
-        return new.unionByName(missed)
+            held = held.select(RECORD_HASH, F.lit(True).alias("_held"))
+            met = held.join(asked.hint("shuffle_hash"), RECORD_HASH, "right_outer")
+            asked = met.filter(F.col("_held").isNull()).select(*names)
+        return new.unionByName(asked)
 
     return keep
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rowfold.operators.dedup import ordered_rows
+from rowfold.operators.dedup import ordered_rows, row_keys
 from rowfold.plans.load import (
     SEEN_SCHEMA,
     compact_seen,
@@ -66,7 +66,8 @@ def _lines(spark, sf_dir):
 )
 def dedup_report(spark, sf_dir):
     rows = ordered_rows(_lines(spark, sf_dir).select(*ORDER), ORDER, KEYS)
-    return plan_dedup(rows, empty_table(spark, SEEN_SCHEMA), CHUNK).report
+    keys = row_keys(_lines(spark, sf_dir), KEYS, order=ORDER)
+    return plan_dedup(rows, empty_table(spark, SEEN_SCHEMA), CHUNK, keys=keys).report
 
 
 @query(

@@ -103,14 +103,14 @@ def remove_work_dir(spark: SparkSession, path: str) -> None:
     files.delete(folder, True)
 
 
-def stage(df: DataFrame, work_dir: str, name: str) -> DataFrame:
+def stage(df: DataFrame, work_dir: str, name: str, **options: str) -> DataFrame:
     """Write an intermediate table to the shared folder and read it back.
 
     Computed once, it stays as it is when executors are lost, and later steps read only the columns
-    they need.
+    they need. ``options`` go to the writer.
     """
     path = f"{work_dir}/{name}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

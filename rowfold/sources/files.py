@@ -32,7 +32,8 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 
 
 def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
+    # known to be empty when a query is planned, so that joins with it are left out
+    return spark.createDataFrame([], schema).limit(0)
 
 
 def local_table(spark: SparkSession, rows: Iterable, schema: T.StructType) -> DataFrame:
