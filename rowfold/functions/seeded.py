@@ -6,6 +6,8 @@ another SQL engine can reproduce them.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,10 +19,18 @@ SALT_STEP = 40503
 MIX_STEP = 16807
 
 
+def bound(value: Column, of: Callable[[Column], Column]) -> Column:
+    """``of(value)`` with the value computed once, however often ``of`` mentions it.
+
+    Written out, a draw mentions its id some fifty times; pushed into a filter that makes a method the JVM does not compile.
+    """
+    return F.transform(F.array(value), of)[0]
+
+
 def mix(row_id: Column, salt: int) -> Column:
     """A number in [0, MODULUS). Squaring keeps draws with different salts from moving in step."""
-    x = (row_id.cast("bigint") * F.lit(ID_STEP) + F.lit(salt * SALT_STEP)) % F.lit(MODULUS)
-    return ((x * x) % F.lit(MODULUS) + x * F.lit(MIX_STEP)) % F.lit(MODULUS)
+    start = (row_id.cast("bigint") * F.lit(ID_STEP) + F.lit(salt * SALT_STEP)) % F.lit(MODULUS)
+    return bound(start, lambda x: ((x * x) % F.lit(MODULUS) + x * F.lit(MIX_STEP)) % F.lit(MODULUS))
 
 
 def wide_mix(row_id: Column, salt: int) -> Column:
@@ -28,4 +38,4 @@ def wide_mix(row_id: Column, salt: int) -> Column:
     # what of the id the first number cannot tell apart goes into the second, and from there into both
     turns = F.call_function("div", row_id.cast("bigint"), F.lit(MODULUS))
     second = mix(turns + mix(row_id, salt), salt + 1)
-    return mix(second + turns, salt) * F.lit(MODULUS) + second
+    return bound(second, lambda x: mix(x + turns, salt) * F.lit(MODULUS) + x)

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rowfold import registry
+from rowfold.functions.seeded import MODULUS, wide_mix
 from rowfold.operators.dedup import row_keys
+from rowfold.operators.sets import sample_with_replacement
 from rowfold.plans import load as load_module
 from rowfold.plans import seen as seen_module
 from rowfold.plans.load import load_reports, load_table, loaded_rows, seen_hashes
@@ -98,3 +100,32 @@ def test_a_load_of_few_chunks_looks_at_no_others(spark, tmp_path, monkeypatch):
         load_table(keyed(spark, 900, 40), ORDER, store, "a", KEYS, chunk_size=100, max_chunks=most)
     assert counted == [200, 700]
     assert load_reports(spark, store).count() == 9
+
+
+def test_a_draw_is_written_out_once(spark):
+    """Wherever a filter on it is pushed to."""
+    lines = spark.read.parquet(f"{SF_DIR}/lineitem.parquet").select("l_orderkey", "l_linenumber")
+    plan = plan_of(sample_with_replacement(lines, 0.1, 5, F.col("l_orderkey") * 10 + F.col("l_linenumber")))
+    assert 0 < plan.count("48271") <= 20
+    # as the nested products are
+    start = lambda x, salt: (x * 48271 + salt * 40503) % MODULUS
+    mixed = lambda x, salt: (start(x, salt) ** 2 % MODULUS + start(x, salt) * 16807) % MODULUS
+    ids = [0, 1, 7, MODULUS - 1, MODULUS, 10**13 + 3]
+    rows = spark.createDataFrame([(i,) for i in ids] + [(None,)], "id bigint").select("id", wide_mix(F.col("id"), 5).alias("n"))
+    got = {r["id"]: r["n"] for r in rows.collect()}
+    for i in ids:
+        second = mixed(i // MODULUS + mixed(i, 5), 6)
+        assert got[i] == mixed(second + i // MODULUS, 5) * MODULUS + second
+    assert got[None] is None
+
+
+def test_small_files_are_written_by_many_tasks(spark, monkeypatch):
+    tasks, real = [], row_queries.write_table
+
+    def noted(df, *args, **options):
+        tasks.append(df.rdd.getNumPartitions())
+        return real(df, *args, **options)
+
+    monkeypatch.setattr(row_queries, "write_table", noted)
+    assert registry.QUERIES["file_counts"](spark, SF_DIR).first()["capped_files"]
+    assert tasks[0] >= 4
