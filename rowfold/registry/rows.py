@@ -385,7 +385,9 @@ def forest_fit_score(spark, sf_dir):
 )
 def file_counts(spark, sf_dir):
     """A table written over as one file, then by rows per file, from one materialised result."""
-    customers = materialise(table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"))
+    # a task writes its files one after the other
+    dealt = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment").repartition(max(4, spark.sparkContext.defaultParallelism))
+    customers = materialise(dealt)
     path = new_work_dir(spark, "files")
     write_table(customers, f"{path}/t", "overwrite", max_records_per_file=100)
     many = scan_files(spark, f"{path}/t")
