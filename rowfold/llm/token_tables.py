@@ -52,7 +52,8 @@ _CHECKED_SCHEMA = [
 
 def checksums(ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Unsigned CRC-32 of each list of ids as little-endian 32-bit integers."""
-    whole = memoryview(ids.astype("<u4").tobytes())
+    # a view: the ids of a slice are not copied
+    whole = memoryview(np.ascontiguousarray(ids, "<i4")).cast("B")
     return np.array([zlib.crc32(whole[4 * a : 4 * b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)], np.int64)
 
 

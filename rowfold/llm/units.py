@@ -323,8 +323,8 @@ def byte_tokenizer(path: str):
 
 @functools.lru_cache(maxsize=4)
 def byte_units(path: str) -> ByteUnits:
-    """One memory for each Python worker and file."""
-    return ByteUnits(path)
+    """One memory for each Python worker and file; an executor has as many workers as tasks, beside the buffers of what they write."""
+    return ByteUnits(path, units=MEMORY_UNITS // 2)
 
 
 @functools.lru_cache(maxsize=4)
