@@ -91,9 +91,12 @@ def state_store(spark: SparkSession, provider: str = ROCKSDB):
 
 
 def _first_within(columns: Sequence[str], event_time: str, delay_ms: int):
-    """The processor of one key, with all it needs, for workers that do not have this package."""
+    """The processor of one key, with all it needs, for workers that do not have this package; event times are microseconds."""
+    from pyspark.sql import Row
     from pyspark.sql.streaming import StatefulProcessor
 
+    told = Row(*columns, "_fate", "_rows")
+
     class FirstWithin(StatefulProcessor):
         """Keeps the first row of a key, until ``delay`` after its event; marks late rows and counts repeated ones."""
 
@@ -102,40 +105,37 @@ def _first_within(columns: Sequence[str], event_time: str, delay_ms: int):
             self.expires = handle.getValueState("expires", "at long")
 
         def handleInputRows(self, key, rows, timerValues):
-            import pandas as pd
-
             # no event has been seen before the first watermark
             mark = timerValues.getCurrentWatermarkInMs()
-            held = self.expires.get()[0] if self.expires.exists() else None
-            live = held is not None and held >= mark
             total, example, first = 0, None, None
-            for frame in rows:
-                at = (frame[event_time].astype("datetime64[us]").astype("int64") // 1000).where(frame[event_time].notna())
-                late = (at < mark) & (mark > 0)
-                if late.any():
-                    yield frame[late].assign(_fate="late", _rows=1)
-                frame, at = frame[~late], at[~late]
-                if not len(frame):
+            for row in rows:
+                at = None if row[event_time] is None else row[event_time] // 1000
+                if at is not None and at < mark and mark > 0:
+                    yield told(*[row[c] for c in columns], "late", 1)
                     continue
-                total += len(frame)
-                example = frame.iloc[:1]
+                total += 1
                 # the earliest of the batch; rows without a time come last
-                place = at.argmin() if at.notna().any() else 0
-                time = float("inf") if pd.isna(at.iloc[place]) else float(at.iloc[place])
+                time = float("inf") if at is None else at
+                if example is None:
+                    example = row
                 if first is None or time < first[0]:
-                    first = (time, frame.iloc[place : place + 1])
-            if first is not None and not live:
-                end = (mark if first[0] == float("inf") else int(first[0])) + delay_ms
+                    first = (time, row)
+            if first is None:
+                return
+            held = self.expires.get()
+            if held is None or held[0] < mark:
+                end = (mark if first[0] == float("inf") else first[0]) + delay_ms
                 self.expires.update((end,))
                 self.handle.registerTimer(max(end, mark) + 1)
-                yield first[1].assign(_fate="kept", _rows=1)
+                yield told(*[first[1][c] for c in columns], "kept", 1)
                 total -= 1
             if total:
-                yield example.assign(_fate="repeated", _rows=total)
+                yield told(*[example[c] for c in columns], "repeated", total)
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
             # the key may have come again since the timer was set
-            if self.expires.exists() and self.expires.get()[0] < timerValues.getCurrentWatermarkInMs():
+            held = self.expires.get()
+            if held is not None and held[0] < timerValues.getCurrentWatermarkInMs():
                 self.expires.clear()
             return iter(())
 
@@ -163,6 +163,9 @@ def distinct_within(
     so one that is delivered again replaces what it wrote: :func:`fates` reads ``kept`` and ``late`` rows, and
     :func:`fate_counts` how many rows were kept, late and repeated.
 
+    A key of a micro-batch is handled row by row, without a data frame of its own; only its late rows are held until it is done.
+    Checkpoints written when keys were data frames cannot be gone on with.
+
     Events without a time are never late and expire ``delay`` after the watermark of their batch; a null key is a key.
     """
     spark, keys = rows.sparkSession, list(keys)
@@ -171,10 +174,14 @@ def distinct_within(
     seconds = spark.sql(f"SELECT unix_seconds(timestamp '1970-01-02 00:00:00' + INTERVAL {delay}) - 86400").first()[0]
     timed = rows.withColumn(event_time, F.col(quote(event_time)).cast("timestamp"))
     # the watermark is kept on a copy that goes no further, so that the engine leaves late rows to the processor
-    marked = timed.withColumn("_mark", F.col(quote(event_time))).withWatermark("_mark", delay).select(*timed.columns)
-    columns = timed.columns
-    out = T.StructType([*timed.schema.fields, T.StructField("_fate", T.StringType()), T.StructField("_rows", T.LongType())])
-    told = marked.groupBy(*keys).transformWithStateInPandas(_first_within(columns, event_time, seconds * 1000), out, "append", "EventTime")
+    marked = timed.withColumn("_mark", F.col(quote(event_time))).withWatermark("_mark", delay).select(*[F.col(quote(c)) for c in timed.columns])
+    # a time travels as a number, whose way to the processor and back is short
+    numbered = marked.withColumn(event_time, F.unix_micros(quote(event_time)))
+    columns = numbered.columns
+    out = T.StructType([*numbered.schema.fields, T.StructField("_fate", T.StringType()), T.StructField("_rows", T.LongType())])
+    grouped = numbered.groupBy(*[F.col(quote(k)) for k in keys])
+    told = grouped.transformWithState(_first_within(columns, event_time, seconds * 1000), out, "append", "EventTime")
+    told = told.withColumn(event_time, F.timestamp_micros(quote(event_time)))
 
     def feed(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").partitionBy("_fate").parquet(f"{path}/batch={batch_id}")

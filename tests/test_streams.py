@@ -202,3 +202,19 @@ def test_console_takes_every_row(spark, events, source, tmp_path):
     done = query.recentProgress
     assert all("Console" in p["sink"]["description"] for p in done)
     assert sum(p["numInputRows"] for p in done) == events.count()
+
+
+def test_keys_of_a_bounded_dedup_are_handled_as_rows_with_any_time(spark, tmp_path):
+    times = ["1969-12-31 23:59:59.999999", "1969-12-31 23:59:59.999998", None, "3000-01-01 00:00:00.000001"]
+    rows = spark.createDataFrame([(k, t) for k in (1, None) for t in times], "user_id long, ts string").selectExpr("user_id", "timestamp(ts) AS ts")
+    publish_files(rows, f"{tmp_path}/m", num_files=1)
+    stream_rows = M.parse_messages(read_text_messages(spark, f"{tmp_path}/m"), rows.schema)
+    query = M.distinct_within(stream_rows, ["user_id"], "ts", "1 hour", f"{tmp_path}/out", f"{tmp_path}/cp")
+    assert M.finish(query, 120)
+    # no data frame for each key
+    assert query.recentProgress[0]["stateOperators"][0]["operatorName"] == "transformWithStateInPySparkExec"
+    told = M.fates(spark, f"{tmp_path}/out", rows.schema)
+    kept = told.filter(F.col("_fate") == "kept").select("user_id", F.unix_micros("ts").alias("at")).collect()
+    # times of one millisecond: the first that comes
+    assert {r["user_id"] for r in kept} == {1, None} and len(kept) == 2 and all(r["at"] in (-1, -2) for r in kept)
+    assert tuple(M.fate_counts(spark, f"{tmp_path}/out").first()) == (8, 2, 0, 6)
