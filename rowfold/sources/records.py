@@ -12,6 +12,8 @@ RECORDS_PER_TRIGGER = 100_000
 FORMAT = "line_slices"
 # Bytes of lines that one task reads, about.
 SLICE_BYTES = 8 << 20
+# Records of a micro-batch for which another task is worth its start.
+TASK_RECORDS = 16_384
 
 
 def _line_slices():
@@ -137,16 +139,22 @@ def read_records(
     records: int = RECORDS_PER_TRIGGER,
     starting: str = "earliest",
     slice_bytes: int = SLICE_BYTES,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Stream of lines as binary ``value``, at most ``records`` in each micro-batch.
 
     What the driver handles are slices: it looks for line ends in the next ``records`` lines and no further. Tasks read the lines. A
     query that starts again goes on at its checkpoint, within a file if need be. Run it with a ``continuous`` trigger:
     one that takes what is available takes a single micro-batch.
+
+    ``tasks`` read a micro-batch, by default one for ``TASK_RECORDS`` of ``records`` and at most as many as shuffles have partitions.
+    A single task reads its slices one after the other and without a shuffle; lines of many kilobytes are worth more tasks.
     """
+    if tasks is None:
+        tasks = min(-(-records // TASK_RECORDS), int(spark.conf.get("spark.sql.shuffle.partitions")))
     spark.dataSource.register(_line_slices())
     reader = spark.readStream.format(FORMAT).option("path", path).option("records", str(records)).option("starting", starting)
     slices = reader.option("sliceBytes", str(slice_bytes)).load()
     # slices are dealt to tasks anew; the source hands them over in one partition
-    dealt = slices.repartition(F.col("file"), F.col("first"))
+    dealt = slices.repartition(tasks, F.col("file"), F.col("first")) if tasks > 1 else slices
     return dealt.mapInArrow(_line_reader(), "value binary")

@@ -299,3 +299,19 @@ def test_samples_do_not_depend_on_partitioning(spark):
             assert abs(times[k] - expected) < 6 * math.sqrt(expected)
     with pytest.raises(ValueError, match="mean"):
         sets.sample_with_replacement(df, 0.0)
+
+
+def test_a_small_micro_batch_is_read_by_one_task_and_a_large_one_is_dealt(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    want = [f"line {i}" for i in range(50)]
+    (tmp_path / "in" / "f").write_text("\n".join(want) + "\n")
+    plan = lambda rows: rows._jdf.queryExecution().analyzed().toString()
+    assert "Repartition" not in plan(records.read_records(spark, f"{tmp_path}/in", 3_000))
+    assert "Repartition" in plan(records.read_records(spark, f"{tmp_path}/in", 10 * records.TASK_RECORDS))
+    for tasks in (1, 3):
+        rows = records.read_records(spark, f"{tmp_path}/in", 20, slice_bytes=30, tasks=tasks)
+        running = rows.writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/cp{tasks}").trigger(processingTime="0 seconds").start(f"{tmp_path}/out{tasks}")
+        running.processAllAvailable()
+        running.stop()
+        got = spark.read.schema("value binary").parquet(f"{tmp_path}/out{tasks}").collect()
+        assert sorted(bytes(r["value"]).decode() for r in got) == sorted(want)
