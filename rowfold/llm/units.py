@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import functools
 import os
-from itertools import chain
+from itertools import chain, compress, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from rowfold.llm.flat import FlatTexts, gather
 from rowfold.llm.pieces import PieceModel
 
-# What one Python worker remembers at most (a unit takes some 150 bytes); beyond it the memory starts afresh.
+# What one Python worker remembers at most (a unit takes some 150 bytes); beyond it the memory starts afresh with the units in use.
 MEMORY_UNITS = 750_000
 MEMORY_BYTES = 24 << 20
 # New units that are encoded as one text; the library takes longer for each byte of a longer one.
@@ -104,15 +104,30 @@ class UnitMemory:
         self.bounds.add(self.ids.size + np.cumsum(sizes))
         self.ids.add(ids)
 
+    def renew(self, units: list[bytes]) -> None:
+        """Start afresh with what is known of these units, the common ones among them; with nothing if that is half the memory."""
+        known = [u for u in dict.fromkeys(units) if u in self.places]
+        size = sum(map(len, known))
+        if 2 * len(known) > self.most_units or 2 * size > self.most_bytes:
+            self.forget()
+            return
+        positions, bounds = gather(self.bounds.values, np.array([self.places[u] for u in known], np.int64))
+        ids = self.ids.values[positions]
+        self.forget()
+        self.places, self.bytes = dict(zip(known, range(len(known)), strict=True)), size
+        if known:
+            self.remember(known, ids, np.diff(bounds))
+
     def encode(self, texts: FlatTexts) -> Encoded:
         """Ids of all texts, by their units."""
         raise NotImplementedError
 
     def _places(self, units: pa.Array) -> np.ndarray:
         """Where each of the units is remembered; new ones are encoded."""
+        held = units.to_pylist()
         if len(self.places) > self.most_units or self.bytes > self.most_bytes:
-            self.forget()
-        held, places = units.to_pylist(), self.places
+            self.renew(held)
+        places = self.places
         found = list(map(places.get, held))
         missing = [k for k, at in enumerate(found) if at is None]
         if missing:
@@ -188,9 +203,8 @@ class ByteUnits(UnitMemory):
 
     def in_groups(self, units: list[bytes]) -> list[bytes]:
         """In an order in which many of them can be encoded as one text: units that have to be first, each before some others."""
-        others, firsts = [], []
-        for unit in units:
-            (others if _follows(unit) else firsts).append(unit)
+        follow = _follow(units)
+        others, firsts = list(compress(units, follow)), list(compress(units, ~follow))
         size, out = JOINED_UNITS - 1, []
         for k, first in enumerate(firsts):
             out.append(first)
@@ -199,14 +213,14 @@ class ByteUnits(UnitMemory):
 
     def encode_units(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """New units are encoded end to end, many as one text, and told apart by the bytes of their tokens."""
-        starts, run = [0], 0
-        for k in range(1, len(units)):
-            if k - run == JOINED_UNITS or not _follows(units[k]):
-                starts.append(k)
-                run = k
-        texts = [as_text(b"".join(units[a:b])) for a, b in zip(starts, [*starts[1:], len(units)], strict=True)]
+        follow = _follow(units)
+        follow[:1] = False
+        runs = [*np.flatnonzero(~follow).tolist(), len(units)]
+        starts = [k for a, b in pairwise(runs) for k in range(a, b, JOINED_UNITS)]
+        whole, ends = b"".join(units), np.cumsum(np.fromiter(map(len, units), np.int64, len(units)))
+        cuts = [0, *ends[np.array(starts[1:], np.int64) - 1].tolist(), len(whole)]
+        texts = [as_text(whole[a:b]) for a, b in pairwise(cuts)]
         ids = _flat([e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])[0]
-        ends = np.cumsum(np.fromiter(map(len, units), np.int64, len(units)))
         covered = np.concatenate([[0], np.cumsum(self.token_bytes[ids])])
         at = np.searchsorted(covered, ends)
         if covered[-1] != ends[-1] or (covered[at] != ends).any():
@@ -215,9 +229,12 @@ class ByteUnits(UnitMemory):
         return ids, np.diff(at, prepend=0)
 
 
-def _follows(unit: bytes) -> bool:
-    """Whether a cut before the unit is proven whatever comes before: it is a space and a non-space."""
-    return unit[:1] == b" " and len(unit) > 1 and not _MAYBE_SPACE[unit[1]]
+def _follow(units: list[bytes]) -> np.ndarray:
+    """Whether a cut before each unit is proven whatever comes before: it is a space and a non-space. No unit is empty."""
+    data = np.frombuffer(b"".join(units) + b" ", np.uint8)
+    sizes = np.fromiter(map(len, units), np.int64, len(units))
+    first = np.cumsum(sizes) - sizes
+    return (data[first] == 32) & (sizes > 1) & ~_MAYBE_SPACE[data[first + 1]]
 
 
 class PieceUnits(UnitMemory):
