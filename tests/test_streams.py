@@ -218,3 +218,15 @@ def test_keys_of_a_bounded_dedup_are_handled_as_rows_with_any_time(spark, tmp_pa
     # times of one millisecond: the first that comes
     assert {r["user_id"] for r in kept} == {1, None} and len(kept) == 2 and all(r["at"] in (-1, -2) for r in kept)
     assert tuple(M.fate_counts(spark, f"{tmp_path}/out").first()) == (8, 2, 0, 6)
+
+
+def test_null_keys_lose_no_other_key(spark, tmp_path):
+    rows = spark.range(400).select(
+        F.when(F.col("id") % 7 != 0, F.col("id") % 40).alias("user_id"), F.expr("timestamp('2024-01-01') + make_interval(0, 0, 0, 0, cast(id / 10 AS int))").alias("ts")
+    )
+    publish_files(rows, f"{tmp_path}/m", num_files=1)
+    stream_rows = M.parse_messages(read_text_messages(spark, f"{tmp_path}/m"), rows.schema)
+    assert M.finish(M.distinct_within(stream_rows, ["user_id"], "ts", "90 days", f"{tmp_path}/out", f"{tmp_path}/cp"), 120)
+    kept = M.fates(spark, f"{tmp_path}/out", rows.schema).filter(F.col("_fate") == "kept").collect()
+    assert sorted((r["user_id"] for r in kept), key=str) == sorted([*range(40), None], key=str)
+    assert tuple(M.fate_counts(spark, f"{tmp_path}/out").first()) == (400, 41, 0, 359)
