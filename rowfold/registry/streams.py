@@ -16,7 +16,7 @@ from rowfold.registry.loads import load_buckets
 from rowfold.session import new_work_dir
 from rowfold.sinks.messages import publish_files
 from rowfold.sources.messages import read_text_messages
-from rowfold.sources.records import read_records
+from rowfold.sources.records import read_records, record_ranges
 from rowfold.streaming.messages import (
     REPEATED,
     count_and_sample,
@@ -243,27 +243,39 @@ ADMITTED = 3_000
        FROM events""",
 )
 def stream_by_records(spark, sf_dir):
-    """All events, at most so many records in a micro-batch whatever the files; stopped and gone on with on the way."""
+    """All events, at most so many records in a micro-batch whatever the files; stopped and gone on with on the way.
+
+    Streams side by side share the messages by whole micro-batches; each is stopped and gone on with.
+    """
     out = new_work_dir(spark, "stream-records")
     events = table(spark, sf_dir, "events").select("event_id", "user_id")
     publish_files(events, f"{out}/messages", "overwrite", 3)
-    schema = T.StructType([*events.schema.fields, T.StructField("batch", T.LongType())])
+    schema = T.StructType([*events.schema.fields, T.StructField("stream", T.LongType()), T.StructField("batch", T.LongType())])
+
+    def start(stream: int, starting: str, until: str | None):
+        def keep(batch, number: int) -> None:
+            batch.write.mode("overwrite").parquet(f"{out}/rows/stream={stream}/batch={number}")
 
-    def keep(batch, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/rows/batch={number}")
+        rows = parse_messages(read_records(spark, f"{out}/messages", ADMITTED, starting, until=until), events.schema)
+        return rows.writeStream.foreachBatch(keep).option("checkpointLocation", f"{out}/checkpoint-{stream}").trigger(processingTime="0 seconds").start()
 
     for runs in ("first", "second"):
-        rows = parse_messages(read_records(spark, f"{out}/messages", ADMITTED), events.schema)
-        running = rows.writeStream.foreachBatch(keep).option("checkpointLocation", f"{out}/checkpoint").trigger(processingTime="0 seconds").start()
-        if runs == "first":
-            while running.isActive and not (running.lastProgress and running.lastProgress.batchId >= 1):
-                time.sleep(0.1)
-        else:
-            running.processAllAvailable()
-        running.stop()
-        if running.exception() is not None:
-            raise running.exception()
+        ranges = record_ranges(spark, f"{out}/messages", f"{out}/ranges", ADMITTED)
+        streams = [start(k, *ends) for k, ends in enumerate(ranges)]
+        try:
+            for running in streams:
+                if runs == "first":
+                    while running.isActive and not (running.lastProgress and running.lastProgress.batchId >= 1):
+                        time.sleep(0.1)
+                else:
+                    running.processAllAvailable()
+                running.stop()
+                if running.exception() is not None:
+                    raise running.exception()
+        finally:
+            for running in streams:
+                running.stop()
     held = spark.read.schema(schema).parquet(f"{out}/rows")
-    sizes = held.groupBy("batch").agg(F.count("*").alias("n")).agg(F.count("*").alias("batches"), F.max("n").alias("most"))
+    sizes = held.groupBy("stream", "batch").agg(F.count("*").alias("n")).agg(F.count("*").alias("batches"), F.max("n").alias("most"))
     # one row of totals
     return held.crossJoin(sizes).select("event_id", "user_id", "batches", (F.col("most") <= ADMITTED).alias("none_too_large"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 import os
 import random
@@ -315,3 +316,79 @@ def test_a_small_micro_batch_is_read_by_one_task_and_a_large_one_is_dealt(spark,
         running.stop()
         got = spark.read.schema("value binary").parquet(f"{tmp_path}/out{tasks}").collect()
         assert sorted(bytes(r["value"]).decode() for r in got) == sorted(want)
+
+
+def test_streams_share_a_backlog_by_whole_micro_batches(spark, tmp_path, monkeypatch):
+    (tmp_path / "in").mkdir()
+    want = []
+    for k, n in enumerate((3, 41, 0, 1, 18)):
+        lines = [f"file {k} line {i} é{'x' * (i % 7)}" if i % 9 else "" for i in range(n)]
+        # the last line of a file may have no end
+        (tmp_path / "in" / f"f{k}").write_text("".join(f"{x}\n" for x in lines[:-1]) + (lines[-1] + "\n" * (k % 2) if lines else ""))
+        os.utime(tmp_path / "in" / f"f{k}", (1000 + k, 1000 + k))
+        want += lines
+    assert want[-1] and want[2]
+    path, plan = f"file://{tmp_path}/in", f"file://{tmp_path}/ranges"
+    monkeypatch.setattr(records, "STREAM_BATCHES", 3)
+    # 63 lines are 13 micro-batches of 5
+    ranges = records.record_ranges(spark, path, plan, 5, streams=8, slice_bytes=20)
+    assert len(ranges) == 4 and ranges[-1][1] is None
+    assert [stop for _, stop in ranges[:-1]] == [first for first, _ in ranges[1:]]
+    assert ranges == records.record_ranges(spark, path, f"{plan}-2", 5, streams=8)
+    assert len(records.record_ranges(spark, path, f"{plan}-3", 5, streams=2)) == 2
+    for name, starting, want_ranges in (("latest", "latest", 1), ("time", "1970-01-01T00:16:44", 2)):
+        assert len(records.record_ranges(spark, path, f"{plan}-{name}", 3, starting)) == want_ranges
+
+    def run(only_one: bool) -> dict:
+        for k, (starting, until) in enumerate(records.record_ranges(spark, path, plan, 5)):
+            def keep(batch, number, k=k):
+                batch.write.mode("overwrite").parquet(f"{tmp_path}/out/stream={k}/batch={number}")
+
+            rows = records.read_records(spark, path, 5, starting, slice_bytes=20, until=until)
+            running = rows.writeStream.foreachBatch(keep).option("checkpointLocation", f"{tmp_path}/cp-{k}").trigger(processingTime="0 seconds").start()
+            if only_one:
+                while running.isActive and not (running.lastProgress and running.lastProgress.batchId >= 1):
+                    time.sleep(0.05)
+            else:
+                running.processAllAvailable()
+            running.stop()
+            assert running.exception() is None
+        got: dict[tuple[int, int], list[str]] = {}
+        for r in spark.read.schema("value binary, stream long, batch long").parquet(f"{tmp_path}/out").collect():
+            got.setdefault((r["stream"], r["batch"]), []).append(bytes(r["value"]).decode())
+        return got
+
+    run(only_one=True)
+    got = run(only_one=False)
+    assert Counter(x for b in got.values() for x in b) == Counter(want)
+    assert sorted(len(b) for b in got.values()) == [3] + [5] * 12
+    # a file that comes later goes to the last stream, and the ranges stay as they were
+    (tmp_path / "in" / "late").write_text("late\n")
+    assert records.record_ranges(spark, path, plan, 5) == ranges
+    assert [k for k, b in run(only_one=False).items() if "late" in b] == [(3, max(b for s, b in got if s == 3) + 1)]
+
+
+def test_a_cut_may_fall_behind_a_line_without_an_end(spark, tmp_path, monkeypatch):
+    (tmp_path / "in").mkdir()
+    for k in range(4):
+        (tmp_path / "in" / f"f{k}").write_text("a\nb")
+        os.utime(tmp_path / "in" / f"f{k}", (1000 + k, 1000 + k))
+    monkeypatch.setattr(records, "STREAM_BATCHES", 1)
+    ranges = records.record_ranges(spark, f"{tmp_path}/in", f"file://{tmp_path}/ranges", 2, streams=4, slice_bytes=2)
+    ends = [json.loads(stop) for _, stop in ranges[:-1]]
+    assert [(x["file"][-2:], x["byte"]) for x in ends] == [("f0", 3), ("f1", 3), ("f2", 3)]
+
+
+def test_the_query_by_records_runs_streams_side_by_side(spark, tmp_path, monkeypatch):
+    from rowfold.registry import streams
+
+    rows = [(i % 300 if i % 11 else None, i % 7, "x") for i in range(355)]
+    spark.createDataFrame(rows, "event_id long, user_id long, event_type string").write.parquet(f"{tmp_path}/events.parquet")
+    shared = []
+    monkeypatch.setattr(streams, "ADMITTED", 10)
+    monkeypatch.setattr(streams, "record_ranges", lambda *a: shared.append(records.record_ranges(*a)) or shared[-1])
+    got = streams.stream_by_records(spark, str(tmp_path)).collect()
+    assert Counter((r["event_id"], r["user_id"]) for r in got) == Counter(r[:2] for r in rows)
+    assert {(r["batches"], r["none_too_large"]) for r in got} == {(36, True)}
+    # started twice, with the same ranges
+    assert len(shared) == 2 and shared[0] == shared[1] and len(shared[0]) == 2
